@@ -1,0 +1 @@
+"""Stream sources feeding the batch operators."""
