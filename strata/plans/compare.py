@@ -52,10 +52,13 @@ def compare(spark, name: str, sf_dir: str, digits: int = 6) -> dict:
     from strata.plans.oracles import oracle_sql
     from strata.plans.queries import queries
 
+    import time
+    t0 = time.time()
     df = queries()[name](spark, sf_dir)
     spark_rows = [tuple(r) for r in df.collect()]
+    spark_sec = round(time.time() - t0, 2)
     spark_cols = df.columns
-    out = {"query": name, "spark_rows": len(spark_rows)}
+    out = {"query": name, "spark_rows": len(spark_rows), "sec": spark_sec}
     sql = oracle_sql().get(name)
     if sql is None:
         out["oracle"] = None
@@ -91,8 +94,9 @@ def main(argv: list[str]) -> int:
             result = compare(spark, name, sf_dir)
         except Exception as exc:  # report and go on with the next query
             result = {"query": name, "error": repr(exc)[:500]}
-        ok = result.get("oracle") is None and "error" not in result or (
-            result.get("values_match") and result.get("columns_match"))
+        ok = "error" not in result and (
+            ("oracle" in result and result["oracle"] is None)
+            or bool(result.get("values_match") and result.get("columns_match")))
         bad += 0 if ok else 1
         print(("OK  " if ok else "BAD ") + str(result), flush=True)
     return 1 if bad else 0

@@ -1,36 +1,474 @@
 """The query catalogue: every operator of the reference run on the driver's
 tables. Each query takes ``(spark, sf_dir)`` and returns a DataFrame whose
-column names match its DuckDB oracle in ``strata.plans.oracles``."""
+column names match its DuckDB oracle in ``strata.plans.oracles``.
+
+Round-trip queries (CSV, JSON, XML, text, parquet writers) write a copy of a
+driver table into a fresh folder of the shared scratch area
+(``strata.session.scratch_path``) and read it back through the format.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.operators import panel
+from strata.functions.strings import parse_double, split_quoted
+from strata.operators import aggregates, catalog, language, links, merge, panel, recommend, text
 from strata.plans import params as P
 from strata.plans.tables import StandIns
+from strata.session import scratch_path
+from strata.sources import readers, writers
+from strata.sources.frames import conform, create_empty_df
 
 Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def query(fn: Query) -> Query:
+    QUERIES[fn.__name__] = fn
+    return fn
 
 
+# --- B1, B2, B3: panel, steady venues, citation table ------------------------------------
+
+@query
 def venue_year_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = StandIns(spark, sf_dir)
     return panel.entity_period_counts(s.venues(), s.host(), s.works(), s.years())
 
 
-def steady_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = StandIns(spark, sf_dir)
+def _steady(s: StandIns) -> tuple[DataFrame, list]:
     years = panel.period_values(s.years())
     counts = panel.entity_period_counts(s.venues(), s.host(), s.works(), years, sort=False)
-    return panel.steady_entity_periods(counts, years, P.STEADY_THRESHOLD)
+    return panel.steady_entity_periods(counts, years, P.STEADY_THRESHOLD), years
+
+
+@query
+def steady_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _steady(StandIns(spark, sf_dir))[0]
+
+
+def _stopword_detect(df: DataFrame) -> DataFrame:
+    return language.with_language(df, "title", language.stopword_language)
+
+
+@query
+def citation_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = StandIns(spark, sf_dir)
+    steady, _ = _steady(s)
+    return panel.citation_table(steady, s.host().distinct(), s.works_titled(),
+                                s.references(), detect=_stopword_detect)
+
+
+# --- L1, U1: language detection --------------------------------------------------------
+
+@query
+def language_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = StandIns(spark, sf_dir).t("documents").select("doc_id", "text")
+    return language.with_language(docs, "text", language.stopword_language).drop("text")
+
+
+@query
+def detect_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = StandIns(spark, sf_dir).t("documents")
+    train = docs.where(F.col("doc_id") % 2 == 0)
+    held_out = docs.where(F.col("doc_id") % 2 == 1)
+    model = language.fit_profiles(train, "text", "lang")
+    return language.detect_language(model, held_out, "doc_id", "text")
+
+
+# --- B4: merges ------------------------------------------------------------------------
+
+def customer_delta(s: StandIns) -> DataFrame:
+    """An all-string update file for ``customer``, derived from the data: new
+    balance and segment for customers with an urgent order, and one new
+    customer per supplier."""
+    updates = (s.t("orders").where(F.col("o_orderpriority") == "1-URGENT")
+               .groupBy("o_custkey").agg(F.max("o_totalprice").alias("bal"))
+               .select(F.col("o_custkey").cast("string").alias("c_custkey"),
+                       F.lit(None).cast("string").alias("c_name"),
+                       F.lit(None).cast("string").alias("c_nationkey"),
+                       F.col("bal").cast("string").alias("c_acctbal"),
+                       F.lit("PRIORITY").alias("c_mktsegment")))
+    inserts = s.t("supplier").select(
+        (F.col("s_suppkey") + 10_000_000).cast("string").alias("c_custkey"),
+        F.col("s_name").alias("c_name"),
+        F.col("s_nationkey").cast("string").alias("c_nationkey"),
+        F.col("s_acctbal").cast("string").alias("c_acctbal"),
+        F.lit(None).cast("string").alias("c_mktsegment"))
+    return updates.unionByName(inserts)
+
+
+@query
+def merge_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = StandIns(spark, sf_dir)
+    base = s.t("customer")
+    return merge.merge_upsert(base, customer_delta(s), "c_custkey")
+
+
+def _yearly_counts_base(s: StandIns) -> DataFrame:
+    return (s.t("orders").groupBy(F.col("o_custkey").alias("author_id"),
+                                  F.year("o_orderdate").alias("year"))
+            .agg(F.count(F.lit(1)).alias("works_count"),
+                 F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("cited_by_count")))
+
+
+def _yearly_counts_delta(s: StandIns) -> DataFrame:
+    lines = s.t("lineitem").select("l_orderkey", "l_shipdate")
+    orders = s.t("orders").select("o_orderkey", "o_custkey")
+    return (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy("o_custkey", F.year("l_shipdate").alias("ship_year"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select(F.col("o_custkey").cast("string").alias("author_id"),
+                    F.col("ship_year").cast("string").alias("year"),
+                    F.col("n").cast("string").alias("works_count"),
+                    F.lit(None).cast("string").alias("cited_by_count")))
+
+
+@query
+def merge_counts_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = StandIns(spark, sf_dir)
+    return merge.merge_upsert(_yearly_counts_base(s), _yearly_counts_delta(s),
+                              ["author_id", "year"], strategy="shuffle")
+
+
+# --- B5-B8: ratings, titles, retail reports --------------------------------------------
+
+@query
+def mean_rating_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = StandIns(spark, sf_dir)
+    return catalog.mean_rating_by_title(s.ratings(), s.movies(), method="fold")
+
+
+@query
+def mean_rating_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = StandIns(spark, sf_dir)
+    return catalog.mean_rating_by_title(s.ratings(), s.movies(), method="join")
+
+
+@query
+def mean_rating_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = StandIns(spark, sf_dir)
+    return catalog.mean_rating_by_title(s.ratings(), s.movies(), method="pandas")
+
+
+@query
+def ratings_per_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.ratings_per_item(StandIns(spark, sf_dir).ratings())
+
+
+@query
+def most_rated_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = StandIns(spark, sf_dir)
+    return catalog.most_rated(s.ratings(), s.movies(), P.TOP_TITLES)
+
+
+@query
+def tags_exceed_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = StandIns(spark, sf_dir)
+    return catalog.tags_exceed_genres(s.tags(), s.movies(), "title", separator=" ")
+
+
+@query
+def tag_counts_by_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = StandIns(spark, sf_dir)
+    return catalog.tag_counts_by_title(s.tags(), s.movies())
+
+
+@query
+def genre_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.genre_ranking(StandIns(spark, sf_dir).movies(), "title", separator=" ")
+
+
+@query
+def orders_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.hourly_counts(StandIns(spark, sf_dir).t("events"), "ts", "event_id")
+
+
+@query
+def orders_by_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = StandIns(spark, sf_dir).t("orders").withColumn("dow", F.dayofweek("o_orderdate"))
+    return catalog.weekday_counts(spark, orders, "dow", "o_orderkey")
+
+
+@query
+def orders_by_weekday_base0(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = StandIns(spark, sf_dir).t("orders").withColumn(
+        "dow", F.dayofweek("o_orderdate") - 1)
+    return catalog.weekday_counts(spark, orders, "dow", "o_orderkey")
+
+
+def _departments(s: StandIns, share: bool) -> DataFrame:
+    out = catalog.group_ratio(s.t("customer"), s.t("nation"), "c_custkey", "c_nationkey",
+                              "n_nationkey", "n_name", share=share)
+    return out.withColumnRenamed("n_name", "department")
+
+
+@query
+def group_id_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _departments(StandIns(spark, sf_dir), share=False)
+
+
+@query
+def group_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _departments(StandIns(spark, sf_dir), share=True).drop("procent")
+
+
+@query
+def filter_sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    readers.register_view(spark, "strata_part", "parquet", f"{sf_dir.rstrip('/')}/part.parquet")
+    return spark.sql(f"SELECT * FROM strata_part WHERE p_partkey > {P.FILTER_MIN_KEY} "
+                     "ORDER BY p_partkey DESC")
 
 
-QUERIES: dict[str, Query] = {
-    "venue_year_panel": venue_year_panel,
-    "steady_venues": steady_venues,
-}
+@query
+def filter_sort_desc_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = StandIns(spark, sf_dir).t("part")
+    path = scratch_path(spark, "part-json")
+    writers.write_table(part, path, fmt="json")
+    readers.read_json(spark, path).createOrReplaceTempView("strata_part_json")
+    typed = conform(spark.sql(f"SELECT * FROM strata_part_json WHERE p_partkey > "
+                              f"{P.FILTER_MIN_KEY} ORDER BY p_partkey DESC"), part.schema)
+    return typed
+
+
+@query
+def eligible_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recommend.eligible_items(StandIns(spark, sf_dir).ratings(), "item_id", "rating",
+                                    P.ELIGIBLE_MIN_RATINGS)
+
+
+# --- B9: words ------------------------------------------------------------------------
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text.lines_of(StandIns(spark, sf_dir).t("documents"), "text")
+
+
+@query
+def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text.word_count(_lines(spark, sf_dir))
+
+
+@query
+def word_count_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text.word_totals(text.word_count(_lines(spark, sf_dir), sort=False))
+
+
+@query
+def word_count_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text.word_count_filtered(_lines(spark, sf_dir), separators=P.WORD_SEPARATORS,
+                                    stop_words=P.STOP_WORDS)
+
+
+# --- E4, E7, E12: parsing --------------------------------------------------------------
+
+@query
+def split_quoted_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = StandIns(spark, sf_dir).t("part")
+    lines = part.select(F.concat(F.col("p_partkey").cast("string"), F.lit(',"'), F.col("p_name"),
+                                 F.lit(", "), F.col("p_brand"), F.lit('",'), F.col("p_type"),
+                                 F.lit("|"), F.col("p_size").cast("string")).alias("line"))
+    fields = lines.select(split_quoted(F.col("line")).alias("f"))
+    return fields.select(F.col("f")[0].cast("bigint").alias("item_id"),
+                         F.col("f")[1].alias("title_field"), F.col("f")[2].alias("rest"),
+                         F.size("f").alias("n_fields"))
+
+
+@query
+def parse_double_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = StandIns(spark, sf_dir).t("events").select(
+        "event_type", F.regexp_extract("props", r":\s*([^}]*)\}", 1).alias("k"))
+    valid = aggregates.mean_by(events, "event_type", "k", method="fold", bad="skip",
+                               name="k_mean")
+    every = aggregates.mean_by(events, "event_type", "k", method="join", bad="count",
+                               name="k_mean_all_rows")
+    bad = events.groupBy("event_type").agg(
+        F.count(F.when(parse_double(F.col("k")).isNull(), 1)).alias("k_bad"))
+    return valid.join(every, "event_type").join(bad, "event_type")
+
+
+# --- S1-S13, K1, K2: sources and sinks round trips --------------------------------------
+
+def _round_trip(spark: SparkSession, df: DataFrame, fmt: str, name: str, **options) -> str:
+    path = scratch_path(spark, name)
+    writers.write_table(df, path, fmt=fmt, **options)
+    return path
+
+
+@query
+def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = StandIns(spark, sf_dir).t("part")
+    return readers.read_table(spark, _round_trip(spark, part, "parquet", "part-parquet"))
+
+
+@query
+def scan_csv_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = StandIns(spark, sf_dir).t("part")
+    path = _round_trip(spark, part, "csv", "part-csv", header=True)
+    strings = readers.read_csv(spark, path, infer=False)
+    return conform(strings, part.schema)
+
+
+@query
+def scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = StandIns(spark, sf_dir).t("part")
+    path = _round_trip(spark, part, "csv", "part-csv-infer", header=True)
+    return conform(readers.read_csv(spark, path, infer=True), part.schema)
+
+
+@query
+def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = StandIns(spark, sf_dir).t("part")
+    path = _round_trip(spark, part, "json", "part-json-scan")
+    return conform(readers.read_json(spark, path), part.schema)
+
+
+@query
+def scan_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = StandIns(spark, sf_dir).t("part")
+    pages = part.select(
+        F.col("p_partkey").alias("title"),
+        F.struct(F.struct(F.col("p_name").alias("_VALUE"),
+                          F.length("p_name").cast("bigint").alias("_bytes")).alias("text"))
+        .alias("revision"))
+    path = _round_trip(spark, pages, "xml", "part-xml", rowTag="page")
+    back = readers.read_xml(spark, path, row_tag="page")
+    return back.select(F.col("title").cast("bigint").alias("item_id"),
+                       F.col("revision.text._VALUE").alias("title"))
+
+
+@query
+def scan_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = StandIns(spark, sf_dir).t("part").select("p_name")
+    return readers.read_text(spark, _round_trip(spark, part, "text", "part-text"))
+
+
+@query
+def create_empty_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = StandIns(spark, sf_dir).t("nation")
+    return create_empty_df(spark, nation.schema).unionByName(nation)
+
+
+@query
+def read_or_empty_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = StandIns(spark, sf_dir).t("nation")
+    missing = readers.read_or_empty(spark, scratch_path(spark, "never-written"), nation.schema)
+    present = readers.read_or_empty(spark, f"{sf_dir.rstrip('/')}/nation.parquet", nation.schema)
+    return missing.unionByName(present)
+
+
+@query
+def write_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = StandIns(spark, sf_dir).t("part")
+    path = scratch_path(spark, "part-overwrite")
+    writers.write_table(part, path, mode="overwrite")
+    writers.write_table(part, path, mode="overwrite")
+    return readers.read_parquet(spark, path)
+
+
+@query
+def write_error_if_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = StandIns(spark, sf_dir).t("part")
+    path = scratch_path(spark, "part-errorifexists")
+    writers.write_with_count(part, path, mode="errorifexists")
+    try:
+        writers.write_table(part, path, mode="errorifexists")
+    except Exception as exc:  # the second write must be refused
+        if "already exists" not in str(exc).lower() and "PATH_ALREADY_EXISTS" not in str(exc):
+            raise
+    else:
+        raise AssertionError("errorifexists wrote over an existing table")
+    return readers.read_parquet(spark, path)
+
+
+# --- B10: links, graph, PageRank --------------------------------------------------------
+
+# Fixed value: our stand-in turns each page's anchors into wiki links [[target|label]].
+ANCHOR = r'<a href="/?([^"]*)">([^<]*)</a>'
+
+
+def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = StandIns(spark, sf_dir).t("pages")
+    return pages.select(F.col("url").alias("title"),
+                        F.regexp_replace("html", ANCHOR, "[[$1|$2]]").alias("text"))
+
+
+@query
+def link_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links.extract_links(wiki_pages(spark, sf_dir), "title", "text")
+
+
+@query
+def link_edges_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links.extract_links(wiki_pages(spark, sf_dir), "title", "text", raw=True)
+
+
+@query
+def link_hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = StandIns(spark, sf_dir).t("pages")
+    return links.extract_links(pages, "url", "html", pattern=r'href="([^"]*)"',
+                               skip_prefixes=(), separator=None)
+
+
+def _part_supplier_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return StandIns(spark, sf_dir).t("lineitem").select(F.col("l_partkey").alias("src"),
+                                                        F.col("l_suppkey").alias("dst"))
+
+
+@query
+def graph_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links.graph_vertices(_part_supplier_edges(spark, sf_dir))
+
+
+@query
+def pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = links.pagerank(_part_supplier_edges(spark, sf_dir), P.PAGERANK_ITERATIONS,
+                           P.PAGERANK_RESET)
+    return ranks.select("id", F.round("pagerank", 6).alias("pagerank"))
+
+
+@query
+def wiki_pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = links.extract_links(wiki_pages(spark, sf_dir), "title", "text")
+    ranks = links.pagerank(edges, P.PAGERANK_ITERATIONS, P.PAGERANK_RESET)
+    return ranks.select("id", F.round("pagerank", 6).alias("pagerank"))
+
+
+# --- B11: recommendations -------------------------------------------------------------
+
+def _user_ratings(s: StandIns) -> DataFrame:
+    lines = s.t("lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    orders = s.t("orders").select("o_orderkey", "o_custkey")
+    return (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .select(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"),
+                    (F.col("l_quantity") / 10).alias("rating")))
+
+
+def _fit(s: StandIns):
+    ratings = _user_ratings(s)
+    train, test = recommend.hash_split(ratings, ["user_id", "item_id"], P.ALS_TRAIN_PERCENT,
+                                       P.ALS_SEED)
+    model = recommend.fit_recommender(train, "user_id", "item_id", "rating",
+                                      max_iter=P.ALS_MAX_ITER, reg_param=P.ALS_REG_PARAM,
+                                      seed=P.ALS_SEED)
+    return ratings, test, model
+
+
+@query
+def als_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, test, model = _fit(StandIns(spark, sf_dir))
+    return recommend.rmse(model, test, "user_id", "item_id", "rating")
+
+
+@query
+def als_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = StandIns(spark, sf_dir)
+    ratings, _, model = _fit(s)
+    items = recommend.eligible_items(ratings, "item_id", "rating", P.ELIGIBLE_MIN_RATINGS)
+    recs = recommend.recommend_users_for_items(model, items, P.ALS_TOP_K, "item_id")
+    return recommend.titled(recs, s.movies(), "item_id")
 
 
 def queries() -> dict[str, Query]:
