@@ -8,14 +8,14 @@ detector is a Spark job instead:
   ``top_k`` n-grams. The top-k runs as ``row_number() <= k`` over a window per
   language; Spark plans it with a per-partition group limit before the
   shuffle, so no task ever holds a language's whole n-gram list. The model
-  therefore has at most ``top_k x languages`` rows: a proven bound, so it is
-  broadcast.
+  therefore has at most ``top_k x languages`` rows, a proven bound, so it
+  is broadcast.
 * ``detect_language`` explodes every word n-gram of every text (whole texts,
   no prefix), joins them map-side with the broadcast model and sums per text with
   a partial aggregate; no n-gram row is ever shuffled.
 
-Scoring is multinomial naive Bayes over the profile n-grams plus one "other"
-bucket per language. The confidence is a softmax of the per-n-gram mean log
+Scoring is multinomial naive Bayes with Laplace smoothing over the union of
+the profiles; n-grams outside it carry no evidence. The confidence is a softmax of the per-n-gram mean log
 likelihoods, rounded half-up to 4 digits and stored as a 32-bit float.
 ``Unknown`` with 0.0 when a text has no n-gram (NULL, blank or too short).
 
@@ -74,17 +74,26 @@ def text_ngrams(df: DataFrame, keys: list[str], text_col: str, n: int = 3,
 @dataclass
 class LanguageModel:
     languages: list[str]
-    offsets: list[float]      # log prior per language
-    other_logp: list[float]   # log P(other bucket | language)
-    table: DataFrame          # gram, delta (array<double> aligned with languages)
+    log_priors: list[float]
+    table: DataFrame          # gram, logp (array<double> aligned with languages)
     n: int
 
 
 def fit_profiles(labelled: DataFrame, text_col: str, label_col: str, n: int = 3,
                  top_k: int = 1000, alpha: float = 1.0) -> LanguageModel:
-    """Learn per-language n-gram profiles from labelled text."""
+    """Learn per-language n-gram profiles from labelled text.
+
+    The vocabulary is the union of every language's ``top_k`` n-grams; each
+    language gets Laplace-smoothed log probabilities over that vocabulary.
+    """
     docs = labelled.select(F.col(label_col).alias("lang"), F.col(text_col).alias("t")) \
         .where(F.col("lang").isNotNull())
+    counts = (text_ngrams(docs, ["lang"], "t", n)
+              .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")))
+    # The (language, n-gram) counts are small next to the text; write them
+    # once to the shared checkpoint folder so the explode runs only once.
+    checkpoint_dir(labelled.sparkSession)
+    counts = counts.checkpoint()
     stats = (docs.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
              .limit(MAX_LANGUAGES + 1).collect())
     if len(stats) > MAX_LANGUAGES:
@@ -93,51 +102,41 @@ def fit_profiles(labelled: DataFrame, text_col: str, label_col: str, n: int = 3,
     doc_counts = {r["lang"]: r["docs"] for r in stats}
     total_docs = sum(doc_counts.values())
 
-    counts = (text_ngrams(docs, ["lang"], "t", n)
-              .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")))
     rank = F.row_number().over(
         Window.partitionBy("lang").orderBy(F.col("c").desc(), F.col("gram")))
-    top = counts.withColumn("_r", rank).where(F.col("_r") <= top_k).drop("_r")
-    # Written once to the shared checkpoint folder: the model's size is known
-    # from here on and its lineage (the whole training scan) is cut.
-    checkpoint_dir(labelled.sparkSession)
-    top = top.checkpoint()
-    # Per language: all n-grams seen, and those inside the profile.
-    totals = {r["lang"]: (r["total"], r["kept"], r["size"]) for r in
-              counts.groupBy("lang").agg(F.sum("c").alias("total")).join(
-                  top.groupBy("lang").agg(F.sum("c").alias("kept"),
-                                          F.count(F.lit(1)).alias("size")), "lang").collect()}
-    buckets = top_k + 1
-    offsets, other_logp, denominators = [], [], {}
-    for lang in languages:
-        total, kept, _ = totals.get(lang, (0, 0, 0))
-        denominators[lang] = total + alpha * buckets
-        offsets.append(math.log(doc_counts[lang] / total_docs))
-        other_logp.append(math.log((total - kept + alpha) / denominators[lang]))
+    vocab = (counts.withColumn("_r", rank).where(F.col("_r") <= top_k)
+             .select("gram").distinct())
+    in_vocab = counts.join(F.broadcast(vocab), "gram", "left_semi")
+    size = vocab.count()
+    totals = {r["lang"]: r["total"] for r in
+              in_vocab.groupBy("lang").agg(F.sum("c").alias("total")).collect()}
+    denominators = {lang: totals.get(lang, 0) + alpha * size for lang in languages}
+    unseen = [math.log(alpha / denominators[lang]) for lang in languages]
     index = {lang: i for i, lang in enumerate(languages)}
-    denom = F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(denominators[lang]))])
-    other = F.create_map(*[x for lang in languages
-                           for x in (F.lit(lang), F.lit(other_logp[index[lang]]))])
-    delta = F.log((F.col("c") + alpha) / denom[F.col("lang")]) - other[F.col("lang")]
-    position = F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(index[lang]))])
-    table = (top.select("gram", position[F.col("lang")].alias("i"), delta.alias("d"))
+
+    def lookup(mapping):
+        return F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(mapping[lang]))])
+
+    logp = F.log((F.col("c") + alpha) / lookup(denominators)[F.col("lang")])
+    table = (in_vocab.select("gram", lookup(index)[F.col("lang")].alias("i"), logp.alias("lp"))
              .groupBy("gram")
-             .agg(F.map_from_entries(F.collect_list(F.struct("i", "d"))).alias("m"))
-             .select("gram", F.array(*[F.coalesce(F.col("m")[F.lit(i)], F.lit(0.0))
-                                       for i in range(len(languages))]).alias("delta")))
-    return LanguageModel(languages, offsets, other_logp, table, n)
+             .agg(F.map_from_entries(F.collect_list(F.struct("i", "lp"))).alias("m"))
+             .select("gram", F.array(*[F.coalesce(F.col("m")[F.lit(i)], F.lit(unseen[i]))
+                                       for i in range(len(languages))]).alias("logp")))
+    priors = [math.log(doc_counts[lang] / total_docs) for lang in languages]
+    return LanguageModel(languages, priors, table, n)
 
 
 def detect_language(model: LanguageModel, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, language, confidence)`` for every row of ``df`` (ids unique)."""
+    """``(id, language, confidence)`` for every row of ``df`` (ids unique).
+    N-grams outside the model's vocabulary carry no evidence."""
     langs = model.languages
     grams = text_ngrams(df, [id_col], text_col, model.n, outer=True)
     scored = (grams.join(F.broadcast(model.table), "gram", "left")
               .groupBy(id_col)
-              .agg(F.count("gram").alias("_n"),
-                   *[F.sum(F.coalesce(F.col("delta")[i], F.lit(0.0))).alias(f"_s{i}")
-                     for i in range(len(langs))]))
-    scores = [F.lit(model.offsets[i]) + F.col("_n") * F.lit(model.other_logp[i]) + F.col(f"_s{i}")
+              .agg(F.count("logp").alias("_n"),
+                   *[F.sum(F.col("logp")[i]).alias(f"_s{i}") for i in range(len(langs))]))
+    scores = [F.lit(model.log_priors[i]) + F.coalesce(F.col(f"_s{i}"), F.lit(0.0))
               for i in range(len(langs))]
     scored = scored.select(id_col, "_n", *[s.alias(f"_score{i}") for i, s in enumerate(scores)])
     best = F.greatest(*[F.col(f"_score{i}") for i in range(len(langs))]) if len(langs) > 1 \

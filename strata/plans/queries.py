@@ -66,13 +66,13 @@ def citation_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def language_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = StandIns(spark, sf_dir).t("documents").select("doc_id", "text")
+    docs = StandIns(spark, sf_dir).texts("documents").select("doc_id", "text")
     return language.with_language(docs, "text", language.stopword_language).drop("text")
 
 
 @query
 def detect_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = StandIns(spark, sf_dir).t("documents")
+    docs = StandIns(spark, sf_dir).texts("documents")
     train = docs.where(F.col("doc_id") % 2 == 0)
     held_out = docs.where(F.col("doc_id") % 2 == 1)
     model = language.fit_profiles(train, "text", "lang")
@@ -243,7 +243,7 @@ def eligible_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- B9: words ------------------------------------------------------------------------
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.lines_of(StandIns(spark, sf_dir).t("documents"), "text")
+    return text.lines_of(StandIns(spark, sf_dir).texts("documents"), "text")
 
 
 @query
@@ -390,7 +390,7 @@ ANCHOR = r'<a href="/?([^"]*)">([^<]*)</a>'
 
 
 def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = StandIns(spark, sf_dir).t("pages")
+    pages = StandIns(spark, sf_dir).texts("pages")
     return pages.select(F.col("url").alias("title"),
                         F.regexp_replace("html", ANCHOR, "[[$1|$2]]").alias("text"))
 
@@ -407,7 +407,7 @@ def link_edges_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def link_hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = StandIns(spark, sf_dir).t("pages")
+    pages = StandIns(spark, sf_dir).texts("pages")
     return links.extract_links(pages, "url", "html", pattern=r'href="([^"]*)"',
                                skip_prefixes=(), separator=None)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
@@ -55,3 +55,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path in the shared scratch area for one run of ``name``."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/strata-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over the cluster's cores when it arrives in fewer
+    partitions than that (a small file of large rows, such as whole texts, is
+    one split). A scan that already has enough splits, as any large input
+    does, is returned untouched: no extra shuffle at scale."""
+    wanted = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= wanted:
+        return df
+    return df.repartition(wanted)

@@ -1 +1,11 @@
-"""Stream sources feeding the batch operators."""
+"""Stream sources feeding the batch operators.
+
+The reference has no streams; this only lets the word count (B9) read a
+growing folder of text files with Structured Streaming. The aggregation is
+the same ``groupBy().agg()`` as in batch, kept in the state store; the
+checkpoint lives in the shared scratch area so a restarted query resumes.
+"""
+
+from strata.streaming.words import start_word_count, stream_word_count
+
+__all__ = ["start_word_count", "stream_word_count"]

@@ -1,0 +1,28 @@
+"""Word count over a stream of text files."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from strata.operators.text import word_count
+from strata.session import scratch_path
+
+
+def stream_word_count(spark: SparkSession, path: str, max_files_per_trigger: int = 100) -> DataFrame:
+    """Streaming ``(word, n)`` over every text file that appears under ``path``."""
+    lines = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(path)
+    return word_count(lines, sort=False)
+
+
+def start_word_count(spark: SparkSession, path: str, table: str,
+                     checkpoint_location: str | None = None,
+                     available_now: bool = True) -> StreamingQuery:
+    """Run the streaming word count into an in-memory table ``table`` with
+    complete output; ``available_now`` processes what is there and stops."""
+    counts = stream_word_count(spark, path)
+    writer = (counts.writeStream.outputMode("complete").format("memory").queryName(table)
+              .option("checkpointLocation",
+                      checkpoint_location or scratch_path(spark, f"stream-{table}")))
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()

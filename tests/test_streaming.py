@@ -1,0 +1,14 @@
+from strata.operators.text import word_count
+from strata.streaming import start_word_count
+
+
+def test_stream_word_count_equals_batch(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("a b a\nc  a\n")
+    (tmp_path / "b.txt").write_text(" b\n")
+    query = start_word_count(spark, str(tmp_path), "strata_stream_words")
+    query.awaitTermination(120)
+    streamed = sorted(tuple(r) for r in spark.table("strata_stream_words").collect())
+    batch = sorted(tuple(r) for r in word_count(spark.read.text(str(tmp_path)), sort=False)
+                   .collect())
+    assert streamed == batch
+    assert dict(streamed)["a"] == 3 and dict(streamed)[""] == 2
