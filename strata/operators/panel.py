@@ -94,6 +94,7 @@ def steady_entity_periods(panel: DataFrame, periods, threshold: int,
 def citation_table(steady_periods: DataFrame, host: DataFrame, works: DataFrame,
                    references: DataFrame,
                    detect: Callable[[DataFrame], DataFrame] | None = None,
+                   cited_works: DataFrame | None = None,
                    entity: str = "venue_id", period: str = "year",
                    work: str = "work_id", referenced: str = "referenced_work_id",
                    work_id: str = "id", work_period: str = "publication_year") -> DataFrame:
@@ -104,11 +105,15 @@ def citation_table(steady_periods: DataFrame, host: DataFrame, works: DataFrame,
     ``detect`` (a DataFrame -> DataFrame step adding ``language`` and
     ``confidence``) the detector runs only on works that are cited somewhere,
     once per work; otherwise ``works`` must already carry the two columns.
-    Either way the citing side reads no detection column.
+    Either way the citing side reads no detection column. ``cited_works``
+    (default ``works``) supplies the cited side's titles, so the citing side
+    need not carry a title join it never reads.
     """
     citing = works.select(F.col(work_id).alias("_citing"),
                           F.col(work_period).alias("_citing_period"))
-    cited_source = cited_only(works, references, work_id, referenced) if detect else works
+    cited_works = works if cited_works is None else cited_works
+    cited_source = cited_only(cited_works, references, work_id, referenced) if detect \
+        else cited_works
     if detect is not None:
         cited_source = detect(cited_source)
     cited = cited_source.select(F.col(work_id).alias("_cited"), "title", "language",

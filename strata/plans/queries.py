@@ -58,8 +58,9 @@ def _stopword_detect(df: DataFrame) -> DataFrame:
 def citation_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = StandIns(spark, sf_dir)
     steady, _ = _steady(s)
-    return panel.citation_table(steady, s.host().distinct(), s.works_titled(),
-                                s.references(), detect=_stopword_detect)
+    works = s.works().select(F.col("work_id").alias("id"), "publication_year")
+    return panel.citation_table(steady, s.host().distinct(), works, s.references(),
+                                detect=_stopword_detect, cited_works=s.works_titled())
 
 
 # --- L1, U1: language detection --------------------------------------------------------
