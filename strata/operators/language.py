@@ -189,10 +189,9 @@ def stopword_language(text: str | None) -> tuple[str, float]:
     return best, (10000 * hits[best] // total) / 10000
 
 
-def with_language(df: DataFrame, text_col: str, detector: Callable[[str | None], tuple],
-                  out_col: str = "detection", expand: bool = True) -> DataFrame:
-    """Apply a Python detector through an Arrow-batched pandas UDF returning
-    ``struct<language, confidence>``; ``expand`` spreads it into two columns."""
+def language_udf(detector: Callable[[str | None], tuple]):
+    """A Python detector ``text -> (language, confidence)`` as an
+    Arrow-batched pandas UDF returning ``struct<language, confidence>``."""
 
     @F.pandas_udf(DETECTION_SCHEMA)
     def detect(texts: pd.Series) -> pd.DataFrame:
@@ -201,7 +200,14 @@ def with_language(df: DataFrame, text_col: str, detector: Callable[[str | None],
         return pd.DataFrame({"language": [p[0] for p in pairs],
                              "confidence": [float(p[1]) for p in pairs]})
 
-    out = df.withColumn(out_col, detect(F.col(text_col)))
+    return detect
+
+
+def with_language(df: DataFrame, text_col: str, detector: Callable[[str | None], tuple],
+                  out_col: str = "detection", expand: bool = True) -> DataFrame:
+    """Apply a Python detector through ``language_udf``; ``expand`` spreads
+    the struct into ``language`` and ``confidence`` columns."""
+    out = df.withColumn(out_col, language_udf(detector)(F.col(text_col)))
     if not expand:
         return out
     keep = [c for c in out.columns if c != out_col]

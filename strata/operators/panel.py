@@ -136,3 +136,30 @@ def cited_only(works: DataFrame, references: DataFrame, work_id: str = "id",
     targets = references.select(F.col(referenced).alias(work_id)).distinct()
     return works.join(targets, work_id, "left_semi")
 
+
+
+CITATION_SQL = """
+SELECT steady.venue_id, steady.year, citing.id, refs.referenced_work_id,
+       cited.title, cited.language, cited.confidence
+FROM {steady} steady
+JOIN {host} host ON host.venue_id = steady.venue_id
+JOIN {works} citing ON citing.id = host.work_id AND citing.publication_year = steady.year
+LEFT JOIN {refs} refs ON refs.work_id = citing.id
+LEFT JOIN (
+  SELECT id, title, detection.language AS language, detection.confidence AS confidence
+  FROM (SELECT id, title, {detector}(title) AS detection FROM {works}) w
+) cited ON cited.id = refs.referenced_work_id
+"""
+
+
+def citation_table_sql(spark, steady: str, host: str, works: str, refs: str,
+                       detector: str) -> DataFrame:
+    """B3 as SQL text over registered views (the reference's SQL entry
+    point): ``detector`` is a SQL function returning ``struct<language,
+    confidence>``, e.g. one registered with ``spark.udf.register``. Catalyst
+    prunes the detector from the citing side as in the DataFrame form."""
+    for name in (steady, host, works, refs, detector):
+        if not name.replace("_", "").isalnum():
+            raise ValueError(f"bad identifier {name!r}")
+    return spark.sql(CITATION_SQL.format(steady=steady, host=host, works=works, refs=refs,
+                                         detector=detector))

@@ -99,6 +99,18 @@ JOIN works_detected w1 ON host.work_id = w1.id AND filtered_with_years.year = w1
 LEFT JOIN works_referenced_works ON w1.id = works_referenced_works.work_id
 LEFT JOIN works_detected w2 ON works_referenced_works.referenced_work_id = w2.id""")
 
+SQL["citation_language_csv"] = SQL["citation_language"]
+SQL["citation_language_view"] = SQL["citation_language"]
+
+sql("detect_and_store", """
+WITH works_t AS (
+  SELECT o.o_orderkey AS id, CAST(year(o.o_orderdate) AS INTEGER) AS publication_year,
+         d.text AS title
+  FROM orders o LEFT JOIN documents d ON d.doc_id = o.o_orderkey),
+detected AS """ + stopword_detection_sql("works_t", "title", "id") + """
+SELECT w.id, w.publication_year, w.title, d.language, d.confidence
+FROM works_t w JOIN detected d ON w.id = d.id""")
+
 sql("language_udf", "SELECT * FROM " + stopword_detection_sql("documents", "text", "doc_id")
     + " q")
 

@@ -63,6 +63,68 @@ def citation_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 detect=_stopword_detect, cited_works=s.works_titled())
 
 
+CITATION_SCHEMA = ("venue_id bigint, year int, id bigint, referenced_work_id bigint, "
+                   "title string, language string, confidence float")
+
+
+def _citation_inputs(s: StandIns) -> dict[str, DataFrame]:
+    steady, _ = _steady(s)
+    return {"steady": steady, "host": s.host().distinct(), "works": s.works_titled(),
+            "refs": s.references()}
+
+
+def _register_detector(spark: SparkSession) -> str:
+    spark.udf.register("strata_stopword_language",
+                       language.language_udf(language.stopword_language))
+    return "strata_stopword_language"
+
+
+# CSV as the reference writes it for this job: header, every field quoted,
+# quotes doubled, whitespace and line breaks inside texts kept.
+CSV_OPTIONS = {"header": True, "quoteAll": True, "escape": '"',
+               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+@query
+def citation_language_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 on all-string CSV copies of its inputs, joined in SQL text: the
+    join keys compare as strings; the result is conformed to the typed
+    schema at the end."""
+    for name, df in _citation_inputs(StandIns(spark, sf_dir)).items():
+        path = scratch_path(spark, f"citation-csv-{name}")
+        writers.write_table(df, path, fmt="csv", **CSV_OPTIONS)
+        strings = readers.read_csv(spark, path, infer=False, escape='"', multiLine=True)
+        strings.createOrReplaceTempView(f"strata_csv_{name}")
+    out = panel.citation_table_sql(spark, "strata_csv_steady", "strata_csv_host",
+                                   "strata_csv_works", "strata_csv_refs",
+                                   _register_detector(spark))
+    return conform(out, CITATION_SCHEMA)
+
+
+@query
+def citation_language_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 over file-backed views created in SQL (``CREATE TEMPORARY VIEW ...
+    USING parquet``) on parquet copies of its inputs."""
+    for name, df in _citation_inputs(StandIns(spark, sf_dir)).items():
+        path = scratch_path(spark, f"citation-view-{name}")
+        writers.write_table(df, path)
+        readers.register_view(spark, f"strata_view_{name}", "parquet", path)
+    return panel.citation_table_sql(spark, "strata_view_steady", "strata_view_host",
+                                    "strata_view_works", "strata_view_refs",
+                                    _register_detector(spark))
+
+
+@query
+def detect_and_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detect the language of every work title, write the table
+    (overwrite, count riding on the write), read it back."""
+    works = StandIns(spark, sf_dir).works_titled()
+    detected = language.with_language(works, "title", language.stopword_language)
+    path = scratch_path(spark, "works-detected")
+    writers.write_with_count(detected, path, mode="overwrite")
+    return readers.read_parquet(spark, path)
+
+
 # --- L1, U1: language detection --------------------------------------------------------
 
 @query

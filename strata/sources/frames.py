@@ -21,8 +21,14 @@ def as_field(field) -> StructField:
 
 
 def as_schema(fields) -> StructType:
+    """A ``StructType``, a DDL string (``"a bigint, b string"``) or a list of fields."""
     if isinstance(fields, StructType):
         return fields
+    if isinstance(fields, str):
+        parsed = DataType.fromDDL(fields)
+        if not isinstance(parsed, StructType):
+            raise TypeError(f"{fields!r} is not a row schema")
+        return parsed
     return StructType([as_field(f) for f in fields])
 
 
