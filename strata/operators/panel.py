@@ -11,6 +11,10 @@ Plan notes for scale:
 * The grid is made with ``explode`` over a literal period array (a Generate on
   each entity row), never a cross join. The period list is a dimension
   (calendar years); it is collected once with a hard size check.
+* In the citation table the hot key of ``papers ⟕ references`` may sit on
+  the right side, where AQE cannot split a left join; see
+  ``strata.operators.joins``. The last left join (to the cited work) has its
+  hot key, a much-cited work, on the left side, which AQE splits.
 * ``count(distinct)`` runs as Spark's two-level aggregate: the first shuffle is
   on (entity, period, work), so one hot entity spreads over many tasks; the
   second carries only partial counts.
@@ -23,6 +27,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.joins import left_join_hot_right
+
 MAX_PERIODS = 100_000
 
 
@@ -119,11 +125,13 @@ def citation_table(steady_periods: DataFrame, host: DataFrame, works: DataFrame,
     cited = cited_source.select(F.col(work_id).alias("_cited"), "title", "language",
                                 "confidence")
     refs = references.select(F.col(work).alias("_ref_src"), F.col(referenced))
-    return (steady_periods.select(entity, period)
-            .join(host.select(entity, work), entity, "inner")
-            .join(citing, (F.col(work) == F.col("_citing"))
-                  & (F.col(period) == F.col("_citing_period")), "inner")
-            .join(refs, F.col("_citing") == F.col("_ref_src"), "left")
+    papers = (steady_periods.select(entity, period)
+              .join(host.select(entity, work), entity, "inner")
+              .join(citing, (F.col(work) == F.col("_citing"))
+                    & (F.col(period) == F.col("_citing_period")), "inner")
+              .select(entity, period, "_citing"))
+    # One paper may cite a great deal: keep that left join splittable.
+    return (left_join_hot_right(papers, refs, "_citing", "_ref_src")
             .join(cited, F.col(referenced) == F.col("_cited"), "left")
             .select(entity, period, F.col("_citing").alias(work_id), referenced,
                     "title", "language", "confidence"))

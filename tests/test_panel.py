@@ -47,3 +47,14 @@ def test_citation_table(spark):
     rows = sorted(tuple(r) for r in citation_table(steady, host, works, refs).collect())
     assert rows == [(1, 2000, 10, 20, "z", "es", 0.25), (1, 2000, 10, 21, None, None, None),
                     (1, 2000, 11, None, None, None, None)]
+
+
+def test_left_join_hot_right_equals_left_join(spark):
+    from strata.operators.joins import left_join_hot_right
+
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (1, "c")], "k long, x string")
+    right = spark.createDataFrame([(1, 10), (1, 11), (3, 30)], "rk long, y long")
+    got = sorted(map(tuple, left_join_hot_right(left, right, "k", "rk").collect()),
+                 key=str)
+    want = sorted(map(tuple, left.join(right, left.k == right.rk, "left").collect()), key=str)
+    assert got == want
