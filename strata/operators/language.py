@@ -88,8 +88,13 @@ def fit_profiles(labelled: DataFrame, text_col: str, label_col: str, n: int = 3,
     """
     docs = labelled.select(F.col(label_col).alias("lang"), F.col(text_col).alias("t")) \
         .where(F.col("lang").isNotNull())
-    counts = (text_ngrams(docs, ["lang"], "t", n)
-              .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")))
+    # Count words first (partial aggregate: texts repeat their words), then
+    # spread each distinct word's count over its n-grams.
+    words = (docs.select("lang", F.explode(F.split(normalized(F.col("t")), " ")).alias("_w"))
+             .where(F.col("_w") != "")
+             .groupBy("lang", "_w").agg(F.count(F.lit(1)).alias("_wc")))
+    counts = (words.select("lang", "_wc", F.explode(word_ngrams(F.col("_w"), n)).alias("gram"))
+              .groupBy("lang", "gram").agg(F.sum("_wc").alias("c")))
     # The (language, n-gram) counts are small next to the text; write them
     # once to the shared checkpoint folder so the explode runs only once.
     checkpoint_dir(labelled.sparkSession)
