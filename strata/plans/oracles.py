@@ -159,6 +159,10 @@ sql("mean_rating_fold", _MEAN)
 sql("mean_rating_join", _MEAN)
 sql("mean_rating_pandas", _MEAN)
 
+sql("mean_rating_text_lines", """
+SELECT l_partkey AS item_id, avg(l_quantity) AS mean_rating
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey""")
+
 sql("ratings_per_item", """
 SELECT l_partkey AS item_id, count(*) AS n FROM lineitem GROUP BY l_partkey
 ORDER BY n DESC, item_id""")

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.strings import parse_double, split_quoted
+from strata.functions.strings import java_split, literal_regex, parse_double, split_quoted
 from strata.operators import aggregates, catalog, language, links, merge, panel, recommend, text
 from strata.plans import params as P
 from strata.plans.tables import StandIns
@@ -325,6 +325,29 @@ def word_count_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     stop_words=P.STOP_WORDS)
 
 
+RATINGS_HEADER = "userId,movieId,rating"
+
+
+@query
+def mean_rating_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B5 the way the reference reads ratings: raw CSV lines from a text file,
+    split with JVM rules, fields taken by position, the rating parsed with a
+    bad-number fallback; the header line is never counted (Q1)."""
+    s = StandIns(spark, sf_dir)
+    lines = (s.t("lineitem").join(s.t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+             .select(F.concat_ws(",", F.col("o_custkey").cast("string"),
+                                 F.col("l_partkey").cast("string"),
+                                 F.col("l_quantity").cast("string")).alias("value")))
+    header = spark.createDataFrame([(RATINGS_HEADER,)], "value string")
+    path = scratch_path(spark, "ratings-text")
+    writers.write_table(header.union(lines), path, fmt="text")
+    raw = readers.read_text(spark, path).where(F.col("value") != RATINGS_HEADER)
+    fields = raw.select(java_split(F.col("value"), literal_regex(",")).alias("f"))
+    ratings = fields.select(F.col("f")[1].cast("bigint").alias("item_id"),
+                            F.col("f")[2].alias("rating"))
+    return aggregates.mean_by(ratings, "item_id", "rating", method="fold", name="mean_rating")
+
+
 # --- E4, E7, E12: parsing --------------------------------------------------------------
 
 @query
