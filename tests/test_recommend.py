@@ -46,3 +46,16 @@ def test_topk_matches_brute_force(spark):
     assert got.keys() == brute.keys()
     mismatched = [k for k in got if got[k] != brute[k]]
     assert len(mismatched) <= max(1, len(got) // 100)  # float ties only
+
+
+def test_same_seed_same_model_and_both_directions(spark):
+    ratings = _ratings(spark)
+    train, _ = recommend.hash_split(ratings, ["user_id", "item_id"], 80, 42)
+    a = recommend.fit_recommender(train, "user_id", "item_id", "rating", seed=3)
+    b = recommend.fit_recommender(train, "user_id", "item_id", "rating", seed=3)
+    fa = sorted((r["id"], tuple(r["features"])) for r in a.itemFactors.collect())
+    fb = sorted((r["id"], tuple(r["features"])) for r in b.itemFactors.collect())
+    assert fa == fb
+    users = ratings.select("user_id").distinct()
+    recs = recommend.recommend_items_for_users(a, users, 2, "user_id").collect()
+    assert recs and all(len(r["recommendations"]) <= 2 for r in recs)
