@@ -6,23 +6,24 @@ vertex starts at 1.0; each round ``rank = reset + (1 - reset) * sum(rank(u) /
 outdeg(u))`` over in-edges (a duplicate edge counts twice, a vertex without
 out-edges passes nothing on); at the end ranks are scaled to sum to |V|.
 
-Plan per round: weighted edges ⋈ ranks on the source, partial sum per target,
-⋈ vertices. A source with a third of all edges makes one skewed join
-partition, which AQE's skew-join rule splits; the sum per target is partially
-aggregated before its shuffle. Lineage is cut every round with a reliable
+Plan: the weighted edges are placed once, partitioned on (source, salt),
+where hot sources get several salts; each round joins them with the source
+ranks partitioned the same way (no edge shuffle), sums partially per target,
+and joins the vertices. Lineage is cut every round with a reliable
 ``checkpoint()`` into the shared ``spark.checkpoint.dir``, so a lost executor
 recomputes at most one round.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.strings import java_split, literal_regex
-from strata.session import checkpoint_dir
+from strata.session import checkpoint_dir, scratch_path
 
 # The reference's wiki-link pattern and the link prefixes it skips.
 WIKI_LINK = r"\[\[([^\]]+)\]\]"
@@ -71,28 +72,65 @@ def graph_vertices(edges: DataFrame, src: str = "src", dst: str = "dst",
 
 
 def pagerank(edges: DataFrame, iterations: int = 5, reset: float = 0.15, src: str = "src",
-             dst: str = "dst", name: str = "pagerank", checkpoint: bool = True) -> DataFrame:
-    """Static PageRank of ``iterations`` rounds; ``(id, pagerank)``."""
+             dst: str = "dst", name: str = "pagerank", partitions: int | None = None,
+             checkpoint: bool = True) -> DataFrame:
+    """Static PageRank of ``iterations`` rounds; ``(id, pagerank)``.
+
+    Edges are placed once: duplicates merge into one weighted edge, and the
+    weighted edges are written as a table bucketed on ``(src, salt)``.
+    A source with more edges than an average partition holds gets several
+    salts (its edges spread by a hash of the target), so no task holds a hot
+    source's whole edge list. Each round moves only vertex-sized data: the
+    ranks of sources (one copy per salt) are partitioned the same way as the
+    edges, so the edge side of the join never shuffles again, and the
+    contributions are partially summed per target before their shuffle.
+    """
+    spark = edges.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    vertices = graph_vertices(e, "src", "dst", "id")
-    # Duplicate edges merge into one weighted edge: mult / outdeg(src).
+    vertices = graph_vertices(e, "src", "dst", "id").repartition(n, "id")
     out_degree = e.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
+    # Salts per source: enough that no salt holds more than an average partition.
+    per_partition = F.greatest(F.lit(1.0), out_degree.select(F.sum("_deg") / n).scalar())
+    sources = (out_degree.select("src", "_deg", F.least(F.lit(n), F.ceil(F.col("_deg") /
+                                                                          per_partition))
+                                 .cast("int").alias("_salts"))
+               .repartition(n, "src"))
     weighted = (e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_mult"))
-                .join(out_degree, "src")
-                .select("src", "dst", (F.col("_mult") / F.col("_deg")).alias("w")))
+                .join(sources, "src")
+                .select("src", "dst", (F.col("_mult") / F.col("_deg")).alias("w"),
+                        F.pmod(F.xxhash64("dst"), F.col("_salts")).cast("int").alias("salt"))
+                .repartition(n, "src", "salt"))
+    # The edges go to a table bucketed on (src, salt) in the shared scratch
+    # folder: written once (a reliable lineage cut), and its scan carries the
+    # hash partitioning, so the per-round join never moves an edge.
+    table = f"strata_pagerank_edges_{uuid.uuid4().hex}"
+    (weighted.write.bucketBy(n, "src", "salt")
+     .option("path", scratch_path(spark, "pagerank-edges")).saveAsTable(table))
+    weighted = spark.table(table)
     if checkpoint:
-        checkpoint_dir(edges.sparkSession)
+        checkpoint_dir(spark)
         vertices = vertices.checkpoint()
-        weighted = weighted.checkpoint()
+        sources = sources.select("src", "_salts").checkpoint()
     ranks = vertices.select("id", F.lit(1.0).alias("rank"))
     for _ in range(iterations):
-        sums = (weighted.join(ranks.withColumnRenamed("id", "src"), "src")
+        sent = (ranks.withColumnRenamed("id", "src").join(sources, "src")
+                .select("src", "rank",
+                        F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("salt"))
+                .repartition(n, "src", "salt"))
+        # Stream the placed edges and hash the (small) rank side per partition.
+        sums = (weighted.join(sent.hint("shuffle_hash"), ["src", "salt"])
                 .groupBy("dst").agg(F.sum(F.col("w") * F.col("rank")).alias("_in")))
         ranks = (vertices.join(sums.withColumnRenamed("dst", "id"), "id", "left")
                  .select("id", (F.lit(reset) + F.lit(1.0 - reset)
-                                * F.coalesce(F.col("_in"), F.lit(0.0))).alias("rank")))
+                                * F.coalesce(F.col("_in"), F.lit(0.0))).alias("rank"))
+                 .repartition(n, "id"))
         if checkpoint:
             ranks = ranks.checkpoint()
+    if checkpoint:
+        # Ranks now live in the checkpoint; the edge table's name can go (its
+        # files stay in the scratch folder).
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     total = ranks.select(F.sum("rank")).scalar()
-    n = ranks.select(F.count(F.lit(1)).cast("double")).scalar()
-    return ranks.select("id", (F.col("rank") * n / total).alias(name))
+    count = ranks.select(F.count(F.lit(1)).cast("double")).scalar()
+    return ranks.select("id", (F.col("rank") * count / total).alias(name))

@@ -41,3 +41,30 @@ def test_pagerank_string_ids(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "a")], "src string, dst string")
     ranks = pagerank(edges, 3).agg(F.sum("pagerank")).first()[0]
     assert ranks == pytest.approx(3.0)
+
+
+def pagerank_model(edges, iterations, reset=0.15):
+    vertices = sorted({v for e in edges for v in e})
+    out = {}
+    for s, _ in edges:
+        out[s] = out.get(s, 0) + 1
+    rank = {v: 1.0 for v in vertices}
+    for _ in range(iterations):
+        inc = {v: 0.0 for v in vertices}
+        for s, d in edges:
+            inc[d] += rank[s] / out[s]
+        rank = {v: reset + (1 - reset) * inc[v] for v in vertices}
+    total = sum(rank.values())
+    return {v: r * len(vertices) / total for v, r in rank.items()}
+
+
+def test_pagerank_hot_source_is_salted_and_exact(spark):
+    # Vertex 0 owns most edges: with 4 partitions it gets several salts.
+    edges = [(0, d) for d in range(1, 200)] + [(d, (d * 7) % 50) for d in range(1, 60)]
+    edges += [(0, 5)] * 3
+    df = spark.createDataFrame(edges, "src long, dst long")
+    got = {r["id"]: r["pagerank"] for r in pagerank(df, 4, partitions=4).collect()}
+    want = pagerank_model(edges, 4)
+    assert got.keys() == want.keys()
+    for v in want:
+        assert got[v] == pytest.approx(want[v], rel=1e-9)
