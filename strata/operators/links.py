@@ -71,8 +71,12 @@ def graph_vertices(edges: DataFrame, src: str = "src", dst: str = "dst",
             .union(edges.select(F.col(dst).alias(name))).distinct())
 
 
+EDGES_PER_PARTITION = 1_000_000
+
+
 def pagerank(edges: DataFrame, iterations: int = 5, reset: float = 0.15, src: str = "src",
              dst: str = "dst", name: str = "pagerank", partitions: int | None = None,
+             edges_per_partition: int = EDGES_PER_PARTITION,
              checkpoint: bool = True) -> DataFrame:
     """Static PageRank of ``iterations`` rounds; ``(id, pagerank)``.
 
@@ -86,14 +90,18 @@ def pagerank(edges: DataFrame, iterations: int = 5, reset: float = 0.15, src: st
     contributions are partially summed per target before their shuffle.
     """
     spark = edges.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    vertices = graph_vertices(e, "src", "dst", "id").repartition(n, "id")
     out_degree = e.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
+    # Partitions for the loop: about ``edges_per_partition`` edges each, at
+    # most the session's shuffle partitions (one count of the edges).
+    total = e.count()
+    n = partitions or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                 -(-total // edges_per_partition)))
+    vertices = graph_vertices(e, "src", "dst", "id").repartition(n, "id")
     # Salts per source: enough that no salt holds more than an average partition.
-    per_partition = F.greatest(F.lit(1.0), out_degree.select(F.sum("_deg") / n).scalar())
-    sources = (out_degree.select("src", "_deg", F.least(F.lit(n), F.ceil(F.col("_deg") /
-                                                                          per_partition))
+    per_partition = max(1.0, total / n)
+    sources = (out_degree.select("src", "_deg",
+                                 F.least(F.lit(n), F.ceil(F.col("_deg") / F.lit(per_partition)))
                                  .cast("int").alias("_salts"))
                .repartition(n, "src"))
     weighted = (e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_mult"))

@@ -69,3 +69,12 @@ def test_scratch_is_under_checkpoint_dir(spark):
     base = spark.sparkContext.getCheckpointDir()
     assert base and scratch_path(spark, "x").startswith(base)
     assert not os.path.exists(scratch_path(spark, "y").replace("file:", ""))
+
+
+def test_balanced_spreads_only_small_scans(spark):
+    from strata.session import balanced
+
+    one = spark.range(0, 100, numPartitions=1)
+    assert balanced(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(0, 100, numPartitions=6)
+    assert balanced(many, 4).rdd.getNumPartitions() == 6
