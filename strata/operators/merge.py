@@ -20,14 +20,14 @@ Plans:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.sources.frames import conform
 
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def cast_to(delta: DataFrame, base: DataFrame, strict: bool = True) -> DataFrame:
@@ -45,13 +45,28 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFr
             .select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in others]))
 
 
+def duplicate_keys(df: DataFrame, keys: Sequence[str] | str) -> DataFrame:
+    """Keys that occur more than once, with their count (Q16: a duplicated key
+    multiplies rows in the merge). A partial aggregate, cheap at any skew."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+            .where(F.col("copies") > 1))
+
+
 def merge_upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str] | str,
                  columns: Sequence[str] | None = None, strict: bool = True,
                  strategy: str = "auto", broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-                 dedupe_by: str | None = None) -> DataFrame:
+                 dedupe_by: str | None = None,
+                 parse: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """Merge ``delta`` into ``base`` (see the module notes). ``parse`` maps a
+    column to a function turning the delta's text into the base type where
+    a cast cannot (an array written as JSON, say ``F.from_json``)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     columns = list(columns) if columns is not None else [c for c in base.columns if c not in keys]
     base = base.select(*keys, *columns)
+    if parse:
+        delta = delta.select(*[parse[c](F.col(c)).alias(c) if c in parse else F.col(c)
+                               for c in delta.columns])
     delta = cast_to(delta, base, strict=strict)
     if dedupe_by is not None:
         delta = latest_per_key(delta, keys, dedupe_by)

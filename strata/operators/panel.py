@@ -155,7 +155,8 @@ JOIN {works} citing ON citing.id = host.work_id AND citing.publication_year = st
 LEFT JOIN {refs} refs ON refs.work_id = citing.id
 LEFT JOIN (
   SELECT id, title, detection.language AS language, detection.confidence AS confidence
-  FROM (SELECT id, title, {detector}(title) AS detection FROM {works}) w
+  FROM (SELECT id, title, {detector}(title) AS detection FROM {works}
+        WHERE id IN (SELECT referenced_work_id FROM {refs})) w
 ) cited ON cited.id = refs.referenced_work_id
 """
 
@@ -164,8 +165,9 @@ def citation_table_sql(spark, steady: str, host: str, works: str, refs: str,
                        detector: str) -> DataFrame:
     """B3 as SQL text over registered views (the reference's SQL entry
     point): ``detector`` is a SQL function returning ``struct<language,
-    confidence>``, e.g. one registered with ``spark.udf.register``. Catalyst
-    prunes the detector from the citing side as in the DataFrame form."""
+    confidence>``, e.g. one registered with ``spark.udf.register``. As in the
+    DataFrame form, the detector runs only on works some reference cites (an
+    ``IN`` subquery, planned as a semi join) and never on the citing side."""
     for name in (steady, host, works, refs, detector):
         if not name.replace("_", "").isalnum():
             raise ValueError(f"bad identifier {name!r}")

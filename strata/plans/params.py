@@ -29,3 +29,7 @@ ALS_TOP_K = 3
 # Word counts.
 STOP_WORDS = ("the",)
 WORD_SEPARATORS = (" ", ",", ".", ";", ":", "!", "?")
+
+# Language model: share of labelled documents used for training (hash split).
+LANGUAGE_TRAIN_PERCENT = 50
+LANGUAGE_SEED = 7

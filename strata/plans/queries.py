@@ -136,8 +136,8 @@ def language_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def detect_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = StandIns(spark, sf_dir).texts("documents")
-    train = docs.where(F.col("doc_id") % 2 == 0)
-    held_out = docs.where(F.col("doc_id") % 2 == 1)
+    train, held_out = recommend.hash_split(docs, ["doc_id"], P.LANGUAGE_TRAIN_PERCENT,
+                                           P.LANGUAGE_SEED)
     model = language.fit_profiles(train, "text", "lang")
     return language.detect_language(model, held_out, "doc_id", "text")
 

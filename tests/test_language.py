@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from strata.operators.language import (
     detect_language, fit_profiles, stopword_language, text_ngrams, with_language,
 )
+from strata.operators.recommend import hash_split
 from tests.conftest import SF_MID
 
 
@@ -19,8 +20,8 @@ def test_word_ngrams(spark):
 
 def test_detect_language_accuracy(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
-    model = fit_profiles(docs.where(F.col("doc_id") % 2 == 0), "text", "lang")
-    held = docs.where(F.col("doc_id") % 2 == 1)
+    train, held = hash_split(docs, ["doc_id"], 50, 7)
+    model = fit_profiles(train, "text", "lang")
     out = detect_language(model, held, "doc_id", "text").join(held.select("doc_id", "lang"),
                                                                "doc_id")
     total = out.count()

@@ -106,3 +106,19 @@ def test_latest_per_key_hot_key(spark):
                                          "id AS v")
     out = {r["k"]: r["v"] for r in latest_per_key(df, ["k"], "v").collect()}
     assert out[0] == 2997 and len(out) == 2001
+
+
+def test_merge_parses_array_column_and_reports_duplicates(spark):
+    from pyspark.sql import functions as F
+
+    from strata.operators.merge import duplicate_keys
+
+    base = spark.createDataFrame([(1, ["a", "b"]), (2, None)], "id long, alts array<string>")
+    delta = spark.createDataFrame([("2", '["c"]'), ("3", None), ("3", '["d"]')],
+                                  "id string, alts string")
+    out = merge_upsert(base, delta, "id", strategy="shuffle",
+                       parse={"alts": lambda c: F.from_json(c, "array<string>")})
+    assert out.schema == base.schema
+    rows = sorted((r["id"], r["alts"]) for r in out.collect())
+    assert rows == [(1, ["a", "b"]), (2, ["c"]), (3, None), (3, ["d"])]
+    assert [tuple(r) for r in duplicate_keys(delta, "id").collect()] == [("3", 2)]
