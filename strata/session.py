@@ -45,7 +45,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Local runs only: a cluster names a shared folder in spark.checkpoint.dir.
+        # Local runs only: a cluster names a shared folder in spark.checkpoint.dir,
+        # and a machine-local folder would be invisible to the other executors.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can "
+                               "reach (HDFS, S3, ...) before running strata jobs")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
