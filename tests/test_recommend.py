@@ -1,6 +1,6 @@
 import math
 
-from pyspark.sql import Window
+import numpy as np
 from pyspark.sql import functions as F
 
 from strata.operators import recommend
@@ -32,17 +32,19 @@ def test_topk_matches_brute_force(spark):
     items = recommend.eligible_items(ratings, "item_id", "rating", 3)
     recs = recommend.recommend_users_for_items(model, items, 3, "item_id")
     got = {r["item_id"]: [x["user_id"] for x in r["recommendations"]] for r in recs.collect()}
-    # Brute force on the small fixture: every user scored for every eligible item.
-    users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u"))
-    its = model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("v"))
-    its = its.join(items.select(F.col("item_id").cast("int")), "item_id")
-    dot = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    scored = users.crossJoin(its).select("item_id", "user_id", dot.alias("score"))
-    w = Window.partitionBy("item_id").orderBy(F.col("score").desc(), F.col("user_id"))
+    # Brute force on the small fixture: every user scored for every eligible
+    # item with numpy on the collected factors.
+    users = model.userFactors.orderBy("id").collect()
+    user_ids = np.array([r["id"] for r in users])
+    user_mat = np.array([r["features"] for r in users])
+    wanted = {r["item_id"] for r in items.collect()}
     brute = {}
-    for r in scored.withColumn("r", F.row_number().over(w)).where("r <= 3").orderBy(
-            "item_id", "r").collect():
-        brute.setdefault(r["item_id"], []).append(r["user_id"])
+    for r in model.itemFactors.collect():
+        if r["id"] not in wanted:
+            continue
+        scores = user_mat @ np.array(r["features"])
+        order = sorted(range(len(user_ids)), key=lambda i: (-scores[i], user_ids[i]))[:3]
+        brute[r["id"]] = [int(user_ids[i]) for i in order]
     assert got.keys() == brute.keys()
     mismatched = [k for k in got if got[k] != brute[k]]
     assert len(mismatched) <= max(1, len(got) // 100)  # float ties only
