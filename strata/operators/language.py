@@ -194,6 +194,32 @@ def stopword_language(text: str | None) -> tuple[str, float]:
     return best, (10000 * hits[best] // total) / 10000
 
 
+def stopword_language_column(text: Column) -> Column:
+    """``stopword_language`` as built-in Column expressions (no Python
+    worker): ``struct<language, confidence>`` with the same result."""
+    langs = sorted(STOP_WORDS)
+    tokens = F.split(F.lower(text), "[ \t\n]+")
+    def member_of(words):
+        return lambda t: t.isin(*words)
+
+    hits = {lang: F.coalesce(F.size(F.filter(tokens, member_of(STOP_WORDS[lang]))), F.lit(0))
+            for lang in langs}
+    total = sum((hits[lang] for lang in langs), F.lit(0))
+    best = F.greatest(*hits.values())
+    language = F.lit(langs[-1])
+    for i in range(len(langs) - 2, -1, -1):
+        lang = langs[i]
+        beats_rest = F.lit(True)
+        for other in langs[i + 1:]:
+            beats_rest = beats_rest & (hits[lang] >= hits[other])
+        language = F.when(beats_rest, F.lit(lang)).otherwise(language)
+    share = F.floor(F.lit(10000) * best / total) / F.lit(10000.0)
+    known = total > 0
+    return F.struct(F.when(known, language).otherwise(F.lit(UNKNOWN)).alias("language"),
+                    F.when(known, share).otherwise(F.lit(0.0)).cast(FloatType())
+                    .alias("confidence"))
+
+
 def language_udf(detector: Callable[[str | None], tuple]):
     """A Python detector ``text -> (language, confidence)`` as an
     Arrow-batched pandas UDF returning ``struct<language, confidence>``."""

@@ -51,7 +51,10 @@ def steady_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stopword_detect(df: DataFrame) -> DataFrame:
-    return language.with_language(df, "title", language.stopword_language)
+    """The toy detector on titles, JVM-side (same result as the Python UDF)."""
+    detected = language.stopword_language_column(F.col("title"))
+    return df.select("*", detected["language"].alias("language"),
+                     detected["confidence"].alias("confidence"))
 
 
 @query

@@ -63,3 +63,16 @@ def test_with_language_struct(spark):
     assert out.schema["confidence"].dataType.simpleString() == "float"
     rows = {r["id"]: (r["language"], r["confidence"]) for r in out.collect()}
     assert rows == {1: ("en", 1.0), 2: ("Unknown", 0.0)}
+
+
+def test_stopword_column_equals_python_udf(spark):
+    from strata.operators.language import stopword_language_column
+
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame([(-1, None), (-2, ""), (-3, "xyz")],
+                                            "doc_id long, text string"))
+    jvm = docs.select("doc_id", stopword_language_column(F.col("text")).alias("d"))
+    py = with_language(docs, "text", stopword_language)
+    a = sorted((r["doc_id"], r["d"]["language"], r["d"]["confidence"]) for r in jvm.collect())
+    b = sorted((r["doc_id"], r["language"], r["confidence"]) for r in py.collect())
+    assert a == b

@@ -36,8 +36,13 @@ def test_weekday_list_is_broadcast(spark, capsys):
     assert "BroadcastHashJoin" in plan(queries()["orders_by_weekday"](spark, SF_SMALL), capsys)
 
 
-def test_citation_runs_detector_once(spark, capsys):
+def test_citation_stays_in_the_jvm(spark, capsys):
     text = plan(queries()["citation_language"](spark, SF_SMALL), capsys)
+    assert "ArrowEvalPython" not in text and "BatchEvalPython" not in text
+
+
+def test_detect_and_store_runs_python_detector_once(spark, capsys):
+    text = plan(queries()["citation_language_view"](spark, SF_SMALL), capsys)
     assert len(re.findall(r"^\(\d+\) ArrowEvalPython", text, flags=re.M)) == 1
     assert "BatchEvalPython" not in text
 
