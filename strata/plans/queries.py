@@ -18,7 +18,7 @@ from strata.functions.strings import java_split, literal_regex, parse_double, sp
 from strata.operators import aggregates, catalog, language, links, merge, panel, recommend, text
 from strata.plans import params as P
 from strata.plans.tables import StandIns
-from strata.session import scratch_path
+from strata.session import balanced, scratch_path
 from strata.sources import readers, writers
 from strata.sources.frames import conform, create_empty_df
 
@@ -121,7 +121,8 @@ def citation_language_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def detect_and_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detect the language of every work title, write the table
     (overwrite, count riding on the write), read it back."""
-    works = StandIns(spark, sf_dir).works_titled()
+    # Python runs per row here: spread the works over the cores first.
+    works = balanced(StandIns(spark, sf_dir).works_titled())
     detected = language.with_language(works, "title", language.stopword_language)
     path = scratch_path(spark, "works-detected")
     writers.write_with_count(detected, path, mode="overwrite")
