@@ -61,3 +61,13 @@ def test_same_seed_same_model_and_both_directions(spark):
     users = ratings.select("user_id").distinct()
     recs = recommend.recommend_items_for_users(a, users, 2, "user_id").collect()
     assert recs and all(len(r["recommendations"]) <= 2 for r in recs)
+
+
+def test_als_beats_global_mean_on_training_part(spark):
+    ratings = _ratings(spark)
+    train, _ = recommend.hash_split(ratings, ["user_id", "item_id"], 80, 42)
+    model = recommend.fit_recommender(train, "user_id", "item_id", "rating", seed=42)
+    fitted = recommend.rmse(model, train, "user_id", "item_id", "rating").first()["rmse"]
+    mean = train.agg(F.avg("rating")).first()[0]
+    baseline = train.agg(F.sqrt(F.avg(F.pow(F.col("rating") - F.lit(mean), 2)))).first()[0]
+    assert fitted < baseline
