@@ -6,7 +6,10 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType, BinaryType, BooleanType, DataType, MapType, NumericType, StringType, StructField,
+    StructType,
+)
 
 
 def as_field(field) -> StructField:
@@ -41,15 +44,55 @@ def as_row(value) -> Row:
     return Row(value)
 
 
+# Literal tables up to this many rows are built as plan literals (no Python
+# worker at run time); larger lists go through createDataFrame.
+MAX_LITERAL_ROWS = 10_000
+
+
 def create_df(spark: SparkSession, rows: Iterable, fields: Sequence) -> DataFrame:
-    """A small literal table with a declared schema (dimension lists and the like)."""
+    """A small literal table with a declared schema (dimension lists and the
+    like), built JVM-side as ``inline`` over an array of literal structs."""
     schema = as_schema(fields)
-    return spark.createDataFrame([tuple(as_row(r)) for r in rows], schema)
+    values = [tuple(as_row(r)) for r in rows]
+    if not values:
+        return create_empty_df(spark, schema)
+    if len(values) > MAX_LITERAL_ROWS:
+        return spark.createDataFrame(values, schema)
+    for value in values:
+        if len(value) != len(schema.fields):
+            raise ValueError(f"row {value!r} does not fit {schema.simpleString()}")
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                          for v, f in zip(value, schema.fields)]) for value in values]
+    return spark.range(1).select(F.inline(F.array(*structs))).to(schema)
+
+
+def _placeholder(dtype: DataType):
+    """A non-NULL literal of ``dtype`` (for an empty table's non-nullable
+    fields; no row ever carries it), or None when there is no simple one."""
+    if isinstance(dtype, (NumericType, BooleanType)):
+        return F.lit(0).cast(dtype)
+    if isinstance(dtype, (StringType, BinaryType)):
+        return F.lit("").cast(dtype)
+    if isinstance(dtype, (ArrayType, MapType)):
+        return (F.array() if isinstance(dtype, ArrayType) else F.create_map()).cast(dtype)
+    if isinstance(dtype, StructType):
+        parts = [_placeholder(f.dataType) for f in dtype.fields]
+        if any(p is None for p in parts):
+            return None
+        return F.struct(*[p.alias(f.name) for p, f in zip(parts, dtype.fields)])
+    return None
 
 
 def create_empty_df(spark: SparkSession, fields) -> DataFrame:
-    """An empty table with a declared schema."""
-    return spark.createDataFrame([], as_schema(fields))
+    """An empty table with a declared schema, as a plan that runs no job."""
+    schema = as_schema(fields)
+    columns = []
+    for f in schema.fields:
+        value = F.lit(None).cast(f.dataType) if f.nullable else _placeholder(f.dataType)
+        if value is None:
+            return spark.createDataFrame([], schema)
+        columns.append(value.alias(f.name))
+    return spark.range(0).select(*columns).to(schema)
 
 
 def conform(df: DataFrame, schema, strict: bool = True) -> DataFrame:

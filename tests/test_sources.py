@@ -78,3 +78,17 @@ def test_balanced_spreads_only_small_scans(spark):
     assert balanced(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(0, 100, numPartitions=6)
     assert balanced(many, 4).rdd.getNumPartitions() == 6
+
+
+def test_literal_tables_keep_schema_and_need_no_python(spark, capsys):
+    fields = [("a", LongType(), True), ("b", StringType(), False)]
+    df = create_df(spark, [(None, "x"), (2, "y")], fields)
+    assert df.schema == StructType([StructField("a", LongType(), True),
+                                    StructField("b", StringType(), False)])
+    assert [tuple(r) for r in df.collect()] == [(None, "x"), (2, "y")]
+    empty = create_empty_df(spark, fields)
+    assert empty.schema == df.schema and empty.count() == 0
+    capsys.readouterr()
+    df.union(empty).explain()
+    plan = capsys.readouterr().out
+    assert "ExistingRDD" not in plan and "PythonRDD" not in plan
