@@ -163,6 +163,22 @@ sql("mean_rating_text_lines", """
 SELECT l_partkey AS item_id, avg(l_quantity) AS mean_rating
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey""")
 
+sql("ratings_per_item_text_lines", """
+SELECT l_partkey AS item_id, count(*) AS n
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey""")
+
+sql("genre_ranking_text_lines", """
+SELECT genre, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS genre FROM part)
+GROUP BY genre""")
+
+sql("tags_exceed_genres_text_lines", f"""
+WITH t AS (SELECT l_partkey AS item_id, count(*) AS tag_count
+           FROM lineitem JOIN part ON l_partkey = p_partkey
+           WHERE l_discount >= {P.TAG_MIN_DISCOUNT} GROUP BY l_partkey)
+SELECT p_partkey AS item_id, '"' || p_name || ', ' || p_brand || '"' AS title
+FROM t JOIN part ON t.item_id = p_partkey
+WHERE t.tag_count > len(string_split(p_name, ' '))""")
+
 sql("ratings_per_item", """
 SELECT l_partkey AS item_id, count(*) AS n FROM lineitem GROUP BY l_partkey
 ORDER BY n DESC, item_id""")
@@ -239,6 +255,7 @@ words AS (
 counts AS (SELECT word, count(*) AS n FROM words GROUP BY word)"""
 
 sql("word_count", _WORDS + "\nSELECT word, n FROM counts ORDER BY n DESC, word")
+sql("word_count_text_file", SQL["word_count"])
 
 sql("word_count_totals", _WORDS + """
 SELECT count(*) AS distinct_words, CAST(sum(n) AS BIGINT) AS total_words FROM counts""")

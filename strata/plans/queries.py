@@ -337,7 +337,15 @@ def mean_rating_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B5 the way the reference reads ratings: raw CSV lines from a text file,
     split with JVM rules, fields taken by position, the rating parsed with a
     bad-number fallback; the header line is never counted (Q1)."""
-    s = StandIns(spark, sf_dir)
+    raw = _ratings_lines(spark, StandIns(spark, sf_dir))
+    fields = raw.select(java_split(F.col("value"), literal_regex(",")).alias("f"))
+    ratings = fields.select(F.col("f")[1].cast("bigint").alias("item_id"),
+                            F.col("f")[2].alias("rating"))
+    return aggregates.mean_by(ratings, "item_id", "rating", method="fold", name="mean_rating")
+
+
+def _ratings_lines(spark: SparkSession, s: StandIns) -> DataFrame:
+    """Ratings as raw CSV text lines (header first), read back from a text file."""
     lines = (s.t("lineitem").join(s.t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
              .select(F.concat_ws(",", F.col("o_custkey").cast("string"),
                                  F.col("l_partkey").cast("string"),
@@ -345,11 +353,68 @@ def mean_rating_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = spark.createDataFrame([(RATINGS_HEADER,)], "value string")
     path = scratch_path(spark, "ratings-text")
     writers.write_table(header.union(lines), path, fmt="text")
-    raw = readers.read_text(spark, path).where(F.col("value") != RATINGS_HEADER)
-    fields = raw.select(java_split(F.col("value"), literal_regex(",")).alias("f"))
-    ratings = fields.select(F.col("f")[1].cast("bigint").alias("item_id"),
-                            F.col("f")[2].alias("rating"))
-    return aggregates.mean_by(ratings, "item_id", "rating", method="fold", name="mean_rating")
+    return readers.read_text(spark, path).where(F.col("value") != RATINGS_HEADER)
+
+
+@query
+def ratings_per_item_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B5a from raw lines: the movie id is field 1 of each line; the header
+    line is never counted (Q1)."""
+    raw = _ratings_lines(spark, StandIns(spark, sf_dir))
+    items = raw.select(java_split(F.col("value"), literal_regex(","))[1].cast("bigint")
+                       .alias("item_id"))
+    return catalog.ratings_per_item(items)
+
+
+MOVIES_HEADER = "movieId,title,genres"
+
+
+def _movie_lines(spark: SparkSession, s: StandIns) -> DataFrame:
+    """Movies as raw CSV text lines: the title quoted (it holds a comma), the
+    genres joined by '|'."""
+    part = s.t("part")
+    lines = part.select(F.concat(F.col("p_partkey").cast("string"), F.lit(',"'),
+                                 F.col("p_name"), F.lit(", "), F.col("p_brand"), F.lit('",'),
+                                 F.regexp_replace("p_name", " ", "|")).alias("value"))
+    header = spark.createDataFrame([(MOVIES_HEADER,)], "value string")
+    path = scratch_path(spark, "movies-text")
+    writers.write_table(header.union(lines), path, fmt="text")
+    raw = readers.read_text(spark, path).where(F.col("value") != MOVIES_HEADER)
+    fields = raw.select(split_quoted(F.col("value")).alias("f"))
+    return fields.select(F.col("f")[0].cast("bigint").alias("item_id"),
+                         F.col("f")[1].alias("title"), F.col("f")[2].alias("genres"))
+
+
+@query
+def genre_ranking_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 from raw movie lines: quote-aware split, genres split on '|'."""
+    return catalog.genre_ranking(_movie_lines(spark, StandIns(spark, sf_dir)), "genres", "|")
+
+
+@query
+def tags_exceed_genres_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B6 from raw lines: tag lines counted by their movie id (field 1),
+    joined to the genre count of each movie line, filtered, titled."""
+    s = StandIns(spark, sf_dir)
+    movies = _movie_lines(spark, s)
+    tag_lines = s.tags().join(s.t("part"), F.col("item_id") == F.col("p_partkey")).select(
+        F.concat(F.lit("0,"), F.col("item_id").cast("string"), F.lit(',"'), F.col("p_type"),
+                 F.lit('",0')).alias("value"))
+    path = scratch_path(spark, "tags-text")
+    writers.write_table(tag_lines, path, fmt="text")
+    tags = readers.read_text(spark, path).select(
+        split_quoted(F.col("value"))[1].cast("bigint").alias("item_id"))
+    return catalog.tags_exceed_genres(tags, movies, "genres", separator="|")
+
+
+@query
+def word_count_text_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B9 as the reference runs it: the texts written as a text file, read
+    back line by line (S9), counted."""
+    docs = StandIns(spark, sf_dir).texts("documents").select("text")
+    path = scratch_path(spark, "book-text")
+    writers.write_table(docs, path, fmt="text")
+    return text.word_count(readers.read_text(spark, path))
 
 
 # --- E4, E7, E12: parsing --------------------------------------------------------------
