@@ -50,3 +50,33 @@ def test_detect_and_store_runs_python_detector_once(spark, capsys):
 def test_merge_small_delta_never_shuffles_base(spark, capsys):
     text = plan(queries()["merge_customers"](spark, SF_SMALL), capsys)
     assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+
+
+def test_pagerank_round_never_moves_edges(spark, capsys, monkeypatch):
+    """The per-round join reads the bucketed edge table directly: no exchange
+    between the edge scan and the join."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from strata.operators.links import pagerank
+
+    plans = []
+    original = DataFrame.checkpoint
+
+    def recording(self, eager=True):
+        capsys.readouterr()
+        self.explain()
+        plans.append(capsys.readouterr().out)
+        return original(self, eager)
+
+    monkeypatch.setattr(DataFrame, "checkpoint", recording)
+    edges = spark.createDataFrame([(i % 13, (i * 7) % 17) for i in range(300)],
+                                  "src long, dst long")
+    pagerank(edges, 2, partitions=4).collect()
+    round_plans = [p for p in plans if "Bucketed: true" in p]
+    assert len(round_plans) == 2
+    for text in round_plans:
+        lines = text.splitlines()
+        scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+        # The lines between the join and the bucketed scan hold no exchange.
+        join = max(i for i in range(scan) if "Join" in lines[i])
+        assert not any("Exchange" in line for line in lines[join:scan])
