@@ -8,8 +8,8 @@ out-edges passes nothing on); at the end ranks are scaled to sum to |V|.
 
 Plan: the weighted edges are placed once, partitioned on (source, salt),
 where hot sources get several salts; each round joins them with the source
-ranks partitioned the same way (no edge shuffle), sums partially per target,
-and joins the vertices. Lineage is cut every round with a reliable
+ranks partitioned the same way (no edge shuffle) and sums partially per
+target; vertices without in-edges, fixed at ``reset``, are added by a union. Lineage is cut every round with a reliable
 ``checkpoint()`` into the shared ``spark.checkpoint.dir``, so a lost executor
 recomputes at most one round.
 """
@@ -84,10 +84,10 @@ def pagerank(edges: DataFrame, iterations: int = 5, reset: float = 0.15, src: st
     weighted edges are written as a table bucketed on ``(src, salt)``.
     A source with more edges than an average partition holds gets several
     salts (its edges spread by a hash of the target), so no task holds a hot
-    source's whole edge list. Each round moves only vertex-sized data: the
-    ranks of sources (one copy per salt) are partitioned the same way as the
-    edges, so the edge side of the join never shuffles again, and the
-    contributions are partially summed per target before their shuffle.
+    source's whole edge list. Each round moves only vertex-sized data in two
+    shuffles: the ranks of sources (one copy per salt) are partitioned the
+    same way as the edges, so the edge side of the join never shuffles again,
+    and the contributions are partially summed per target before theirs.
     """
     spark = edges.sparkSession
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
@@ -97,13 +97,12 @@ def pagerank(edges: DataFrame, iterations: int = 5, reset: float = 0.15, src: st
     total = e.count()
     n = partitions or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
                                  -(-total // edges_per_partition)))
-    vertices = graph_vertices(e, "src", "dst", "id").repartition(n, "id")
+    vertices = graph_vertices(e, "src", "dst", "id")
     # Salts per source: enough that no salt holds more than an average partition.
     per_partition = max(1.0, total / n)
     sources = (out_degree.select("src", "_deg",
                                  F.least(F.lit(n), F.ceil(F.col("_deg") / F.lit(per_partition)))
-                                 .cast("int").alias("_salts"))
-               .repartition(n, "src"))
+                                 .cast("int").alias("_salts")))
     weighted = (e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_mult"))
                 .join(sources, "src")
                 .select("src", "dst", (F.col("_mult") / F.col("_deg")).alias("w"),
@@ -116,9 +115,14 @@ def pagerank(edges: DataFrame, iterations: int = 5, reset: float = 0.15, src: st
     (weighted.write.bucketBy(n, "src", "salt")
      .option("path", scratch_path(spark, "pagerank-edges")).saveAsTable(table))
     weighted = spark.table(table)
+    # Vertices without in-edges rank exactly ``reset`` in every round; all
+    # others get a sum row. So a round needs no join with the vertex table.
+    no_in_edges = vertices.join(e.select(F.col("dst").alias("id")).distinct(), "id",
+                                "left_anti")
     if checkpoint:
         checkpoint_dir(spark)
         vertices = vertices.checkpoint()
+        no_in_edges = no_in_edges.checkpoint()
         sources = sources.select("src", "_salts").checkpoint()
     ranks = vertices.select("id", F.lit(1.0).alias("rank"))
     for _ in range(iterations):
@@ -129,10 +133,9 @@ def pagerank(edges: DataFrame, iterations: int = 5, reset: float = 0.15, src: st
         # Stream the placed edges and hash the (small) rank side per partition.
         sums = (weighted.join(sent.hint("shuffle_hash"), ["src", "salt"])
                 .groupBy("dst").agg(F.sum(F.col("w") * F.col("rank")).alias("_in")))
-        ranks = (vertices.join(sums.withColumnRenamed("dst", "id"), "id", "left")
-                 .select("id", (F.lit(reset) + F.lit(1.0 - reset)
-                                * F.coalesce(F.col("_in"), F.lit(0.0))).alias("rank"))
-                 .repartition(n, "id"))
+        ranks = (sums.select(F.col("dst").alias("id"),
+                             (F.lit(reset) + F.lit(1.0 - reset) * F.col("_in")).alias("rank"))
+                 .unionByName(no_in_edges.select("id", F.lit(reset).alias("rank"))))
         if checkpoint:
             ranks = ranks.checkpoint()
     if checkpoint:
