@@ -44,8 +44,9 @@ def mean_by(df: DataFrame, key: str, value: str, method: str = "fold",
 
     ``method="fold"``: one aggregate of (sum, n), the reference's combineByKey;
     ``method="join"``: sum per key and count per key joined and divided, the
-    reference's first approach (both aggregates come out hash-partitioned on the
-    key, so the join adds no exchange);
+    reference's first approach (both aggregates come out hash-partitioned on
+    the key, so a sort-merge join of them needs no further shuffle; small
+    counts are broadcast instead);
     ``method="pandas"``: a user fold in pandas per partition (create / merge
     value) and a Spark aggregate of the partials (merge combiners).
 
