@@ -92,3 +92,19 @@ def test_literal_tables_keep_schema_and_need_no_python(spark, capsys):
     df.union(empty).explain()
     plan = capsys.readouterr().out
     assert "ExistingRDD" not in plan and "PythonRDD" not in plan
+
+
+def test_avro_without_module_fails_clearly(spark, tmp_path):
+    from strata.sources import read_avro
+
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        read_avro(spark, str(tmp_path / "x.avro"))
+
+
+def test_jdbc_partitioned_read_needs_all_bounds(spark):
+    from strata.sources import read_jdbc
+
+    # Validated before any connection is opened (no database is started).
+    with pytest.raises(ValueError, match="lower_bound"):
+        read_jdbc(spark, "jdbc:none://nowhere", "t", {"user": "u"}, column="id",
+                  num_partitions=4)
