@@ -43,8 +43,10 @@ def java_split(c, pattern: str = " ") -> Column:
     """
     s = _col(c)
     stripped = F.regexp_replace(s, f"(?:{pattern})+$", "")
-    return (F.when(s == "", F.array(F.lit("")))
-            .when(stripped == "", F.array().cast("array<string>"))
+    # ``stripped`` sits in the first condition, which always runs, so codegen
+    # evaluates it once for the condition and the split.
+    return (F.when(stripped == "", F.when(s == "", F.array(F.lit("")))
+                   .otherwise(F.array().cast("array<string>")))
             .otherwise(F.split(stripped, pattern, -1)))
 
 
