@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.strings import parse_double
+from strata.session import workers_can_import
 
 
 def _cols(keys) -> list[str]:
@@ -72,6 +73,7 @@ def mean_by(df: DataFrame, key: str, value: str, method: str = "fold",
 
 
 def _pandas_fold_mean(rows: DataFrame, key: str, name: str, count_all: bool) -> DataFrame:
+    workers_can_import(rows.sparkSession)
     key_type = rows.schema[key].dataType.simpleString()
 
     def partials(batches):

@@ -32,12 +32,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, StringType, StructField, StructType
 
 from strata.functions.strings import round_to_float
-from strata.session import checkpoint_dir
+from strata.session import checkpoint_dir, workers_can_import
 
 DETECTION_SCHEMA = StructType([StructField("language", StringType(), False),
                                StructField("confidence", FloatType(), False)])
@@ -223,6 +223,9 @@ def stopword_language_column(text: Column) -> Column:
 def language_udf(detector: Callable[[str | None], tuple]):
     """A Python detector ``text -> (language, confidence)`` as an
     Arrow-batched pandas UDF returning ``struct<language, confidence>``."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        workers_can_import(active)
 
     @F.pandas_udf(DETECTION_SCHEMA)
     def detect(texts: pd.Series) -> pd.DataFrame:

@@ -7,6 +7,7 @@ session; only when it is unset (local tests) do we create one of our own.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -70,3 +71,17 @@ def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= wanted:
         return df
     return df.repartition(wanted)
+
+
+def workers_can_import(spark: SparkSession) -> None:
+    """Let the Python workers of a local session import this package: add its
+    parent folder to their PYTHONPATH (workers do not see the driver's
+    ``sys.path``). On a cluster, ship the package with ``--py-files`` or
+    install it on the executors."""
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    parts = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in parts:
+        sc.environment["PYTHONPATH"] = os.pathsep.join([root, *parts])
