@@ -19,6 +19,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,20 +92,24 @@ def pagerank(edges: DataFrame, iterations: int = 5, reset: float = 0.15, src: st
     """
     spark = edges.sparkSession
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    out_degree = e.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
+    # One pass over the edge table: duplicates merge into (src, dst, mult),
+    # kept for the setup only (its lineage is one aggregate of the scan);
+    # degrees, vertices and weights all derive from it.
+    pairs = (e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_mult"))
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    out_degree = pairs.groupBy("src").agg(F.sum("_mult").alias("_deg"))
     # Partitions for the loop: about ``edges_per_partition`` edges each, at
-    # most the session's shuffle partitions (one count of the edges).
-    total = e.count()
+    # most the session's shuffle partitions.
+    total = pairs.agg(F.sum("_mult")).first()[0] or 0
     n = partitions or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
                                  -(-total // edges_per_partition)))
-    vertices = graph_vertices(e, "src", "dst", "id")
+    vertices = graph_vertices(pairs, "src", "dst", "id")
     # Salts per source: enough that no salt holds more than an average partition.
     per_partition = max(1.0, total / n)
     sources = (out_degree.select("src", "_deg",
                                  F.least(F.lit(n), F.ceil(F.col("_deg") / F.lit(per_partition)))
                                  .cast("int").alias("_salts")))
-    weighted = (e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_mult"))
-                .join(sources, "src")
+    weighted = (pairs.join(sources, "src")
                 .select("src", "dst", (F.col("_mult") / F.col("_deg")).alias("w"),
                         F.pmod(F.xxhash64("dst"), F.col("_salts")).cast("int").alias("salt"))
                 .repartition(n, "src", "salt"))
@@ -117,13 +122,14 @@ def pagerank(edges: DataFrame, iterations: int = 5, reset: float = 0.15, src: st
     weighted = spark.table(table)
     # Vertices without in-edges rank exactly ``reset`` in every round; all
     # others get a sum row. So a round needs no join with the vertex table.
-    no_in_edges = vertices.join(e.select(F.col("dst").alias("id")).distinct(), "id",
+    no_in_edges = vertices.join(pairs.select(F.col("dst").alias("id")).distinct(), "id",
                                 "left_anti")
     if checkpoint:
         checkpoint_dir(spark)
         vertices = vertices.checkpoint()
         no_in_edges = no_in_edges.checkpoint()
         sources = sources.select("src", "_salts").checkpoint()
+        pairs.unpersist()
     ranks = vertices.select("id", F.lit(1.0).alias("rank"))
     for _ in range(iterations):
         sent = (ranks.withColumnRenamed("id", "src").join(sources, "src")
