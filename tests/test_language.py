@@ -44,9 +44,15 @@ def test_detect_unknown_for_empty_text(spark):
 
 
 def test_profile_top_k_uses_group_limit(spark, capsys):
-    train = spark.createDataFrame([("the cat and the dog", "en")], "text string, lang string")
+    train = spark.createDataFrame([("the cat and the dog", "en"), ("le chat et le chien", "fr")],
+                                  "text string, lang string")
     model = fit_profiles(train, "text", "lang", top_k=5)
-    assert model.table.count() <= 5
+    assert model.table.count() <= 5 * 2
+    capsys.readouterr()
+    model.table.explain()
+    plan = capsys.readouterr().out
+    # The per-language top-k is cut per partition before its shuffle.
+    assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
 def test_stopword_detector():
