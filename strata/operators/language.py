@@ -77,14 +77,17 @@ class LanguageModel:
     log_priors: list[float]
     table: DataFrame          # gram, logp (array<double> aligned with languages)
     n: int
+    bounded: bool = True      # table has at most top_k x languages rows
 
 
 def fit_profiles(labelled: DataFrame, text_col: str, label_col: str, n: int = 3,
-                 top_k: int = 1000, alpha: float = 1.0) -> LanguageModel:
+                 top_k: int | None = 1000, alpha: float = 1.0) -> LanguageModel:
     """Learn per-language n-gram profiles from labelled text.
 
     The vocabulary is the union of every language's ``top_k`` n-grams; each
     language gets Laplace-smoothed log probabilities over that vocabulary.
+    ``top_k=None`` keeps every n-gram seen (the exact full-vocabulary model);
+    its size is then not bounded, so scoring joins it without a broadcast.
     """
     docs = labelled.select(F.col(label_col).alias("lang"), F.col(text_col).alias("t")) \
         .where(F.col("lang").isNotNull())
@@ -107,11 +110,15 @@ def fit_profiles(labelled: DataFrame, text_col: str, label_col: str, n: int = 3,
     doc_counts = {r["lang"]: r["docs"] for r in stats}
     total_docs = sum(doc_counts.values())
 
-    rank = F.row_number().over(
-        Window.partitionBy("lang").orderBy(F.col("c").desc(), F.col("gram")))
-    vocab = (counts.withColumn("_r", rank).where(F.col("_r") <= top_k)
-             .select("gram").distinct())
-    in_vocab = counts.join(F.broadcast(vocab), "gram", "left_semi")
+    if top_k is None:
+        vocab = counts.select("gram").distinct()
+        in_vocab = counts
+    else:
+        rank = F.row_number().over(
+            Window.partitionBy("lang").orderBy(F.col("c").desc(), F.col("gram")))
+        vocab = (counts.withColumn("_r", rank).where(F.col("_r") <= top_k)
+                 .select("gram").distinct())
+        in_vocab = counts.join(F.broadcast(vocab), "gram", "left_semi")
     size = vocab.count()
     totals = {r["lang"]: r["total"] for r in
               in_vocab.groupBy("lang").agg(F.sum("c").alias("total")).collect()}
@@ -129,7 +136,7 @@ def fit_profiles(labelled: DataFrame, text_col: str, label_col: str, n: int = 3,
              .select("gram", F.array(*[F.coalesce(F.col("m")[F.lit(i)], F.lit(unseen[i]))
                                        for i in range(len(languages))]).alias("logp")))
     priors = [math.log(doc_counts[lang] / total_docs) for lang in languages]
-    return LanguageModel(languages, priors, table, n)
+    return LanguageModel(languages, priors, table, n, bounded=top_k is not None)
 
 
 def detect_language(model: LanguageModel, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -137,7 +144,8 @@ def detect_language(model: LanguageModel, df: DataFrame, id_col: str, text_col:
     N-grams outside the model's vocabulary carry no evidence."""
     langs = model.languages
     grams = text_ngrams(df, [id_col], text_col, model.n, outer=True)
-    scored = (grams.join(F.broadcast(model.table), "gram", "left")
+    table = F.broadcast(model.table) if model.bounded else model.table
+    scored = (grams.join(table, "gram", "left")
               .groupBy(id_col)
               .agg(F.count("logp").alias("_n"),
                    *[F.sum(F.col("logp")[i]).alias(f"_s{i}") for i in range(len(langs))]))

@@ -81,3 +81,14 @@ def test_stopword_column_equals_python_udf(spark):
     a = sorted((r["doc_id"], r["d"]["language"], r["d"]["confidence"]) for r in jvm.collect())
     b = sorted((r["doc_id"], r["language"], r["confidence"]) for r in py.collect())
     assert a == b
+
+
+def test_full_vocabulary_model(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    train, held = hash_split(docs, ["doc_id"], 50, 7)
+    model = fit_profiles(train, "text", "lang", top_k=None)
+    assert not model.bounded
+    out = detect_language(model, held, "doc_id", "text").join(held.select("doc_id", "lang"),
+                                                               "doc_id")
+    right = out.where(F.col("language") == F.col("lang")).count()
+    assert right / out.count() >= 0.95
