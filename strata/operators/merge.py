@@ -15,7 +15,8 @@ Plans:
   whose keys the base lacks are found with a semi join of the base against the
   broadcast delta keys (a map-side filter) and an anti join against those.
 * ``strategy="auto"``: broadcast when the delta has at most
-  ``broadcast_max_rows`` rows (one count of the delta), else shuffle.
+  ``broadcast_max_rows`` rows and at most ``broadcast_max_bytes`` as JSON
+  text (one pass over the delta), else shuffle.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from strata.sources.frames import conform
 
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
 def cast_to(delta: DataFrame, base: DataFrame, strict: bool = True) -> DataFrame:
@@ -53,9 +55,20 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] | str) -> DataFrame:
             .where(F.col("copies") > 1))
 
 
+def delta_fits(delta: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """One pass over at most ``max_rows + 1`` delta rows: its row count and
+    an upper estimate of its size (every row as JSON text)."""
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in delta.columns]))
+    stats = (delta.limit(max_rows + 1)
+             .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(row)).alias("bytes"))
+             .first())
+    return stats["rows"] <= max_rows and (stats["bytes"] or 0) <= max_bytes
+
+
 def merge_upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str] | str,
                  columns: Sequence[str] | None = None, strict: bool = True,
                  strategy: str = "auto", broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+                 broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
                  dedupe_by: str | None = None,
                  parse: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """Merge ``delta`` into ``base`` (see the module notes). ``parse`` maps a
@@ -71,8 +84,8 @@ def merge_upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str] | str,
     if dedupe_by is not None:
         delta = latest_per_key(delta, keys, dedupe_by)
     if strategy == "auto":
-        small = delta.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
-        strategy = "broadcast" if small else "shuffle"
+        strategy = "broadcast" if delta_fits(delta, broadcast_max_rows, broadcast_max_bytes) \
+            else "shuffle"
     if strategy == "shuffle":
         return _merge_shuffle(base, delta, keys, columns)
     if strategy == "broadcast":

@@ -122,3 +122,17 @@ def test_merge_parses_array_column_and_reports_duplicates(spark):
     rows = sorted(((r["id"], r["alts"]) for r in out.collect()), key=str)
     assert rows == sorted([(1, ["a", "b"]), (2, ["c"]), (3, None), (3, ["d"])], key=str)
     assert [tuple(r) for r in duplicate_keys(delta, "id").collect()] == [("3", 2)]
+
+
+def test_auto_strategy_checks_rows_and_bytes(spark):
+    from strata.operators.merge import delta_fits
+
+    delta = spark.createDataFrame([(str(i), "x" * 100, str(i)) for i in range(50)],
+                                  DELTA_SCHEMA)
+    assert delta_fits(delta, 100, 1 << 20)
+    assert not delta_fits(delta, 10, 1 << 20)      # too many rows
+    assert not delta_fits(delta, 100, 1000)        # too many bytes
+    base = spark.createDataFrame([(1, "x", 10)], BASE_SCHEMA)
+    a = merge_upsert(base, delta, "id", broadcast_max_bytes=1000)   # falls back to shuffle
+    b = merge_upsert(base, delta, "id")
+    assert _rows(a) == _rows(b)
