@@ -13,6 +13,7 @@ the tokenizer library, once per distinct pretoken, into a compiled table.
 from __future__ import annotations
 
 import functools
+import itertools
 import unicodedata
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ IN_LETTERS, IN_NUMBERS, IN_OTHER, IN_GAP, JOINING, LEFT_1, LEFT_2, FRESH = range
 STATES, CLASSES = 8, 10
 CHUNK = 64
 #: Distinct pretokens kept compiled in one Python worker; then the table starts anew.
-MAX_COMPILED = 1_000_000
+MAX_COMPILED = 2_000_000
 
 #: The characters that \s matches.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
@@ -135,6 +136,57 @@ def pretoken_starts(cps: np.ndarray) -> np.ndarray:
     return out.T.reshape(-1)[:n]
 
 
+class HashTable:
+    """Open addressing from nonzero 64-bit hashes to their numbers 0, 1, ..."""
+
+    def __init__(self, bits: int = 18) -> None:
+        self.keys = np.zeros(1 << bits, dtype=np.uint64)
+        self.numbers = np.zeros(1 << bits, dtype=np.int32)
+        self.size = 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of every hash, or -1."""
+        mask = np.int64(len(self.keys) - 1)
+        at = hashes.view(np.int64) & mask
+        seen = self.keys[at]
+        out = np.where(seen == hashes, self.numbers[at], -1)
+        left = np.flatnonzero((seen != hashes) & (seen != 0))
+        at = at[left]
+        while len(left):
+            at = (at + 1) & mask
+            seen = self.keys[at]
+            match = seen == hashes[left]
+            out[left[match]] = self.numbers[at[match]]
+            go = ~match & (seen != 0)
+            left, at = left[go], at[go]
+        return out
+
+    def add(self, hashes: np.ndarray) -> None:
+        """Number distinct hashes that are not in the table yet."""
+        old = None
+        bits = len(self.keys).bit_length() - 1
+        while 2 * (self.size + len(hashes)) > (1 << bits):
+            bits += 1
+        if (1 << bits) > len(self.keys):
+            used = np.flatnonzero(self.keys)
+            old = self.keys[used], self.numbers[used]
+            self.keys = np.zeros(1 << bits, dtype=np.uint64)
+            self.numbers = np.zeros(1 << bits, dtype=np.int32)
+            self._place(*old)
+        self._place(hashes, np.arange(self.size, self.size + len(hashes), dtype=np.int32))
+        self.size += len(hashes)
+
+    def _place(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        mask = np.int64(len(self.keys) - 1)
+        at = hashes.view(np.int64) & mask
+        while len(hashes):
+            free = np.flatnonzero(self.keys[at] == 0)
+            self.keys[at[free]] = hashes[free]  # of several for one slot the last stays
+            self.numbers[at[free]] = numbers[free]
+            go = self.keys[at] != hashes
+            hashes, numbers, at = hashes[go], numbers[go], (at[go] + 1) & mask
+
+
 class CompiledCounts:
     """Pretoken hash -> token count (and ids), filled from the tokenizer library."""
 
@@ -145,34 +197,34 @@ class CompiledCounts:
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.plain = Tokenizer.from_file(path)
         self.plain.encode_special_tokens = True
-        self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.begin, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self._empty()
         self.values = mix(np.arange(0x110001, dtype=np.uint64) + np.uint64(0x3C6EF372FE94F82B))
 
+    def _empty(self) -> None:
+        self.table, self.counts = HashTable(), np.zeros(0, np.int64)
+        self.begin, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
     def lookup(self, cps: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The table's place of every pretoken."""
-        h = span_hashes(self.values[cps], starts, ends)
-        if len(self.hashes) > MAX_COMPILED:
-            self.hashes, self.counts = self.hashes[:0], self.counts[:0]
-            self.begin, self.ids = self.begin[:0], self.ids[:0]
-        known = np.searchsorted(self.hashes, h)
-        hit = known < len(self.hashes)
-        hit[hit] = self.hashes[known[hit]] == h[hit]
-        if not hit.all():
-            new, first = np.unique(h[~hit], return_index=True)
-            where = np.flatnonzero(~hit)[first]
-            spans = [cps[starts[i]:ends[i]].tobytes().decode("utf-32-le") for i in where]
+        h = span_hashes(self.values[cps], starts, ends) | np.uint64(1 << 63)
+        if self.table.size > MAX_COMPILED:
+            self._empty()
+        known = self.table.find(h)
+        missing = np.flatnonzero(known < 0)
+        if len(missing):
+            new, first = np.unique(h[missing], return_index=True)
+            where = missing[first]
+            spans = [cps[a:b].tobytes().decode("utf-32-le")
+                     for a, b in zip(starts[where], ends[where], strict=True)]
             got = self.plain.encode_batch_fast(spans, add_special_tokens=False)
-            counts = np.fromiter((len(e) for e in got), np.int64, len(got))
-            begin = len(self.ids) + np.cumsum(counts) - counts
+            ids = [e.ids for e in got]
+            counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(counts) - counts])
             self.ids = np.concatenate(
-                [self.ids, np.fromiter((i for e in got for i in e.ids), np.uint32)])
-            self.begin = np.concatenate([self.begin, begin])
-            order = np.argsort(both := np.concatenate([self.hashes, new]))
-            self.hashes = both[order]
-            self.counts = np.concatenate([self.counts, counts])[order]
-            self.begin = self.begin[order]
-            known = np.searchsorted(self.hashes, h)
+                [self.ids, np.fromiter(itertools.chain.from_iterable(ids), np.uint32)])
+            self.counts = np.concatenate([self.counts, counts])
+            self.table.add(new)
+            known[missing] = self.table.find(h[missing])
         return known
 
     def pretokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
