@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (SYMBOLS, mix, python_ready, slices, span_hashes, text_of, utf8, word_bytes,
-                     word_spans, words)
+from .common import (SYMBOLS, mix, python_ready, slices, span_hashes, stored, text_of, utf8,
+                     word_bytes, word_spans, words)
 
 #: Bound of the labelled sample (documents) and of the model (features).
 MAX_LABELLED = 20_000
@@ -28,7 +28,7 @@ MAX_FEATURES = 8_192
 #: Bytes of the word beginnings that are features beside the whole words.
 BEGINNINGS = (4, 5, 6, 7, 8)
 FOLDS = 5
-MIN_DOCS = 4
+MIN_DOCS, MIN_STRENGTH = 4, 1.5
 SPARSITY, RIDGE, FAIRNESS = 4e-4, 1e-4, 1.0
 ITERATIONS = 150
 ALNUM = word_bytes("alnum")
@@ -67,11 +67,6 @@ def _features(data: np.ndarray, offsets: np.ndarray
     return np.concatenate([row, *(row[i] for i in keep)]), word, feature, len(bounds) - 1
 
 
-def _twice(feature: np.ndarray) -> np.ndarray:
-    """The feature "two different words have this beginning"."""
-    return mix(feature + np.uint64(2))
-
-
 def _distinct(row: np.ndarray, word: np.ndarray, feature: np.ndarray
               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, feature, whether two different words have it), each pair once."""
@@ -110,28 +105,52 @@ def _hashes(terms: list[str]) -> np.ndarray:
     return words(data, offsets, ALNUM)[0]
 
 
-def _sample(docs: DataFrame, labelled: DataFrame, text_col: str) -> tuple[list, np.ndarray]:
-    """Distinct features and label of each sampled document."""
+def _sample(docs: DataFrame, labelled: DataFrame, text_col: str) -> DataFrame:
+    """(order, toxic, once, twice): the features of each sampled document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(0))
-            out = []
+            once, twice = [], []
             for a, b in slices(offsets):
                 row, word, feature, n = _features(data, offsets[a:b + 1])
                 row, feature, two = _distinct(row, word, feature)
+                feature = feature.view(np.int64)
                 cuts = np.searchsorted(row, np.arange(n + 1))
-                out.extend(np.concatenate([feature[x:y], _twice(feature[x:y][two[x:y]])])
-                           .tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out, pa.binary()), batch.column(1), batch.column(2)],
-                names=["features", "toxic", "order"])
+                for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                    once.append(feature[x:y])
+                    twice.append(feature[x:y][two[x:y]])
+            lists = [pa.array(v, pa.list_(pa.int64())) for v in (once, twice)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), *lists],
+                                             names=["order", "toxic", "once", "twice"])
 
     rows = docs.join(F.broadcast(labelled), "_id").select(  # at most MAX_LABELLED rows or so
-        text_of(text_col).alias("text"), "toxic", "order")
-    got = (python_ready(rows).mapInArrow(run, "features binary, toxic int, order long")
-           .toArrow().sort_by([("order", "ascending"), ("features", "ascending")]))
-    return ([np.frombuffer(w, dtype=np.uint64) for w in got.column("features").to_pylist()],
-            got.column("toxic").to_numpy().astype(np.float64))
+        text_of(text_col).alias("text"), "order", "toxic")
+    return python_ready(rows).mapInArrow(
+        run, "order long, toxic int, once array<long>, twice array<long>")
+
+
+def _chosen(sample: DataFrame, docs: int, positives: int, max_features: int) -> DataFrame:
+    """(feature, two) of the ``max_features`` that tell the labels apart best,
+    and the identity terms."""
+    share = positives / docs
+    strength = (F.abs(F.col("t") - F.col("c") * share)
+                / F.sqrt(F.col("c") * (share * (1 - share))))
+    found = (_exploded(sample).groupBy("feature", "two")
+             .agg(F.count("*").alias("c"), F.sum("toxic").alias("t"))
+             .filter(F.col("c") >= MIN_DOCS).withColumn("strength", strength)
+             .filter(F.col("strength") > MIN_STRENGTH)
+             .orderBy(F.desc("strength"), "feature", "two").limit(max_features))
+    terms = _hashes([t for line in IDENTITY_TERMS for t in line]).view(np.int64).tolist()
+    named = sample.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(t) for t in terms])).alias("feature"), F.lit(False).alias("two"))
+    return found.select("feature", "two").union(named).distinct()
+
+
+def _exploded(sample: DataFrame) -> DataFrame:
+    one = sample.select("order", "toxic", F.explode("once").alias("feature"),
+                        F.lit(False).alias("two"))
+    return one.union(sample.select("order", "toxic", F.explode("twice").alias("feature"),
+                                   F.lit(True).alias("two")))
 
 
 class _Rows:
@@ -147,71 +166,55 @@ class _Rows:
         return np.bincount(self.col, self.value * v[self.row], self.shape[1])
 
 
-def _swaps(sets: list[np.ndarray], vocabulary: np.ndarray) -> _Rows:
+def _swaps(x: _Rows, feature: np.ndarray, two: np.ndarray) -> _Rows:
     """One row per labelled text and swap: +1 for the word put in, -1 for the
     one taken out."""
-    place = {int(h): i for i, h in enumerate(vocabulary)}
+    place = {int(h): i for i, h in enumerate(feature) if not two[i]}
     peers: dict[int, list[int]] = {}
     for line in IDENTITY_TERMS:
         own = [place[int(h)] for h in _hashes(list(line)) if int(h) in place]
         for i in own:
             peers.setdefault(i, []).extend(j for j in own if j != i)
-    names = vocabulary[sorted(peers)] if peers else np.zeros(0, np.uint64)
+    held: dict[int, set[int]] = {}
+    named = np.flatnonzero(np.isin(x.col, np.array(sorted(peers), np.int64)))
+    for r, c in zip(x.row[named].tolist(), x.col[named].tolist(), strict=True):
+        held.setdefault(r, set()).add(c)
     row, col, value, n = [], [], [], 0
-    for s in sets:
-        held = [place[int(h)] for h in s[np.isin(s, names)]]
-        for i in held:
+    for _, own in sorted(held.items()):
+        for i in sorted(own):
             for j in peers[i]:
                 row.append(n)
                 col.append(i)
                 value.append(-1.0)
-                if j not in held:
+                if j not in own:
                     row.append(n)
                     col.append(j)
                     value.append(1.0)
                 n += 1
     return _Rows(np.array(row, np.int64), np.array(col, np.int64), np.array(value, np.float64),
-                 (n, len(vocabulary)))
+                 (n, len(feature)))
 
 
-def fit(sets: list[np.ndarray], labels: np.ndarray, fairness: float = FAIRNESS,
-        max_features: int = MAX_FEATURES) -> Model:
-    """The model for the given feature sets and labels (1: toxic). Without both
-    labels it has no features and says the label there is, or 0."""
-    positives = float(labels.sum()) if len(labels) else 0.0
-    if not 0 < positives < len(labels):
-        return Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), 3.0 if positives else -3.0)
-    flat = np.concatenate(sets)
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    vocabulary, col, df = np.unique(flat, return_inverse=True, return_counts=True)
-    toxic = np.bincount(col, labels[row], len(vocabulary))
-    share = positives / len(labels)
-    strength = np.abs(toxic - df * share) / np.sqrt(df * share * (1 - share))
-    strength[df < MIN_DOCS] = 0
-    identity = np.isin(vocabulary, _hashes([t for line in IDENTITY_TERMS for t in line]))
-    strength[identity] = np.inf
-    best = np.argsort(-strength, kind="stable")[:max_features]
-    chosen = np.sort(best[strength[best] > 1.5])
-    renumber = np.full(len(vocabulary), -1)
-    renumber[chosen] = np.arange(len(chosen))
-    inside = renumber[col] >= 0
-    vocabulary = vocabulary[chosen]
-    x = _Rows(row[inside], renumber[col[inside]], np.ones(int(inside.sum())),
-              (len(sets), len(vocabulary)))
-    swap = _swaps(sets, vocabulary)
+def fit(row: np.ndarray, col: np.ndarray, labels: np.ndarray, feature: np.ndarray,
+        two: np.ndarray, fairness: float = FAIRNESS) -> Model:
+    """The model for documents ``row`` that have the features ``col`` (numbers
+    into ``feature`` and ``two``); both labels occur."""
+    x = _Rows(row, col, np.ones(len(row)), (len(labels), len(feature)))
+    swap = _swaps(x, feature, two)
+    identity = np.isin(feature, _hashes([t for line in IDENTITY_TERMS for t in line])) & ~two
     w, b = _descend(x, labels, swap, fairness, SPARSITY)
-    live = (w != 0) | identity[chosen]
+    live = (w != 0) | identity
     w, b = _descend(x, labels, swap, fairness, 0.0, w, b, live)
-    vocabulary, w = vocabulary[live], w[live]
-    every = np.unique(flat)
-    once, twice = _weights(every, vocabulary, w), _weights(_twice(every), vocabulary, w)
-    used = (once != 0) | (twice != 0)
-    return Model(every[used], once[used], twice[used], float(b))
+    used = np.unique(feature[live])
+    return Model(used, _weights(used, feature[live & ~two], w[live & ~two]),
+                 _weights(used, feature[live & two], w[live & two]), float(b))
 
 
 def _weights(features: np.ndarray, vocabulary: np.ndarray, w: np.ndarray) -> np.ndarray:
     if not len(vocabulary):
         return np.zeros(len(features))
+    order = np.argsort(vocabulary)
+    vocabulary, w = vocabulary[order], w[order]
     at = np.minimum(np.searchsorted(vocabulary, features), len(vocabulary) - 1)
     return np.where(vocabulary[at] == features, w[at], 0.0)
 
@@ -256,10 +259,13 @@ def held_out(id_col: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          max_labelled: int = MAX_LABELLED, fairness: float = FAIRNESS) -> Model:
+          max_labelled: int = MAX_LABELLED, max_features: int = MAX_FEATURES,
+          fairness: float = FAIRNESS) -> Model:
     """A model from the labelled documents that are not held out, of these an
     id-hash sample of about ``max_labelled``. Rows without id or label teach
-    nothing; of several labels of one id the largest holds."""
+    nothing; of several labels of one id the largest holds, and rows of one id
+    teach as one text. Without both labels the model has no features and says
+    the label there is, or 0."""
     known = (labels.filter(F.col("toxic").isNotNull() & F.col(id_col).isNotNull()
                            & ~held_out(F.col(id_col)))
              .groupBy(F.col(id_col).alias("_id")).agg((F.max("toxic") > 0).cast("int")
@@ -268,8 +274,26 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     order = F.xxhash64("_id")
     known = known.withColumn("order", order).filter(
         F.pmod(order, F.lit(1_000_000)) < int(share * 1_000_000))
-    sets, y = _sample(docs.withColumnRenamed(id_col, "_id").select("_id", text_col), known, text_col)
-    return fit(sets, y, fairness)
+    sample = stored(_sample(docs.withColumnRenamed(id_col, "_id").select("_id", text_col),
+                            known, text_col), "toxicity-sample")
+    seen = sample.select("order", "toxic").distinct().orderBy("order").toArrow()
+    labels_seen = seen.column("toxic").to_numpy().astype(np.float64)
+    positives = int(labels_seen.sum())
+    if not 0 < positives < len(labels_seen):
+        return Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), 3.0 if positives else -3.0)
+    chosen = stored(_chosen(sample, len(labels_seen), positives, max_features),
+                    "toxicity-features")  # ``max_features`` and the identity terms
+    kinds = chosen.orderBy("feature", "two").toArrow()
+    feature = kinds.column("feature").to_numpy()
+    two = kinds.column("two").to_numpy()
+    has = (_exploded(sample).join(F.broadcast(chosen), ["feature", "two"])
+           .select("order", "feature", "two").distinct().toArrow().sort_by(
+               [("order", "ascending"), ("feature", "ascending"), ("two", "ascending")]))
+    row = np.searchsorted(seen.column("order").to_numpy(), has.column("order").to_numpy())
+    # Features in order, each with ``two`` false first where it has both.
+    col = np.searchsorted(feature, has.column("feature").to_numpy())
+    col += two[col] != has.column("two").to_numpy()
+    return fit(row, col, labels_seen, feature.view(np.uint64), two, fairness)
 
 
 def score_rows(docs: DataFrame, model: Model, text_col: str = "text",
