@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, text_of
+from .common import text_of
 from .spans import listed, match_spans, tagged
 
 #: Documents per block of the index: bounds a posting list.
@@ -150,11 +150,13 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...], key: Column, text: Colu
                if q != ANY}
     wanted = sorted({t for q in queries.values() for part in q for t in part})
     blocks = max(1, -(-docs.count() // block_docs))
-    lower = F.col("_lower")
-    held = [F.when(F.contains(lower, F.lit(t)), F.lit(t)) for t in wanted]
-    postings = (docs.select(key.alias("_key"), ascii_lower(text).alias("_lower"))
-                .select("_key", F.array_compact(F.array(*held)).alias("_held"))
-                .select("_key", F.explode("_held").alias("trigram"))
+    # ``lower`` also maps a few non-ASCII letters to ASCII: more candidates, never fewer.
+    # The one-element array binds the lower-cased text, so that it is made once.
+    held = F.transform(F.array(F.lower(text)), lambda lower: F.filter(
+        F.array(*[F.lit(t) for t in wanted]), lambda t: F.contains(lower, t)))[0]
+    postings = (docs.select(key.alias("_key"), held.alias("_held"))
+                .select("_key", F.explode_outer("_held").alias("trigram"))
+                .filter("trigram is not null")
                 .groupBy(F.pmod("_key", F.lit(blocks)).alias("block"), "trigram")
                 .agg(F.collect_set("_key").alias("keys")))
     index = postings.groupBy("block").agg(
