@@ -4,13 +4,14 @@ Documents with equal shingle sets are one node. Nodes that cannot have a
 partner leave early: with the shingles of every set in one global order, two
 similar sets share several of their first ones, so a node whose first shingles
 are (nearly) its own alone is out. The sets of the others are ordered rarest
-first and linked in two rounds, each verified by walking a trie of ordered sets:
+first and linked in rounds, each verified by walking a trie of ordered sets:
 
-* every first shingle links its nodes to one hub, which joins groups of near
-  copies without listing their pairs;
-* nodes that share a first shingle but are not yet connected are compared.
+* every first shingle links its nodes to one hub, which makes components;
+* nodes that a shingle's largest component has not reached try its members;
+* those still apart from it try one another.
 
-Both rounds together compare, or connect, every pair that can be similar.
+The rounds together compare, or connect, every pair that shares a first shingle,
+and no pairs are listed: probes walk tries, and only links come out.
 """
 
 from __future__ import annotations
@@ -245,84 +246,103 @@ def _ordered(sets: DataFrame) -> DataFrame:
 
 # --- verification by a trie ----------------------------------------------------
 
-def trie_links(probe: np.ndarray, n: int, members: list[tuple[bytes, int, np.ndarray]]
-               ) -> list[bytes]:
-    """The members similar to the probe set (sizes ``n`` with the shingles of
-    one set alone). The members, each most frequent shingle first, sorted, are
-    the paths of a trie in depth-first order: what two neighbours share is
-    walked once, and a path is left where even a full match of the remaining
-    length cannot reach the threshold."""
-    known = np.sort(probe)
-    paths = sorted(((tokens[::-1].astype(">u8").tobytes(), name, size)
-                    for name, size, tokens in members))
-    counts = np.zeros(1 + max((len(p[0]) // 8 for p in paths), default=0), dtype=np.int64)
-    links, last, valid = [], np.zeros(0, np.uint64), 0
-    for raw, name, size in paths:
-        path = np.frombuffer(raw, dtype=">u8").astype(np.uint64)
-        k = min(len(path), len(last), valid)
-        differ = np.flatnonzero(path[:k] != last[:k])
-        depth = int(differ[0]) if len(differ) else k
-        need = -(-NUM * (n + size) // (NUM + DEN))
-        while depth < len(path) and counts[depth] + len(path) - depth >= need:
-            part = path[depth:depth + STEP]
-            at = np.minimum(np.searchsorted(known, part), len(known) - 1)
-            counts[depth + 1:depth + len(part) + 1] = counts[depth] + np.cumsum(known[at] == part)
-            depth += len(part)
-        if depth == len(path) and counts[depth] >= need:
-            links.append(name)
-        last, valid = path, depth
-    return links
-
-
-def _verified(pairs: DataFrame, ordered: DataFrame) -> DataFrame:
-    """Of ``pairs`` (probe, member; distinct) the similar ones. A probe's members
-    are dealt over tries of about ``TRIE_MEMBERS``."""
-    sizes = pairs.groupBy("probe").agg(F.ceil(F.count("*") / TRIE_MEMBERS).alias("tries"))
-    dealt = pairs.join(sizes, "probe").withColumn(
-        "trie", F.pmod(F.xxhash64("member"), F.col("tries")))
-    own = ordered.withColumnRenamed("node", "key")
-    members = dealt.join(own, dealt["member"] == own["key"]).select(
-        "probe", "trie", F.lit(1).alias("kind"), "member", "n", "tokens")
-    probes = (sizes.select("probe", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.col("tries") - 1)).alias("trie"))
-              .join(own, F.col("probe") == own["key"])
-              .select("probe", "trie", F.lit(0).alias("kind"), F.col("probe").alias("member"),
-                      "n", "tokens"))
+class Trie:
+    """Sets as the paths of a prefix tree, most frequent shingle first: sorted,
+    each with the length that it shares with the one before. ``sets``: (name,
+    size, tokens rarest first); sizes count the shingles of one set alone."""
+
+    def __init__(self, sets: list[tuple[bytes, int, np.ndarray]]) -> None:
+        order = sorted((tokens[::-1].astype(">u8").tobytes(), name, size)
+                       for name, size, tokens in sets)
+        self.paths = [np.frombuffer(raw, dtype=">u8").astype(np.uint64) for raw, _, _ in order]
+        self.names = [name for _, name, _ in order]
+        self.sizes = [size for _, _, size in order]
+        self.common = [0]
+        for x, y in zip(self.paths[:-1], self.paths[1:], strict=True):
+            k = min(len(x), len(y))
+            differ = np.flatnonzero(x[:k] != y[:k])
+            self.common.append(int(differ[0]) if len(differ) else k)
+        self.depth = max(map(len, self.paths), default=0)
+
+    def similar(self, tokens: np.ndarray, n: int, first: bool = False) -> list[bytes]:
+        """The sets similar to a probe (only one, if ``first``). What neighbouring
+        paths share is walked once, and a path is left where even a full match
+        of its remaining length cannot reach the threshold."""
+        known = np.sort(tokens)
+        counts = np.zeros(self.depth + 1, dtype=np.int64)
+        links, valid = [], 0
+        if not len(known):
+            return links
+        for path, name, size, common in zip(self.paths, self.names, self.sizes, self.common,
+                                            strict=True):
+            valid = depth = min(common, valid)
+            if DEN * min(n, size) < NUM * max(n, size):
+                continue
+            need = -(-NUM * (n + size) // (NUM + DEN))
+            while depth < len(path) and counts[depth] + len(path) - depth >= need:
+                part = path[depth:depth + STEP]
+                at = np.minimum(np.searchsorted(known, part), len(known) - 1)
+                counts[depth + 1:depth + len(part) + 1] = \
+                    counts[depth] + np.cumsum(known[at] == part)
+                depth += len(part)
+            valid = depth
+            if depth == len(path) and counts[depth] >= need:
+                links.append(name)
+                if first:
+                    break
+        return links
+
+
+def _tried(sides: DataFrame, ordered: DataFrame, first: bool = False) -> DataFrame:
+    """(a, b) links between the probes and the members of each group. ``sides``:
+    (group, node, probe), each once. A group's members are dealt over tries of
+    about ``TRIE_MEMBERS``; each probe walks all of them, and links to all
+    similar members, or to one per trie if ``first``. Only links come out."""
+    sizes = (sides.filter("not probe").groupBy("group")
+             .agg(F.ceil(F.count("*") / TRIE_MEMBERS).alias("tries")))
+    dealt = sides.join(sizes, "group")
+    dealt = dealt.select("group", "node", "probe", F.explode(F.when(
+        F.col("probe"), F.sequence(F.lit(0).cast("long"), F.col("tries") - 1))
+        .otherwise(F.array(F.pmod(F.xxhash64("node"), F.col("tries"))))).alias("trie"))
+    rows = dealt.join(ordered, "node").select("group", "trie", "probe", "node", "n", "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        probe, tokens, n, members = None, None, 0, []
-
-        def close() -> pa.RecordBatch:
-            found = trie_links(tokens, n, members)
-            members.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([probe] * len(found), pa.binary()), pa.array(found, pa.binary())],
-                names=["a", "b"])
-
+        unit, members, trie = None, [], None
         for batch in batches:
             lists = batch.column(5)
             flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
             ends = lists.offsets.to_numpy()
-            for i, (key, kind, member, size) in enumerate(zip(
-                    batch.column(0).to_pylist(), batch.column(2).to_pylist(),
-                    batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
-                own = flat[ends[i]:ends[i + 1]].copy()
-                if kind == 0:
-                    if members:
-                        yield close()
-                    probe, tokens, n = key, own, size
+            a, b = [], []
+            for i, (group, number, probe, node, n) in enumerate(zip(
+                    *(batch.column(c).to_pylist() for c in range(5)), strict=True)):
+                if (group, number) != unit:
+                    unit, members, trie = (group, number), [], None
+                own = flat[ends[i]:ends[i + 1]]
+                if not probe:
+                    members.append((node, n, own.copy()))
                     continue
-                members.append((member, size, own))
-                if len(members) >= 2 * TRIE_MEMBERS:
-                    yield close()
-        if members:
-            yield close()
-
-    return (python_ready(members).unionByName(probes)
-            .repartition("probe", "trie").sortWithinPartitions("probe", "trie", "kind")
+                trie = trie or Trie(members)
+                found = trie.similar(own, n, first)
+                a.extend([node] * len(found))
+                b.extend(found)
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()),
+                                                  pa.array(b, pa.binary())], names=["a", "b"])
+
+    return (python_ready(rows).repartition("group", "trie")
+            .sortWithinPartitions("group", "trie", "probe")  # members, then probes
             .mapInArrow(run, "a binary, b binary"))
 
 
+def _verified(pairs: DataFrame, ordered: DataFrame) -> DataFrame:
+    """Of ``pairs`` (probe, member; distinct) the similar ones."""
+    members = pairs.select(F.col("probe").alias("group"), F.col("member").alias("node"),
+                           F.lit(False).alias("probe"))
+    probes = pairs.select(F.col("probe").alias("group"), F.col("probe").alias("node"),
+                          F.lit(True).alias("probe")).distinct()
+    return _tried(members.unionByName(probes), ordered)
+
+
 # --- connected components --------------------------------------------------------
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -360,17 +380,42 @@ def _node_links(ordered: DataFrame) -> DataFrame:
     """(a, b) links that connect exactly the nodes that similar pairs connect."""
     own = F.col("n") - F.size("tokens")  # shingles that stand before the tokens
     p = F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1
-    firsts = ordered.select("node", "n", own.alias("own"), F.posexplode(
-        F.slice("tokens", F.lit(1), F.greatest(p - own, F.lit(0)).cast("int")))
-        .alias("at", "token"))
+    firsts = ordered.select("node", "n", F.explode(
+        F.slice("tokens", F.lit(1), F.greatest(p - own, F.lit(0)).cast("int"))).alias("token"))
     firsts = stored(firsts, "ngram-firsts")
     hubs = firsts.groupBy("token").agg(F.min(F.struct("node", "n")).alias("hub"))
     stars = (firsts.join(hubs, "token").filter(F.col("node") != F.col("hub.node"))
              .filter(_fits(F.col("n"), F.col("hub.n")))
              .select(F.col("hub.node").alias("probe"), F.col("node").alias("member")).distinct())
-    first = stored(_verified(stars, ordered), "ngram-links")
-    comps = components(first, "ngram-round")
-
+    links = stored(_verified(stars, ordered), "ngram-links")
+
+    # What a token's largest component (main) has not reached tries its members.
+    open_ = stored(_mixed(firsts, components(links, "ngram-round")), "ngram-open")
+    rest = stored(open_.filter("component <> main").select(
+        F.col("main").alias("group"), "node").distinct(), "ngram-rest")
+    members = open_.filter("component = main").select(
+        F.col("main").alias("group"), "node", F.lit(False).alias("probe")).distinct()
+    probes = rest.withColumn("probe", F.lit(True))
+    links = stored(links.unionByName(_tried(members.unionByName(probes), ordered, first=True)),
+                   "ngram-links")
+
+    # What is still apart from it tries all others that were. (A component's
+    # name is one of its nodes, so it can be looked up among the new ones.)
+    comps = components(links, "ngram-round")
+    now = comps.select("node", F.col("component").alias("c"))
+    its = comps.select(F.col("node").alias("group"), F.col("component").alias("g"))
+    apart = stored(rest.join(now, "node", "left").join(its, "group", "left")
+                   .filter(F.coalesce("c", "node") != F.coalesce("g", "group"))
+                   .select("group", "node"), "ngram-apart")
+    members = (rest.join(apart.select("group").distinct(), "group", "left_semi")
+               .withColumn("probe", F.lit(False)))
+    probes = apart.withColumn("probe", F.lit(True))
+    return links.unionByName(_tried(members.unionByName(probes), ordered))
+
+
+def _mixed(firsts: DataFrame, comps: DataFrame) -> DataFrame:
+    """``firsts`` with each node's component and its token's largest one (main),
+    of the tokens that more than one component has."""
     left = firsts.join(comps, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     by_comp = left.groupBy("token", "component").agg(F.count("*").alias("c"))
@@ -378,18 +423,7 @@ def _node_links(ordered: DataFrame) -> DataFrame:
              .agg(F.count("*").alias("parts"),
                   F.max_by("component", F.struct("c", "component")).alias("main"))
              .filter("parts > 1").select("token", "main"))
-    open_ = stored(left.join(mixed, "token"), "ngram-open")
-    few = open_.filter("component <> main").select(
-        "token", *[F.col(c).alias(f"{c}_") for c in ("node", "n", "own", "at", "component")])
-    n, m = F.col("n"), F.col("n_")
-    most = (F.least("at", "at_") + 1
-            + F.least(n - F.col("own") - F.col("at") - 1, m - F.col("own_") - F.col("at_") - 1))
-    rest = (few.join(open_, "token").filter(F.col("component") != F.col("component_"))
-            .filter(_fits(n, m)).filter(most * (NUM + DEN) >= (n + m) * NUM)
-            .select(F.least("node", "node_").alias("probe"),
-                    F.greatest("node", "node_").alias("member")).distinct())
-    second = _verified(stored(rest, "ngram-rest"), ordered)
-    return first.unionByName(second)
+    return left.join(mixed, "token")
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
