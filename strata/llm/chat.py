@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import python_ready
+from .common import python_ready, quiet_tokenizers
 
 #: The template's control strings.
 TURN_START, TURN_END = "<|im_start|>", "<|im_end|>"
@@ -46,6 +46,7 @@ def unescape_role(role: str) -> str:
 
 @functools.lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    quiet_tokenizers()
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)

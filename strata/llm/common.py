@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from strata.session import scratch_path, workers_can_import
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Text bytes that one vectorised step works on; longer texts get a step of their own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +49,12 @@ def python_ready(df: DataFrame) -> DataFrame:
     return df
 
 
+def quiet_tokenizers() -> None:
+    """Spark runs a task per core: the tokenizer library gets no threads of its
+    own, whose buffers would stay with the worker."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
+
 # --- vectorised words -------------------------------------------------------
 
 def word_bytes(pattern: str) -> np.ndarray:

@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import SLICE_BYTES, mix, python_ready, slices, span_hashes, utf8
+from .common import (SLICE_BYTES, mix, python_ready, quiet_tokenizers, slices, span_hashes,
+                     utf8)
 
 # Symbol classes.
 LETTER, NUMBER, OTHER, SPACE, GAP, LAST_SPACE, LAST_GAP, SHORT, LONG, END = range(10)
@@ -31,7 +32,7 @@ IN_LETTERS, IN_NUMBERS, IN_OTHER, IN_GAP, JOINING, LEFT_1, LEFT_2, FRESH = range
 STATES, CLASSES = 8, 10
 CHUNK = 64
 #: Distinct pretokens kept compiled in one Python worker; then the table starts anew.
-MAX_COMPILED = 2_000_000
+MAX_COMPILED = 1_000_000
 
 #: The characters that \s matches.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
@@ -191,12 +192,12 @@ class CompiledCounts:
     """Pretoken hash -> token count (and ids), filled from the tokenizer library."""
 
     def __init__(self, path: str) -> None:
+        quiet_tokenizers()
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
+        self.tok.encode_special_tokens = True  # they are cut out before
         self._empty()
         self.values = mix(np.arange(0x110001, dtype=np.uint64) + np.uint64(0x3C6EF372FE94F82B))
 
@@ -216,7 +217,7 @@ class CompiledCounts:
             where = missing[first]
             spans = [cps[a:b].tobytes().decode("utf-32-le")
                      for a, b in zip(starts[where], ends[where], strict=True)]
-            got = self.plain.encode_batch_fast(spans, add_special_tokens=False)
+            got = self.tok.encode_batch_fast(spans, add_special_tokens=False)
             ids = [e.ids for e in got]
             counts = np.fromiter(map(len, ids), np.int64, len(ids))
             self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(counts) - counts])
