@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import python_ready, quiet_tokenizers
+from .common import map_batches, quiet_tokenizers
 
 #: The template's control strings.
 TURN_START, TURN_END = "<|im_start|>", "<|im_end|>"
@@ -120,9 +120,9 @@ def format_turns(turns: DataFrame, tokenizer_path: str) -> DataFrame:
                 names=formatted.names)
 
     order = ["conv_id", "turn", "role", "text"]
-    return (python_ready(rows).mapInArrow(encode, encoded)
-            .repartition("conv_id").sortWithinPartitions(*order)
-            .mapInArrow(assemble, formatted))
+    sorted_ = (map_batches(rows, encode, encoded)
+               .repartition("conv_id").sortWithinPartitions(*order))
+    return map_batches(sorted_, assemble, formatted)
 
 
 def read_back(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -192,7 +192,7 @@ def read_back(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
             if rows:
                 yield flush()
 
-    return python_ready(formatted).mapInArrow(run, schema)
+    return map_batches(formatted, run, schema)
 
 
 def format_digests(conversations: DataFrame, tokenizer_path: str) -> DataFrame:

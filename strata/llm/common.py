@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +44,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def python_ready(df: DataFrame) -> DataFrame:
-    """Call before a Python stage: local workers can import this package."""
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]],
+                                             Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` where local workers can import this package
+    and every task gives its free memory back: workers live on, and would keep
+    the largest slice's memory beside the JVM's."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+
     workers_can_import(df.sparkSession)
-    return df
+    return df.mapInArrow(task, schema)
 
 
 def quiet_tokenizers() -> None:

@@ -65,9 +65,9 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id",
     and text one stays."""
     norm = ascii_lower(text_of(text_col))
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    keys = docs.withColumn("_key", key).withColumn("_digest", _digest(norm))
+    names = ["__dedup_key", "__dedup_digest"]
+    keys = docs.withColumns(dict(zip(names, (key, _digest(norm)), strict=True)))
     best = (exact_groups(docs, id_col, text_col).filter("kept")
-            .select(key.alias("_key"), F.col("text_sha256").alias("_digest")))
+            .select(key.alias(names[0]), F.col("text_sha256").alias(names[1])))
     # One shuffle by the key serves the join and the repeated rows.
-    return (keys.join(best, ["_key", "_digest"], "left_semi")
-            .dropDuplicates(["_key", "_digest"]).drop("_key", "_digest"))
+    return keys.join(best, names, "left_semi").dropDuplicates(names).drop(*names)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (mix, python_ready, slices, stored, text_of, utf8, word_bytes, words)
+from .common import (map_batches, mix, slices, stored, text_of, utf8, word_bytes, words)
 
 SHINGLE = 5
 #: Similarity as a fraction: intersection * DEN >= union * NUM.
@@ -101,7 +101,7 @@ def _nodes(docs: DataFrame, size: int) -> DataFrame:
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary())],
                 names=schema.names)
 
-    return python_ready(docs).mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 # --- which nodes can have a partner ------------------------------------------
@@ -191,9 +191,9 @@ def _shared_counts(docs: DataFrame, buckets: int, size: int) -> DataFrame:
         if rows:
             yield answer(rows)
 
-    return (python_ready(docs).mapInArrow(split, first)
-            .repartition("bucket").sortWithinPartitions("bucket")
-            .mapInArrow(meet, "short long, shared long")
+    dealt = (map_batches(docs, split, first)
+             .repartition("bucket").sortWithinPartitions("bucket"))
+    return (map_batches(dealt, meet, "short long, shared long")
             .groupBy("short").agg(F.sum("shared").alias("shared")))
 
 
@@ -230,7 +230,7 @@ def _sets(docs: DataFrame, able: DataFrame, size: int) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
                     names=["node", "n", "shingles"])
 
-    sets = python_ready(picked.select("id", "text")).mapInArrow(run, schema)
+    sets = map_batches(picked.select("id", "text"), run, schema)
     return sets.join(able.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -329,9 +329,9 @@ def _tried(sides: DataFrame, ordered: DataFrame, first: bool = False) -> DataFra
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()),
                                                   pa.array(b, pa.binary())], names=["a", "b"])
 
-    return (python_ready(rows).repartition("group", "trie")
-            .sortWithinPartitions("group", "trie", "probe")  # members, then probes
-            .mapInArrow(run, "a binary, b binary"))
+    units = rows.repartition("group", "trie").sortWithinPartitions(
+        "group", "trie", "probe")  # members, then probes
+    return map_batches(units, run, "a binary, b binary")
 
 
 def _verified(pairs: DataFrame, ordered: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import python_ready, slices, text_of, utf8, word_bytes, words
+from .common import map_batches, slices, text_of, utf8, word_bytes, words
 
 WINDOW = 13
 #: Bytes of benchmark text that are sent to the tasks at once.
@@ -175,7 +175,7 @@ def _matches(docs: DataFrame, block: Block, text_col: str, id_type: T.DataType)
                 np.concatenate(n_words) if n_words else np.zeros(0, np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return python_ready(docs).mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import (SLICE_BYTES, mix, python_ready, quiet_tokenizers, slices, span_hashes,
+from .common import (SLICE_BYTES, map_batches, mix, quiet_tokenizers, slices, span_hashes,
                      utf8)
 
 # Symbol classes.
@@ -326,4 +326,4 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 512,
                 [batch.column(0), pa.array(np.diff(offsets)), pa.array(n), pa.array(n > limit)],
                 names=schema.names)
 
-    return python_ready(docs).select(id_col, text_col).mapInArrow(run, schema)
+    return map_batches(docs.select(id_col, text_col), run, schema)

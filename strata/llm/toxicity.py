@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (SYMBOLS, mix, python_ready, slices, span_hashes, stored, text_of, utf8,
+from .common import (SYMBOLS, map_batches, mix, slices, span_hashes, stored, text_of, utf8,
                      word_bytes, word_spans, words)
 
 #: Bound of the labelled sample (documents) and of the model (features).
@@ -125,8 +125,7 @@ def _sample(docs: DataFrame, labelled: DataFrame, text_col: str) -> DataFrame:
 
     rows = docs.join(F.broadcast(labelled), "_id").select(  # at most MAX_LABELLED rows or so
         text_of(text_col).alias("text"), "order", "toxic")
-    return python_ready(rows).mapInArrow(
-        run, "order long, toxic int, once array<long>, twice array<long>")
+    return map_batches(rows, run, "order long, toxic int, once array<long>, twice array<long>")
 
 
 def _chosen(sample: DataFrame, docs: int, positives: int, max_features: int) -> DataFrame:
@@ -167,29 +166,36 @@ class _Rows:
 
 
 def _swaps(x: _Rows, feature: np.ndarray, two: np.ndarray) -> _Rows:
-    """One row per labelled text and swap: +1 for the word put in, -1 for the
-    one taken out."""
+    """One row per labelled text and swap of a group's name for another of its
+    line: -1 for the features (the word and its beginnings) that go, +1 for
+    those that come."""
     place = {int(h): i for i, h in enumerate(feature) if not two[i]}
+    of_term: dict[int, frozenset[int]] = {}  # by the place of the whole word
     peers: dict[int, list[int]] = {}
     for line in IDENTITY_TERMS:
-        own = [place[int(h)] for h in _hashes(list(line)) if int(h) in place]
+        own = []
+        for term in line:
+            data, offsets = utf8(pa.array([term], pa.string()))
+            hashes = _features(data, offsets)[2].tolist()  # the whole word first
+            if hashes[0] in place:
+                own.append(place[hashes[0]])
+                of_term[own[-1]] = frozenset(place[h] for h in hashes if h in place)
         for i in own:
             peers.setdefault(i, []).extend(j for j in own if j != i)
+    named = np.isin(x.col, np.array(sorted(peers), np.int64))
+    mentions = np.isin(x.row, np.unique(x.row[named]))
     held: dict[int, set[int]] = {}
-    named = np.flatnonzero(np.isin(x.col, np.array(sorted(peers), np.int64)))
-    for r, c in zip(x.row[named].tolist(), x.col[named].tolist(), strict=True):
+    for r, c in zip(x.row[mentions].tolist(), x.col[mentions].tolist(), strict=True):
         held.setdefault(r, set()).add(c)
     row, col, value, n = [], [], [], 0
     for _, own in sorted(held.items()):
-        for i in sorted(own):
+        for i in sorted(own & peers.keys()):
             for j in peers[i]:
-                row.append(n)
-                col.append(i)
-                value.append(-1.0)
-                if j not in own:
-                    row.append(n)
-                    col.append(j)
-                    value.append(1.0)
+                gone = of_term[i] - of_term[j]
+                come = of_term[j] - of_term[i] - own
+                row += [n] * (len(gone) + len(come))
+                col += [*sorted(gone), *sorted(come)]
+                value += [-1.0] * len(gone) + [1.0] * len(come)
                 n += 1
     return _Rows(np.array(row, np.int64), np.array(col, np.int64), np.array(value, np.float64),
                  (n, len(feature)))
@@ -274,7 +280,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     order = F.xxhash64("_id")
     known = known.withColumn("order", order).filter(
         F.pmod(order, F.lit(1_000_000)) < int(share * 1_000_000))
-    sample = stored(_sample(docs.withColumnRenamed(id_col, "_id").select("_id", text_col),
+    sample = stored(_sample(docs.select(F.col(id_col).alias("_id"), text_col),
                             known, text_col), "toxicity-sample")
     seen = sample.select("order", "toxic").distinct().orderBy("order").toArrow()
     labels_seen = seen.column("toxic").to_numpy().astype(np.float64)
@@ -311,7 +317,7 @@ def score_rows(docs: DataFrame, model: Model, text_col: str = "text",
                 [*batch.columns, pa.array(np.concatenate([np.zeros(0), *scores]))],
                 names=schema.names)
 
-    return python_ready(docs).mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
