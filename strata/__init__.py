@@ -3,8 +3,7 @@
 Subpackages: ``sources`` (readers, writers, literal tables), ``functions``
 (JVM string rules as Column expressions), ``operators`` (aggregates, merge,
 panels, text, links, PageRank, language detection, recommendations),
-``plans`` (the query catalogue on the driver's tables and its DuckDB oracles)
-and ``streaming`` (stream sources feeding the same operators).
+and ``plans`` (the query catalogue on the driver's tables and its DuckDB oracles).
 """
 
 __version__ = "0.1.0"

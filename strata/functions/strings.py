@@ -13,11 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
-# Fixed value: the regex the reference splits CSV lines with, commas outside quotes.
-QUOTE_AWARE_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-# Fixed value: Java's String.trim removes every char <= U+0020 at both ends.
-_JVM_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# Fixed value: String.trim removes every char up to U+0020 at both ends.
+_JVM_BLANKS = "".join(map(chr, range(0x21)))
 
 
 def _col(c) -> Column:
@@ -34,25 +31,49 @@ def char_class(chars) -> str:
     return "[" + "".join(re.escape(c) for c in chars) + "]"
 
 
+def _drop_trailing_empty(pieces: Column) -> Column:
+    """``pieces`` up to its last non-empty string."""
+    def cut(found: Column) -> Column:
+        from_end = F.array_position(F.reverse(F.transform(found, lambda p: p != "")), True)
+        return (F.when(F.element_at(found, -1) != "", found)
+                .when(from_end == 0, F.array().cast("array<string>"))
+                .otherwise(F.slice(found, F.lit(1), (F.size(found) - from_end + 1).cast("int"))))
+
+    # The one-element array binds the pieces, so that they are split once.
+    return F.transform(F.array(pieces), cut)[0]
+
+
 def java_split(c, pattern: str = " ") -> Column:
     """``String.split(pattern)`` with the JVM's limit-0 rule.
 
     Leading and inner empty strings are kept, trailing ones are dropped; an
     empty input gives ``[""]``; an input made only of separators gives ``[]``.
-    ``pattern`` is a regex (use ``literal_regex`` for plain text).
+    ``pattern`` is a regex (use ``literal_regex`` for plain text). Linear in
+    the text, however long a run of separators is.
     """
     s = _col(c)
-    stripped = F.regexp_replace(s, f"(?:{pattern})+$", "")
-    # ``stripped`` sits in the first condition, which always runs, so codegen
-    # evaluates it once for the condition and the split.
-    return (F.when(stripped == "", F.when(s == "", F.array(F.lit("")))
-                   .otherwise(F.array().cast("array<string>")))
-            .otherwise(F.split(stripped, pattern, -1)))
+    return F.when(s == "", F.array(F.lit(""))).otherwise(
+        F.when(s.isNotNull(), _drop_trailing_empty(F.split(s, pattern, -1))))
+
+
+def split_quoted(c) -> Column:
+    """Split a CSV line on commas outside double quotes; quotes stay in the
+    field, trailing empty fields are dropped. A comma is outside where an even
+    number of quotes follows. Linear: the line is cut at its quotes, and the
+    commas of the outer pieces become a marker that the text cannot hold."""
+    s = _col(c)
+    safe = F.replace(s, F.lit("\x01"), F.lit("\x01\x02"))
+    pieces = F.split(safe, '"', -1)
 
+    def mark(found: Column) -> Column:
+        last = F.size(found) - 1
+        return F.array_join(F.transform(found, lambda p, i: F.when(
+            (last - i) % 2 == 0, F.replace(p, F.lit(","), F.lit("\x01\x03"))).otherwise(p)), '"')
 
-def split_quoted(c, pattern: str = QUOTE_AWARE_COMMA) -> Column:
-    """Split a CSV line on commas outside double quotes; quotes stay in the field."""
-    return java_split(c, pattern)
+    marked = F.transform(F.array(pieces), mark)[0]
+    fields = F.transform(java_split(marked, "\x01\x03"),
+                         lambda f: F.replace(f, F.lit("\x01\x02"), F.lit("\x01")))
+    return F.when(s.isNotNull(), fields)
 
 
 def split_head(c, pattern: str) -> Column:
@@ -62,7 +83,7 @@ def split_head(c, pattern: str) -> Column:
 
 def jvm_trim(c) -> Column:
     """``String.trim``: strips spaces, tabs, newlines and control chars."""
-    return F.regexp_replace(_col(c), _JVM_TRIM, "")
+    return F.btrim(_col(c), F.lit(_JVM_BLANKS))
 
 
 def parse_double(c) -> Column:

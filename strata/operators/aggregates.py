@@ -13,6 +13,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from strata.functions.strings import parse_double
 from strata.session import workers_can_import
@@ -61,7 +62,7 @@ def mean_by(df: DataFrame, key: str, value: str, method: str = "fold",
     count_expr = F.count(F.lit(1)) if bad == "count" else F.count("_v")
     if method == "fold":
         return (rows.groupBy(key).agg(F.sum("_v").alias("_s"), count_expr.alias("_n"))
-                .where(F.col("_n") > 0)
+                .where(F.col("_s").isNotNull())  # a key of bad numbers only has no mean
                 .select(key, (F.col("_s") / F.col("_n")).alias(name)))
     if method == "join":
         sums = rows.where(F.col("_v").isNotNull()).groupBy(key).agg(F.sum("_v").alias("_s"))
@@ -83,13 +84,16 @@ def _pandas_fold_mean(rows: DataFrame, key: str, name: str, count_all: bool) ->
             n = pdf.groupby(key, dropna=False).size() if count_all else \
                 valid.groupby(pdf[key], dropna=False).sum()
             s = pdf["_v"].where(valid, 0.0).groupby(pdf[key], dropna=False).sum()
-            out = pd.DataFrame({key: s.index, "_s": s.values, "_n": n.reindex(s.index).values})
-            yield out.astype({"_n": "int64"})
+            good = valid.groupby(pdf[key], dropna=False).sum()
+            out = pd.DataFrame({key: s.index, "_s": s.values, "_n": n.reindex(s.index).values,
+                                "_good": good.reindex(s.index).values})
+            yield out.astype({"_n": "int64", "_good": "int64"})
 
-    schema = f"`{key}` {key_type}, _s double, _n long"
+    schema = f"`{key}` {key_type}, _s double, _n long, _good long"
     return (rows.mapInPandas(partials, schema)
-            .groupBy(key).agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
-            .where(F.col("_n") > 0)
+            .groupBy(key).agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"),
+                              F.sum("_good").alias("_good"))
+            .where(F.col("_good") > 0)  # a key of bad numbers only has no mean
             .select(key, (F.col("_s") / F.col("_n")).alias(name)))
 
 
@@ -97,12 +101,15 @@ def ratio_by(df: DataFrame, key: str, value: str, count_name: str = "count",
              ratio_name: str = "procent", share_name: str | None = None) -> DataFrame:
     """Per key: ``count(value)``, ``count(value) / sum(value)`` as the reference
     computes its "procent" (A10), and optionally the true share of all counted
-    rows. ``try_divide`` gives NULL on a zero sum instead of failing."""
-    out = df.groupBy(key).agg(F.count(value).alias(count_name), F.sum(value).alias("_sum"))
+    rows. ``try_divide`` gives NULL on a zero sum instead of failing; whole
+    numbers are summed as decimals, as ids of 64 bits overflow a long sum."""
+    whole = isinstance(df.schema[value].dataType, IntegralType)
+    total_of = F.sum(F.col(value).cast("decimal(38,0)") if whole else F.col(value)).cast("double")
+    out = df.groupBy(key).agg(F.count(value).alias(count_name), total_of.alias("_sum"))
     out = out.withColumn(ratio_name, F.try_divide(F.col(count_name).cast("double"), F.col("_sum")))
     if share_name:
-        # The total is a scalar subquery: one small job, no global window.
-        total = df.select(F.count(value)).scalar()
+        # The total sums the per-key counts: a scalar subquery over the same aggregate.
+        total = out.agg(F.sum(count_name)).scalar()
         out = out.withColumn(share_name, F.try_divide(F.col(count_name).cast("double"), total))
     return out.drop("_sum")
 

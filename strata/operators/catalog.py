@@ -70,15 +70,13 @@ def tag_counts_by_title(tags: DataFrame, titles: DataFrame, item: str = "item_id
 def tags_exceed_genres(tags: DataFrame, titles: DataFrame, genre_col: str,
                        separator: str = "|", item: str = "item_id",
                        title: str = "title") -> DataFrame:
-    """Titles with more tags than genres (B6): tag count ⋈ genre count, the
-    column-to-column filter, then the titles. Catalyst runs the filter right
-    after the first join."""
-    genre_counts = genres_of(titles, genre_col, separator, item).select(
-        item, F.size("genres").alias("_genres"))
+    """Titles with more tags than genres (B6): tag count ⋈ (genre count, title)
+    and the column-to-column filter, in one join."""
+    genre_counts = titles.select(item, title, F.size(java_split(
+        F.col(genre_col), literal_regex(separator))).alias("_genres"))
     return (tag_counts(tags, item, "_tags")
             .join(genre_counts, item, "inner")
             .where(F.col("_tags") > F.col("_genres"))
-            .join(titles.select(item, title), item, "inner")
             .select(item, title))
 
 

@@ -3,19 +3,15 @@
 The reference calls a native per-row library from a Python UDF. Here the
 detector is a Spark job instead:
 
-* ``fit_profiles`` learns a character n-gram model from labelled text:
-  n-gram counts per language with a partial aggregate, then each language's
-  ``top_k`` n-grams. The top-k runs as ``row_number() <= k`` over a window per
-  language; Spark plans it with a per-partition group limit before the
-  shuffle, so no task ever holds a language's whole n-gram list. The model
-  therefore has at most ``top_k x languages`` rows, a proven bound, so it
-  is broadcast.
-* ``detect_language`` explodes every word n-gram of every text (whole texts,
-  no prefix), joins them map-side with the broadcast model and sums per text with
-  a partial aggregate; no n-gram row is ever shuffled.
+* ``fit_profiles`` learns a character n-gram model from labelled text: n-gram
+  counts per language with partial aggregates over distinct words. Every n-gram
+  that was seen is in the model.
+* ``detect_language`` counts each text's words, scores every distinct word once
+  (its n-grams joined with the model) and joins the word scores to the texts'
+  word counts. Joins carry no hints; AQE broadcasts or splits.
 
 Scoring is multinomial naive Bayes with Laplace smoothing over the union of
-the profiles; n-grams outside it carry no evidence. The confidence is a softmax of the per-n-gram mean log
+the languages' n-grams; others carry no evidence. The confidence is a softmax of the per-n-gram mean log
 likelihoods, rounded half-up to 4 digits and stored as a 32-bit float.
 ``Unknown`` with 0.0 when a text has no n-gram (NULL, blank or too short).
 
@@ -32,7 +28,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, StringType, StructField, StructType
 
@@ -42,7 +38,6 @@ from strata.session import checkpoint_dir, workers_can_import
 DETECTION_SCHEMA = StructType([StructField("language", StringType(), False),
                                StructField("confidence", FloatType(), False)])
 UNKNOWN = "Unknown"
-MAX_LANGUAGES = 1000
 
 
 def normalized(c: Column) -> Column:
@@ -77,17 +72,14 @@ class LanguageModel:
     log_priors: list[float]
     table: DataFrame          # gram, logp (array<double> aligned with languages)
     n: int
-    bounded: bool = True      # table has at most top_k x languages rows
 
 
 def fit_profiles(labelled: DataFrame, text_col: str, label_col: str, n: int = 3,
-                 top_k: int | None = 1000, alpha: float = 1.0) -> LanguageModel:
+                 alpha: float = 1.0) -> LanguageModel:
     """Learn per-language n-gram profiles from labelled text.
 
-    The vocabulary is the union of every language's ``top_k`` n-grams; each
-    language gets Laplace-smoothed log probabilities over that vocabulary.
-    ``top_k=None`` keeps every n-gram seen (the exact full-vocabulary model);
-    its size is then not bounded, so scoring joins it without a broadcast.
+    The vocabulary is every n-gram seen; each language gets Laplace-smoothed
+    log probabilities over it. The labels are the languages, a short list.
     """
     docs = labelled.select(F.col(label_col).alias("lang"), F.col(text_col).alias("t")) \
         .where(F.col("lang").isNotNull())
@@ -102,26 +94,14 @@ def fit_profiles(labelled: DataFrame, text_col: str, label_col: str, n: int = 3,
     # once to the shared checkpoint folder so the explode runs only once.
     checkpoint_dir(labelled.sparkSession)
     counts = counts.checkpoint()
-    stats = (docs.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
-             .limit(MAX_LANGUAGES + 1).collect())
-    if len(stats) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} labels")
+    stats = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).collect()
     languages = sorted(r["lang"] for r in stats)
     doc_counts = {r["lang"]: r["docs"] for r in stats}
     total_docs = sum(doc_counts.values())
 
-    if top_k is None:
-        vocab = counts.select("gram").distinct()
-        in_vocab = counts
-    else:
-        rank = F.row_number().over(
-            Window.partitionBy("lang").orderBy(F.col("c").desc(), F.col("gram")))
-        vocab = (counts.withColumn("_r", rank).where(F.col("_r") <= top_k)
-                 .select("gram").distinct())
-        in_vocab = counts.join(F.broadcast(vocab), "gram", "left_semi")
-    size = vocab.count()
+    size = counts.select("gram").distinct().count()
     totals = {r["lang"]: r["total"] for r in
-              in_vocab.groupBy("lang").agg(F.sum("c").alias("total")).collect()}
+              counts.groupBy("lang").agg(F.sum("c").alias("total")).collect()}
     denominators = {lang: totals.get(lang, 0) + alpha * size for lang in languages}
     unseen = [math.log(alpha / denominators[lang]) for lang in languages]
     index = {lang: i for i, lang in enumerate(languages)}
@@ -130,25 +110,31 @@ def fit_profiles(labelled: DataFrame, text_col: str, label_col: str, n: int = 3,
         return F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(mapping[lang]))])
 
     logp = F.log((F.col("c") + alpha) / lookup(denominators)[F.col("lang")])
-    table = (in_vocab.select("gram", lookup(index)[F.col("lang")].alias("i"), logp.alias("lp"))
+    table = (counts.select("gram", lookup(index)[F.col("lang")].alias("i"), logp.alias("lp"))
              .groupBy("gram")
              .agg(F.map_from_entries(F.collect_list(F.struct("i", "lp"))).alias("m"))
              .select("gram", F.array(*[F.coalesce(F.col("m")[F.lit(i)], F.lit(unseen[i]))
                                        for i in range(len(languages))]).alias("logp")))
     priors = [math.log(doc_counts[lang] / total_docs) for lang in languages]
-    return LanguageModel(languages, priors, table, n, bounded=top_k is not None)
+    return LanguageModel(languages, priors, table, n)
 
 
 def detect_language(model: LanguageModel, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, language, confidence)`` for every row of ``df`` (ids unique).
     N-grams outside the model's vocabulary carry no evidence."""
     langs = model.languages
-    grams = text_ngrams(df, [id_col], text_col, model.n, outer=True)
-    table = F.broadcast(model.table) if model.bounded else model.table
-    scored = (grams.join(table, "gram", "left")
-              .groupBy(id_col)
-              .agg(F.count("logp").alias("_n"),
-                   *[F.sum(F.col("logp")[i]).alias(f"_s{i}") for i in range(len(langs))]))
+    words = (df.select(id_col, F.explode_outer(F.split(normalized(F.col(text_col)), " "))
+                       .alias("_w"))
+             .groupBy(id_col, "_w").agg(F.count(F.lit(1)).alias("_k")))
+    known = (words.select("_w").distinct()
+             .select("_w", F.explode(word_ngrams(F.col("_w"), model.n)).alias("gram"))
+             .join(model.table, "gram").groupBy("_w")
+             .agg(F.count(F.lit(1)).alias("_g"),
+                  *[F.sum(F.col("logp")[i]).alias(f"_p{i}") for i in range(len(langs))]))
+    scored = (words.join(known, "_w", "left").groupBy(id_col)
+              .agg(F.coalesce(F.sum(F.col("_k") * F.col("_g")), F.lit(0)).alias("_n"),
+                   *[F.sum(F.col("_k") * F.col(f"_p{i}")).alias(f"_s{i}")
+                     for i in range(len(langs))]))
     scores = [F.lit(model.log_priors[i]) + F.coalesce(F.col(f"_s{i}"), F.lit(0.0))
               for i in range(len(langs))]
     scored = scored.select(id_col, "_n", *[s.alias(f"_score{i}") for i, s in enumerate(scores)])

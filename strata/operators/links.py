@@ -19,7 +19,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,8 +49,11 @@ def extract_links(pages: DataFrame, src_col: str, text_col: str, pattern: str =
     """
     text = F.col(text_col)
     whole = F.regexp_extract_all(text, F.lit(pattern), 0)
-    inner = F.regexp_extract_all(text, F.lit(pattern), 1)
-    pairs = F.arrays_zip(whole.alias("m"), inner.alias("g"))
+    if raw:
+        pairs = F.transform(whole, lambda m: F.struct(m.alias("m"), m.alias("g")))
+    else:  # the texts are searched once; the group comes from each short match
+        pairs = F.transform(whole, lambda m: F.struct(
+            m.alias("m"), F.regexp_extract(m, pattern, 1).alias("g")))
 
     def keep(x):
         cond = F.lit(True)
@@ -95,14 +97,16 @@ def pagerank(edges: DataFrame, iterations: int = 5, reset: float = 0.15, src: st
     # One pass over the edge table: duplicates merge into (src, dst, mult),
     # kept for the setup only (its lineage is one aggregate of the scan);
     # degrees, vertices and weights all derive from it.
-    pairs = (e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_mult"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
+    pairs = e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_mult"))
+    if checkpoint:
+        checkpoint_dir(spark)
+        pairs = pairs.checkpoint()
     out_degree = pairs.groupBy("src").agg(F.sum("_mult").alias("_deg"))
-    # Partitions for the loop: about ``edges_per_partition`` edges each, at
-    # most the session's shuffle partitions.
+    # Partitions for the loop: about ``edges_per_partition`` edges each.
     total = pairs.agg(F.sum("_mult")).first()[0] or 0
-    n = partitions or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                                 -(-total // edges_per_partition)))
+    n = partitions or max(1, -(-total // edges_per_partition))
+    if n > int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")):
+        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", str(n))
     vertices = graph_vertices(pairs, "src", "dst", "id")
     # Salts per source: enough that no salt holds more than an average partition.
     per_partition = max(1.0, total / n)
@@ -125,16 +129,17 @@ def pagerank(edges: DataFrame, iterations: int = 5, reset: float = 0.15, src: st
     no_in_edges = vertices.join(pairs.select(F.col("dst").alias("id")).distinct(), "id",
                                 "left_anti")
     if checkpoint:
-        checkpoint_dir(spark)
         vertices = vertices.checkpoint()
         no_in_edges = no_in_edges.checkpoint()
         sources = sources.select("src", "_salts").checkpoint()
-        pairs.unpersist()
+    # Fewer than n sources have more edges than an average partition; only
+    # these have several salts, so their table is small whatever the graph.
+    salted = F.broadcast(sources.where(F.col("_salts") > 1).select("src", "_salts"))
     ranks = vertices.select("id", F.lit(1.0).alias("rank"))
     for _ in range(iterations):
-        sent = (ranks.withColumnRenamed("id", "src").join(sources, "src")
-                .select("src", "rank",
-                        F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("salt"))
+        sent = (ranks.withColumnRenamed("id", "src").join(salted, "src", "left")
+                .select("src", "rank", F.explode(F.sequence(
+                    F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("salt"))
                 .repartition(n, "src", "salt"))
         # Stream the placed edges and hash the (small) rank side per partition.
         sums = (weighted.join(sent.hint("shuffle_hash"), ["src", "salt"])

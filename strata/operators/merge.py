@@ -1,37 +1,25 @@
-"""Update-wins merge of a delta into a base table.
-
-Semantics of the reference: full outer join on the keys, and for every other
-column ``coalesce(delta, base)``: a delta value replaces the base value, a
-NULL in the delta never clears one, there is no delete, keys of both sides
-survive. The delta is cast to the base schema first, so the output keeps the
-base's types (the reference's delta is an all-string CSV).
-
-Plans:
-
-* ``strategy="shuffle"``: one sort-merge full outer join; both sides shuffle
-  on the keys.
-* ``strategy="broadcast"``: for a delta of checked size. The base is never
-  shuffled: base ⟕ broadcast(delta) updates rows in place, and the delta rows
-  whose keys the base lacks are found with a semi join of the base against the
-  broadcast delta keys (a map-side filter) and an anti join against those.
-* ``strategy="auto"``: broadcast when the delta has at most
-  ``broadcast_max_rows`` rows and at most ``broadcast_max_bytes`` as JSON
-  text (one pass over the delta), else shuffle.
+"""Merging an update file into a base table.
+
+One plan at every size: base rows take the delta's non-NULL values (left join),
+delta rows with keys that the base lacks are added (anti join). Rows with a NULL
+key match nothing and pass around the joins. There are no hints: AQE broadcasts
+a small delta by itself and splits a skewed partition of the base. The cast
+delta is checkpointed, as three branches read it. A key that occurs twice in the
+delta would multiply rows, so it raises unless ``dedupe_by`` says which row holds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
+from strata.session import checkpoint_dir
 from strata.sources.frames import conform
 
-BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-
-
 def cast_to(delta: DataFrame, base: DataFrame, strict: bool = True) -> DataFrame:
     """The delta with the base's column order and types (Q14). ``strict``
     raises on a bad value; ``strict=False`` turns it into NULL."""
@@ -39,11 +27,16 @@ def cast_to(delta: DataFrame, base: DataFrame, strict: bool = True) -> DataFrame
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
-    """One row per key: the one with the greatest ``order_col``. ``max_by``
+    """One row per key: the one with the greatest ``order_col``, NULL being the
+    smallest; of equals the one with the greatest other columns. ``max_by``
     aggregates partially before the shuffle, so a hot key stays cheap."""
     others = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in others])
-    return (df.groupBy(*keys).agg(F.max_by(row, F.col(order_col)).alias("_row"))
+    row = F.struct(*[F.col(f"`{c}`") for c in others])
+    ties = [F.col(f"`{f.name}`") for f in df.schema
+            if f.name in others and not isinstance(f.dataType, MapType)]
+    order = F.struct(F.col(order_col).isNotNull().alias("known"), F.col(order_col).alias("order"),
+                     F.struct(*ties).alias("ties"))
+    return (df.groupBy(*keys).agg(F.max_by(row, order).alias("_row"))
             .select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in others]))
 
 
@@ -55,56 +48,33 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] | str) -> DataFrame:
             .where(F.col("copies") > 1))
 
 
-def delta_fits(delta: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    """One pass over at most ``max_rows + 1`` delta rows: its row count and
-    an upper estimate of its size (every row as JSON text)."""
-    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in delta.columns]))
-    stats = (delta.limit(max_rows + 1)
-             .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(row)).alias("bytes"))
-             .first())
-    return stats["rows"] <= max_rows and (stats["bytes"] or 0) <= max_bytes
-
-
 def merge_upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str] | str,
                  columns: Sequence[str] | None = None, strict: bool = True,
-                 strategy: str = "auto", broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-                 broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
                  dedupe_by: str | None = None,
                  parse: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """Merge ``delta`` into ``base`` (see the module notes). ``parse`` maps a
     column to a function turning the delta's text into the base type where
-    a cast cannot (an array written as JSON, say ``F.from_json``)."""
+    a cast cannot (an array written as JSON, say ``F.from_json``). ``dedupe_by``
+    may be a column that only the delta has."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     columns = list(columns) if columns is not None else [c for c in base.columns if c not in keys]
     base = base.select(*keys, *columns)
+    if dedupe_by is not None:
+        delta = latest_per_key(delta, keys, dedupe_by)
     if parse:
         delta = delta.select(*[parse[c](F.col(c)).alias(c) if c in parse else F.col(c)
                                for c in delta.columns])
-    delta = cast_to(delta, base, strict=strict)
-    if dedupe_by is not None:
-        delta = latest_per_key(delta, keys, dedupe_by)
-    if strategy == "auto":
-        strategy = "broadcast" if delta_fits(delta, broadcast_max_rows, broadcast_max_bytes) \
-            else "shuffle"
-    if strategy == "shuffle":
-        return _merge_shuffle(base, delta, keys, columns)
-    if strategy == "broadcast":
-        return _merge_broadcast(base, delta, keys, columns)
-    raise ValueError(f"unknown strategy {strategy!r}")
-
-
-def _merge_shuffle(base, delta, keys, columns):
-    a, b = base.alias("a"), delta.alias("b")
-    merged = a.join(b, keys, "full_outer")
-    return merged.select(*keys, *[F.coalesce(F.col(f"b.`{c}`"), F.col(f"a.`{c}`")).alias(c)
-                                  for c in columns])
-
-
-def _merge_broadcast(base, delta, keys, columns):
-    small = F.broadcast(delta.select(*keys, *[F.col(c).alias(f"_d_{c}") for c in columns]))
-    updated = base.join(small, keys, "left").select(
-        *keys, *[F.coalesce(F.col(f"_d_{c}"), F.col(c)).alias(c) for c in columns])
-    delta_keys = F.broadcast(delta.select(*keys))
-    matched = base.select(*keys).join(delta_keys, keys, "left_semi")
-    inserted = delta.join(matched, keys, "left_anti").select(*keys, *columns)
-    return updated.unionByName(inserted)
+    checkpoint_dir(base.sparkSession)
+    delta = cast_to(delta, base, strict=strict).checkpoint()
+    keyed = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+    known = delta.where(keyed)
+    twice = duplicate_keys(known, keys).limit(1).collect()
+    if twice:
+        raise ValueError(f"the delta has {twice[0]['copies']} rows of one key "
+                         f"({', '.join(map(str, twice[0][:-1]))}); pass dedupe_by")
+    fresh = known.select(*keys, *[F.col(f"`{c}`").alias(f"_d_{c}") for c in columns])
+    updated = base.where(keyed).join(fresh, keys, "left").select(
+        *keys, *[F.coalesce(F.col(f"`_d_{c}`"), F.col(f"`{c}`")).alias(c) for c in columns])
+    added = known.join(base.where(keyed).select(*keys), keys, "left_anti").select(*keys, *columns)
+    return (updated.unionByName(added).unionByName(base.where(~keyed))
+            .unionByName(delta.where(~keyed).select(*keys, *columns)))

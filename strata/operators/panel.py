@@ -8,12 +8,11 @@ Plan notes for scale:
   Here the counts come from one ``host ⋈ works`` join on the work id and a
   distinct count per (entity, period); the zero rows come from a grid of the
   hosting entities and the period list.
-* The grid is made with ``explode`` over a literal period array (a Generate on
-  each entity row), never a cross join. The period list is a dimension
-  (calendar years); it is collected once with a hard size check.
+* The grid is made with ``explode`` over the period array (a Generate on each
+  entity row; the array is a scalar subquery), never a cross join.
 * In the citation table the hot key of ``papers ⟕ references`` may sit on
-  the right side, where AQE cannot split a left join; see
-  ``strata.operators.joins``. The last left join (to the cited work) has its
+  the right side, where AQE cannot split a left join; an inner join and an
+  anti join give the same rows. The last left join (to the cited work) has its
   hot key, a much-cited work, on the left side, which AQE splits.
 * ``count(distinct)`` runs as Spark's two-level aggregate: the first shuffle is
   on (entity, period, work), so one hot entity spreads over many tasks; the
@@ -22,36 +21,30 @@ Plan notes for scale:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.joins import left_join_hot_right
+from strata.session import checkpoint_dir
 
-MAX_PERIODS = 100_000
-
-
-def period_values(periods, column: str = "year", max_periods: int = MAX_PERIODS) -> list:
-    """The period list as Python values: from a list, or a small DataFrame
-    column read with a size check (at most ``max_periods`` distinct values)."""
+def period_table(spark: SparkSession, periods, column: str = "year") -> DataFrame:
+    """The distinct non-NULL periods as a one-column table: from a list, or a
+    DataFrame column."""
     if isinstance(periods, DataFrame):
-        rows = (periods.select(F.col(column).alias("p")).where(F.col("p").isNotNull())
-                .distinct().limit(max_periods + 1).collect())
-        if len(rows) > max_periods:
-            raise ValueError(f"more than {max_periods} periods; the period list must be a dimension")
-        values = [r["p"] for r in rows]
-    else:
-        values = [p for p in periods if p is not None]
-    return sorted(set(values))
-
-
-def explode_periods(df: DataFrame, periods: Iterable, column: str = "year") -> DataFrame:
-    """Every row of ``df`` once per period: a Generate over a literal array."""
-    values = list(periods)
+        return periods.select(F.col(column)).where(F.col(column).isNotNull()).distinct()
+    values = sorted({p for p in periods if p is not None})
     if not values:
-        return df.withColumn(column, F.lit(None)).where(F.lit(False))
-    return df.withColumn(column, F.explode(F.array(*[F.lit(v) for v in values])))
+        return spark.range(0).select(F.col("id").alias(column))
+    return spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in values])).alias(column))
+
+
+def explode_periods(df: DataFrame, periods, column: str = "year") -> DataFrame:
+    """Every row of ``df`` once per period: a Generate over the sorted period
+    array, which is a scalar subquery of the period table."""
+    table = period_table(df.sparkSession, periods, column)
+    values = table.agg(F.sort_array(F.collect_set(column)))
+    return df.withColumn(column, F.explode(values.scalar()))
 
 
 def entity_period_counts(entities: DataFrame, host: DataFrame, works: DataFrame, periods,
@@ -65,10 +58,10 @@ def entity_period_counts(entities: DataFrame, host: DataFrame, works: DataFrame,
     Hosted works missing from ``works`` and works outside the period list count
     for nothing, as in the reference's left join.
     """
-    values = period_values(periods, column=period)
+    values = period_table(host.sparkSession, periods, period)
     hosted = host.select(entity, work)
-    dated = works.select(F.col(work), F.col(work_period).alias(period)).where(
-        F.col(period).isin(values))
+    dated = works.select(F.col(work), F.col(work_period).alias(period)).join(
+        values, period, "left_semi")
     counted = (hosted.join(dated, work, "inner")
                .groupBy(entity, period)
                .agg(F.countDistinct(work).alias(count_col)))
@@ -93,8 +86,7 @@ def steady_entity_periods(panel: DataFrame, periods, threshold: int,
                           entity: str = "venue_id", period: str = "year",
                           count_col: str = "counts") -> DataFrame:
     """Steady entities with every period attached (the table B2 writes)."""
-    values = period_values(periods, column=period)
-    return explode_periods(steady_entities(panel, threshold, entity, count_col), values, period)
+    return explode_periods(steady_entities(panel, threshold, entity, count_col), periods, period)
 
 
 def citation_table(steady_periods: DataFrame, host: DataFrame, works: DataFrame,
@@ -130,11 +122,21 @@ def citation_table(steady_periods: DataFrame, host: DataFrame, works: DataFrame,
               .join(citing, (F.col(work) == F.col("_citing"))
                     & (F.col(period) == F.col("_citing_period")), "inner")
               .select(entity, period, "_citing"))
-    # One paper may cite a great deal: keep that left join splittable.
-    return (left_join_hot_right(papers, refs, "_citing", "_ref_src")
-            .join(cited, F.col(referenced) == F.col("_cited"), "left")
-            .select(entity, period, F.col("_citing").alias(work_id), referenced,
-                    "title", "language", "confidence"))
+    # Both branches below read the papers: compute them once.
+    checkpoint_dir(works.sparkSession)
+    papers = papers.checkpoint()
+    # One paper may cite a great deal: an inner join, which AQE splits on both
+    # sides. Papers that cite nothing need no join for titles at all.
+    citing_some = (papers.join(refs, F.col("_citing") == F.col("_ref_src"), "inner")
+                   .join(cited, F.col(referenced) == F.col("_cited"), "left"))
+    sources = refs.select("_ref_src").distinct()
+    citing_none = papers.join(sources, F.col("_citing") == F.col("_ref_src"), "left_anti")
+    types = {f.name: f.dataType for f in (*refs.schema, *cited.schema)}
+    rest = [referenced, "title", "language", "confidence"]
+    return (citing_some.select(entity, period, F.col("_citing").alias(work_id), *rest)
+            .unionByName(citing_none.select(
+                entity, period, F.col("_citing").alias(work_id),
+                *[F.lit(None).cast(types[c]).alias(c) for c in rest])))
 
 
 def cited_only(works: DataFrame, references: DataFrame, work_id: str = "id",
@@ -147,17 +149,19 @@ def cited_only(works: DataFrame, references: DataFrame, work_id: str = "id",
 
 
 CITATION_SQL = """
-SELECT steady.venue_id, steady.year, citing.id, refs.referenced_work_id,
-       cited.title, cited.language, cited.confidence
-FROM {steady} steady
-JOIN {host} host ON host.venue_id = steady.venue_id
-JOIN {works} citing ON citing.id = host.work_id AND citing.publication_year = steady.year
-LEFT JOIN {refs} refs ON refs.work_id = citing.id
-LEFT JOIN (
-  SELECT id, title, detection.language AS language, detection.confidence AS confidence
-  FROM (SELECT id, title, {detector}(title) AS detection FROM {works}
-        WHERE id IN (SELECT referenced_work_id FROM {refs})) w
-) cited ON cited.id = refs.referenced_work_id
+WITH target AS (
+  SELECT id, title, {detector}(title) AS found
+  FROM {works} LEFT SEMI JOIN {refs} ON id = referenced_work_id),
+paper AS (
+  SELECT venue_id, year, w.id
+  FROM {works} w JOIN {host} h ON h.work_id = w.id JOIN {steady} s USING (venue_id)
+  WHERE w.publication_year = s.year)
+SELECT p.venue_id, p.year, p.id, r.referenced_work_id,
+       t.title, t.found.language AS language, t.found.confidence AS confidence
+FROM paper p JOIN {refs} r ON r.work_id = p.id LEFT JOIN target t ON t.id = r.referenced_work_id
+UNION ALL
+SELECT p.venue_id, p.year, p.id, NULL, NULL, NULL, NULL
+FROM paper p LEFT ANTI JOIN {refs} r ON r.work_id = p.id
 """
 
 

@@ -17,8 +17,12 @@ from strata.functions.strings import char_class, java_split, jvm_trim, literal_r
 
 def lines_of(df: DataFrame, text_col: str, name: str = "value") -> DataFrame:
     """One row per line of each text, as a text-file reader would give them
-    (the line break is dropped; a final break adds no empty line)."""
-    return df.select(F.explode(java_split(F.col(text_col), r"\r?\n|\r")).alias(name))
+    (the line break is dropped; a final break adds no line, any other empty
+    line is one)."""
+    pieces = F.transform(F.array(F.split(F.col(text_col), r"\r?\n|\r", -1)), lambda found: F.when(
+        F.element_at(found, -1) == "", F.slice(found, F.lit(1), F.size(found) - 1))
+        .otherwise(found))[0]
+    return df.select(F.explode(pieces).alias(name))
 
 
 def word_count(lines: DataFrame, col: str = "value", name: str = "word",

@@ -1,9 +1,8 @@
 """DuckDB SQL that states, independently of the Spark code, what each query of
 ``strata.plans.queries`` must return on the driver's tables.
 
-Written the way the reference writes its SQL (cross join of venues and years,
-joins in written order), not the way the Spark plans run, so the two are
-genuinely different computations of the same result. Queries that SQL cannot
+Written from the meaning of each result, not from the plans that the Spark
+code runs, so the two are genuinely different computations. Queries that SQL cannot
 state (the n-gram language model, ALS) have no entry and get the driver's
 rows-only check; their tests compare them with brute force instead.
 """
@@ -14,22 +13,19 @@ from strata.operators.language import STOP_WORDS
 from strata.plans import params as P
 
 _PANEL_CTES = """
-years AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders),
-venues AS (SELECT s_suppkey AS venue_id, year FROM supplier CROSS JOIN years),
-works_host_venues AS (SELECT l_suppkey AS venue_id, l_orderkey AS work_id FROM lineitem),
-works AS (SELECT o_orderkey AS work_id, CAST(year(o_orderdate) AS INTEGER) AS publication_year
-          FROM orders),
-works_counts AS (
-  SELECT venues.venue_id AS venue_id, venues.year AS year,
-         COUNT(DISTINCT works.work_id) AS counts
-  FROM venues
-  JOIN works_host_venues ON venues.venue_id = works_host_venues.venue_id
-  LEFT JOIN works ON works.publication_year = venues.year
-                 AND works.work_id = works_host_venues.work_id
-  GROUP BY venues.venue_id, venues.year),
-filtered_venues AS (
-  SELECT venue_id FROM works_counts GROUP BY venue_id HAVING min(counts) > {threshold}),
-filtered_with_years AS (SELECT venue_id, year FROM filtered_venues CROSS JOIN years)
+dated AS (SELECT o_orderkey AS work, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders),
+hosted AS (SELECT DISTINCT l_suppkey AS venue, l_orderkey AS work FROM lineitem),
+tally AS (SELECT venue, y, count(*) AS c FROM hosted JOIN dated USING (work) GROUP BY venue, y),
+grid AS (
+  SELECT venue, y
+  FROM (SELECT s_suppkey AS venue FROM supplier WHERE s_suppkey IN (SELECT venue FROM hosted)),
+       (SELECT DISTINCT y FROM dated)),
+filled AS (
+  SELECT venue AS venue_id, y AS year, coalesce(c, 0) AS counts
+  FROM grid LEFT JOIN tally USING (venue, y)),
+steady AS (
+  SELECT venue_id, year FROM filled
+  WHERE venue_id NOT IN (SELECT venue_id FROM filled WHERE counts <= {threshold}))
 """
 
 
@@ -75,29 +71,25 @@ def sql(name: str, text: str) -> None:
 
 
 sql("venue_year_panel", panel_ctes() + """
-SELECT venue_id, year, counts FROM works_counts ORDER BY venue_id, year""")
+SELECT venue_id, year, counts FROM filled ORDER BY venue_id, year""")
 
 sql("steady_venues", panel_ctes() + """
-SELECT venue_id, year FROM filtered_with_years""")
+SELECT venue_id, year FROM steady""")
 
 sql("citation_language", panel_ctes() + """,
-works_t AS (
-  SELECT o.o_orderkey AS id, CAST(year(o.o_orderdate) AS INTEGER) AS publication_year,
-         d.text AS title
-  FROM orders o LEFT JOIN documents d ON d.doc_id = o.o_orderkey),
-detected AS """ + stopword_detection_sql("works_t", "title", "id") + """,
-works_detected AS (SELECT w.id, w.publication_year, w.title, d.language, d.confidence
-                   FROM works_t w JOIN detected d ON w.id = d.id),
-host AS (SELECT DISTINCT l_suppkey AS venue_id, l_orderkey AS work_id FROM lineitem),
-works_referenced_works AS (SELECT l_orderkey AS work_id, l_partkey * 8 AS referenced_work_id
-                           FROM lineitem)
-SELECT filtered_with_years.venue_id, filtered_with_years.year, w1.id,
-       works_referenced_works.referenced_work_id, w2.title, w2.language, w2.confidence
-FROM filtered_with_years
-JOIN host ON filtered_with_years.venue_id = host.venue_id
-JOIN works_detected w1 ON host.work_id = w1.id AND filtered_with_years.year = w1.publication_year
-LEFT JOIN works_referenced_works ON w1.id = works_referenced_works.work_id
-LEFT JOIN works_detected w2 ON works_referenced_works.referenced_work_id = w2.id""")
+titled AS (SELECT work, text AS title FROM dated LEFT JOIN documents ON doc_id = work),
+spoken AS """ + stopword_detection_sql("titled", "title", "work") + """,
+paper AS (
+  SELECT venue_id, year, work AS id
+  FROM hosted JOIN dated USING (work) JOIN steady ON venue_id = venue AND year = y),
+cites AS (SELECT l_orderkey AS id, l_partkey * 8 AS referenced_work_id FROM lineitem),
+target AS (SELECT work AS referenced_work_id, title, language, confidence
+           FROM titled JOIN spoken USING (work))
+SELECT venue_id, year, id, referenced_work_id, title, language, confidence
+FROM paper JOIN cites USING (id) LEFT JOIN target USING (referenced_work_id)
+UNION ALL
+SELECT venue_id, year, id, NULL, NULL, NULL, NULL
+FROM paper WHERE id NOT IN (SELECT id FROM cites)""")
 
 SQL["citation_language_csv"] = SQL["citation_language"]
 SQL["citation_language_view"] = SQL["citation_language"]

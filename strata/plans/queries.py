@@ -18,7 +18,7 @@ from strata.functions.strings import java_split, literal_regex, parse_double, sp
 from strata.operators import aggregates, catalog, language, links, merge, panel, recommend, text
 from strata.plans import params as P
 from strata.plans.tables import StandIns
-from strata.session import balanced, scratch_path
+from strata.session import scratch_path
 from strata.sources import readers, writers
 from strata.sources.frames import conform, create_empty_df
 
@@ -39,15 +39,15 @@ def venue_year_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel.entity_period_counts(s.venues(), s.host(), s.works(), s.years())
 
 
-def _steady(s: StandIns) -> tuple[DataFrame, list]:
-    years = panel.period_values(s.years())
+def _steady(s: StandIns) -> DataFrame:
+    years = s.years()
     counts = panel.entity_period_counts(s.venues(), s.host(), s.works(), years, sort=False)
-    return panel.steady_entity_periods(counts, years, P.STEADY_THRESHOLD), years
+    return panel.steady_entity_periods(counts, years, P.STEADY_THRESHOLD)
 
 
 @query
 def steady_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _steady(StandIns(spark, sf_dir))[0]
+    return _steady(StandIns(spark, sf_dir))
 
 
 def _stopword_detect(df: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def _stopword_detect(df: DataFrame) -> DataFrame:
 @query
 def citation_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = StandIns(spark, sf_dir)
-    steady, _ = _steady(s)
+    steady = _steady(s)
     works = s.works().select(F.col("work_id").alias("id"), "publication_year")
     return panel.citation_table(steady, s.host().distinct(), works, s.references(),
                                 detect=_stopword_detect, cited_works=s.works_titled())
@@ -71,7 +71,7 @@ CITATION_SCHEMA = ("venue_id bigint, year int, id bigint, referenced_work_id big
 
 
 def _citation_inputs(s: StandIns) -> dict[str, DataFrame]:
-    steady, _ = _steady(s)
+    steady = _steady(s)
     return {"steady": steady, "host": s.host().distinct(), "works": s.works_titled(),
             "refs": s.references()}
 
@@ -121,9 +121,7 @@ def citation_language_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def detect_and_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detect the language of every work title, write the table
     (overwrite, count riding on the write), read it back."""
-    # Python runs per row here: spread the works over the cores first.
-    works = balanced(StandIns(spark, sf_dir).works_titled())
-    detected = language.with_language(works, "title", language.stopword_language)
+    detected = _stopword_detect(StandIns(spark, sf_dir).works_titled())
     path = scratch_path(spark, "works-detected")
     writers.write_with_count(detected, path, mode="overwrite")
     return readers.read_parquet(spark, path)
@@ -140,10 +138,9 @@ def language_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def detect_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = StandIns(spark, sf_dir).texts("documents")
-    train, held_out = recommend.hash_split(docs, ["doc_id"], P.LANGUAGE_TRAIN_PERCENT,
-                                           P.LANGUAGE_SEED)
+    train, _ = recommend.hash_split(docs, ["doc_id"], P.LANGUAGE_TRAIN_PERCENT, P.LANGUAGE_SEED)
     model = language.fit_profiles(train, "text", "lang")
-    return language.detect_language(model, held_out, "doc_id", "text")
+    return language.detect_language(model, docs, "doc_id", "text")
 
 
 # --- B4: merges ------------------------------------------------------------------------
@@ -198,7 +195,7 @@ def _yearly_counts_delta(s: StandIns) -> DataFrame:
 def merge_counts_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = StandIns(spark, sf_dir)
     return merge.merge_upsert(_yearly_counts_base(s), _yearly_counts_delta(s),
-                              ["author_id", "year"], strategy="shuffle")
+                              ["author_id", "year"])
 
 
 # --- B5-B8: ratings, titles, retail reports --------------------------------------------

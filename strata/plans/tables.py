@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import balanced
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -37,8 +36,8 @@ class StandIns:
         return table(self.spark, self.sf_dir, name)
 
     def texts(self, name: str) -> DataFrame:
-        """A table of long texts, spread over the cores if it is one split."""
-        return balanced(table(self.spark, self.sf_dir, name))
+        """A table of long texts."""
+        return table(self.spark, self.sf_dir, name)
 
     def venues(self) -> DataFrame:
         return self.t("supplier").select(F.col("s_suppkey").alias("venue_id"))

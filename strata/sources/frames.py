@@ -44,11 +44,6 @@ def as_row(value) -> Row:
     return Row(value)
 
 
-# Literal tables up to this many rows are built as plan literals (no Python
-# worker at run time); larger lists go through createDataFrame.
-MAX_LITERAL_ROWS = 10_000
-
-
 def create_df(spark: SparkSession, rows: Iterable, fields: Sequence) -> DataFrame:
     """A small literal table with a declared schema (dimension lists and the
     like), built JVM-side as ``inline`` over an array of literal structs."""
@@ -56,8 +51,6 @@ def create_df(spark: SparkSession, rows: Iterable, fields: Sequence) -> DataFram
     values = [tuple(as_row(r)) for r in rows]
     if not values:
         return create_empty_df(spark, schema)
-    if len(values) > MAX_LITERAL_ROWS:
-        return spark.createDataFrame(values, schema)
     for value in values:
         if len(value) != len(schema.fields):
             raise ValueError(f"row {value!r} does not fit {schema.simpleString()}")

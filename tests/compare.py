@@ -1,6 +1,6 @@
 """Run a Spark query and its DuckDB oracle on the same parquet tables and
 compare them: row count, column names, and the multiset of rows with floats
-rounded. Used by the tests and by hand (``python -m strata.plans.compare``)."""
+rounded. Used by the tests and by hand (``python -m tests.compare``)."""
 
 from __future__ import annotations
 

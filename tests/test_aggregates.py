@@ -57,3 +57,16 @@ def test_weekday_base0_drops_day_zero(spark):
     assert "Saturday" not in out          # id 7 has no rows
     assert sum(out.values()) == 7         # day 0 drops at the inner join
     assert out["Friday"] == 2             # day 6 reads as id 6 = Friday
+
+
+def test_mean_forms_drop_keys_of_bad_numbers_only(spark):
+    from strata.operators.aggregates import mean_by, ratio_by
+
+    df = spark.createDataFrame([("a", "1"), ("a", "x"), ("b", "x"), ("b", None)], "k string, v string")
+    for bad, mean in (("count", 0.5), ("skip", 1.0)):
+        for method in ("fold", "join", "pandas"):
+            out = mean_by(df, "k", "v", name="m", method=method, bad=bad)
+            assert [tuple(r) for r in out.collect()] == [("a", mean)]
+    ids = spark.createDataFrame([(1, 6 * 10**18), (1, 6 * 10**18)], "k int, v long")
+    row = ratio_by(ids, "k", "v", share_name="share").first()
+    assert row["count"] == 2 and row["share"] == 1.0 and row["procent"] == 2 / 12e18

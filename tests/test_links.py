@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +70,28 @@ def test_pagerank_hot_source_is_salted_and_exact(spark):
     assert got.keys() == want.keys()
     for v in want:
         assert got[v] == pytest.approx(want[v], rel=1e-9)
+
+
+def test_pagerank_round_moves_data_twice(spark):
+    from strata.operators.links import pagerank
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = spark.range(400).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id % 40 END AS src",
+                                            "id % 57 AS dst")
+
+        def per_round(pattern):
+            found = []
+            for rounds in (2, 3):
+                out = pagerank(edges, iterations=rounds, edges_per_partition=100, checkpoint=False)
+                plan = out.select("id")._jdf.queryExecution().executedPlan().toString()
+                found.append(len(re.findall(pattern, plan)))
+            return found[1] - found[0]
+        # The ranks move to the edges, the contributions to their targets; the
+        # placed edges and the salts (a broadcast of bounded size) do not move.
+        assert per_round("REPARTITION_BY_NUM") == 1
+        assert per_round("ShuffledHashJoin") == 1
+        assert per_round(r"partial_sum\(\(w#") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

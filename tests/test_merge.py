@@ -14,29 +14,26 @@ def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("strategy", ["shuffle", "broadcast", "auto"])
-def test_merge_golden(spark, strategy):
+def test_merge_golden(spark):
     base = spark.createDataFrame([(1, "x", 10), (2, "y", None)], BASE_SCHEMA)
     delta = spark.createDataFrame([("2", None, "7"), ("3", "z", "9")], DELTA_SCHEMA)
-    out = merge_upsert(base, delta, "id", strategy=strategy)
+    out = merge_upsert(base, delta, "id")
     assert out.schema == BASE_SCHEMA
     assert _rows(out) == [(1, "x", 10), (2, "y", 7), (3, "z", 9)]
 
 
-@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
-def test_merge_empty_delta_is_identity(spark, strategy):
+def test_merge_empty_delta_is_identity(spark):
     base = spark.createDataFrame([(1, "x", 10), (2, "y", None)], BASE_SCHEMA)
     delta = spark.createDataFrame([], DELTA_SCHEMA)
-    assert _rows(merge_upsert(base, delta, "id", strategy=strategy)) == _rows(base)
+    assert _rows(merge_upsert(base, delta, "id")) == _rows(base)
 
 
-@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
-def test_merge_is_idempotent_and_keys_are_union(spark, strategy):
+def test_merge_is_idempotent_and_keys_are_union(spark):
     base = spark.createDataFrame([(i, f"b{i}", i) for i in range(20)], BASE_SCHEMA)
     delta = spark.createDataFrame([(str(i), None if i % 2 else f"d{i}", str(i * 100))
                                    for i in range(15, 30)], DELTA_SCHEMA)
-    once = merge_upsert(base, delta, "id", strategy=strategy)
-    twice = merge_upsert(once, delta, "id", strategy=strategy)
+    once = merge_upsert(base, delta, "id")
+    twice = merge_upsert(once, delta, "id")
     assert _rows(once) == _rows(twice)
     assert sorted(r["id"] for r in once.collect()) == list(range(30))
     # A NULL in the delta never clears a value.
@@ -44,15 +41,6 @@ def test_merge_is_idempotent_and_keys_are_union(spark, strategy):
     assert row17["name"] == "b17" and row17["n"] == 1700
 
 
-def test_merge_strategies_agree(spark):
-    base = spark.createDataFrame([(i, f"b{i}", i) for i in range(50)], BASE_SCHEMA)
-    delta = spark.createDataFrame([(str(i), f"d{i}", None) for i in range(40, 70, 3)],
-                                  DELTA_SCHEMA)
-    a = merge_upsert(base, delta, "id", strategy="shuffle")
-    b = merge_upsert(base, delta, "id", strategy="broadcast")
-    assert _rows(a) == _rows(b)
-
-
 def test_merge_two_keys_and_dedupe(spark):
     base = spark.createDataFrame([(1, 2020, 5), (1, 2021, 6)], "a long, y int, c long")
     delta = spark.createDataFrame([("1", "2021", "60", "1"), ("1", "2021", "61", "2"),
@@ -66,8 +54,8 @@ def test_merge_strict_cast_raises_and_lenient_nulls(spark):
     base = spark.createDataFrame([(1, "x", 10)], BASE_SCHEMA)
     delta = spark.createDataFrame([("1", None, "bad")], DELTA_SCHEMA)
     with pytest.raises(Exception):
-        merge_upsert(base, delta, "id", strategy="shuffle").collect()
-    out = merge_upsert(base, delta, "id", strict=False, strategy="shuffle")
+        merge_upsert(base, delta, "id").collect()
+    out = merge_upsert(base, delta, "id", strict=False)
     assert _rows(out) == [(1, "x", 10)]
 
 
@@ -95,8 +83,7 @@ def test_merge_matches_model(spark, base_rows, delta_rows):
         [(str(k), v[0], None if v[1] is None else str(v[1])) for k, v in delta_rows.items()],
         DELTA_SCHEMA)
     want = merge_model(base_rows, delta_rows)
-    for strategy in ("shuffle", "broadcast"):
-        assert _rows(merge_upsert(base, delta, "id", strategy=strategy)) == want
+    assert _rows(merge_upsert(base, delta, "id")) == want
 
 
 def test_latest_per_key_hot_key(spark):
@@ -116,23 +103,26 @@ def test_merge_parses_array_column_and_reports_duplicates(spark):
     base = spark.createDataFrame([(1, ["a", "b"]), (2, None)], "id long, alts array<string>")
     delta = spark.createDataFrame([("2", '["c"]'), ("3", None), ("3", '["d"]')],
                                   "id string, alts string")
-    out = merge_upsert(base, delta, "id", strategy="shuffle",
+    with pytest.raises(ValueError, match="2 rows of one key"):
+        merge_upsert(base, delta, "id", parse={"alts": lambda c: F.from_json(c, "array<string>")})
+    out = merge_upsert(base, delta, "id", dedupe_by="alts",
                        parse={"alts": lambda c: F.from_json(c, "array<string>")})
     assert out.schema == base.schema
     rows = sorted(((r["id"], r["alts"]) for r in out.collect()), key=str)
-    assert rows == sorted([(1, ["a", "b"]), (2, ["c"]), (3, None), (3, ["d"])], key=str)
+    assert rows == sorted([(1, ["a", "b"]), (2, ["c"]), (3, ["d"])], key=str)
     assert [tuple(r) for r in duplicate_keys(delta, "id").collect()] == [("3", 2)]
 
 
-def test_auto_strategy_checks_rows_and_bytes(spark):
-    from strata.operators.merge import delta_fits
+def test_merge_null_keys_ties_and_unknown_order(spark):
+    from strata.operators.merge import latest_per_key
 
-    delta = spark.createDataFrame([(str(i), "x" * 100, str(i)) for i in range(50)],
-                                  DELTA_SCHEMA)
-    assert delta_fits(delta, 100, 1 << 20)
-    assert not delta_fits(delta, 10, 1 << 20)      # too many rows
-    assert not delta_fits(delta, 100, 1000)        # too many bytes
-    base = spark.createDataFrame([(1, "x", 10)], BASE_SCHEMA)
-    a = merge_upsert(base, delta, "id", broadcast_max_bytes=1000)   # falls back to shuffle
-    b = merge_upsert(base, delta, "id")
-    assert _rows(a) == _rows(b)
+    base = spark.createDataFrame([(1, "x", 10), (None, "n", 1)], BASE_SCHEMA)
+    delta = spark.createDataFrame([(None, "m", "2"), ("1", "y", None)], DELTA_SCHEMA)
+    assert sorted(map(str, map(tuple, merge_upsert(base, delta, "id").collect()))) == sorted(
+        map(str, [(1, "y", 10), (None, "n", 1), (None, "m", 2)]))
+    late = spark.createDataFrame([("1", "a", "5", "2"), ("1", "b", "6", None), ("1", "c", "7", "2")],
+                                 DELTA_SCHEMA + ", seen string")
+    out = merge_upsert(base.where("id = 1"), late, "id", dedupe_by="seen")
+    assert _rows(out) == [(1, "c", 7)]
+    rows = spark.createDataFrame([(1, None, "a"), (1, None, "b")], "k int, o int, v string")
+    assert [tuple(r) for r in latest_per_key(rows, ["k"], "o").collect()] == [(1, None, "b")]

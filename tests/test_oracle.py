@@ -2,7 +2,7 @@
 
 import pytest
 
-from strata.plans.compare import compare
+from tests.compare import compare
 from strata.plans.oracles import oracle_sql
 from strata.plans.queries import queries
 from tests.conftest import SF_SMALL

@@ -71,15 +71,6 @@ def test_scratch_is_under_checkpoint_dir(spark):
     assert not os.path.exists(scratch_path(spark, "y").replace("file:", ""))
 
 
-def test_balanced_spreads_only_small_scans(spark):
-    from strata.session import balanced
-
-    one = spark.range(0, 100, numPartitions=1)
-    assert balanced(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, numPartitions=6)
-    assert balanced(many, 4).rdd.getNumPartitions() == 6
-
-
 def test_literal_tables_keep_schema_and_need_no_python(spark, capsys):
     fields = [("a", LongType(), True), ("b", StringType(), False)]
     df = create_df(spark, [(None, "x"), (2, "y")], fields)

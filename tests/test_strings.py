@@ -52,3 +52,33 @@ def test_round_to_float(spark):
     value = df.select(round_to_float(F.col("x"), 4).alias("f")).first()["f"]
     assert abs(value - 0.12349999696) < 1e-10
     assert df.select(round_to_float(F.col("x"), 4)).schema[0].dataType.simpleString() == "float"
+
+
+ODD = "a ,\n\r\u0085\u2028\t\"\x01\x02|"
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet=ODD, max_size=12), min_size=1, max_size=20))
+def test_splits_and_trim_follow_the_jvm_on_odd_characters(spark, values):
+    def quoted(s):
+        parts, out = re.split(',(?=(?:[^"]*"[^"]*")*[^"]*\\Z)', s), []
+        while parts and parts[-1] == "":
+            parts.pop()
+        return parts or ([""] if s == "" else out)
+
+    assert _apply(spark, values, java_split) == [jvm_split_model(v) for v in values]
+    assert _apply(spark, values, split_quoted) == [quoted(v) for v in values]
+    blanks = "".join(map(chr, range(33)))
+    assert _apply(spark, values, jvm_trim) == [v.strip(blanks) for v in values]
+
+
+def test_long_runs_are_linear(spark):
+    n = 1_000_000
+    df = spark.range(1).select(
+        F.repeat(F.lit(" "), n).alias("spaces"), F.repeat(F.lit("\n"), n).alias("breaks"),
+        F.concat(F.repeat(F.lit("x "), n // 2), F.lit("x")).alias("words"),
+        F.concat(F.repeat(F.lit('"a,b",'), n // 6), F.lit("z")).alias("fields"))
+    row = df.select(F.size(java_split("spaces")).alias("a"), F.size(java_split("breaks", "\n")).alias("b"),
+                    F.size(java_split("words")).alias("c"), F.size(split_quoted("fields")).alias("d"),
+                    F.length(jvm_trim("spaces")).alias("e")).first()
+    assert tuple(row) == (0, 0, n // 2 + 1, n // 6 + 1, 0)

@@ -31,3 +31,14 @@ def test_word_count_filtered_rules(spark):
 def test_word_count_sorted_most_frequent_first(spark):
     df = spark.createDataFrame([("b a b c b a",)], "value string")
     assert [tuple(r) for r in word_count(df).collect()] == [("b", 3), ("a", 2), ("c", 1)]
+
+
+def test_lines_of_keeps_empty_lines(spark):
+    from strata.operators.text import lines_of
+
+    def lines(text):
+        return [r[0] for r in lines_of(spark.createDataFrame([(text,)], "t string"), "t").collect()]
+    assert lines("a\n\n") == ["a", ""]
+    assert lines("\n") == [""]
+    assert lines("a\r\n\nb") == ["a", "", "b"]
+    assert lines("") == [] and lines(None) == []
