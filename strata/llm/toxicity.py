@@ -1,8 +1,8 @@
 """Toxicity by a counterfactually regularised classifier.
 
 A sparse logistic model over the words of a text, their beginnings and repeated
-beginnings is fitted on a bounded sample of labelled documents. Every labelled text that names a group is
-also taken with the group's name swapped for others of its kind; the fit adds a
+beginnings is fitted on a bounded sample of labelled documents. Every labelled
+text that names a group is also taken with the group's name swapped for others of its kind; the fit adds a
 penalty on the squared change of the score between the two, so that a neutral
 mention of a group raises no alarm by the company it kept in the sample. Every
 whole text is then scored where it lies, without a shuffle.
