@@ -9,7 +9,7 @@ RMSE as a DataFrame, and top-k in either direction.
 from __future__ import annotations
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 INT_MAX = 2**31 - 1
@@ -41,10 +41,39 @@ def fit_recommender(train: DataFrame, user: str, item: str, rating: str, max_ite
 def rmse(model: ALSModel, test: DataFrame, user: str, item: str, rating: str) -> DataFrame:
     """One row: root-mean-square error on ``test``; with cold-start drop,
     rows of unseen users or items are left out (A13)."""
-    predicted = model.transform(int_ids(test, [user, item]))
+    return rmse_of(model.transform(int_ids(test, [user, item])), rating)
+
+
+def rmse_of(predicted: DataFrame, rating: str, prediction: str = "prediction") -> DataFrame:
+    """One row: error of any predictions (M4, A13), and how many rows have one."""
     return predicted.agg(
-        F.sqrt(F.avg(F.pow(F.col("prediction") - F.col(rating), 2))).alias("rmse"),
-        F.count(F.lit(1)).alias("n_scored"))
+        F.sqrt(F.avg(F.pow(F.col(prediction) - F.col(rating), 2))).alias("rmse"),
+        F.count(prediction).alias("n_scored"))
+
+
+def modulo_split(df: DataFrame, col: str, folds: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Train/test split any engine can compute (M1): every ``folds``-th number
+    of ``col`` is for the test."""
+    test = F.pmod(F.col(col), F.lit(folds)) == 0
+    return df.where(~test), df.where(test)
+
+
+def item_mean_predictions(train: DataFrame, test: DataFrame, item: str, rating: str
+                          ) -> DataFrame:
+    """A deterministic predictor: the item's mean rating; rows of unseen items
+    drop out, as cold starts do (M3)."""
+    means = train.groupBy(item).agg(F.avg(rating).alias("prediction"))
+    return test.join(means, item, "inner")
+
+
+def top_k_users(scores: DataFrame, items: DataFrame, item: str, user: str, score: str, k: int
+                ) -> DataFrame:
+    """Top ``k`` users per eligible item of a score table (M6), ties by user;
+    ``max_by``-like partial work: Spark limits each partition's groups before
+    the shuffle."""
+    rank = Window.partitionBy(item).orderBy(F.col(score).desc(), F.col(user))
+    return (scores.join(items.select(item), item, "left_semi")
+            .withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k))
 
 
 def eligible_items(ratings: DataFrame, item: str, rating: str, min_count: int) -> DataFrame:

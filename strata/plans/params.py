@@ -30,6 +30,5 @@ ALS_TOP_K = 3
 STOP_WORDS = ("the",)
 WORD_SEPARATORS = (" ", ",", ".", ";", ":", "!", "?")
 
-# Language model: share of labelled documents used for training (hash split).
-LANGUAGE_TRAIN_PERCENT = 50
-LANGUAGE_SEED = 7
+# Language model: of so many documents all but one are used for training.
+LANGUAGE_FOLDS = 2

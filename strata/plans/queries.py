@@ -138,7 +138,7 @@ def language_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def detect_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = StandIns(spark, sf_dir).texts("documents")
-    train, _ = recommend.hash_split(docs, ["doc_id"], P.LANGUAGE_TRAIN_PERCENT, P.LANGUAGE_SEED)
+    train, _ = recommend.modulo_split(docs, "doc_id", P.LANGUAGE_FOLDS)
     model = language.fit_profiles(train, "text", "lang")
     return language.detect_language(model, docs, "doc_id", "text")
 
@@ -198,6 +198,49 @@ def merge_counts_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
                               ["author_id", "year"])
 
 
+def _ids_base(s: StandIns) -> DataFrame:
+    return s.t("customer").select(F.col("c_custkey").alias("author_id"),
+                                  F.col("c_name").alias("openalex"),
+                                  F.col("c_mktsegment").alias("orcid"))
+
+
+def _ids_delta(s: StandIns) -> DataFrame:
+    return (s.t("orders").groupBy("o_custkey").agg(F.max("o_orderkey").alias("last"))
+            .select((F.col("o_custkey") * 2).cast("string").alias("author_id"),
+                    F.lit(None).cast("string").alias("openalex"),
+                    F.concat(F.lit("order-"), F.col("last")).alias("orcid")))
+
+
+@query
+def merge_authors_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B4 as a pipeline: three update files (string CSV) are merged into the
+    authors, their yearly counts and their ids; each result is stored (an
+    existing table is an error) and read back, and all rows are returned."""
+    s = StandIns(spark, sf_dir)
+    jobs = (("authors", s.t("customer"), customer_delta(s), ["c_custkey"]),
+            ("counts", _yearly_counts_base(s), _yearly_counts_delta(s), ["author_id", "year"]),
+            ("ids", _ids_base(s), _ids_delta(s), ["author_id"]))
+    out = None
+    for name, base, delta, keys in jobs:
+        delta_path = scratch_path(spark, f"merge-delta-{name}")
+        writers.write_table(delta, delta_path, fmt="csv", **CSV_OPTIONS)
+        delta = readers.read_csv(spark, delta_path, infer=False, escape='"')
+        path = scratch_path(spark, f"merge-{name}")
+        writers.write_with_count(merge.merge_upsert(base, delta, keys), path,
+                                 mode="errorifexists")
+        stored = readers.read_parquet(spark, path)
+        values = [c for c in stored.columns if c not in keys]
+        rows = stored.select(
+            F.lit(name).alias("part"), F.col(keys[0]).cast("bigint").alias("key"),
+            (F.col("year") if "year" in keys else F.lit(None)).cast("int").alias("year"),
+            *[F.col(c).cast("string").alias(f"value_{i}") if stored.schema[c].dataType.simpleString()
+              != "double" else F.round(c, 2).cast("decimal(18,2)").cast("string").alias(f"value_{i}")
+              for i, c in enumerate(values)],
+            *[F.lit(None).cast("string").alias(f"value_{i}") for i in range(len(values), 4)])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # --- B5-B8: ratings, titles, retail reports --------------------------------------------
 
 @query
@@ -588,6 +631,21 @@ def wiki_pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.select("id", F.round("pagerank", 6).alias("pagerank"))
 
 
+@query
+def wiki_pagerank_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B10 from the file: XML pages (rowTag) -> nested text -> links -> ranks."""
+    pages = wiki_pages(spark, sf_dir).select("title", F.struct(F.struct(
+        F.lit("preserve").alias("_space"), F.col("text").alias("_VALUE")).alias("text"))
+        .alias("revision"))
+    path = scratch_path(spark, "wiki-xml")
+    writers.write_table(pages, path, fmt="xml", rowTag="page", rootTag="mediawiki")
+    nested = readers.read_xml(spark, path, row_tag="page", schema=pages.schema)
+    edges = links.extract_links(nested.select("title", F.col("revision.text._VALUE").alias("text")),
+                                "title", "text")
+    ranks = links.pagerank(edges, P.PAGERANK_ITERATIONS, P.PAGERANK_RESET)
+    return ranks.select("id", F.round("pagerank", 6).alias("pagerank"))
+
+
 # --- B11: recommendations -------------------------------------------------------------
 
 def _user_ratings(s: StandIns) -> DataFrame:
@@ -623,5 +681,25 @@ def als_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.titled(recs, s.movies(), "item_id")
 
 
+@query
+def item_mean_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1, M3, M4 on a predictor that SQL can state."""
+    train, test = recommend.modulo_split(_user_ratings(StandIns(spark, sf_dir)), "user_id")
+    predicted = recommend.item_mean_predictions(train, test, "item_id", "rating")
+    return recommend.rmse_of(predicted, "rating").select(
+        F.round("rmse", 6).alias("rmse"), "n_scored")
+
+
+@query
+def top_users_per_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5, M6, M7: the users with the highest mean rating of each eligible item."""
+    s = StandIns(spark, sf_dir)
+    ratings = _user_ratings(s)
+    scores = ratings.groupBy("item_id", "user_id").agg(F.max("rating").alias("score"))
+    items = recommend.eligible_items(ratings, "item_id", "rating", P.ELIGIBLE_MIN_RATINGS)
+    top = recommend.top_k_users(scores, items, "item_id", "user_id", "score", P.ALS_TOP_K)
+    return top.join(s.movies(), "item_id").select("item_id", "title", "user_id", "rank", "score")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -92,6 +92,6 @@ def test_pagerank_round_moves_data_twice(spark):
         # placed edges and the salts (a broadcast of bounded size) do not move.
         assert per_round("REPARTITION_BY_NUM") == 1
         assert per_round("ShuffledHashJoin") == 1
-        assert per_round(r"partial_sum\(\(w#") == 1
+        assert per_round(r"hashpartitioning\(dst#\d+L, \d+\), ENSURE") == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
