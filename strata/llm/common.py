@@ -17,7 +17,7 @@ from strata.session import scratch_path, workers_can_import
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Text bytes that one vectorised step works on; longer texts get a step of their own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -33,6 +33,8 @@ STATES, CLASSES = 8, 10
 CHUNK = 64
 #: Distinct pretokens kept compiled in one Python worker; then the table starts anew.
 MAX_COMPILED = 1_000_000
+#: New pretokens that the library encodes in one call: bounds its result objects.
+ENCODE_AT_ONCE = 4096
 
 #: The characters that \s matches.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
@@ -217,8 +219,9 @@ class CompiledCounts:
             where = missing[first]
             spans = [cps[a:b].tobytes().decode("utf-32-le")
                      for a, b in zip(starts[where], ends[where], strict=True)]
-            got = self.tok.encode_batch_fast(spans, add_special_tokens=False)
-            ids = [e.ids for e in got]
+            ids = [e.ids for k in range(0, len(spans), ENCODE_AT_ONCE)
+                   for e in self.tok.encode_batch_fast(spans[k:k + ENCODE_AT_ONCE],
+                                                       add_special_tokens=False)]
             counts = np.fromiter(map(len, ids), np.int64, len(ids))
             self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(counts) - counts])
             self.ids = np.concatenate(
