@@ -154,6 +154,17 @@ def detect_language(model: LanguageModel, df: DataFrame, id_col: str, text_col:
         .otherwise(F.lit(0.0).cast(FloatType())).alias("confidence"))
 
 
+def add_language(model: LanguageModel, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``df`` with all its columns plus ``language`` and ``confidence`` (ids unique).
+    Rows without text are ``Unknown`` and take no part in the detection."""
+    texts = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), text_col)
+    found = detect_language(model, texts, "_id", text_col)
+    return (df.join(found, df[id_col].eqNullSafe(found["_id"]), "left")
+            .select(*[df[c] for c in df.columns],
+                    F.coalesce("language", F.lit(UNKNOWN)).alias("language"),
+                    F.coalesce("confidence", F.lit(0.0).cast(FloatType())).alias("confidence")))
+
+
 # Stop words of the toy detector, by language code (our own lists).
 STOP_WORDS = {
     "de": ("der", "die", "und", "den", "von", "zu", "das", "sich", "mit", "auf", "für",
@@ -165,6 +176,7 @@ STOP_WORDS = {
     "fr": ("le", "et", "les", "des", "un", "du", "une", "est", "qui", "dans", "pour", "par",
            "pas", "au", "sur"),
 }
+_STOP_SETS = {lang: frozenset(words) for lang, words in STOP_WORDS.items()}
 _SPLIT = re.compile(r"[ \t\n]+")
 
 
@@ -176,9 +188,8 @@ def stopword_language(text: str | None) -> tuple[str, float]:
         return UNKNOWN, 0.0
     tokens = _SPLIT.split(text.lower())
     hits = {lang: 0 for lang in STOP_WORDS}
-    sets = {lang: set(words) for lang, words in STOP_WORDS.items()}
     for token in tokens:
-        for lang, words in sets.items():
+        for lang, words in _STOP_SETS.items():
             if token in words:
                 hits[lang] += 1
     total = sum(hits.values())

@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from strata.session import checkpoint_dir
-from strata.sources.frames import conform
+from strata.sources.frames import parse_as
 
 def cast_to(delta: DataFrame, base: DataFrame, strict: bool = True) -> DataFrame:
     """The delta with the base's column order and types (Q14). ``strict``
     raises on a bad value; ``strict=False`` turns it into NULL."""
-    return conform(delta, base.schema, strict=strict)
+    return parse_as(delta, base.schema, strict=strict)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:

@@ -59,6 +59,43 @@ def stopword_detection_sql(source: str, text_col: str, key: str) -> str:
           FROM {source}) t0) t1)"""
 
 
+def model_detection_sql(source: str, text_col: str, key: str) -> str:
+    """The n-gram model, learnt from the documents and applied to ``source``:
+    ``(key, language, confidence)``."""
+    grams = """
+  SELECT {key}, substring(' ' || w || ' ', CAST(i AS INTEGER), 3) AS g
+  FROM (SELECT {key}, unnest(string_split(trim(regexp_replace(
+          lower({text}), '[^\\p{{L}}]+', ' ', 'g')), ' ')) AS w FROM {source}),
+       unnest(range(1, length(w) + 1)) t(i)
+  WHERE w <> ''"""
+    training = (f"(SELECT lang, text FROM documents WHERE doc_id % {P.LANGUAGE_FOLDS} <> 0 "
+                "AND lang IS NOT NULL)")
+    return f"""(
+WITH learnt AS (
+  SELECT lang, g, count(*) AS c
+  FROM ({grams.format(key="lang", text="text", source=training)}) GROUP BY lang, g),
+known AS (SELECT DISTINCT g FROM learnt),
+tongue AS (
+  SELECT lang, ln(docs / sum(docs) OVER ()) AS prior, total + (SELECT count(*) FROM known) AS denom
+  FROM (SELECT lang, count(*) AS docs FROM {training} GROUP BY lang)
+  JOIN (SELECT lang, sum(c) AS total FROM learnt GROUP BY lang) USING (lang)),
+own AS (
+  SELECT {key}, g, count(*) AS k
+  FROM ({grams.format(key=key, text=text_col, source=source)}) JOIN known USING (g)
+  GROUP BY {key}, g),
+score AS (
+  SELECT {key}, t.lang, sum(k) AS n,
+         any_value(prior) + sum(k * ln((coalesce(c, 0) + 1) / denom)) AS s
+  FROM own CROSS JOIN tongue t LEFT JOIN learnt l ON l.lang = t.lang AND l.g = own.g
+  GROUP BY {key}, t.lang),
+best AS (
+  SELECT {key}, arg_max(lang, s) AS language, 1 / sum(exp((s - top) / n)) AS confidence
+  FROM (SELECT *, max(s) OVER (PARTITION BY {key}) AS top FROM score) GROUP BY {key})
+SELECT {key}, coalesce(language, 'Unknown') AS language,
+       CAST(round(coalesce(confidence, 0), 4) AS FLOAT) AS confidence
+FROM {source} LEFT JOIN best USING ({key}))"""
+
+
 def panel_ctes(threshold: int = P.STEADY_THRESHOLD) -> str:
     return "WITH " + _PANEL_CTES.format(threshold=threshold)
 
@@ -76,9 +113,14 @@ SELECT venue_id, year, counts FROM filled ORDER BY venue_id, year""")
 sql("steady_venues", panel_ctes() + """
 SELECT venue_id, year FROM steady""")
 
-sql("citation_language", panel_ctes() + """,
+sql("steady_venues_store", panel_ctes() + """
+SELECT count(*) AS n_written, count(*) AS n_rows, 2 AS n_columns FROM steady""")
+
+
+def citation_sql(detection: str) -> str:
+    return panel_ctes() + f""",
 titled AS (SELECT work, text AS title FROM dated LEFT JOIN documents ON doc_id = work),
-spoken AS """ + stopword_detection_sql("titled", "title", "work") + """,
+spoken AS {detection},
 paper AS (
   SELECT venue_id, year, work AS id
   FROM hosted JOIN dated USING (work) JOIN steady ON venue_id = venue AND year = y),
@@ -89,17 +131,19 @@ SELECT venue_id, year, id, referenced_work_id, title, language, confidence
 FROM paper JOIN cites USING (id) LEFT JOIN target USING (referenced_work_id)
 UNION ALL
 SELECT venue_id, year, id, NULL, NULL, NULL, NULL
-FROM paper WHERE id NOT IN (SELECT id FROM cites)""")
+FROM paper WHERE id NOT IN (SELECT id FROM cites)"""
+
 
-SQL["citation_language_csv"] = SQL["citation_language"]
-SQL["citation_language_view"] = SQL["citation_language"]
+sql("citation_language", citation_sql(model_detection_sql("titled", "title", "work")))
+for _form in ("citation_language_csv", "citation_language_view"):
+    sql(_form, citation_sql(stopword_detection_sql("titled", "title", "work")))
 
 sql("detect_and_store", """
 WITH works_t AS (
   SELECT o.o_orderkey AS id, CAST(year(o.o_orderdate) AS INTEGER) AS publication_year,
          d.text AS title
   FROM orders o LEFT JOIN documents d ON d.doc_id = o.o_orderkey),
-detected AS """ + stopword_detection_sql("works_t", "title", "id") + """
+detected AS """ + model_detection_sql("works_t", "title", "id") + """
 SELECT w.id, w.publication_year, w.title, d.language, d.confidence
 FROM works_t w JOIN detected d ON w.id = d.id""")
 
@@ -162,36 +206,8 @@ SELECT 'counts', author_id, year, CAST(works_count AS VARCHAR), CAST(cited_by_co
 UNION ALL
 SELECT 'ids', author_id, NULL, openalex, orcid, NULL, NULL FROM ids""")
 
-sql("detect_language", f"""
-WITH word AS (
-  SELECT doc_id, lang, w FROM (
-    SELECT doc_id, lang, unnest(string_split(trim(regexp_replace(
-      lower(text), '[^\\p{{L}}]+', ' ', 'g')), ' ')) AS w FROM documents)
-  WHERE w <> ''),
-gram AS (
-  SELECT doc_id, lang, substring(' ' || w || ' ', CAST(i AS INTEGER), 3) AS g
-  FROM word, unnest(range(1, length(w) + 1)) t(i)),
-learnt AS (SELECT lang, g, count(*) AS c FROM gram
-           WHERE doc_id % {P.LANGUAGE_FOLDS} <> 0 AND lang IS NOT NULL GROUP BY lang, g),
-known AS (SELECT DISTINCT g FROM learnt),
-tongue AS (
-  SELECT lang, ln(docs / sum(docs) OVER ()) AS prior, total + (SELECT count(*) FROM known) AS denom
-  FROM (SELECT lang, count(*) AS docs FROM documents
-        WHERE doc_id % {P.LANGUAGE_FOLDS} <> 0 AND lang IS NOT NULL GROUP BY lang)
-  JOIN (SELECT lang, sum(c) AS total FROM learnt GROUP BY lang) USING (lang)),
-own AS (SELECT doc_id, g, count(*) AS k FROM gram JOIN known USING (g) GROUP BY doc_id, g),
-score AS (
-  SELECT doc_id, t.lang, sum(k) AS n,
-         any_value(prior) + sum(k * ln((coalesce(c, 0) + 1) / denom)) AS s
-  FROM own CROSS JOIN tongue t LEFT JOIN learnt l ON l.lang = t.lang AND l.g = own.g
-  GROUP BY doc_id, t.lang),
-best AS (
-  SELECT doc_id, arg_max(lang, s) AS language,
-         1 / sum(exp((s - top) / n)) AS confidence
-  FROM (SELECT *, max(s) OVER (PARTITION BY doc_id) AS top FROM score) GROUP BY doc_id)
-SELECT doc_id, coalesce(language, 'Unknown') AS language,
-       CAST(round(coalesce(confidence, 0), 4) AS FLOAT) AS confidence
-FROM documents LEFT JOIN best USING (doc_id)""")
+sql("detect_language", "SELECT * FROM " + model_detection_sql("documents", "text", "doc_id")
+    + " q")
 
 _USER_RATINGS = """
 SELECT o_custkey AS user_id, l_partkey AS item_id, l_quantity / 10 AS rating

@@ -20,7 +20,7 @@ from strata.plans import params as P
 from strata.plans.tables import StandIns
 from strata.session import scratch_path
 from strata.sources import readers, writers
-from strata.sources.frames import conform, create_empty_df
+from strata.sources.frames import conform, create_empty_df, parse_as
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,6 +50,24 @@ def steady_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _steady(StandIns(spark, sf_dir))
 
 
+@query
+def steady_venues_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2 as a job: the table is stored, its count rides on the write, and the
+    shape of what was stored comes back."""
+    path = scratch_path(spark, "steady-venues")
+    written = writers.write_with_count(_steady(StandIns(spark, sf_dir)), path)
+    rows, columns = writers.shape(readers.read_parquet(spark, path))
+    return spark.range(1).select(F.lit(written).cast("bigint").alias("n_written"),
+                                 F.lit(rows).cast("bigint").alias("n_rows"),
+                                 F.lit(columns).alias("n_columns"))
+
+
+def _language_model(s: StandIns) -> language.LanguageModel:
+    """The model of the documents' languages, fitted on its training half."""
+    train, _ = recommend.modulo_split(s.texts("documents"), "doc_id", P.LANGUAGE_FOLDS)
+    return language.fit_profiles(train, "text", "lang")
+
+
 def _stopword_detect(df: DataFrame) -> DataFrame:
     """The toy detector on titles, JVM-side (same result as the Python UDF)."""
     detected = language.stopword_language_column(F.col("title"))
@@ -57,13 +75,18 @@ def _stopword_detect(df: DataFrame) -> DataFrame:
                      detected["confidence"].alias("confidence"))
 
 
+def _citations(s: StandIns, detect: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    works = s.works().select(F.col("work_id").alias("id"), "publication_year")
+    return panel.citation_table(_steady(s), s.host().distinct(), works, s.references(),
+                                detect=detect, cited_works=s.works_titled())
+
+
 @query
 def citation_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 with the fitted language model."""
     s = StandIns(spark, sf_dir)
-    steady = _steady(s)
-    works = s.works().select(F.col("work_id").alias("id"), "publication_year")
-    return panel.citation_table(steady, s.host().distinct(), works, s.references(),
-                                detect=_stopword_detect, cited_works=s.works_titled())
+    model = _language_model(s)
+    return _citations(s, lambda works: language.add_language(model, works, "id", "title"))
 
 
 CITATION_SCHEMA = ("venue_id bigint, year int, id bigint, referenced_work_id bigint, "
@@ -91,7 +114,7 @@ CSV_OPTIONS = {"header": True, "quoteAll": True, "escape": '"',
 @query
 def citation_language_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B3 on all-string CSV copies of its inputs, joined in SQL text: the
-    join keys compare as strings; the result is conformed to the typed
+    join keys compare as strings; the result is parsed into the typed
     schema at the end."""
     for name, df in _citation_inputs(StandIns(spark, sf_dir)).items():
         path = scratch_path(spark, f"citation-csv-{name}")
@@ -101,7 +124,7 @@ def citation_language_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = panel.citation_table_sql(spark, "strata_csv_steady", "strata_csv_host",
                                    "strata_csv_works", "strata_csv_refs",
                                    _register_detector(spark))
-    return conform(out, CITATION_SCHEMA)
+    return parse_as(out, CITATION_SCHEMA)
 
 
 @query
@@ -119,9 +142,10 @@ def citation_language_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def detect_and_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detect the language of every work title, write the table
-    (overwrite, count riding on the write), read it back."""
-    detected = _stopword_detect(StandIns(spark, sf_dir).works_titled())
+    """Detect the language of every work title with the fitted model,
+    write the table (overwrite, count riding on the write), read it back."""
+    s = StandIns(spark, sf_dir)
+    detected = language.add_language(_language_model(s), s.works_titled(), "id", "title")
     path = scratch_path(spark, "works-detected")
     writers.write_with_count(detected, path, mode="overwrite")
     return readers.read_parquet(spark, path)
@@ -137,10 +161,8 @@ def language_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def detect_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = StandIns(spark, sf_dir).texts("documents")
-    train, _ = recommend.modulo_split(docs, "doc_id", P.LANGUAGE_FOLDS)
-    model = language.fit_profiles(train, "text", "lang")
-    return language.detect_language(model, docs, "doc_id", "text")
+    s = StandIns(spark, sf_dir)
+    return language.detect_language(_language_model(s), s.texts("documents"), "doc_id", "text")
 
 
 # --- B4: merges ------------------------------------------------------------------------
@@ -325,9 +347,11 @@ def group_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def filter_sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readers.register_view(spark, "strata_part", "parquet", f"{sf_dir.rstrip('/')}/part.parquet")
-    return spark.sql(f"SELECT * FROM strata_part WHERE p_partkey > {P.FILTER_MIN_KEY} "
+    path = f"{sf_dir.rstrip('/')}/part.parquet"
+    readers.register_view(spark, "strata_part", "parquet", path)
+    rows = spark.sql(f"SELECT * FROM strata_part WHERE p_partkey > {P.FILTER_MIN_KEY} "
                      "ORDER BY p_partkey DESC")
+    return conform(rows, readers.read_parquet(spark, path).schema)
 
 
 @query
@@ -336,8 +360,8 @@ def filter_sort_desc_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "part-json")
     writers.write_table(part, path, fmt="json")
     readers.read_json(spark, path).createOrReplaceTempView("strata_part_json")
-    typed = conform(spark.sql(f"SELECT * FROM strata_part_json WHERE p_partkey > "
-                              f"{P.FILTER_MIN_KEY} ORDER BY p_partkey DESC"), part.schema)
+    typed = parse_as(spark.sql(f"SELECT * FROM strata_part_json WHERE p_partkey > "
+                               f"{P.FILTER_MIN_KEY} ORDER BY p_partkey DESC"), part.schema)
     return typed
 
 
@@ -475,13 +499,11 @@ def split_quoted_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parse_double_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = StandIns(spark, sf_dir).t("events").select(
         "event_type", F.regexp_extract("props", r":\s*([^}]*)\}", 1).alias("k"))
-    valid = aggregates.mean_by(events, "event_type", "k", method="fold", bad="skip",
-                               name="k_mean")
-    every = aggregates.mean_by(events, "event_type", "k", method="join", bad="count",
-                               name="k_mean_all_rows")
-    bad = events.groupBy("event_type").agg(
-        F.count(F.when(parse_double(F.col("k")).isNull(), 1)).alias("k_bad"))
-    return valid.join(every, "event_type").join(bad, "event_type")
+    return (events.select("event_type", parse_double(F.col("k")).alias("k"))
+            .groupBy("event_type")
+            .agg(F.avg("k").alias("k_mean"),
+                 (F.sum("k") / F.count(F.lit(1))).alias("k_mean_all_rows"),
+                 F.count_if(F.col("k").isNull()).alias("k_bad")))
 
 
 # --- S1-S13, K1, K2: sources and sinks round trips --------------------------------------
@@ -503,21 +525,21 @@ def scan_csv_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = StandIns(spark, sf_dir).t("part")
     path = _round_trip(spark, part, "csv", "part-csv", header=True)
     strings = readers.read_csv(spark, path, infer=False)
-    return conform(strings, part.schema)
+    return parse_as(strings, part.schema)
 
 
 @query
 def scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = StandIns(spark, sf_dir).t("part")
     path = _round_trip(spark, part, "csv", "part-csv-infer", header=True)
-    return conform(readers.read_csv(spark, path, infer=True), part.schema)
+    return parse_as(readers.read_csv(spark, path, infer=True), part.schema)
 
 
 @query
 def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = StandIns(spark, sf_dir).t("part")
     path = _round_trip(spark, part, "json", "part-json-scan")
-    return conform(readers.read_json(spark, path), part.schema)
+    return parse_as(readers.read_json(spark, path), part.schema)
 
 
 @query

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    ArrayType, BinaryType, BooleanType, DataType, MapType, NumericType, StringType, StructField,
-    StructType,
+    ArrayType, BinaryType, BooleanType, DataType, DecimalType, MapType, NumericType, StringType,
+    StructField, StructType,
 )
 
 
@@ -88,21 +88,69 @@ def create_empty_df(spark: SparkSession, fields) -> DataFrame:
     return spark.range(0).select(*columns).to(schema)
 
 
-def conform(df: DataFrame, schema, strict: bool = True) -> DataFrame:
-    """Bind columns by name to ``schema``: reorder, drop extras, cast types.
-
-    ``strict=True`` casts (a bad value raises under ANSI); ``strict=False``
-    uses ``try_cast`` so a bad value becomes NULL. Missing columns raise.
-    """
-    schema = as_schema(schema)
+#: Number types, each safe to read as any later one.
+_WIDER = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _loses_nothing(source: DataType, target: DataType) -> bool:
+    """Whether every value of ``source`` reads as ``target``: the same type, a
+    wider number (floating point counts as wider than whole numbers), a
+    timestamp for a date, a string for any simple value."""
+    a, b = source.simpleString(), target.simpleString()
+    if source == target or a == "void":
+        return True
+    if isinstance(source, StructType) and isinstance(target, StructType):
+        return len(source) == len(target) and all(
+            f.name.lower() == g.name.lower() and _loses_nothing(f.dataType, g.dataType)
+            for f, g in zip(source, target))
+    if isinstance(source, ArrayType) and isinstance(target, ArrayType):
+        return _loses_nothing(source.elementType, target.elementType)
+    if isinstance(source, MapType) and isinstance(target, MapType):
+        return (_loses_nothing(source.keyType, target.keyType)
+                and _loses_nothing(source.valueType, target.valueType))
+    if isinstance(target, StringType):
+        return not isinstance(source, (StructType, ArrayType, MapType, BinaryType))
+    if isinstance(target, DecimalType):
+        digits = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}.get(a)
+        if isinstance(source, DecimalType):
+            digits = source.precision - source.scale
+            return source.scale <= target.scale and digits <= target.precision - target.scale
+        return digits is not None and digits <= target.precision - target.scale
+    if a in _WIDER and b in _WIDER:
+        return _WIDER.index(a) <= _WIDER.index(b)
+    return (a, b) in (("date", "timestamp"), ("date", "timestamp_ntz"))
+
+
+def _bound(df: DataFrame, schema, bind) -> DataFrame:
+    """The columns of ``schema`` by name, in its order; ``bind`` gives the
+    column of a field whose type differs. Missing columns raise."""
     present = {c.lower(): c for c in df.columns}
     out = []
-    for field in schema.fields:
+    for field in as_schema(schema).fields:
         source = present.get(field.name.lower())
         if source is None:
             raise ValueError(f"column {field.name!r} is missing; have {df.columns}")
-        column = F.col(f"`{source}`")
-        if df.schema[source].dataType != field.dataType:
-            column = column.cast(field.dataType) if strict else column.try_cast(field.dataType)
-        out.append(column.alias(field.name))
+        column, found = F.col(f"`{source}`"), df.schema[source].dataType
+        out.append((column if found == field.dataType else bind(column, found, field))
+                   .alias(field.name))
     return df.select(*out)
+
+
+def conform(df: DataFrame, schema) -> DataFrame:
+    """Bind columns by name to ``schema``: reorder, drop extras, widen types. A
+    cast that could lose something (a fraction, digits, a text that is no
+    number) is refused before anything runs; ``parse_as`` makes such casts."""
+    def bind(column: Column, found: DataType, field: StructField) -> Column:
+        if not _loses_nothing(found, field.dataType):
+            raise TypeError(f"column {field.name!r}: {found.simpleString()} does not fit "
+                            f"{field.dataType.simpleString()}; use parse_as")
+        return column.cast(field.dataType)
+
+    return _bound(df, schema, bind)
+
+
+def parse_as(df: DataFrame, schema, strict: bool = True) -> DataFrame:
+    """``conform`` with parsing casts: ``strict=True`` casts as ANSI does (a bad
+    value raises, a fraction is cut); ``strict=False`` makes a bad value NULL."""
+    return _bound(df, schema, lambda column, _, field: column.cast(field.dataType) if strict
+                  else column.try_cast(field.dataType))

@@ -6,7 +6,7 @@ from strata.operators import panel
 from strata.plans import queries as Q
 from strata.plans.tables import StandIns
 from strata.session import scratch_path
-from strata.sources import conform, read_json, write_table
+from strata.sources import parse_as, read_json, write_table
 from tests.conftest import SF_SMALL
 
 
@@ -19,6 +19,7 @@ def test_citation_on_json_copies_equals_parquet(spark):
     out = panel.citation_table_sql(spark, "strata_json_steady", "strata_json_host",
                                    "strata_json_works", "strata_json_refs",
                                    Q._register_detector(spark))
-    json_rows = sorted(map(tuple, conform(out, Q.CITATION_SCHEMA).collect()), key=str)
-    parquet_rows = sorted(map(tuple, Q.citation_language(spark, SF_SMALL).collect()), key=str)
+    json_rows = sorted(map(tuple, parse_as(out, Q.CITATION_SCHEMA).collect()), key=str)
+    frame = Q._citations(StandIns(spark, SF_SMALL), Q._stopword_detect)
+    parquet_rows = sorted(map(tuple, frame.collect()), key=str)
     assert json_rows == parquet_rows and len(parquet_rows) > 0

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from strata.operators.language import (
-    detect_language, fit_profiles, stopword_language, text_ngrams, with_language,
+    add_language, detect_language, fit_profiles, stopword_language, text_ngrams, with_language,
 )
 from strata.operators.recommend import hash_split
 from tests.conftest import SF_MID
@@ -43,6 +43,18 @@ def test_detect_unknown_for_empty_text(spark):
     assert out[3][0] == "en"
 
 
+def test_add_language_keeps_columns(spark):
+    train = spark.createDataFrame([("the cat and the dog", "en"), ("le chat et le chien", "fr")],
+                                  "text string, lang string")
+    df = spark.createDataFrame([(1, "the dog", "x"), (2, None, "y"), (None, "le chien", "z"),
+                                (3, "!!", None)], "id int, text string, other string")
+    out = add_language(fit_profiles(train, "text", "lang"), df, "id", "text")
+    assert out.columns == ["id", "text", "other", "language", "confidence"]
+    rows = {r["other"]: (r["id"], r["text"], r["language"]) for r in out.collect()}
+    assert rows == {"x": (1, "the dog", "en"), "y": (2, None, "Unknown"),
+                    "z": (None, "le chien", "fr"), None: (3, "!!", "Unknown")}
+
+
 def test_stopword_detector():
     assert stopword_language(None) == ("Unknown", 0.0)
     assert stopword_language("xyz") == ("Unknown", 0.0)

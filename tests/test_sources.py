@@ -6,8 +6,8 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from strata.session import scratch_path
 from strata.sources import (
-    conform, create_df, create_empty_df, read_or_empty, read_xml, register_view, write_table,
-    write_with_count,
+    conform, create_df, create_empty_df, parse_as, read_or_empty, read_xml, register_view,
+    write_table, write_with_count,
 )
 
 XML = '<page><title>A</title><revision><text bytes="3">x</text></revision></page>'
@@ -35,6 +35,34 @@ def test_conform_reorders_and_casts(spark):
         conform(df.select("a"), schema)
 
 
+@pytest.mark.parametrize(("source", "target"), [
+    ("double", "int"), ("bigint", "int"), ("string", "int"), ("decimal(20,2)", "decimal(10,2)"),
+    ("double", "bigint"), ("timestamp", "date"), ("bigint", "decimal(10,0)"),
+    ("array<double>", "array<int>")])
+def test_conform_refuses_casts_that_lose(spark, source, target):
+    df = spark.range(1).selectExpr(f"cast(NULL AS {source}) AS a")
+    with pytest.raises(TypeError, match="parse_as"):
+        conform(df, f"a {target}")
+    if "array" not in source:
+        assert parse_as(df, f"a {target}").schema["a"].dataType.simpleString() == target
+
+
+@pytest.mark.parametrize(("source", "target"), [
+    ("int", "bigint"), ("bigint", "double"), ("int", "string"), ("date", "timestamp"),
+    ("int", "decimal(12,2)"), ("decimal(8,2)", "decimal(10,2)"), ("array<int>", "array<bigint>"),
+    ("struct<x:int>", "struct<x:bigint>"), ("map<string,int>", "map<string,bigint>")])
+def test_conform_widens(spark, source, target):
+    df = spark.range(1).selectExpr(f"cast(NULL AS {source}) AS a")
+    assert conform(df, f"a {target}").schema["a"].dataType.simpleString() == target
+
+
+def test_parse_as_keeps_or_refuses_bad_values(spark):
+    df = spark.createDataFrame([("1.9",), ("x",)], "a string")
+    assert [r["a"] for r in parse_as(df, "a double", strict=False).collect()] == [1.9, None]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        parse_as(df, "a double").collect()
+
+
 def test_xml_nested_value(spark, tmp_path):
     path = tmp_path / "pages.xml"
     path.write_text(XML)
