@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -192,6 +193,34 @@ def test_trees_tell_valid_from_invalid_numbers(spark):
     assert right > 0.95
 
 
+def test_trees_find_disguised_spans(spark):
+    """Forms that no base format finds are added; numbers of no kind are not."""
+    rng = random.Random(3)
+
+    def digits(n):
+        return "".join(rng.choice("123456789") for _ in range(n))
+
+    def failing(number):
+        return number if not brute.luhn(number) else number[:-1] + str((int(number[-1]) + 1) % 10)
+
+    rows = []
+    for i in range(0, 800, 4):
+        rows += [(i, f"the river {rng.choice('abc')}x.{digits(2)}@mail{i % 7}.example.com runs"),
+                 (i + 1, f"a stone +1 ({digits(3)}) {digits(3)}-{digits(4)} of light"),
+                 (i + 2, f"number {failing(digits(16))} or {digits(8)} beta"),
+                 (i + 3, f"host {i % 250}.7.{i % 99}.8 and build {300 + i}.{i}.7.1 seen")]
+    hidden = {900: "the house ay.42 (at) mail3 (dot) example (dot) com stands",
+              901: "tree cx.17[at]mail5[dot]example[dot]com gamma",
+              902: "alpha (614) 555-1234 delta"}
+    rows += [*hidden.items(), (903, "nothing 5374040645122205 here"), (904, "none 12345678 here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in pii.scan_personal_data(docs).collect()}
+    assert spans[900].startswith("spelled_email:10:") and spans[901].startswith("spelled_email:5:")
+    assert spans[902] == "number_run:6:20"
+    assert spans[903] == spans[904] == ""
+    assert all(spans[i + 2] == "" for i in range(0, 800, 4))
+
+
 # --- 5 n-gram join
 
 def test_ngram_join_odd_rows(spark, docs_frame, odd_docs, no_docs):
