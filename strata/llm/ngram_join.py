@@ -12,6 +12,10 @@ first and linked in rounds, each verified by walking a trie of ordered sets:
 
 The rounds together compare, or connect, every pair that shares a first shingle,
 and no pairs are listed: probes walk tries, and only links come out.
+
+The number of links of every document is counted on request: all pairs of a
+component that can be similar are compared in blocks of sets, and each block
+pair gives one number per node.
 """
 
 from __future__ import annotations
@@ -35,6 +39,9 @@ SPACED = word_bytes("space")
 BUCKET_BYTES = 64 << 20
 TRIE_MEMBERS = 512
 STEP = 128
+#: Sets and tokens per block of the link count, and tokens per step of a product.
+BLOCK_SETS, BLOCK_TOKENS = 512, 1 << 20
+COLUMNS = 4096
 
 
 def first_count(n):
@@ -376,12 +383,16 @@ def _fits(n: Column, m: Column) -> Column:
     return F.least(n, m) * DEN >= F.greatest(n, m) * NUM
 
 
-def _node_links(ordered: DataFrame) -> DataFrame:
-    """(a, b) links that connect exactly the nodes that similar pairs connect."""
+def _first_tokens() -> Column:
+    """The tokens of a set of which similar sets share one at least."""
     own = F.col("n") - F.size("tokens")  # shingles that stand before the tokens
     p = F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1
-    firsts = ordered.select("node", "n", F.explode(
-        F.slice("tokens", F.lit(1), F.greatest(p - own, F.lit(0)).cast("int"))).alias("token"))
+    return F.slice("tokens", F.lit(1), F.greatest(p - own, F.lit(0)).cast("int"))
+
+
+def _node_links(ordered: DataFrame) -> DataFrame:
+    """(a, b) links that connect exactly the nodes that similar pairs connect."""
+    firsts = ordered.select("node", "n", F.explode(_first_tokens()).alias("token"))
     firsts = stored(firsts, "ngram-firsts")
     hubs = firsts.groupBy("token").agg(F.min(F.struct("node", "n")).alias("hub"))
     stars = (firsts.join(hubs, "token").filter(F.col("node") != F.col("hub.node"))
@@ -426,10 +437,120 @@ def _mixed(firsts: DataFrame, comps: DataFrame) -> DataFrame:
     return left.join(mixed, "token")
 
 
+# --- the number of links ----------------------------------------------------------
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values every list of ``left`` shares with every one of ``right``;
+    a list holds a value once."""
+    out = np.zeros((len(left), len(right)), dtype=np.int64)
+    if not left or not right:
+        return out
+    sides = [(np.concatenate(x), np.repeat(np.arange(len(x)), [len(y) for y in x]))
+             for x in (left, right)]
+    both = np.intersect1d(sides[0][0], sides[1][0])
+    if not len(both):
+        return out
+    placed = []
+    for flat, row in sides:
+        at = np.minimum(np.searchsorted(both, flat), len(both) - 1)
+        held = both[at] == flat
+        at, row = at[held], row[held]
+        order = np.argsort(at, kind="stable")
+        placed.append((at[order], row[order]))
+    for a in range(0, len(both), COLUMNS):
+        dense = []
+        for (at, row), lists in zip(placed, (left, right), strict=True):
+            x, y = np.searchsorted(at, (a, a + COLUMNS))
+            part = np.zeros((len(lists), min(COLUMNS, len(both) - a)), dtype=np.float32)
+            part[row[x:y], at[x:y] - a] = 1
+            dense.append(part)
+        out += (dense[0] @ dense[1].T).astype(np.int64)
+    return out
+
+
+def _block_links(left: list[tuple], right: list[tuple] | None) -> dict[bytes, int]:
+    """Per node its partners' copies between two blocks, or in one (``right``
+    None). Rows: (node, n, copies, tokens, at); a pair that shares a token before
+    ``at`` is counted in that token's group."""
+    other = left if right is None else right
+    n, m = (np.array([r[1] for r in x], dtype=np.int64) for x in (left, other))
+    counts = shared_counts([r[3] for r in left], [r[3] for r in other])
+    similar = (NUM + DEN) * counts >= NUM * (n[:, None] + m[None, :])
+    if any(r[4] for r in left) and any(r[4] for r in other):
+        similar &= shared_counts([r[3][:r[4]] for r in left], [r[3][:r[4]] for r in other]) == 0
+    if right is None:
+        np.fill_diagonal(similar, False)
+    links = {}
+    for x, y, found in ((left, other, similar), (right or [], left, similar.T)):
+        copies = np.array([r[2] for r in y], dtype=np.int64)
+        links.update((r[0], int(copies[row].sum())) for r, row in zip(x, found, strict=False)
+                     if row.any())
+    return links
+
+
+def _link_counts(ordered: DataFrame, comps: DataFrame, copies: DataFrame) -> DataFrame:
+    """(node, links): the documents in the similar nodes of every node; ``copies``:
+    (node, copies). Similar nodes are in one component, and share a first token.
+    A component is compared as a whole, or by first token (a pair in the group
+    of the first token that it shares) where these groups have fewer pairs."""
+    held = ordered.join(comps, "node").withColumn("held", F.size("tokens").cast("long"))
+    firsts = stored(held.select("component", "node", "held", F.posexplode(_first_tokens())
+                                .alias("at", "token")), "ngram-link-firsts")
+    whole = held.groupBy("component").agg(F.count("*").alias("m"), F.sum("held").alias("t"))
+    by_token = (firsts.groupBy("component", "token")
+                .agg(F.count("*").alias("m"), F.sum("held").alias("t")).filter("m > 1"))
+    cost = by_token.groupBy("component").agg(F.sum(F.col("m") * F.col("m")).alias("cost"))
+    whole = stored(whole.join(cost, "component"), "ngram-link-groups")
+    apart = whole.filter("m * m > cost").select("component")
+    units = (held.select("component", "node").withColumn("token", F.lit(None).cast("long"))
+             .withColumn("at", F.lit(0))
+             .join(whole.filter("m * m <= cost").drop("cost"), "component")
+             .unionByName(firsts.select("component", "node", "token", "at").join(
+                 by_token.join(apart, "component"), ["component", "token"])))
+    blocks = F.ceil(F.greatest(F.col("m") / BLOCK_SETS, F.col("t") / BLOCK_TOKENS))
+    dealt = (units.withColumn("blocks", blocks)
+             .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("component", "token", F.least("own", "other").alias("lo"),
+                     F.greatest("own", "other").alias("hi"),
+                     (F.col("own") > F.col("other")).alias("second"), "node", "at"))
+    rows = dealt.join(ordered.join(copies, "node"), "node").select(
+        "component", "token", "lo", "hi", "second", "node", "n", "copies", "at", "tokens")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, sides = None, ([], [])
+
+        def answer() -> pa.RecordBatch:
+            found = _block_links(sides[0], None if unit[2] == unit[3] else sides[1])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())],
+                names=["node", "links"])
+
+        for batch in batches:
+            lists = batch.column(9)
+            flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            ends = lists.offsets.to_numpy()
+            for i, (*key, second, node, n, copies_, at) in enumerate(zip(
+                    *(batch.column(c).to_pylist() for c in range(9)), strict=True)):
+                if key != unit:
+                    if unit:
+                        yield answer()
+                    unit, sides = key, ([], [])
+                sides[second].append((node, n, copies_, flat[ends[i]:ends[i + 1]].copy(), at))
+        if unit:
+            yield answer()
+
+    key = ["component", "token", "lo", "hi"]
+    return (map_batches(rows.repartition(*key).sortWithinPartitions(*key), run,
+                        "node binary, links long")
+            .groupBy("node").agg(F.sum("links").alias("links")))
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   size: int = SHINGLE) -> DataFrame:
+                   size: int = SHINGLE, links: bool = False) -> DataFrame:
     """One row per document row: ``id_col``, n_shingles, component_id (smallest
-    id reachable over links of similarity 0.75 or more, its own included).
+    id reachable over links of similarity 0.75 or more, its own included); with
+    ``links`` also n_links, the number of other document rows it links with.
 
     Null and empty texts, and those without words, have no shingles and link
     with nothing: component_id is their own id. A null id is reached like any
@@ -444,15 +565,23 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     able = stored(_able(nodes, rows, buckets, size), "ngram-able")
     ordered = stored(_ordered(stored(_sets(rows, able, size), "ngram-sets")), "ngram-ordered")
     comps = components(_node_links(ordered), "ngram-components")
-    linked = (nodes.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"))
-              .join(comps, "node", "left")
+    classes = nodes.filter("node is not null").groupBy("node").agg(
+        F.min("id").alias("id"), F.count("*").alias("copies"))
+    linked = (classes.join(comps, "node", "left")
               .withColumn("component", F.coalesce("component", "node")))
     names = linked.join(linked.groupBy("component").agg(F.min("id").alias("component_id")),
-                        "component").select("node", "component_id")
+                        "component").select("node", "component_id", "copies")
+    if links:
+        counts = stored(_link_counts(ordered, comps, classes.select("node", "copies")),
+                        "ngram-link-counts")
+        names = names.join(counts, "node", "left").withColumn(
+            "n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
+    more = ["n_links"] if links else []
     with_words = nodes.filter("node is not null").join(names, "node").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", *more)
     without = nodes.filter("node is null").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"),
+        *(F.lit(0).cast("long").alias(c) for c in more))
     return with_words.unionByName(without)
 
 

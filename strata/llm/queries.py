@@ -36,6 +36,10 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents"), links=True)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"),
                                      public_tokenizers.path(TOKENIZER))
@@ -141,6 +145,12 @@ ORACLES = {
         FROM whole""",
 }
 
+ORACLES["op5_ngram_links"] = (
+    ORACLES["op5_ngram_join"]
+    .replace("min(other) AS component_id",
+             "min(other) AS component_id,\n"
+             "               (SELECT count(*) FROM link WHERE x = reach.doc_id) AS n_links"))
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -88,13 +88,25 @@ def personal_data(docs):
     return out
 
 
-def components(docs):
-    """(id, shingles, smallest reachable id); ids must differ."""
+def shingle_sets(docs):
     sets = {}
     for d, t in docs:
         w = re.findall(r"[^\x20\x09-\x0D]+", low(t or ""))
         sets[d] = {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 \
             else ({tuple(w)} if w else set())
+    return sets
+
+
+def links(docs):
+    """(id, number of similar documents); ids must differ."""
+    sets = shingle_sets(docs)
+    return [(a, sum(a != b and bool(x & y) and 100 * len(x & y) >= 75 * len(x | y)
+                    for b, y in sets.items())) for a, x in sets.items()]
+
+
+def components(docs):
+    """(id, shingles, smallest reachable id); ids must differ."""
+    sets = shingle_sets(docs)
     parent = {d: d for d in sets}
 
     def find(x):

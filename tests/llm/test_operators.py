@@ -259,6 +259,36 @@ def test_ngram_join_query_and_stage(spark):
     assert {r.doc_id for r in kept.collect()} == {c for _, _, c in expected}
 
 
+def test_ngram_links_are_counted(spark, odd_docs, monkeypatch):
+    """Near copies, a long chain (counted by token), null and repeated ids: every
+    pair counts, also over several blocks."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 7)
+    rng = np.random.default_rng(4)
+    rows = [*odd_docs]
+    rows += [(100 + i, " ".join(f"c{j}" for j in range(4 * i, 4 * i + 60))) for i in range(60)]
+    for i in range(120):
+        words = [f"w{j}" for j in range(90)]
+        for _ in range(int(rng.integers(0, 4))):
+            words[int(rng.integers(0, 90))] = f"x{int(rng.integers(0, 12))}"
+        rows.append((200 + i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_join.similar_groups(docs, links=True).collect()
+    expected = brute.links([(k, t) for k, (_, t) in enumerate(rows)])
+    assert Counter((r.doc_id, r.n_links) for r in got) == Counter(
+        (rows[k][0], n) for k, n in expected)
+
+
+def test_ngram_links_query(spark):
+    from tests.compare import duckdb_connection
+
+    got = queries.op5_ngram_links(spark, SF)
+    rows = rows_of(got, "doc_id", "n_shingles", "component_id", "n_links")
+    docs = pairs(table(spark, "documents"), "doc_id", "text")
+    assert [(r[0], r[3]) for r in rows] == ordered(brute.links(docs))
+    sql = duckdb_connection(SF).execute(queries.ORACLES["op5_ngram_links"]).fetchall()
+    assert rows == ordered(sql)
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(bytes([i]), bytes([i + 1])) for i in range(60)]
                                   + [(b"\xf0", b"\xf1")], "a binary, b binary")
