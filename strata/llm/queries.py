@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import (chat, exact_dedup, ngram_join, packing, pii, secrets, sharding,
-               suffix_decontam, token_counts, toxicity)
+from . import (chat, collocations, exact_dedup, html_extraction, ngram_join, packing, pii, secrets,
+               sharding, suffix_decontam, token_counts, toxicity, whitening)
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -63,6 +64,21 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_digests(turns, public_tokenizers.path(TOKENIZER))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation that no 64-bit number holds is null here; the operator's
+    decimal has it."""
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in sorted(globals().items()) if name.startswith("op")}
 
@@ -145,6 +161,42 @@ ORACLES = {
         FROM whole""",
 }
 
+ORACLES["op13_collocations"] = rf"""
+    WITH piece AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex({_LOWER.format("text")}, '[.,;:!?\x0A-\x0D]')) AS p
+        FROM documents),
+    said AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+    total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM said GROUP BY lang),
+    freq AS (
+        SELECT lang, m, array_to_string(w[k:k + m - 1], ' ') AS phrase, count(*) AS f
+        FROM said, (VALUES (1), (2), (3), (4)) size(m), unnest(range(1, len(w) - m + 2)) t(k)
+        GROUP BY ALL HAVING count(*) >= 30),
+    cut AS (
+        SELECT lang, m, phrase, f AS a, k, string_split(phrase, ' ') AS w
+        FROM freq, unnest(range(1, m)) t(k)),
+    scored AS (
+        SELECT c.lang, c.m, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+               (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+        FROM cut c JOIN freq x ON x.lang = c.lang AND x.phrase = array_to_string(w[:k], ' ')
+                   JOIN freq y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+    weakest AS (
+        SELECT * FROM scored QUALIFY row_number() OVER (
+            PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inside AS (
+        SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS most
+        FROM (SELECT DISTINCT lang, m, a, w FROM cut), (VALUES (2), (3)) part(s),
+             unnest(range(1, m - s + 2)) t(i)
+        WHERE s < m GROUP BY ALL),
+    kept AS (
+        SELECT weakest.* FROM weakest LEFT JOIN inside USING (lang, phrase)
+        WHERE most IS NULL OR 100 * most < 80 * a),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+        FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+    FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+
 ORACLES["op5_ngram_links"] = (
     ORACLES["op5_ngram_join"]
     .replace("min(other) AS component_id",
