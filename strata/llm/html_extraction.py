@@ -26,7 +26,8 @@ from pyspark.sql import types as T
 
 from .common import map_batches, slices, text_of, utf8
 
-#: A path is content above this share of the scores' standard deviation.
+#: A path is content above this share of the scores' standard deviation, and above
+#: half the score of the page's typical character.
 LAMBDA = 0.8
 #: Weights of a block's neighbours in page order.
 KERNEL = np.array([0.25, 0.5, 0.25])
@@ -227,8 +228,9 @@ def path_scores(path: np.ndarray, chars: np.ndarray, marks: np.ndarray, linked:
         spread = ratio[path]
         smooth = np.convolve(np.pad(spread, 1, mode="edge"), KERNEL, mode="valid")
         fused *= np.where(spread > 0, smooth, 0)  # a path of links only stays out
-    score = np.bincount(path, np.sqrt(fused), n) / nodes
-    return score, score > min(LAMBDA * score[path].std(), 0.5 * score.max())
+    score = np.bincount(path, fused, n) / nodes
+    typical = float((score[path] * chars).sum() / max(chars.sum(), 1))
+    return score, score > max(LAMBDA * score[path].std(), typical / 2)
 
 
 def _holder(page: _Page, elements: list[int]) -> int:
