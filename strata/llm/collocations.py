@@ -12,17 +12,18 @@ extension of the prefix), the entries of the empty prefix are the words and thei
 is n, an entry of a shorter stripe is the total of a longer prefix, and the largest
 entries of the stripes of a phrase, and of the phrases that it ends, subsume it.
 
-A first pass keeps the stripes small. It adds up the occurrences of words and pairs of
-words in 2**27 hashed counters, whose bits (reached ``min_count`` or not, 16 MB at
-every size of the input) go to all tasks. A phrase that is frequent holds only frequent
-words and pairs, so what the bits rule out can't be a candidate or a part of one;
-whatever shares a counter with something frequent is counted for nothing, and where a
-larger input fills the counters more is, but nothing is lost.
+Two passes before keep the stripes small. The first adds up the occurrences of words
+and of pairs of words in 2**27 hashed counters, whose bits (reached ``min_count`` or
+not, 16 MB at every size of the input) go to all tasks; the second those of three and
+four words whose pairs passed. A frequent phrase holds only frequent words and shorter
+phrases, so what the bits rule out can't be a candidate or a part of one. What shares a
+counter with something frequent is counted for nothing; where a larger input fills
+the counters more is, but nothing is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -39,9 +40,9 @@ MAX_WORDS = 4
 TOP = 2000
 CHUNK_BITS, CHUNKS = 16, 1 << 11  # counters of a chunk (as a power of two), chunks
 #: Hashed occurrences that a task holds before it writes them.
-HELD_HASHES = 1 << 22
+HELD_HASHES = 1 << 21
 #: Entries of stripes that a task holds before it writes them.
-HELD_ENTRIES = 1 << 19
+HELD_ENTRIES = 1 << 18
 SALTS = 16  # of the words that are parts of phrases
 SEGMENTS = {0: 256, 1: 16}  # pieces of the stripes of no word and of one word
 
@@ -69,9 +70,24 @@ class _Words:
         breaks = np.concatenate([[0], np.cumsum(_BREAK[self.data])])
         self.joined = ((breaks[self.starts[1:]] == breaks[self.ends[:-1]])
                        & (row[1:] == row[:-1])) if len(row) else np.zeros(0, bool)
-        own = mix(self.hash ^ self.lang)
-        self.one = own
-        self.two = mix(own[:-1] * _PAIR + own[1:]) if len(own) else own
+        self.own = mix(self.hash ^ self.lang)  # a word of a language
+
+    def phrases(self, rule: Callable[[int, np.ndarray], np.ndarray] | None = None
+                ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For 1 to ``MAX_WORDS`` words: (m, hash, good), one per place of a phrase's
+        first word; good are the phrases within a piece whose parts ``rule`` (m,
+        hashes) lets pass, and which it lets pass themselves."""
+        key, good = self.own, np.ones(len(self.own), bool)
+        for m in range(1, MAX_WORDS + 1):
+            if m > 1:  # the phrase of m - 1 words at i, that at i + 1, and one more word
+                good = good[:-1] & good[1:] & (self.joined[:len(key) - 1] if m == 2 else True)
+                key = mix(key[:-1] * _PAIR + self.own[m - 1:])
+            if not good.any():
+                return
+            if rule is not None:
+                good = good.copy()
+                good[good] = rule(m, key[good])
+            yield m, key, good
 
     def strings(self) -> pa.Array:
         """The words, A-Z in lower case."""
@@ -97,14 +113,35 @@ def _words_of(batch: pa.RecordBatch) -> Iterator[tuple[_Words, pa.Array]]:
         yield _Words(data, offsets[a:b + 1], numbers[row[a:b]]), langs.slice(a, b - a)
 
 
-def _counters(texts: DataFrame, min_count: int) -> bytes:
-    """The bits of the hashed counters that reach ``min_count``."""
+def _rule(bits: list[np.ndarray]) -> Callable[[int, np.ndarray], np.ndarray]:
+    """Whether the counters of phrases reached their number: ``bits`` of one and two
+    words, and of three and four; without bits all pass."""
+    def passes(m: int, hashes: np.ndarray) -> np.ndarray:
+        if (m > 2) >= len(bits):
+            return np.ones(len(hashes), bool)
+        place = _place(hashes)
+        byte = bits[m > 2][place >> np.uint32(3)]
+        return (byte >> (7 - (place & np.uint32(7))).astype(np.uint8) & 1).astype(bool)
+
+    return passes
+
+
+def _counters(texts: DataFrame, min_count: int, known: list) -> bytes:
+    """The bits of the hashed counters that reach ``min_count``: of one and two words
+    without ``known`` bits (broadcast), else of three and four."""
+    sizes = (3, 4) if known else (1, 2)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
+        rule = _rule([np.frombuffer(b.value, np.uint8) for b in known])
         for batch in batches:
             for words, _ in _words_of(batch):
-                held += [_place(words.one), _place(words.two[words.joined])]
-                size += len(held[-1]) + len(held[-2])
+                for m, key, good in words.phrases(rule):
+                    if m in sizes:
+                        held.append(_place(key[good]))
+                        size += len(held[-1])
+                    if m == sizes[-1]:
+                        break
                 if size >= HELD_HASHES:
                     yield _packed(held)
                     held, size = [], 0
@@ -162,25 +199,18 @@ def _packed(places: list[np.ndarray]) -> pa.RecordBatch:
            for a in (at, n)]], names=["chunk", "at", "n"])
 
 
-def _entries(words: _Words, langs: pa.Array, bits: np.ndarray, strings: pa.Array,
+def _entries(words: _Words, rule: Callable[[int, np.ndarray], np.ndarray],
              lang_of: dict[int, str]) -> list[pa.Table]:
     """The slice's stripes' entries: (lang, prefix, seg, word, n)."""
-    def frequent(hashes: np.ndarray) -> np.ndarray:
-        place = _place(hashes)
-        return (bits[place >> np.uint32(3)] >> (7 - (place & np.uint32(7))).astype(np.uint8)
-                & 1).astype(bool)
-
-    single = frequent(words.one)
-    pair = words.joined & single[:-1] & single[1:] if len(single) else words.joined
-    pair[pair] = frequent(words.two[pair])
-    out = []
-    key, other = words.one, mix(words.hash + np.uint64(0x2545F4914F6CDD1D)) ^ words.lang
-    good = single
-    for m in range(1, MAX_WORDS + 1):
-        if m > 1:  # the phrase of m words at i: that of m - 1 words at i, and the pair after it
-            good = good[:-1] & pair[m - 2:] if len(good) else good
-            key = mix(key[:-1] * _PAIR + words.one[m - 1:]) if len(key) else key
-            other = mix(other[:-1] + words.hash[m - 1:] * _PAIR) if len(other) else other
+    strings = words.strings()
+    out, single = [], np.zeros(len(words.own), bool)
+    # A second hash tells phrases apart that share the first.
+    other = mix(words.hash + np.uint64(0x2545F4914F6CDD1D)) ^ words.lang
+    for m, key, good in words.phrases(rule):
+        if m == 1:
+            single = good
+        else:
+            other = mix(other[:-1] + words.hash[m - 1:] * _PAIR)
         place = np.flatnonzero(good)
         if not len(place):
             break
@@ -194,7 +224,7 @@ def _entries(words: _Words, langs: pa.Array, bits: np.ndarray, strings: pa.Array
         prefix = (pc.binary_join_element_wise(*taken[:-1], pa.scalar(" ", pa.large_string()))
                   if m > 1 else pa.array([""] * len(first), pa.large_string()))
         seg = words.hash[first + m - 1] % np.uint64(SEGMENTS.get(m - 1, 1))
-        lang = pa.array([lang_of[int(x)] for x in words.lang[first]], pa.large_string())
+        lang = pa.array([lang_of[x] for x in words.lang[first].tolist()], pa.large_string())
         out.append(pa.table({"lang": lang, "prefix": prefix, "seg": pa.array(seg.astype(np.int32)),
                              "word": taken[-1], "n": pa.array(n.astype(np.int64))}))
     # What the words ruled out add to n: the entry of the empty word, in the empty prefix.
@@ -202,7 +232,7 @@ def _entries(words: _Words, langs: pa.Array, bits: np.ndarray, strings: pa.Array
     if len(left):
         empty = pa.array([""] * len(left), pa.large_string())
         out.append(pa.table({
-            "lang": pa.array([lang_of[int(x)] for x in left], pa.large_string()), "prefix": empty,
+            "lang": pa.array([lang_of[x] for x in left.tolist()], pa.large_string()), "prefix": empty,
             "seg": pa.array(np.zeros(len(left), np.int32)), "word": empty, "n": pa.array(n)}))
     return out
 
@@ -235,17 +265,19 @@ def _as_stripes(entries: pa.Table) -> Iterator[pa.RecordBatch]:
 def merged_stripes(texts: DataFrame, min_count: int) -> DataFrame:
     """(lang, prefix, seg, word, f): the merged stripes of ``texts`` (text, lang),
     entries of ``min_count`` and more, and the empty word's in the empty prefix."""
-    bits = texts.sparkSession.sparkContext.broadcast(_counters(texts, min_count))
+    share = texts.sparkSession.sparkContext.broadcast
+    bits = [share(_counters(texts, min_count, []))]
+    bits.append(share(_counters(texts, min_count, bits[:1])))
 
     def stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = np.frombuffer(bits.value, np.uint8)
+        rule = _rule([np.frombuffer(b.value, np.uint8) for b in bits])
         held, size, floor = [], 0, 0
         for batch in batches:
             for words, langs in _words_of(batch):
                 if not len(words.hash):
                     continue
                 names = dict(zip(words.row_lang.tolist(), langs.to_pylist(), strict=True))
-                held += _entries(words, langs, frequent, words.strings(), names)
+                held += _entries(words, rule, names)
                 size = sum(map(len, held))
                 if size >= max(HELD_ENTRIES, 2 * floor):
                     held = [_added(held)]
