@@ -1,39 +1,47 @@
 """Language detection of a text column.
 
 The reference calls a native per-row library from a Python UDF. Here the
-detector is a Spark job instead:
-
-* ``fit_profiles`` learns a character n-gram model from labelled text: n-gram
-  counts per language with partial aggregates over distinct words. Every n-gram
-  that was seen is in the model.
+detector is a Spark job over a stored model:
+
+* ``fit_profiles`` learns a character n-gram model from labelled text and writes it
+  as two tables in long form: ``grams(gram, lang, gain)``, how much an n-gram speaks
+  for a language (a row without a language marks that the n-gram is known), and
+  ``languages(lang, prior, unseen)``. Every n-gram that was seen is in the model;
+  nothing is collected, however many labels or n-grams there are.
+  ``load_profiles`` opens a stored model, ``register_profiles`` makes SQL views of it.
 * ``detect_language`` counts each text's words, scores every distinct word once
   (its n-grams joined with the model) and joins the word scores to the texts'
-  word counts. Joins carry no hints; AQE broadcasts or splits.
+  word counts. ``detection_sql`` is the same as SQL text over the model's views.
+  Joins carry no hints; AQE broadcasts or splits.
 
 Scoring is multinomial naive Bayes with Laplace smoothing over the union of
-the languages' n-grams; others carry no evidence. The confidence is a softmax of the per-n-gram mean log
-likelihoods, rounded half-up to 4 digits and stored as a 32-bit float.
-``Unknown`` with 0.0 when a text has no n-gram (NULL, blank or too short).
-
-``with_language`` wraps any Python detector ``text -> (language,
-confidence)`` in an Arrow-batched pandas UDF returning a struct, the
-reference's UDF surface.
+the languages' n-grams; others carry no evidence. A text's candidates are the
+languages that have seen one of its n-grams or more. The confidence is a softmax
+over the candidates' per-n-gram mean log likelihoods, rounded half-up to 4 digits
+and stored as a 32-bit float. ``Unknown`` with 0.0 when a text has no known n-gram
+(NULL, blank or too short).
+
+``with_language`` runs any Python detector as an Arrow-batched pandas UDF returning
+a struct, the reference's UDF surface: a detector of one text, or (``batch=True``)
+one of a whole pandas Series, which need not loop over rows.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, StringType, StructField, StructType
 
 from strata.functions.strings import round_to_float
-from strata.session import checkpoint_dir, workers_can_import
+from strata.session import scratch_path, workers_can_import
 
 DETECTION_SCHEMA = StructType([StructField("language", StringType(), False),
                                StructField("confidence", FloatType(), False)])
@@ -68,19 +76,22 @@ def text_ngrams(df: DataFrame, keys: list[str], text_col: str, n: int = 3,
 
 @dataclass
 class LanguageModel:
-    languages: list[str]
-    log_priors: list[float]
-    table: DataFrame          # gram, logp (array<double> aligned with languages)
+    grams: DataFrame      # gram, lang (NULL: the gram is known), gain
+    languages: DataFrame  # lang, prior, unseen
     n: int
 
 
 def fit_profiles(labelled: DataFrame, text_col: str, label_col: str, n: int = 3,
-                 alpha: float = 1.0) -> LanguageModel:
-    """Learn per-language n-gram profiles from labelled text.
+                 alpha: float = 1.0, path: str | None = None) -> LanguageModel:
+    """Learn per-language n-gram profiles from labelled text and store them in
+    ``path`` (default: the scratch folder).
 
-    The vocabulary is every n-gram seen; each language gets Laplace-smoothed
-    log probabilities over it. The labels are the languages, a short list.
+    The vocabulary is every n-gram seen; each language gets Laplace-smoothed log
+    probabilities over it. A seen n-gram gains ``ln(1 + count / alpha)`` over an
+    unseen one, whatever the language, so the two tables need no join.
     """
+    spark = labelled.sparkSession
+    path = path or scratch_path(spark, "language-model")
     docs = labelled.select(F.col(label_col).alias("lang"), F.col(text_col).alias("t")) \
         .where(F.col("lang").isNotNull())
     # Count words first (partial aggregate: texts repeat their words), then
@@ -90,70 +101,111 @@ def fit_profiles(labelled: DataFrame, text_col: str, label_col: str, n: int = 3,
              .groupBy("lang", "_w").agg(F.count(F.lit(1)).alias("_wc")))
     counts = (words.select("lang", "_wc", F.explode(word_ngrams(F.col("_w"), n)).alias("gram"))
               .groupBy("lang", "gram").agg(F.sum("_wc").alias("c")))
-    # The (language, n-gram) counts are small next to the text; write them
-    # once to the shared checkpoint folder so the explode runs only once.
-    checkpoint_dir(labelled.sparkSession)
-    counts = counts.checkpoint()
-    stats = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).collect()
-    languages = sorted(r["lang"] for r in stats)
-    doc_counts = {r["lang"]: r["docs"] for r in stats}
-    total_docs = sum(doc_counts.values())
-
-    size = counts.select("gram").distinct().count()
-    totals = {r["lang"]: r["total"] for r in
-              counts.groupBy("lang").agg(F.sum("c").alias("total")).collect()}
-    denominators = {lang: totals.get(lang, 0) + alpha * size for lang in languages}
-    unseen = [math.log(alpha / denominators[lang]) for lang in languages]
-    index = {lang: i for i, lang in enumerate(languages)}
-
-    def lookup(mapping):
-        return F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(mapping[lang]))])
-
-    logp = F.log((F.col("c") + alpha) / lookup(denominators)[F.col("lang")])
-    table = (counts.select("gram", lookup(index)[F.col("lang")].alias("i"), logp.alias("lp"))
-             .groupBy("gram")
-             .agg(F.map_from_entries(F.collect_list(F.struct("i", "lp"))).alias("m"))
-             .select("gram", F.array(*[F.coalesce(F.col("m")[F.lit(i)], F.lit(unseen[i]))
-                                       for i in range(len(languages))]).alias("logp")))
-    priors = [math.log(doc_counts[lang] / total_docs) for lang in languages]
-    return LanguageModel(languages, priors, table, n)
+    counts.write.parquet(f"{path}/counts")
+    counts = spark.read.parquet(f"{path}/counts")
+    known = counts.select("gram", F.lit(None).cast("string").alias("lang"),
+                          F.lit(0.0).alias("gain")).distinct()
+    counts.select("gram", F.col("lang").cast("string").alias("lang"),
+                  F.log1p(F.col("c") / F.lit(float(alpha))).alias("gain")) \
+        .unionByName(known).write.parquet(f"{path}/grams")
+    size = counts.select(F.countDistinct("gram")).scalar()
+    per_lang = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
+    all_docs = per_lang.select(F.sum("docs")).scalar()
+    totals = counts.groupBy("lang").agg(F.sum("c").alias("total"))
+    (per_lang.join(totals, "lang", "left")
+     .select(F.col("lang").cast("string").alias("lang"), F.log(F.col("docs") / all_docs).alias("prior"),
+             F.log(F.lit(float(alpha)) / (F.coalesce("total", F.lit(0)) + F.lit(float(alpha)) * size))
+             .alias("unseen"))
+     .write.parquet(f"{path}/languages"))
+    spark.range(1).select(F.lit(n).alias("n")).write.parquet(f"{path}/settings")
+    return load_profiles(spark, path)
+
+
+def load_profiles(spark: SparkSession, path: str) -> LanguageModel:
+    """The model stored in ``path``."""
+    return LanguageModel(spark.read.parquet(f"{path}/grams"),
+                         spark.read.parquet(f"{path}/languages"),
+                         spark.read.parquet(f"{path}/settings").first()["n"])
+
+
+def register_profiles(model: LanguageModel, name: str) -> str:
+    """Temporary views ``{name}_grams`` and ``{name}_languages`` for SQL."""
+    model.grams.createOrReplaceTempView(f"{name}_grams")
+    model.languages.createOrReplaceTempView(f"{name}_languages")
+    return name
 
 
 def detect_language(model: LanguageModel, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, language, confidence)`` for every row of ``df`` (ids unique).
-    N-grams outside the model's vocabulary carry no evidence."""
-    langs = model.languages
-    words = (df.select(id_col, F.explode_outer(F.split(normalized(F.col(text_col)), " "))
-                       .alias("_w"))
-             .groupBy(id_col, "_w").agg(F.count(F.lit(1)).alias("_k")))
+    """``(id, language, confidence)`` for every row of ``df`` (ids unique)."""
+    words = (df.select(F.col(id_col).alias("_id"),
+                       F.explode_outer(F.split(normalized(F.col(text_col)), " ")).alias("_w"))
+             .groupBy("_id", "_w").agg(F.count(F.lit(1)).alias("_k")))
     known = (words.select("_w").distinct()
              .select("_w", F.explode(word_ngrams(F.col("_w"), model.n)).alias("gram"))
-             .join(model.table, "gram").groupBy("_w")
-             .agg(F.count(F.lit(1)).alias("_g"),
-                  *[F.sum(F.col("logp")[i]).alias(f"_p{i}") for i in range(len(langs))]))
-    scored = (words.join(known, "_w", "left").groupBy(id_col)
-              .agg(F.coalesce(F.sum(F.col("_k") * F.col("_g")), F.lit(0)).alias("_n"),
-                   *[F.sum(F.col("_k") * F.col(f"_p{i}")).alias(f"_s{i}")
-                     for i in range(len(langs))]))
-    scores = [F.lit(model.log_priors[i]) + F.coalesce(F.col(f"_s{i}"), F.lit(0.0))
-              for i in range(len(langs))]
-    scored = scored.select(id_col, "_n", *[s.alias(f"_score{i}") for i, s in enumerate(scores)])
-    best = F.greatest(*[F.col(f"_score{i}") for i in range(len(langs))]) if len(langs) > 1 \
-        else F.col("_score0")
-    scored = scored.withColumn("_best", best)
-    language = F.coalesce(*[F.when(F.col(f"_score{i}") == F.col("_best"), F.lit(lang))
-                            for i, lang in enumerate(langs)])
-    per_gram = F.greatest(F.col("_n"), F.lit(1)).cast("double")
-    mass = sum((F.exp((F.col(f"_score{i}") - F.col("_best")) / per_gram)
-                for i in range(len(langs))), F.lit(0.0))
-    known = F.col("_n") > 0
+             .join(model.grams, "gram").groupBy("_w", "lang")
+             .agg(F.sum("gain").alias("_gain"), F.count(F.lit(1)).alias("_g")))
+    # A row per text and candidate; the row without a language counts known n-grams.
+    per_lang = (words.join(known, "_w", "left").groupBy("_id", "lang")
+                .agg(F.sum(F.col("_k") * F.col("_gain")).alias("_gain"),
+                     F.sum(F.col("_k") * F.col("_g")).alias("_n"))
+                .join(model.languages, "lang", "left"))
+    candidate = F.when(F.col("lang").isNotNull(), F.struct("lang", "prior", "unseen", "_gain"))
+    texts = per_lang.groupBy("_id").agg(
+        F.max(F.when(F.col("lang").isNull(), F.col("_n"))).cast("double").alias("_n"),
+        F.collect_list(candidate).alias("_of"))
+    scored = texts.select("_id", "_n", F.transform("_of", lambda c: F.struct(
+        (-(c["prior"] + F.col("_n") * c["unseen"] + c["_gain"])).alias("loss"),
+        c["lang"].alias("lang"))).alias("_of")).select("*", F.array_min("_of").alias("_best"))
+    mass = F.aggregate("_of", F.lit(0.0), lambda total, c: total + F.exp(
+        (F.col("_best.loss") - c["loss"]) / F.col("_n")))
+    known = F.size("_of") > 0
     return scored.select(
-        id_col,
-        F.when(known, language).otherwise(F.lit(UNKNOWN)).alias("language"),
+        F.col("_id").alias(id_col),
+        F.when(known, F.col("_best.lang")).otherwise(F.lit(UNKNOWN)).alias("language"),
         F.when(known, round_to_float(F.lit(1.0) / mass, 4))
         .otherwise(F.lit(0.0).cast(FloatType())).alias("confidence"))
 
 
+DETECTION_SQL = """
+WITH word AS (
+  SELECT {key} AS id, w, count(*) AS k
+  FROM {source} LATERAL VIEW OUTER
+       explode(split(trim(regexp_replace(lower({text}), '[^\\\\p{{L}}]+', ' ')), ' ')) AS w
+  GROUP BY {key}, w),
+piece AS (
+  SELECT w, explode(transform(sequence(1, length(w) + 3 - {n}),
+                              i -> substring(concat(' ', w, ' '), i, {n}))) AS gram
+  FROM (SELECT DISTINCT w FROM word WHERE length(w) >= greatest(1, {n} - 2))),
+known AS (
+  SELECT w, lang, sum(gain) AS gain, count(*) AS g
+  FROM piece JOIN {model}_grams USING (gram) GROUP BY w, lang),
+heard AS (
+  SELECT id, lang, sum(k * gain) AS gain, sum(k * g) AS n
+  FROM word LEFT JOIN known USING (w) GROUP BY id, lang),
+size AS (SELECT id, max(n) FILTER (WHERE lang IS NULL) AS n FROM heard GROUP BY id),
+score AS (
+  SELECT id, lang, size.n, prior + size.n * unseen + gain AS s
+  FROM heard JOIN {model}_languages USING (lang) JOIN size USING (id)),
+best AS (
+  SELECT id, min_by(lang, struct(-s AS loss, lang)) AS language,
+         1 / sum(exp((s - top) / n)) AS confidence
+  FROM (SELECT *, max(s) OVER (PARTITION BY id) AS top FROM score) GROUP BY id)
+SELECT size.id AS {key}, coalesce(language, 'Unknown') AS language,
+       CAST(round(coalesce(confidence, 0), 4) AS FLOAT) AS confidence
+FROM size LEFT JOIN best USING (id)
+"""
+
+
+def detection_sql(model: LanguageModel, registered: str, source: str, key: str, text: str) -> str:
+    """``detect_language`` as Spark SQL text: ``(key, language, confidence)`` for
+    every row of the table ``source`` (keys unique), by the model whose views
+    ``register_profiles`` made."""
+    for name in (registered, source, key, text):
+        if not name.replace("_", "").isalnum():
+            raise ValueError(f"bad identifier {name!r}")
+    return DETECTION_SQL.format(source=source, key=key, text=text, n=model.n, model=registered)
+
+
 def add_language(model: LanguageModel, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``df`` with all its columns plus ``language`` and ``confidence`` (ids unique).
     Rows without text are ``Unknown`` and take no part in the detection."""
@@ -165,7 +217,7 @@ def add_language(model: LanguageModel, df: DataFrame, id_col: str, text_col: str
                     F.coalesce("confidence", F.lit(0.0).cast(FloatType())).alias("confidence")))
 
 
-# Stop words of the toy detector, by language code (our own lists).
+# The stop words of an example detector, by language code (our own lists).
 STOP_WORDS = {
     "de": ("der", "die", "und", "den", "von", "zu", "das", "sich", "mit", "auf", "für",
            "ist", "nicht", "dem", "ein"),
@@ -176,64 +228,43 @@ STOP_WORDS = {
     "fr": ("le", "et", "les", "des", "un", "du", "une", "est", "qui", "dans", "pour", "par",
            "pas", "au", "sur"),
 }
-_STOP_SETS = {lang: frozenset(words) for lang, words in STOP_WORDS.items()}
-_SPLIT = re.compile(r"[ \t\n]+")
-
-
-def stopword_language(text: str | None) -> tuple[str, float]:
-    """Toy detector: the language with most stop-word hits (ties: first code in
-    alphabetical order); confidence = its share of all hits, cut to 4
-    decimals. ``("Unknown", 0.0)`` without any hit."""
-    if text is None:
-        return UNKNOWN, 0.0
-    tokens = _SPLIT.split(text.lower())
-    hits = {lang: 0 for lang in STOP_WORDS}
-    for token in tokens:
-        for lang, words in _STOP_SETS.items():
-            if token in words:
-                hits[lang] += 1
-    total = sum(hits.values())
-    if total == 0:
-        return UNKNOWN, 0.0
-    best = max(sorted(hits), key=lambda lang: hits[lang])
-    return best, (10000 * hits[best] // total) / 10000
-
-
-def stopword_language_column(text: Column) -> Column:
-    """``stopword_language`` as built-in Column expressions (no Python
-    worker): ``struct<language, confidence>`` with the same result."""
+
+
+def stopword_language(texts: pd.Series) -> pd.DataFrame:
+    """An example of a batch detector: the language with most stop-word hits (ties:
+    first code in alphabetical order); confidence = its share of all hits, cut to 4
+    decimals; ``Unknown`` with 0.0 without any hit. Works on the whole batch."""
+    listed = {word: lang for lang, words in STOP_WORDS.items() for word in words}
+    if len(listed) != sum(map(len, STOP_WORDS.values())):
+        raise ValueError("a stop word of two languages")
     langs = sorted(STOP_WORDS)
-    tokens = F.split(F.lower(text), "[ \t\n]+")
-    def member_of(words):
-        return lambda t: t.isin(*words)
-
-    hits = {lang: F.coalesce(F.size(F.filter(tokens, member_of(STOP_WORDS[lang]))), F.lit(0))
-            for lang in langs}
-    total = sum((hits[lang] for lang in langs), F.lit(0))
-    best = F.greatest(*hits.values())
-    language = F.lit(langs[-1])
-    for i in range(len(langs) - 2, -1, -1):
-        lang = langs[i]
-        beats_rest = F.lit(True)
-        for other in langs[i + 1:]:
-            beats_rest = beats_rest & (hits[lang] >= hits[other])
-        language = F.when(beats_rest, F.lit(lang)).otherwise(language)
-    share = F.floor(F.lit(10000) * best / total) / F.lit(10000.0)
-    known = total > 0
-    return F.struct(F.when(known, language).otherwise(F.lit(UNKNOWN)).alias("language"),
-                    F.when(known, share).otherwise(F.lit(0.0)).cast(FloatType())
-                    .alias("confidence"))
-
-
-def language_udf(detector: Callable[[str | None], tuple]):
-    """A Python detector ``text -> (language, confidence)`` as an
-    Arrow-batched pandas UDF returning ``struct<language, confidence>``."""
+    tokens = pa.array(texts, pa.large_string(), from_pandas=True)
+    pieces = pc.split_pattern_regex(pc.utf8_lower(tokens), "[ \\t\\n]+")
+    row = pc.list_parent_indices(pieces).to_numpy()
+    at = pc.index_in(pc.list_flatten(pieces), pa.array(list(listed), pa.large_string()))
+    hit = at.is_valid().to_numpy(zero_copy_only=False)
+    lang = np.array([langs.index(code) for code in listed.values()])[
+        pc.fill_null(at, 0).to_numpy(zero_copy_only=False)[hit]]
+    hits = np.bincount(row[hit] * len(langs) + lang, minlength=len(texts) * len(langs)).reshape(
+        len(texts), len(langs))
+    total, best = hits.sum(1), hits.argmax(1)
+    share = (10000 * hits.max(1, initial=0) // np.maximum(total, 1)) / 10000
+    return pd.DataFrame({"language": np.where(total > 0, np.array(langs, object)[best], UNKNOWN),
+                         "confidence": np.where(total > 0, share, 0.0)})
+
+
+def language_udf(detector: Callable, batch: bool = False):
+    """A Python detector as an Arrow-batched pandas UDF returning
+    ``struct<language, confidence>``: ``text -> (language, confidence)``, or with
+    ``batch`` ``Series -> DataFrame(language, confidence)``."""
     active = SparkSession.getActiveSession()
     if active is not None:
         workers_can_import(active)
 
     @F.pandas_udf(DETECTION_SCHEMA)
     def detect(texts: pd.Series) -> pd.DataFrame:
+        if batch:
+            return detector(texts).astype({"confidence": "float64"})
         pairs = [detector(None if t is None or (isinstance(t, float) and math.isnan(t)) else t)
                  for t in texts]
         return pd.DataFrame({"language": [p[0] for p in pairs],
@@ -242,11 +273,11 @@ def language_udf(detector: Callable[[str | None], tuple]):
     return detect
 
 
-def with_language(df: DataFrame, text_col: str, detector: Callable[[str | None], tuple],
-                  out_col: str = "detection", expand: bool = True) -> DataFrame:
+def with_language(df: DataFrame, text_col: str, detector: Callable, out_col: str = "detection",
+                  expand: bool = True, batch: bool = False) -> DataFrame:
     """Apply a Python detector through ``language_udf``; ``expand`` spreads
     the struct into ``language`` and ``confidence`` columns."""
-    out = df.withColumn(out_col, language_udf(detector)(F.col(text_col)))
+    out = df.withColumn(out_col, language_udf(detector, batch)(F.col(text_col)))
     if not expand:
         return out
     keep = [c for c in out.columns if c != out_col]

@@ -26,6 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.language import LanguageModel, detection_sql, register_profiles
 from strata.session import checkpoint_dir
 
 def period_table(spark: SparkSession, periods, column: str = "year") -> DataFrame:
@@ -147,17 +148,16 @@ def cited_only(works: DataFrame, references: DataFrame, work_id: str = "id",
     return works.join(targets, work_id, "left_semi")
 
 
-
+# The works that some reference points at, and the citation table over them.
+CITED_SQL = "SELECT id, title FROM {works} LEFT SEMI JOIN {refs} ON id = referenced_work_id"
 CITATION_SQL = """
-WITH target AS (
-  SELECT id, title, {detector}(title) AS found
-  FROM {works} LEFT SEMI JOIN {refs} ON id = referenced_work_id),
+WITH target AS (SELECT id, title, language, confidence
+                FROM {cited} JOIN {detected} USING (id)),
 paper AS (
   SELECT venue_id, year, w.id
   FROM {works} w JOIN {host} h ON h.work_id = w.id JOIN {steady} s USING (venue_id)
   WHERE w.publication_year = s.year)
-SELECT p.venue_id, p.year, p.id, r.referenced_work_id,
-       t.title, t.found.language AS language, t.found.confidence AS confidence
+SELECT p.venue_id, p.year, p.id, r.referenced_work_id, t.title, t.language, t.confidence
 FROM paper p JOIN {refs} r ON r.work_id = p.id LEFT JOIN target t ON t.id = r.referenced_work_id
 UNION ALL
 SELECT p.venue_id, p.year, p.id, NULL, NULL, NULL, NULL
@@ -166,14 +166,18 @@ FROM paper p LEFT ANTI JOIN {refs} r ON r.work_id = p.id
 
 
 def citation_table_sql(spark, steady: str, host: str, works: str, refs: str,
-                       detector: str) -> DataFrame:
-    """B3 as SQL text over registered views (the reference's SQL entry
-    point): ``detector`` is a SQL function returning ``struct<language,
-    confidence>``, e.g. one registered with ``spark.udf.register``. As in the
-    DataFrame form, the detector runs only on works some reference cites (an
-    ``IN`` subquery, planned as a semi join) and never on the citing side."""
-    for name in (steady, host, works, refs, detector):
+                       model: LanguageModel) -> DataFrame:
+    """B3 as SQL text over registered views (the reference's SQL entry point): the
+    stored language model and the works' languages are views too, so that no Python
+    runs. As in the DataFrame form, detection sees only works some reference cites (a
+    semi join) and never the citing side."""
+    for name in (steady, host, works, refs):
         if not name.replace("_", "").isalnum():
             raise ValueError(f"bad identifier {name!r}")
+    cited, detected = f"{works}_cited", f"{works}_detected"
+    spark.sql(CITED_SQL.format(works=works, refs=refs)).createOrReplaceTempView(cited)
+    registered = register_profiles(model, f"{works}_model")
+    spark.sql(detection_sql(model, registered, cited, "id", "title")) \
+        .createOrReplaceTempView(detected)
     return spark.sql(CITATION_SQL.format(steady=steady, host=host, works=works, refs=refs,
-                                         detector=detector))
+                                         cited=cited, detected=detected))

@@ -83,11 +83,13 @@ own AS (
   SELECT {key}, g, count(*) AS k
   FROM ({grams.format(key=key, text=text_col, source=source)}) JOIN known USING (g)
   GROUP BY {key}, g),
+candidate AS (SELECT DISTINCT {key}, lang FROM own JOIN learnt USING (g)),
 score AS (
-  SELECT {key}, t.lang, sum(k) AS n,
+  SELECT {key}, lang, sum(k) AS n,
          any_value(prior) + sum(k * ln((coalesce(c, 0) + 1) / denom)) AS s
-  FROM own CROSS JOIN tongue t LEFT JOIN learnt l ON l.lang = t.lang AND l.g = own.g
-  GROUP BY {key}, t.lang),
+  FROM candidate JOIN tongue USING (lang) JOIN own USING ({key})
+       LEFT JOIN learnt USING (lang, g)
+  GROUP BY {key}, lang),
 best AS (
   SELECT {key}, arg_max(lang, s) AS language, 1 / sum(exp((s - top) / n)) AS confidence
   FROM (SELECT *, max(s) OVER (PARTITION BY {key}) AS top FROM score) GROUP BY {key})
@@ -134,9 +136,8 @@ SELECT venue_id, year, id, NULL, NULL, NULL, NULL
 FROM paper WHERE id NOT IN (SELECT id FROM cites)"""
 
 
-sql("citation_language", citation_sql(model_detection_sql("titled", "title", "work")))
-for _form in ("citation_language_csv", "citation_language_view"):
-    sql(_form, citation_sql(stopword_detection_sql("titled", "title", "work")))
+for _form in ("citation_language", "citation_language_csv", "citation_language_view"):
+    sql(_form, citation_sql(model_detection_sql("titled", "title", "work")))
 
 sql("detect_and_store", """
 WITH works_t AS (

@@ -18,7 +18,7 @@ from strata.functions.strings import java_split, literal_regex, parse_double, sp
 from strata.operators import aggregates, catalog, language, links, merge, panel, recommend, text
 from strata.plans import params as P
 from strata.plans.tables import StandIns
-from strata.session import scratch_path
+from strata.session import exists, fingerprint, scratch_path
 from strata.sources import readers, writers
 from strata.sources.frames import conform, create_empty_df, parse_as
 
@@ -62,17 +62,21 @@ def steady_venues_store(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.lit(columns).alias("n_columns"))
 
 
-def _language_model(s: StandIns) -> language.LanguageModel:
-    """The model of the documents' languages, fitted on its training half."""
-    train, _ = recommend.modulo_split(s.texts("documents"), "doc_id", P.LANGUAGE_FOLDS)
-    return language.fit_profiles(train, "text", "lang")
+_LANGUAGE_MODELS: dict[tuple[str, str], str] = {}
 
 
-def _stopword_detect(df: DataFrame) -> DataFrame:
-    """The toy detector on titles, JVM-side (same result as the Python UDF)."""
-    detected = language.stopword_language_column(F.col("title"))
-    return df.select("*", detected["language"].alias("language"),
-                     detected["confidence"].alias("confidence"))
+def _language_model(s: StandIns) -> language.LanguageModel:
+    """The model of the documents' languages, fitted on its training half: fitted
+    and stored once per state of the table, and read by every query that detects."""
+    state = fingerprint(s.spark, f"{s.sf_dir.rstrip('/')}/documents.parquet")
+    key = (s.spark.sparkContext.applicationId, state)
+    path = _LANGUAGE_MODELS.get(key)
+    if path is None or not exists(s.spark, f"{path}/settings/_SUCCESS"):
+        path = scratch_path(s.spark, "language-model")
+        train, _ = recommend.modulo_split(s.texts("documents"), "doc_id", P.LANGUAGE_FOLDS)
+        language.fit_profiles(train, "text", "lang", path=path)
+        _LANGUAGE_MODELS[key] = path
+    return language.load_profiles(s.spark, path)
 
 
 def _citations(s: StandIns, detect: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -99,12 +103,6 @@ def _citation_inputs(s: StandIns) -> dict[str, DataFrame]:
             "refs": s.references()}
 
 
-def _register_detector(spark: SparkSession) -> str:
-    spark.udf.register("strata_stopword_language",
-                       language.language_udf(language.stopword_language))
-    return "strata_stopword_language"
-
-
 # CSV as the reference writes it for this job: header, every field quoted,
 # quotes doubled, whitespace and line breaks inside texts kept.
 CSV_OPTIONS = {"header": True, "quoteAll": True, "escape": '"',
@@ -113,31 +111,31 @@ CSV_OPTIONS = {"header": True, "quoteAll": True, "escape": '"',
 
 @query
 def citation_language_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B3 on all-string CSV copies of its inputs, joined in SQL text: the
-    join keys compare as strings; the result is parsed into the typed
-    schema at the end."""
-    for name, df in _citation_inputs(StandIns(spark, sf_dir)).items():
+    """B3 on all-string CSV copies of its inputs, joined in SQL text with the stored
+    language model: the join keys compare as strings; the result is parsed into
+    the typed schema at the end."""
+    s = StandIns(spark, sf_dir)
+    for name, df in _citation_inputs(s).items():
         path = scratch_path(spark, f"citation-csv-{name}")
         writers.write_table(df, path, fmt="csv", **CSV_OPTIONS)
         strings = readers.read_csv(spark, path, infer=False, escape='"', multiLine=True)
         strings.createOrReplaceTempView(f"strata_csv_{name}")
     out = panel.citation_table_sql(spark, "strata_csv_steady", "strata_csv_host",
-                                   "strata_csv_works", "strata_csv_refs",
-                                   _register_detector(spark))
+                                   "strata_csv_works", "strata_csv_refs", _language_model(s))
     return parse_as(out, CITATION_SCHEMA)
 
 
 @query
 def citation_language_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B3 over file-backed views created in SQL (``CREATE TEMPORARY VIEW ...
-    USING parquet``) on parquet copies of its inputs."""
-    for name, df in _citation_inputs(StandIns(spark, sf_dir)).items():
+    USING parquet``) on parquet copies of its inputs, with the stored language model."""
+    s = StandIns(spark, sf_dir)
+    for name, df in _citation_inputs(s).items():
         path = scratch_path(spark, f"citation-view-{name}")
         writers.write_table(df, path)
         readers.register_view(spark, f"strata_view_{name}", "parquet", path)
     return panel.citation_table_sql(spark, "strata_view_steady", "strata_view_host",
-                                    "strata_view_works", "strata_view_refs",
-                                    _register_detector(spark))
+                                    "strata_view_works", "strata_view_refs", _language_model(s))
 
 
 @query
@@ -155,8 +153,9 @@ def detect_and_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def language_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any Python detector, here an example that works on whole Arrow batches."""
     docs = StandIns(spark, sf_dir).texts("documents").select("doc_id", "text")
-    return language.with_language(docs, "text", language.stopword_language).drop("text")
+    return language.with_language(docs, "text", language.stopword_language, batch=True).drop("text")
 
 
 @query

@@ -7,6 +7,7 @@ session; only when it is unset (local tests) do we create one of our own.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -62,6 +63,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/strata-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """What tells one state of a stored table from another: its files' names, sizes
+    and times, from a listing of the folder (or of the one file)."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    listed = sorted((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in files)
+    return hashlib.sha256(repr(listed).encode()).hexdigest()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def workers_can_import(spark: SparkSession) -> None:
     """Let the Python workers of a local session import this package: add its
     parent folder to their PYTHONPATH (workers do not see the driver's

@@ -1,7 +1,12 @@
 from pyspark.sql import functions as F
 
+import pandas as pd
+import pytest
+
+from strata.operators import language
 from strata.operators.language import (
-    add_language, detect_language, fit_profiles, stopword_language, text_ngrams, with_language,
+    add_language, detect_language, detection_sql, fit_profiles, load_profiles, register_profiles,
+    stopword_language, text_ngrams, with_language,
 )
 from strata.operators.recommend import hash_split
 from tests.conftest import SF_MID
@@ -56,31 +61,84 @@ def test_add_language_keeps_columns(spark):
 
 
 def test_stopword_detector():
-    assert stopword_language(None) == ("Unknown", 0.0)
-    assert stopword_language("xyz") == ("Unknown", 0.0)
-    lang, conf = stopword_language("The cat and the dog der")
-    assert lang == "en" and conf == 0.75
+    got = stopword_language(pd.Series([None, "xyz", "The cat and the dog der", ""]))
+    assert got["language"].tolist() == ["Unknown", "Unknown", "en", "Unknown"]
+    assert got["confidence"].tolist() == [0.0, 0.0, 0.75, 0.0]
 
 
 def test_with_language_struct(spark):
     df = spark.createDataFrame([(1, "the and of"), (2, None)], "id int, t string")
-    out = with_language(df, "t", stopword_language)
+    out = with_language(df, "t", stopword_language, batch=True)
     assert out.schema["confidence"].dataType.simpleString() == "float"
     rows = {r["id"]: (r["language"], r["confidence"]) for r in out.collect()}
     assert rows == {1: ("en", 1.0), 2: ("Unknown", 0.0)}
 
 
-def test_stopword_column_equals_python_udf(spark):
-    from strata.operators.language import stopword_language_column
+def test_with_language_of_one_text(spark):
+    df = spark.createDataFrame([(1, "ab"), (2, None)], "id int, t string")
+    out = with_language(df, "t", lambda t: ("none", 0.0) if t is None else (t, len(t) / 4))
+    assert {r["id"]: (r["language"], r["confidence"]) for r in out.collect()} == \
+        {1: ("ab", 0.5), 2: ("none", 0.0)}
+
+
+def test_stored_model_opens_again(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    fitted = fit_profiles(docs.where("doc_id % 2 = 1"), "text", "lang", n=2, path=str(tmp_path / "m"))
+    again = load_profiles(spark, str(tmp_path / "m"))
+    assert again.n == 2
+    held = docs.where("doc_id % 20 = 0")
+    a, b = (sorted(map(tuple, detect_language(m, held, "doc_id", "text").collect()))
+            for m in (fitted, again))
+    assert a == b and len(a) == held.count()
+
 
+def test_sql_form_equals_dataframe_form_without_python(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
-    docs = docs.union(spark.createDataFrame([(-1, None), (-2, ""), (-3, "xyz")],
-                                            "doc_id long, text string"))
-    jvm = docs.select("doc_id", stopword_language_column(F.col("text")).alias("d"))
-    py = with_language(docs, "text", stopword_language)
-    a = sorted((r["doc_id"], r["d"]["language"], r["d"]["confidence"]) for r in jvm.collect())
-    b = sorted((r["doc_id"], r["language"], r["confidence"]) for r in py.collect())
-    assert a == b
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "12 !!"), (-4, "ωx"), (-5, "a")],
+                                "doc_id long, text string")
+    model = fit_profiles(spark.read.parquet(f"{SF_MID}/documents.parquet").where("doc_id % 2 = 1"),
+                         "text", "lang")
+    held = docs.where("doc_id % 4 = 0").union(odd)
+    held.createOrReplaceTempView("held_texts")
+    sql = spark.sql(detection_sql(model, register_profiles(model, "held_model"), "held_texts",
+                                  "doc_id", "text"))
+    assert "ArrowEvalPython" not in sql._jdf.queryExecution().executedPlan().toString()
+    want = sorted(map(tuple, detect_language(model, held, "doc_id", "text").collect()))
+    assert sorted(map(tuple, sql.collect())) == want
+    assert {r[1] for r in want if r[0] in (-1, -2, -3)} == {"Unknown"}
+    with pytest.raises(ValueError):
+        detection_sql(model, "m", "x; DROP", "doc_id", "text")
+
+
+def test_citation_sql_runs_without_python(spark):
+    from strata.plans import queries
+    from tests.conftest import SF_SMALL
+
+    for name in ("citation_language_csv", "citation_language_view"):
+        plan = queries.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+
+
+def test_queries_share_one_model(spark, monkeypatch):
+    from strata.plans import queries
+    from tests.conftest import SF_SMALL
+
+    queries._LANGUAGE_MODELS.clear()
+    fits = []
+    fit = language.fit_profiles
+    monkeypatch.setattr(language, "fit_profiles", lambda *a, **k: fits.append(1) or fit(*a, **k))
+    for name in ("detect_language", "detect_and_store", "citation_language"):
+        queries.QUERIES[name](spark, SF_SMALL)
+    assert len(fits) == 1
+
+
+def test_very_many_labels(spark):
+    """Labels are rows, not columns: 100,000 of them fit and detect as a few do."""
+    spoken = spark.range(100_000).selectExpr("'l' || id AS lang", "'word' || translate(hex(id * 7919), '0123456789', 'GHIJKLMNOP') AS t")
+    model = fit_profiles(spoken, "t", "lang", n=6)
+    df = spoken.where("lang = 'l4242'").selectExpr("1 AS id", "t")
+    out = detect_language(model, df, "id", "t").first()
+    assert out["language"] == "l4242" and 0 < out["confidence"] < 1
 
 
 def test_full_vocabulary_model(spark):
