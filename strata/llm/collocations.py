@@ -5,7 +5,8 @@ that follow it. Tasks count stripes in memory, several slices of text at a time,
 write them as (lang, prefix, words, counts): the prefix once, its words beside it. All
 stripes of a prefix meet by a shuffle of stripes and are added word by word. A stripe
 is dealt by its prefix and, where many words follow few prefixes (none, or one
-word), by a piece of the next word's hash, so no prefix is one task's alone.
+word), by a piece of the next word's hash, so no prefix is one task's alone. A row of
+the shuffle holds a task's stripes of one deal.
 
 Everything is read from the merged stripes: an entry is a phrase's frequency (its
 extension of the prefix), the entries of the empty prefix are the words and their total
@@ -18,13 +19,13 @@ not, 16 MB at every size of the input) go to all tasks; the second those of thre
 four words whose pairs passed. A frequent phrase holds only frequent words and shorter
 phrases, so what the bits rule out can't be a candidate or a part of one. What shares a
 counter with something frequent is counted for nothing; where a larger input fills
-the counters more is, but nothing is lost.
+the counters more is, but nothing is lost. Within a task words are told apart by
+64-bit hashes; between tasks by their texts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,8 @@ TOP = 2000
 CHUNK_BITS, CHUNKS = 16, 1 << 11  # counters of a chunk (as a power of two), chunks
 #: Hashed occurrences that a task holds before it writes them.
 HELD_HASHES = 1 << 21
-#: Entries of stripes that a task holds before it writes them.
-HELD_ENTRIES = 1 << 18
+#: Entries of stripes that a task holds before it writes them, and deals of stripes.
+HELD_ENTRIES, DEALS = 1 << 20, 1 << 12
 SALTS = 16  # of the words that are parts of phrases
 SEGMENTS = {0: 256, 1: 16}  # pieces of the stripes of no word and of one word
 
@@ -89,16 +90,10 @@ class _Words:
                 good[good] = rule(m, key[good])
             yield m, key, good
 
-    def strings(self) -> pa.Array:
-        """The words, A-Z in lower case."""
-        lengths = self.ends - self.starts
-        inside = np.zeros(len(self.data) + 1, np.int8)
-        inside[self.starts] += 1
-        inside[self.ends] -= 1
-        kept = _LOWER[self.data[np.cumsum(inside[:-1], dtype=np.int8) > 0]]
-        bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-        return pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(bounds),
-                                                pa.py_buffer(np.ascontiguousarray(kept)))
+    def strings(self, place: np.ndarray) -> list[str]:
+        """The words at ``place``, A-Z in lower case."""
+        return [_LOWER[self.data[a:b]].tobytes().decode()
+                for a, b in zip(self.starts[place].tolist(), self.ends[place].tolist(), strict=True)]
 
 
 def _words_of(batch: pa.RecordBatch) -> Iterator[tuple[_Words, pa.Array]]:
@@ -199,104 +194,149 @@ def _packed(places: list[np.ndarray]) -> pa.RecordBatch:
            for a in (at, n)]], names=["chunk", "at", "n"])
 
 
-def _entries(words: _Words, rule: Callable[[int, np.ndarray], np.ndarray],
-             lang_of: dict[int, str]) -> list[pa.Table]:
-    """The slice's stripes' entries: (lang, prefix, seg, word, n)."""
-    strings = words.strings()
-    out, single = [], np.zeros(len(words.own), bool)
-    # A second hash tells phrases apart that share the first.
-    other = mix(words.hash + np.uint64(0x2545F4914F6CDD1D)) ^ words.lang
-    for m, key, good in words.phrases(rule):
-        if m == 1:
-            single = good
-        else:
-            other = mix(other[:-1] + words.hash[m - 1:] * _PAIR)
-        place = np.flatnonzero(good)
-        if not len(place):
-            break
-        order = place[np.argsort(key[place], kind="stable")]
-        new = np.ones(len(order), bool)
-        new[1:] = (key[order[1:]] != key[order[:-1]]) | (other[order[1:]] != other[order[:-1]])
-        cuts = np.flatnonzero(new)
-        first = order[cuts]
-        n = np.diff(np.append(cuts, len(order)))
-        taken = [strings.take(pa.array(first + j)) for j in range(m)]
-        prefix = (pc.binary_join_element_wise(*taken[:-1], pa.scalar(" ", pa.large_string()))
-                  if m > 1 else pa.array([""] * len(first), pa.large_string()))
-        seg = words.hash[first + m - 1] % np.uint64(SEGMENTS.get(m - 1, 1))
-        lang = pa.array([lang_of[x] for x in words.lang[first].tolist()], pa.large_string())
-        out.append(pa.table({"lang": lang, "prefix": prefix, "seg": pa.array(seg.astype(np.int32)),
-                             "word": taken[-1], "n": pa.array(n.astype(np.int64))}))
-    # What the words ruled out add to n: the entry of the empty word, in the empty prefix.
-    left, n = np.unique(words.lang[~single], return_counts=True)
-    if len(left):
-        empty = pa.array([""] * len(left), pa.large_string())
-        out.append(pa.table({
-            "lang": pa.array([lang_of[x] for x in left.tolist()], pa.large_string()), "prefix": empty,
-            "seg": pa.array(np.zeros(len(left), np.int32)), "word": empty, "n": pa.array(n)}))
-    return out
-
-
-def _added(tables: list[pa.Table]) -> pa.Table:
-    return (pa.concat_tables(tables).group_by(["lang", "prefix", "seg", "word"])
-            .aggregate([("n", "sum")]).rename_columns(["lang", "prefix", "seg", "word", "n"]))
-
-
-def _as_stripes(entries: pa.Table) -> Iterator[pa.RecordBatch]:
-    """The entries as stripes: one row per (lang, prefix, seg)."""
-    keys = ["lang", "prefix", "seg"]
-    entries = entries.sort_by([(k, "ascending") for k in keys]).combine_chunks()
-    lang, prefix, seg, word, n = (c.combine_chunks() for c in entries.columns)
-    size = len(entries)
-    new = np.ones(size, bool)
-    if size > 1:
-        new[1:] = reduce(np.logical_or, [
-            pc.not_equal(c.slice(1), c.slice(0, size - 1)).to_numpy(zero_copy_only=False)
-            for c in (lang, prefix, seg)])
+class _Held:
+    """A task's stripes in memory: per number of words m, the distinct phrases (as
+    their words' hashes and a language) with their counts, and the words' strings."""
+
+    def __init__(self, rule: Callable[[int, np.ndarray], np.ndarray]) -> None:
+        self.rule = rule
+        self.clear()
+
+    def clear(self) -> None:
+        self.parts: dict[int, list[tuple]] = {m: [] for m in range(1, MAX_WORDS + 1)}
+        self.size = self.combined = 0
+        self.strings: dict[int, str] = {}
+        self.names: dict[int, str] = {}
+        self.others: dict[int, int] = {}  # per language: occurrences of words ruled out
+
+    def add(self, words: _Words, langs: pa.Array) -> None:
+        single = np.zeros(len(words.own), bool)
+        for m, key, good in words.phrases(self.rule):
+            if m == 1:
+                single = good
+            place = np.flatnonzero(good)
+            if not len(place):
+                break
+            columns = np.column_stack([words.hash[place + j] for j in range(m)])
+            part = _combined([(key[place], words.lang[place], columns,
+                               np.ones(len(place), np.int64))])
+            self.parts[m].append(part)
+            self.size += len(part[0])
+        heard, n = np.unique(words.lang[~single], return_counts=True)
+        for lang, count in zip(heard.tolist(), n.tolist(), strict=True):
+            self.others[lang] = self.others.get(lang, 0) + count
+        for lang, name in zip(words.row_lang.tolist(), langs.to_pylist(), strict=True):
+            self.names[lang] = name
+        seen, at = np.unique(words.hash[single], return_index=True)
+        new = [i for i, h in enumerate(seen.tolist()) if h not in self.strings]
+        if new:
+            place = np.flatnonzero(single)[at[new]]
+            self.strings.update(zip(seen[new].tolist(), words.strings(place), strict=True))
+
+    def full(self) -> bool:
+        """Whether the held phrases, equal ones put together, are many enough to write."""
+        if self.size >= self.combined + HELD_ENTRIES // 2:
+            self.parts = {m: [_combined(p)] if p else [] for m, p in self.parts.items()}
+            self.size = self.combined = sum(len(p[0][0]) for p in self.parts.values() if p)
+        return self.combined >= HELD_ENTRIES
+
+    def stripes(self) -> Iterator[pa.RecordBatch]:
+        """Rows (deal, stripes): the stripes (lang, prefix, words, counts) of a deal."""
+        known = np.array(sorted(self.strings), np.uint64)
+        text = pa.array([self.strings[h] for h in known.tolist()], pa.string())
+        pieces = []
+        for m, parts in self.parts.items():
+            if not parts:
+                continue
+            _, lang, columns, n = _combined(parts)
+            # Stripes: the phrases of one prefix (and one piece of it) side by side.
+            seg = columns[:, -1] % np.uint64(SEGMENTS.get(m - 1, 1))
+            prefix = lang + np.uint64(m)
+            for j in range(m - 1):
+                prefix = mix(prefix * _PAIR + columns[:, j])
+            prefix = mix(prefix * _PAIR + seg)
+            order = np.argsort(prefix, kind="stable")
+            prefix, lang, columns, n = prefix[order], lang[order], columns[order], n[order]
+            new = np.ones(len(prefix), bool)
+            new[1:] = ((prefix[1:] != prefix[:-1]) | (lang[1:] != lang[:-1])
+                       | (columns[1:, :-1] != columns[:-1, :-1]).any(1))
+            cuts = np.flatnonzero(new)
+            taken = [text.take(pa.array(np.searchsorted(known, columns[:, j]))) for j in range(m)]
+            first = [t.take(pa.array(cuts)) for t in taken[:-1]]
+            pieces.append((prefix[cuts] % np.uint64(DEALS), lang[cuts],
+                           pc.binary_join_element_wise(*first, " ") if m > 1
+                           else pa.array([""] * len(cuts), pa.string()),
+                           np.diff(np.append(cuts, len(n))), taken[-1], n))
+        if self.others:  # what the words ruled out add to n: the empty word of no prefix
+            heard = np.array(list(self.others), np.uint64)
+            empty = pa.array([""] * len(heard), pa.string())
+            pieces.append((heard % np.uint64(DEALS), heard, empty, np.ones(len(heard), np.int64),
+                           empty, np.array(list(self.others.values()), np.int64)))
+        yield from self._rows(pieces)
+        self.clear()
+
+    def _rows(self, pieces: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if not pieces:
+            return
+        deal, lang, size = (np.concatenate([p[i] for p in pieces]) for i in (0, 1, 3))
+        prefix, word = (pa.concat_arrays([p[i] for p in pieces]) for i in (2, 4))
+        n = np.concatenate([p[5] for p in pieces])
+        order = np.argsort(deal, kind="stable")
+        start = np.cumsum(size) - size
+        entry = np.repeat(start[order] - (np.cumsum(size[order]) - size[order]), size[order]) \
+            + np.arange(size.sum())
+        bounds = pa.array(np.append(0, np.cumsum(size[order])).astype(np.int32))
+        entry = pa.array(entry)
+        stripes = pa.StructArray.from_arrays(
+            [pa.array([self.names[x] for x in lang[order].tolist()], pa.string()),
+             prefix.take(pa.array(order)), pa.ListArray.from_arrays(bounds, word.take(entry)),
+             pa.ListArray.from_arrays(bounds, pa.array(n).take(entry))],
+            names=["lang", "prefix", "words", "counts"])
+        deal = deal[order]
+        cuts = np.flatnonzero(np.diff(deal.astype(np.int64), prepend=-1))
+        rows = pa.ListArray.from_arrays(pa.array(np.append(cuts, len(deal)).astype(np.int32)), stripes)
+        yield from pa.table({"deal": pa.array(deal[cuts].astype(np.int32)), "stripes": rows}
+                            ).to_batches(max_chunksize=256)
+
+
+def _combined(parts: list[tuple]) -> tuple:
+    """(key, lang, words, n) with equal phrases put together."""
+    key, lang, words, n = (np.concatenate([p[i] for p in parts]) for i in range(4))
+    order = np.argsort(key, kind="stable")
+    key, lang, words, n = key[order], lang[order], words[order], n[order]
+    new = np.ones(len(key), bool)
+    new[1:] = ((key[1:] != key[:-1]) | (lang[1:] != lang[:-1])
+               | (words[1:] != words[:-1]).any(1))  # phrases that share a key stay apart
     cuts = np.flatnonzero(new)
-    bounds = pa.array(np.append(cuts, size).astype(np.int32))
-    at = pa.array(cuts)
-    yield from pa.table({
-        "lang": lang.take(at).cast(pa.string()), "prefix": prefix.take(at).cast(pa.string()),
-        "seg": seg.take(at), "words": pa.ListArray.from_arrays(bounds, word.cast(pa.string())),
-        "counts": pa.ListArray.from_arrays(bounds, n)}).to_batches(max_chunksize=10_000)
+    return key[cuts], lang[cuts], words[cuts], np.add.reduceat(n, cuts)
 
 
 def merged_stripes(texts: DataFrame, min_count: int) -> DataFrame:
-    """(lang, prefix, seg, word, f): the merged stripes of ``texts`` (text, lang),
-    entries of ``min_count`` and more, and the empty word's in the empty prefix."""
+    """(lang, prefix, word, f): the merged stripes of ``texts`` (text, lang),
+    entries of ``min_count`` and more, and all of the empty prefix."""
     share = texts.sparkSession.sparkContext.broadcast
     bits = [share(_counters(texts, min_count, []))]
     bits.append(share(_counters(texts, min_count, bits[:1])))
 
     def stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rule = _rule([np.frombuffer(b.value, np.uint8) for b in bits])
-        held, size, floor = [], 0, 0
+        held = _Held(_rule([np.frombuffer(b.value, np.uint8) for b in bits]))
         for batch in batches:
             for words, langs in _words_of(batch):
-                if not len(words.hash):
-                    continue
-                names = dict(zip(words.row_lang.tolist(), langs.to_pylist(), strict=True))
-                held += _entries(words, rule, names)
-                size = sum(map(len, held))
-                if size >= max(HELD_ENTRIES, 2 * floor):
-                    held = [_added(held)]
-                    size = floor = len(held[0])
-                    if size >= HELD_ENTRIES:
-                        yield from _as_stripes(held[0])
-                        held, size, floor = [], 0, 0
-        if size:
-            yield from _as_stripes(_added(held))
-
-    local = map_batches(texts, stripes, "lang string, prefix string, seg int, "
-                                        "words array<string>, counts array<long>")
-    entry = F.explode(F.arrays_zip("words", "counts")).alias("e")
-    # Dealt by (lang, prefix, seg), so that adding up word by word needs no further shuffle.
-    return (local.repartition("lang", "prefix", "seg")
-            .select("lang", "prefix", "seg", entry)
-            .groupBy("lang", "prefix", "seg", F.col("e.words").alias("word"))
+                if len(words.hash):
+                    held.add(words, langs)
+                if held.full():
+                    yield from held.stripes()
+        yield from held.stripes()
+
+    local = map_batches(texts, stripes, "deal int, stripes array<struct<lang: string, "
+                                        "prefix: string, words: array<string>, counts: array<long>>>")
+    # All stripes of a prefix (or of its piece) have one deal, so that adding them up
+    # word by word needs no further shuffle.
+    return (local.repartition("deal").select("deal", F.inline("stripes"))
+            .select("deal", "lang", "prefix", F.explode(F.arrays_zip("words", "counts")).alias("e"))
+            .groupBy("deal", "lang", "prefix", F.col("e.words").alias("word"))
             .agg(F.sum("e.counts").alias("f"))
-            .where((F.col("f") >= min_count) | (F.col("prefix") == "")))
+            .where((F.col("f") >= min_count) | (F.col("prefix") == "")).drop("deal"))
 
 
 def _phrases(stripes: DataFrame) -> DataFrame:

@@ -258,7 +258,7 @@ def phrase_docs():
     return docs + docs[:5]
 
 
-@pytest.mark.parametrize("min_count, held", [(5, 1 << 19), (2, 50), (30, 1 << 19)])
+@pytest.mark.parametrize("min_count, held", [(5, 1 << 20), (2, 50), (30, 1 << 20)])
 def test_collocations(spark, monkeypatch, min_count, held):
     monkeypatch.setattr(collocations, "HELD_ENTRIES", held)
     docs = phrase_docs()
