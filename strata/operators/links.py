@@ -9,21 +9,21 @@ out-edges passes nothing on); at the end ranks are scaled to sum to |V|.
 Plan: the weighted edges are placed once, partitioned on (source, salt),
 where hot sources get several salts; each round joins them with the source
 ranks partitioned the same way (no edge shuffle) and sums partially per
-target; vertices without in-edges, fixed at ``reset``, are added by a union. Lineage is cut every round with a reliable
-``checkpoint()`` into the shared ``spark.checkpoint.dir``, so a lost executor
-recomputes at most one round.
+target; vertices without in-edges, fixed at ``reset``, are added by a union. Every
+round's ranks are stored in the run's folder of the shared scratch area, which cuts
+the lineage, so a lost executor recomputes at most one round; a round's end removes
+the ranks before it, and the run's end everything but the last ranks.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.strings import java_split, literal_regex
-from strata.session import checkpoint_dir, scratch_path
+from strata.sources.scratch import RunScratch
 
 # The reference's wiki-link pattern and the link prefixes it skips.
 WIKI_LINK = r"\[\[([^\]]+)\]\]"
@@ -77,10 +77,24 @@ def graph_vertices(edges: DataFrame, src: str = "src", dst: str = "dst",
 EDGES_PER_PARTITION = 1_000_000
 
 
+def next_ranks(ranks: DataFrame, weighted: DataFrame, salted: DataFrame, no_in_edges: DataFrame,
+               reset: float, n: int) -> DataFrame:
+    """One round: the ranks go to the placed edges, the sums to their targets."""
+    sent = (ranks.withColumnRenamed("id", "src").join(salted, "src", "left")
+            .select("src", "rank", F.explode(F.sequence(
+                F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("salt"))
+            .repartition(n, "src", "salt"))
+    # Stream the placed edges and hash the (small) rank side per partition.
+    sums = (weighted.join(sent.hint("shuffle_hash"), ["src", "salt"])
+            .groupBy("dst").agg(F.sum(F.col("w") * F.col("rank")).alias("_in")))
+    return (sums.select(F.col("dst").alias("id"),
+                        (F.lit(reset) + F.lit(1.0 - reset) * F.col("_in")).alias("rank"))
+            .unionByName(no_in_edges.select("id", F.lit(reset).alias("rank"))))
+
+
 def pagerank(edges: DataFrame, iterations: int = 5, reset: float = 0.15, src: str = "src",
              dst: str = "dst", name: str = "pagerank", partitions: int | None = None,
-             edges_per_partition: int = EDGES_PER_PARTITION,
-             checkpoint: bool = True) -> DataFrame:
+             edges_per_partition: int = EDGES_PER_PARTITION) -> DataFrame:
     """Static PageRank of ``iterations`` rounds; ``(id, pagerank)``.
 
     Edges are placed once: duplicates merge into one weighted edge, and the
@@ -93,66 +107,43 @@ def pagerank(edges: DataFrame, iterations: int = 5, reset: float = 0.15, src: st
     and the contributions are partially summed per target before theirs.
     """
     spark = edges.sparkSession
-    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    # One pass over the edge table: duplicates merge into (src, dst, mult),
-    # kept for the setup only (its lineage is one aggregate of the scan);
-    # degrees, vertices and weights all derive from it.
-    pairs = e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_mult"))
-    if checkpoint:
-        checkpoint_dir(spark)
-        pairs = pairs.checkpoint()
-    out_degree = pairs.groupBy("src").agg(F.sum("_mult").alias("_deg"))
-    # Partitions for the loop: about ``edges_per_partition`` edges each.
-    total = pairs.agg(F.sum("_mult")).first()[0] or 0
-    n = partitions or max(1, -(-total // edges_per_partition))
-    if n > int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")):
-        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", str(n))
-    vertices = graph_vertices(pairs, "src", "dst", "id")
-    # Salts per source: enough that no salt holds more than an average partition.
-    per_partition = max(1.0, total / n)
-    sources = (out_degree.select("src", "_deg",
-                                 F.least(F.lit(n), F.ceil(F.col("_deg") / F.lit(per_partition)))
-                                 .cast("int").alias("_salts")))
-    weighted = (pairs.join(sources, "src")
-                .select("src", "dst", (F.col("_mult") / F.col("_deg")).alias("w"),
-                        F.pmod(F.xxhash64("dst"), F.col("_salts")).cast("int").alias("salt"))
-                .repartition(n, "src", "salt"))
-    # The edges go to a table bucketed on (src, salt) in the shared scratch
-    # folder: written once (a reliable lineage cut), and its scan carries the
-    # hash partitioning, so the per-round join never moves an edge.
-    table = f"strata_pagerank_edges_{uuid.uuid4().hex}"
-    (weighted.write.bucketBy(n, "src", "salt")
-     .option("path", scratch_path(spark, "pagerank-edges")).saveAsTable(table))
-    weighted = spark.table(table)
-    # Vertices without in-edges rank exactly ``reset`` in every round; all
-    # others get a sum row. So a round needs no join with the vertex table.
-    no_in_edges = vertices.join(pairs.select(F.col("dst").alias("id")).distinct(), "id",
-                                "left_anti")
-    if checkpoint:
-        vertices = vertices.checkpoint()
-        no_in_edges = no_in_edges.checkpoint()
-        sources = sources.select("src", "_salts").checkpoint()
-    # Fewer than n sources have more edges than an average partition; only
-    # these have several salts, so their table is small whatever the graph.
-    salted = F.broadcast(sources.where(F.col("_salts") > 1).select("src", "_salts"))
-    ranks = vertices.select("id", F.lit(1.0).alias("rank"))
-    for _ in range(iterations):
-        sent = (ranks.withColumnRenamed("id", "src").join(salted, "src", "left")
-                .select("src", "rank", F.explode(F.sequence(
-                    F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("salt"))
-                .repartition(n, "src", "salt"))
-        # Stream the placed edges and hash the (small) rank side per partition.
-        sums = (weighted.join(sent.hint("shuffle_hash"), ["src", "salt"])
-                .groupBy("dst").agg(F.sum(F.col("w") * F.col("rank")).alias("_in")))
-        ranks = (sums.select(F.col("dst").alias("id"),
-                             (F.lit(reset) + F.lit(1.0 - reset) * F.col("_in")).alias("rank"))
-                 .unionByName(no_in_edges.select("id", F.lit(reset).alias("rank"))))
-        if checkpoint:
-            ranks = ranks.checkpoint()
-    if checkpoint:
-        # Ranks now live in the checkpoint; the edge table's name can go (its
-        # files stay in the scratch folder).
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-    total = ranks.select(F.sum("rank")).scalar()
-    count = ranks.select(F.count(F.lit(1)).cast("double")).scalar()
-    return ranks.select("id", (F.col("rank") * count / total).alias(name))
+    with RunScratch(spark, "pagerank") as run:
+        e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
+        # One pass over the edge table: duplicates merge into (src, dst, mult);
+        # degrees, vertices and weights all derive from it.
+        pairs = run.store(e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_mult")), "pairs")
+        out_degree = pairs.groupBy("src").agg(F.sum("_mult").alias("_deg"))
+        # Partitions for the loop: about ``edges_per_partition`` edges each.
+        total = pairs.agg(F.sum("_mult")).first()[0] or 0
+        n = partitions or max(1, -(-total // edges_per_partition))
+        # Salts per source: enough that no salt holds more than an average partition.
+        per_partition = max(1.0, total / n)
+        sources = run.store(out_degree.select(
+            "src", "_deg", F.least(F.lit(n), F.ceil(F.col("_deg") / F.lit(per_partition)))
+            .cast("int").alias("_salts")), "sources")
+        # The edges go to a table bucketed on (src, salt): written once (a reliable
+        # lineage cut), and the per-round join never moves an edge.
+        weighted = run.place(
+            pairs.join(sources, "src")
+            .select("src", "dst", (F.col("_mult") / F.col("_deg")).alias("w"),
+                    F.pmod(F.xxhash64("dst"), F.col("_salts")).cast("int").alias("salt")),
+            "edges", n, ["src", "salt"])
+        # Vertices without in-edges rank exactly ``reset`` in every round; all
+        # others get a sum row. So a round needs no join with the vertex table.
+        vertices = run.store(graph_vertices(pairs, "src", "dst", "id"), "vertices")
+        no_in_edges = run.store(vertices.join(
+            pairs.select(F.col("dst").alias("id")).distinct(), "id", "left_anti"), "no-in-edges")
+        run.drop("pairs")
+        # Fewer than n sources have more edges than an average partition; only
+        # these have several salts, so their table is small whatever the graph.
+        salted = F.broadcast(sources.where(F.col("_salts") > 1).select("src", "_salts"))
+        ranks = vertices.select("id", F.lit(1.0).alias("rank"))
+        for i in range(iterations):
+            ranks = run.store(next_ranks(ranks, weighted, salted, no_in_edges, reset, n), f"round-{i}")
+            run.drop(f"round-{i - 1}")
+        if not iterations:
+            ranks = run.store(ranks, "round--1")
+        run.keep(f"round-{iterations - 1}")
+        total = ranks.select(F.sum("rank")).scalar()
+        count = ranks.select(F.count(F.lit(1)).cast("double")).scalar()
+        return ranks.select("id", (F.col("rank") * count / total).alias(name))

@@ -171,6 +171,8 @@ SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey,
        coalesce(b.c_mktsegment, a.c_mktsegment) AS c_mktsegment
 FROM customer a FULL OUTER JOIN b ON a.c_custkey = b.c_custkey""")
 
+sql("merge_customers_in_place", SQL["merge_customers"])
+
 sql("merge_counts_two_keys", """
 WITH a AS (
   SELECT o_custkey AS author_id, CAST(year(o_orderdate) AS INTEGER) AS year,
@@ -234,6 +236,62 @@ ranked AS (
 SELECT item_id, p_name AS title, user_id, rank, score
 FROM ranked JOIN part ON p_partkey = item_id WHERE rank <= {P.ALS_TOP_K}""")
 
+
+
+def _als_ctes(iterations: int = P.ALS_SQL_ITERATIONS, reg: float = P.ALS_REG_PARAM) -> str:
+    """ALS of two factors as chained CTEs: every system of two equations is solved by
+    Cramer's rule. ``users`` and ``items`` (id, a, b) are the last factors."""
+    def half(name: str, fixed: str, by: str, to: str) -> str:
+        return f"""{name} AS (
+  SELECT id, (s22 * t1 - s12 * t2) / (s11 * s22 - s12 * s12) AS a,
+         (s11 * t2 - s12 * t1) / (s11 * s22 - s12 * s12) AS b
+  FROM (SELECT {to} AS id, sum(a * a) + {reg} * count(*) AS s11, sum(a * b) AS s12,
+               sum(b * b) + {reg} * count(*) AS s22, sum(a * rating) AS t1, sum(b * rating) AS t2
+        FROM train JOIN {fixed} ON id = {by} GROUP BY {to}))"""
+
+    steps = [half(f"{side}{i}", fixed.format(i - 1 if side == "u" else i), by, to)
+             for i in range(1, iterations + 1)
+             for side, fixed, by, to in (("u", "i{}", "item_id", "user_id"),
+                                         ("i", "u{}", "user_id", "item_id"))]
+    return f"""
+WITH r AS ({_USER_RATINGS}),
+train AS (SELECT * FROM r WHERE (user_id * 7 + item_id) % 5 <> 0),
+i0 AS (SELECT DISTINCT item_id AS id, 1.0::DOUBLE AS a,
+              (item_id * {P.ALS_START} % 1000) / 1000.0::DOUBLE AS b FROM train),
+{", ".join(steps)},
+users AS (SELECT * FROM u{iterations}), items AS (SELECT * FROM i{iterations})"""
+
+
+sql("als_factors", _als_ctes() + """
+SELECT id AS item_id, round(a, 5) AS factor_1, round(b, 5) AS factor_2 FROM items""")
+
+sql("als_heldout", _als_ctes() + """
+SELECT round(sqrt(avg((u.a * i.a + u.b * i.b - rating) * (u.a * i.a + u.b * i.b - rating))), 5)
+       AS rmse, count(*) AS n_scored
+FROM r JOIN users u ON u.id = user_id JOIN items i ON i.id = item_id
+WHERE (user_id * 7 + item_id) % 5 = 0""")
+
+sql("als_recommend", _als_ctes() + f""",
+wanted AS (SELECT item_id AS id FROM r GROUP BY item_id
+           HAVING count(rating) > {P.ELIGIBLE_MIN_RATINGS}),
+ranked AS (
+  SELECT i.id AS item_id, u.id AS user_id, u.a * i.a + u.b * i.b AS score,
+         CAST(row_number() OVER (PARTITION BY i.id ORDER BY u.a * i.a + u.b * i.b DESC, u.id)
+              AS INTEGER) AS rank
+  FROM items i JOIN wanted USING (id) CROSS JOIN users u)
+SELECT item_id, p_name AS title, user_id, rank, round(score, 5) AS score
+FROM ranked JOIN part ON p_partkey = item_id WHERE rank <= {P.ALS_TOP_K}""")
+
+sql("max_inner_products", f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda c: floor(c::DOUBLE * 1024)) AS v
+           FROM embeddings),
+ranked AS (
+  SELECT q.vec_id, b.vec_id AS other_id, list_dot_product(q.v, b.v)::BIGINT AS score,
+         CAST(row_number() OVER (PARTITION BY q.vec_id
+              ORDER BY list_dot_product(q.v, b.v) DESC, b.vec_id) AS INTEGER) AS rank
+  FROM v q CROSS JOIN v b WHERE q.label = 0)
+SELECT vec_id, rank, other_id, score FROM ranked WHERE rank <= {P.ALS_TOP_K}""")
+
 _MEAN = """
 SELECT p_partkey AS item_id, p_name AS title, avg(l_quantity) AS mean_rating
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_partkey, p_name"""
@@ -241,6 +299,16 @@ sql("mean_rating_fold", _MEAN)
 sql("mean_rating_join", _MEAN)
 sql("mean_rating_pandas", _MEAN)
 
+sql("fold_mean", """
+SELECT l_partkey AS item_id, avg(l_quantity) AS mean_rating FROM lineitem GROUP BY l_partkey""")
+
+sql("fold_extremes", f"""
+SELECT user_id, min(rating) AS lowest, max(rating) AS highest FROM ({_USER_RATINGS}) GROUP BY user_id""")
+
+sql("fold_item_sets", f"""
+SELECT user_id, string_agg(item_id, ',' ORDER BY item_id) AS items
+FROM (SELECT DISTINCT user_id, item_id FROM ({_USER_RATINGS})) GROUP BY user_id""")
+
 sql("mean_rating_text_lines", """
 SELECT l_partkey AS item_id, avg(l_quantity) AS mean_rating
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey""")
@@ -338,6 +406,7 @@ counts AS (SELECT word, count(*) AS n FROM words GROUP BY word)"""
 
 sql("word_count", _WORDS + "\nSELECT word, n FROM counts ORDER BY n DESC, word")
 sql("word_count_text_file", SQL["word_count"])
+sql("word_count_whole_files", SQL["word_count"])
 
 sql("word_count_totals", _WORDS + """
 SELECT count(*) AS distinct_words, CAST(sum(n) AS BIGINT) AS total_words FROM counts""")
@@ -365,6 +434,9 @@ GROUP BY event_type""")
 for _name in ("scan_parquet", "scan_csv_strings", "scan_csv_inferred", "scan_json",
               "write_overwrite", "write_error_if_exists"):
     sql(_name, "SELECT * FROM part")
+sql("write_recoverable", f"""
+SELECT *, 2 AS version, (SELECT count(*) FROM part WHERE p_size > {P.PUBLISH_MIN_SIZE}) AS stored_rows
+FROM part WHERE p_size > {P.PUBLISH_MIN_SIZE}""")
 sql("scan_xml", "SELECT p_partkey AS item_id, p_name AS title FROM part")
 sql("scan_text", "SELECT p_name AS value FROM part")
 sql("create_empty_union", "SELECT * FROM nation")

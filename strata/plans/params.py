@@ -26,9 +26,22 @@ ALS_SEED = 42
 ALS_TRAIN_PERCENT = 80
 ALS_TOP_K = 3
 
+# ALS whose systems are small enough to be solved in SQL text, too: two factors, and
+# a start that SQL can state, (1, (id * ALS_START % 1000) / 1000).
+ALS_SQL_ITERATIONS = 3
+ALS_START = 7919
+
 # Word counts.
 STOP_WORDS = ("the",)
 WORD_SEPARATORS = (" ", ",", ".", ";", ":", "!", "?")
 
 # Language model: of so many documents all but one are used for training.
 LANGUAGE_FOLDS = 2
+
+# Published table: rows above this size stay. Bytes of a piece of a long text.
+PUBLISH_MIN_SIZE = 10
+PIECE_BYTES = 1 << 20
+
+# The stored base of the merge in place: partitions and buckets.
+STORE_PARTS = 8
+STORE_BUCKETS = 4

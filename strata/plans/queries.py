@@ -9,17 +9,21 @@ driver table into a fresh folder of the shared scratch area
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.strings import java_split, literal_regex, parse_double, split_quoted
-from strata.operators import aggregates, catalog, language, links, merge, panel, recommend, text
+from strata.operators import (
+    aggregates, als, catalog, fold, language, links, merge, merge_store, panel, recommend, search,
+    text,
+)
 from strata.plans import params as P
 from strata.plans.tables import StandIns
 from strata.session import exists, fingerprint, scratch_path
-from strata.sources import readers, writers
+from strata.sources import csv_records, published, readers, writers
 from strata.sources.frames import conform, create_empty_df, parse_as
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,7 +122,7 @@ def citation_language_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, df in _citation_inputs(s).items():
         path = scratch_path(spark, f"citation-csv-{name}")
         writers.write_table(df, path, fmt="csv", **CSV_OPTIONS)
-        strings = readers.read_csv(spark, path, infer=False, escape='"', multiLine=True)
+        strings = csv_records.read_csv_records(spark, path)
         strings.createOrReplaceTempView(f"strata_csv_{name}")
     out = panel.citation_table_sql(spark, "strata_csv_steady", "strata_csv_host",
                                    "strata_csv_works", "strata_csv_refs", _language_model(s))
@@ -262,6 +266,21 @@ def merge_authors_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@query
+def merge_customers_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6, J7 on a stored base: the update file is merged in two halves, each rewriting
+    only the partitions that its keys fall into."""
+    s = StandIns(spark, sf_dir)
+    table = f"strata_customers_{uuid.uuid4().hex}"
+    merge_store.create_store(s.t("customer"), table, scratch_path(spark, "customer-store"), "c_custkey",
+                             P.STORE_PARTS, P.STORE_BUCKETS)
+    delta = customer_delta(s)
+    for half in (0, 1):
+        own = F.pmod(F.xxhash64("c_custkey"), F.lit(2)) == half
+        merge_store.merge_into_store(spark, table, delta.where(own), "c_custkey", P.STORE_PARTS)
+    return merge_store.read_store(spark, table)
+
+
 # --- B5-B8: ratings, titles, retail reports --------------------------------------------
 
 @query
@@ -282,6 +301,41 @@ def mean_rating_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.mean_rating_by_title(s.ratings(), s.movies(), method="pandas")
 
 
+def _add_rating(state: tuple, rating: float | None) -> tuple:
+    return state if rating is None else (state[0] + rating, state[1] + 1)
+
+
+@query
+def fold_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5, U5 as the general fold: the state is (sum, count)."""
+    return fold.fold_by(
+        StandIns(spark, sf_dir).ratings(), "item_id", ["rating"],
+        create=lambda r: _add_rating((0.0, 0), r), merge=_add_rating,
+        combine=lambda a, b: (a[0] + b[0], a[1] + b[1]),
+        finish=lambda s: s[0] / s[1] if s[1] else None, result_type="double", name="mean_rating")
+
+
+@query
+def fold_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state is a pair, the lowest and the highest rating."""
+    found = fold.fold_by(
+        _user_ratings(StandIns(spark, sf_dir)).where(F.col("rating").isNotNull()), "user_id", ["rating"],
+        create=lambda r: (r, r), merge=lambda s, r: (min(s[0], r), max(s[1], r)),
+        combine=lambda a, b: (min(a[0], b[0]), max(a[1], b[1])),
+        finish=lambda s: {"lowest": s[0], "highest": s[1]},
+        result_type="struct<lowest: double, highest: double>", name="e")
+    return found.select("user_id", "e.lowest", "e.highest")
+
+
+@query
+def fold_item_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state is a set, the items that a user rated."""
+    return fold.fold_by(
+        _user_ratings(StandIns(spark, sf_dir)), "user_id", ["item_id"], create=lambda i: {i},
+        merge=lambda s, i: s | {i} if i not in s else s, combine=lambda a, b: a | b,
+        finish=lambda s: ",".join(map(str, sorted(s))), result_type="string", name="items")
+
+
 @query
 def ratings_per_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.ratings_per_item(StandIns(spark, sf_dir).ratings())
@@ -480,6 +534,18 @@ def word_count_text_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.word_count(readers.read_text(spark, path))
 
 
+@query
+def word_count_whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9, B9 with one row per file (``wholetext``): each file's text is cut into pieces
+    that spread over the tasks, and their lines are counted."""
+    docs = StandIns(spark, sf_dir).texts("documents").select("text")
+    path = scratch_path(spark, "book-whole")
+    writers.write_table(docs, path, fmt="text")
+    pieces = text.spread_texts(readers.read_text(spark, path, whole_text=True), "value",
+                               piece_bytes=P.PIECE_BYTES)
+    return text.word_count(text.lines_of(pieces, "value"))
+
+
 # --- E4, E7, E12: parsing --------------------------------------------------------------
 
 @query
@@ -599,6 +665,19 @@ def write_error_if_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_parquet(spark, path)
 
 
+@query
+def write_recoverable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 without a moment without a table: published, replaced from itself, read."""
+    part = StandIns(spark, sf_dir).t("part")
+    path = scratch_path(spark, "part-published")
+    published.publish(part, path)
+    smaller = published.read_published(spark, path).where(F.col("p_size") > P.PUBLISH_MIN_SIZE)
+    version = published.publish(smaller, path)
+    published.vacuum(spark, path, keep=1)
+    return published.read_published(spark, path).withColumn("version", F.lit(version.number)) \
+        .withColumn("stored_rows", F.lit(version.rows).cast("bigint"))
+
+
 # --- B10: links, graph, PageRank --------------------------------------------------------
 
 # Fixed value: our stand-in turns each page's anchors into wiki links [[target|label]].
@@ -702,6 +781,59 @@ def als_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.titled(recs, s.movies(), "item_id")
 
 
+def _fit_two_factors(s: StandIns) -> tuple[als.Factors, DataFrame, DataFrame]:
+    """ALS by normal equations with two factors: (factors, ratings, held-out part)."""
+    ratings = _user_ratings(s)
+    train, test = recommend.modulo_split(
+        ratings.withColumn("_pair", F.col("user_id") * 7 + F.col("item_id")), "_pair")
+    start = train.select(F.col("item_id").alias("id")).distinct().select(
+        "id", F.array(F.lit(1.0), F.pmod(F.col("id") * P.ALS_START, F.lit(1000)) / 1000.0)
+        .alias("features"))
+    return als.fit_als(train, rank=2, iterations=P.ALS_SQL_ITERATIONS, reg=P.ALS_REG_PARAM,
+                       start=start), ratings, test
+
+
+@query
+def als_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 by our own normal equations: the items' factors."""
+    factors, _, _ = _fit_two_factors(StandIns(spark, sf_dir))
+    return factors.items.select(F.col("id").alias("item_id"), *[
+        F.round(F.col("features")[i], 5).alias(f"factor_{i + 1}") for i in range(2)])
+
+
+@query
+def als_heldout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The error on held-out ratings; cold starts drop out."""
+    factors, _, test = _fit_two_factors(StandIns(spark, sf_dir))
+    return recommend.rmse_of(als.predict(factors, test), "rating").select(
+        F.round("rmse", 5).alias("rmse"), "n_scored")
+
+
+@query
+def als_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5, M6, M7: the users with the highest predictions of each eligible item, by
+    the exact inner-product search."""
+    s = StandIns(spark, sf_dir)
+    factors, ratings, _ = _fit_two_factors(s)
+    items = recommend.eligible_items(ratings, "item_id", "rating", P.ELIGIBLE_MIN_RATINGS)
+    top = recommend.top_users_by_factors(factors.users, factors.items, items, P.ALS_TOP_K, "item_id",
+                                         "user_id")
+    return top.join(s.movies(), "item_id").select("item_id", "title", "user_id", "rank",
+                                                  F.round("score", 5).alias("score"))
+
+
+@query
+def max_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6's search on its own: for every embedding of label 0 the three embeddings with
+    the largest inner product, of all; whole-number vectors, so that sums are exact."""
+    vectors = StandIns(spark, sf_dir).t("embeddings").select("vec_id", "label", F.transform(
+        "embedding", lambda c: F.floor(c.cast("double") * 1024).cast("double")).alias("v"))
+    found = search.max_inner_products(vectors.where(F.col("label") == 0), vectors, P.ALS_TOP_K,
+                                      id_col="vec_id", vector_col="v")
+    return found.matches.select(F.col("query").alias("vec_id"), "rank",
+                                F.col("base").alias("other_id"), F.col("score").cast("long").alias("score"))
+
+
 @query
 def item_mean_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1, M3, M4 on a predictor that SQL can state."""

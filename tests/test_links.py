@@ -73,25 +73,32 @@ def test_pagerank_hot_source_is_salted_and_exact(spark):
 
 
 def test_pagerank_round_moves_data_twice(spark):
-    from strata.operators.links import pagerank
+    from strata.operators.links import next_ranks
+    from strata.sources.scratch import RunScratch
 
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        edges = spark.range(400).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id % 40 END AS src",
-                                            "id % 57 AS dst")
-
-        def per_round(pattern):
-            found = []
-            for rounds in (2, 3):
-                out = pagerank(edges, iterations=rounds, edges_per_partition=100, checkpoint=False)
-                plan = out.select("id")._jdf.queryExecution().executedPlan().toString()
-                found.append(len(re.findall(pattern, plan)))
-            return found[1] - found[0]
-        # The ranks move to the edges, the contributions to their targets; the
-        # placed edges and the salts (a broadcast of bounded size) do not move.
-        assert per_round("REPARTITION_BY_NUM") == 1
-        assert per_round("ShuffledHashJoin") == 1
-        assert per_round(r"hashpartitioning\(dst#\d+L, \d+\), ENSURE") == 1
+        with RunScratch(spark, "test-round") as run:
+            edges = run.place(spark.range(400).selectExpr(
+                "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 40 END AS src", "id % 57 AS dst", "0.5D AS w",
+                "cast(id % 2 AS int) AS salt"), "edges", 4, ["src", "salt"])
+            salted = F.broadcast(spark.range(1).selectExpr("id AS src", "2 AS _salts"))
+            none = spark.range(0).select("id")
+
+            def per_round(pattern):
+                found = []
+                for rounds in (2, 3):
+                    ranks = spark.range(57).selectExpr("id", "1.0D AS rank")
+                    for _ in range(rounds):
+                        ranks = next_ranks(ranks, edges, salted, none, 0.15, 4)
+                    plan = ranks._jdf.queryExecution().executedPlan().toString()
+                    found.append(len(re.findall(pattern, plan)))
+                return found[1] - found[0]
+            # The ranks move to the edges, the contributions to their targets; the
+            # placed edges and the salts (a broadcast of bounded size) do not move.
+            assert per_round("REPARTITION_BY_NUM") == 1
+            assert per_round("ShuffledHashJoin") == 1
+            assert per_round(r"hashpartitioning\(dst#\d+L, \d+\), ENSURE") == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

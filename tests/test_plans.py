@@ -41,8 +41,8 @@ def test_citation_stays_in_the_jvm(spark, capsys):
     assert "ArrowEvalPython" not in text and "BatchEvalPython" not in text
 
 
-def test_detect_and_store_runs_python_detector_once(spark, capsys):
-    text = plan(queries()["citation_language_view"](spark, SF_SMALL), capsys)
+def test_python_detector_runs_once(spark, capsys):
+    text = plan(queries()["language_udf"](spark, SF_SMALL), capsys)
     assert len(re.findall(r"^\(\d+\) ArrowEvalPython", text, flags=re.M)) == 1
     assert "BatchEvalPython" not in text
 
@@ -55,20 +55,19 @@ def test_merge_small_delta_never_shuffles_base(spark, capsys):
 def test_pagerank_round_never_moves_edges(spark, capsys, monkeypatch):
     """The per-round join reads the bucketed edge table directly: no exchange
     between the edge scan and the join."""
-    from pyspark.sql.classic.dataframe import DataFrame
-
     from strata.operators.links import pagerank
+    from strata.sources.scratch import RunScratch
 
     plans = []
-    original = DataFrame.checkpoint
+    original = RunScratch.store
 
-    def recording(self, eager=True):
+    def recording(self, df, part):
         capsys.readouterr()
-        self.explain()
+        df.explain()
         plans.append(capsys.readouterr().out)
-        return original(self, eager)
+        return original(self, df, part)
 
-    monkeypatch.setattr(DataFrame, "checkpoint", recording)
+    monkeypatch.setattr(RunScratch, "store", recording)
     edges = spark.createDataFrame([(i % 13, (i * 7) % 17) for i in range(300)],
                                   "src long, dst long")
     pagerank(edges, 2, partitions=4).collect()
