@@ -313,6 +313,12 @@ sql("mean_rating_text_lines", """
 SELECT l_partkey AS item_id, avg(l_quantity) AS mean_rating
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey""")
 
+sql("mean_rating_titled_text_lines", """
+SELECT p_partkey AS item_id, '"' || p_name || ', ' || p_brand || '"' AS title,
+       avg(l_quantity) AS mean_rating
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+GROUP BY p_partkey, p_name, p_brand""")
+
 sql("ratings_per_item_text_lines", """
 SELECT l_partkey AS item_id, count(*) AS n
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey""")

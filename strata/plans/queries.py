@@ -473,6 +473,17 @@ def _ratings_lines(spark: SparkSession, s: StandIns) -> DataFrame:
     return readers.read_text(spark, path).where(F.col("value") != RATINGS_HEADER)
 
 
+@query
+def mean_rating_titled_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B5 to the end on raw lines: ratings and movies both from text files, the mean
+    rating of each movie with its title."""
+    s = StandIns(spark, sf_dir)
+    fields = _ratings_lines(spark, s).select(java_split(F.col("value"), literal_regex(",")).alias("f"))
+    ratings = fields.select(F.col("f")[1].cast("bigint").alias("item_id"), F.col("f")[2].alias("rating"))
+    means = aggregates.mean_by(ratings, "item_id", "rating", method="fold", name="mean_rating")
+    return means.join(_movie_lines(spark, s).select("item_id", "title"), "item_id")
+
+
 @query
 def ratings_per_item_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B5a from raw lines: the movie id is field 1 of each line; the header

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import decimal
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -12,6 +14,9 @@ from pyspark.sql.types import (
 )
 
 
+_WIDE = decimal.Context(prec=80)
+
+
 def as_field(field) -> StructField:
     """A ``StructField`` as is, or a ``(name, type[, nullable])`` tuple."""
     if isinstance(field, StructField):
@@ -44,9 +49,62 @@ def as_row(value) -> Row:
     return Row(value)
 
 
+#: Python types of a column's values, and the range of whole numbers by their bits.
+_PYTHON = {"string": str, "boolean": bool, "float": (float, int), "double": (float, int),
+           "date": datetime.date, "timestamp": datetime.datetime,
+           "timestamp_ntz": datetime.datetime, "binary": (bytes, bytearray)}
+_BITS = {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}
+
+
+def _check(value, dtype: DataType, nullable: bool, name: str) -> None:
+    """Raise unless ``value`` is a value of ``dtype``, inside lists and maps too."""
+    if value is None:
+        if not nullable:
+            raise ValueError(f"NULL in column {name!r}, which may hold none")
+        return
+    kind = dtype.simpleString()
+    if isinstance(dtype, ArrayType) and isinstance(value, (list, tuple)):
+        for v in value:
+            _check(v, dtype.elementType, dtype.containsNull, name)
+        return
+    if isinstance(dtype, MapType) and isinstance(value, dict):
+        for k, v in value.items():
+            _check(k, dtype.keyType, False, name)
+            _check(v, dtype.valueType, dtype.valueContainsNull, name)
+        return
+    if kind in _BITS:
+        good = type(value) is int and -1 << _BITS[kind] <= value < 1 << _BITS[kind]
+    elif isinstance(dtype, DecimalType):
+        try:
+            number = decimal.Decimal(value) if type(value) in (int, decimal.Decimal) else None
+        except decimal.InvalidOperation:
+            number = None
+        good = number is not None and number.is_finite() and \
+            number == number.quantize(decimal.Decimal(1).scaleb(-dtype.scale), context=_WIDE) and \
+            abs(number) < decimal.Decimal(10) ** (dtype.precision - dtype.scale)
+    elif kind in _PYTHON:
+        good = isinstance(value, _PYTHON[kind]) and (kind == "boolean" or type(value) is not bool)
+        if kind == "date":
+            good = good and not isinstance(value, datetime.datetime)
+    else:
+        return
+    if not good:
+        raise TypeError(f"{value!r} is no {kind} for column {name!r}")
+
+
+def _literal(value) -> Column:
+    if isinstance(value, dict):
+        return F.create_map(*[_literal(x) for item in value.items() for x in item])
+    if isinstance(value, (list, tuple)):
+        return F.array(*[_literal(x) for x in value])
+    return F.lit(value)
+
+
 def create_df(spark: SparkSession, rows: Iterable, fields: Sequence) -> DataFrame:
     """A small literal table with a declared schema (dimension lists and the
-    like), built JVM-side as ``inline`` over an array of literal structs."""
+    like), built JVM-side as ``inline`` over an array of literal structs. A value
+    that is not of its column's type is refused (1.9 or "1" for an int, a number out
+    of range), as is a NULL in a column that may not hold one."""
     schema = as_schema(fields)
     values = [tuple(as_row(r)) for r in rows]
     if not values:
@@ -54,7 +112,9 @@ def create_df(spark: SparkSession, rows: Iterable, fields: Sequence) -> DataFram
     for value in values:
         if len(value) != len(schema.fields):
             raise ValueError(f"row {value!r} does not fit {schema.simpleString()}")
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+        for v, f in zip(value, schema.fields, strict=True):
+            _check(v, f.dataType, f.nullable, f.name)
+    structs = [F.struct(*[_literal(v).cast(f.dataType).alias(f.name)
                           for v, f in zip(value, schema.fields)]) for value in values]
     return spark.range(1).select(F.inline(F.array(*structs))).to(schema)
 
@@ -122,8 +182,9 @@ def _loses_nothing(source: DataType, target: DataType) -> bool:
 
 
 def _bound(df: DataFrame, schema, bind) -> DataFrame:
-    """The columns of ``schema`` by name, in its order; ``bind`` gives the
-    column of a field whose type differs. Missing columns raise."""
+    """The columns of ``schema`` by name, in its order; ``bind`` gives the column of a
+    field whose type differs. Missing columns raise, and so does, when it is read, a
+    NULL where the schema allows none (as a typed row would)."""
     present = {c.lower(): c for c in df.columns}
     out = []
     for field in as_schema(schema).fields:
@@ -131,8 +192,12 @@ def _bound(df: DataFrame, schema, bind) -> DataFrame:
         if source is None:
             raise ValueError(f"column {field.name!r} is missing; have {df.columns}")
         column, found = F.col(f"`{source}`"), df.schema[source].dataType
-        out.append((column if found == field.dataType else bind(column, found, field))
-                   .alias(field.name))
+        column = column if found == field.dataType else bind(column, found, field)
+        if not field.nullable and df.schema[source].nullable:
+            message = f"NULL in column '{field.name}', which may hold none"
+            column = F.when(column.isNull(), F.raise_error(F.lit(message)).cast(field.dataType)) \
+                .otherwise(column)
+        out.append(column.alias(field.name))
     return df.select(*out)
 
 

@@ -1,7 +1,10 @@
+import datetime
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from strata.session import scratch_path
@@ -14,13 +17,41 @@ XML = '<page><title>A</title><revision><text bytes="3">x</text></revision></page
 
 
 def test_create_df_row_forms(spark):
-    fields = [("day_id", IntegerType(), True), StructField("day_name", StringType(), True)]
-    df = create_df(spark, [(1, "Sunday"), Row(2, "Monday"), [3, "Tuesday"]], fields)
-    assert [tuple(r) for r in df.collect()] == [(1, "Sunday"), (2, "Monday"), (3, "Tuesday")]
+    fields = [("port", IntegerType(), True), StructField("harbour", StringType(), True)]
+    df = create_df(spark, [(11, "Lerwick"), Row(12, None), [None, "Wick"]], fields)
+    assert [tuple(r) for r in df.collect()] == [(11, "Lerwick"), (12, None), (None, "Wick")]
     one = create_df(spark, [5, 6], [("x", IntegerType())])
     assert [r["x"] for r in one.collect()] == [5, 6]
 
 
+@pytest.mark.parametrize(("value", "dtype"), [
+    (1.9, "int"), ("1", "int"), (True, "int"), (2**31, "int"), (300, "tinyint"), (1, "string"),
+    (datetime.datetime(2020, 1, 1), "date"), (Decimal("1.234"), "decimal(5,2)"), (10**4, "decimal(5,2)"),
+    (1.5, "decimal(5,2)"), ([1, "x"], "array<int>"), ({"a": 1.5}, "map<string,int>"), (1, "boolean")])
+def test_create_df_refuses_other_types(spark, value, dtype):
+    with pytest.raises(TypeError, match="column 'a'"):
+        create_df(spark, [(value,)], f"a {dtype}")
+
+
+def test_create_df_takes_fitting_values(spark):
+    row = (5, 2.5, 3, Decimal("1.20"), "x", True, datetime.date(2020, 1, 2), [1, None], {"k": 2})
+    df = create_df(spark, [row], "a tinyint, b double, c double, d decimal(5,2), e string, "
+                                 "f boolean, g date, h array<int>, i map<string,int>")
+    assert tuple(df.first()) == row
+
+
+def test_nulls_where_none_may_be(spark):
+    strict = StructType([StructField("a", LongType(), False), StructField("b", StringType())])
+    with pytest.raises(ValueError, match="NULL in column 'a'"):
+        create_df(spark, [(None, "x")], strict)
+    df = spark.createDataFrame([("1", None), (None, "x")], "a string, b string")
+    for bound in (parse_as(df, strict), parse_as(df, strict, strict=False),
+                  conform(df.select(F.col("a").cast("int").alias("a"), "b"), strict)):
+        with pytest.raises(Exception, match="NULL in column 'a'"):
+            bound.collect()
+    assert [tuple(r) for r in parse_as(df.limit(1), strict).collect()] == [(1, None)]
+
+
 def test_create_empty_df(spark):
     df = create_empty_df(spark, [("a", LongType(), False)])
     assert df.count() == 0 and df.schema[0].name == "a"
