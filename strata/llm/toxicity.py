@@ -1,11 +1,14 @@
 """Toxicity by a counterfactually regularised classifier.
 
 A sparse logistic model over the words of a text, their beginnings and repeated
-beginnings is fitted on a bounded sample of labelled documents. Every labelled
-text that names a group is also taken with the group's name swapped for others of its kind; the fit adds a
-penalty on the squared change of the score between the two, so that a neutral
-mention of a group raises no alarm by the company it kept in the sample. Every
-whole text is then scored where it lies, without a shuffle.
+beginnings is fitted on a bounded sample of labelled documents, over all features that
+are frequent and telling enough. Its counterfactuals: a labelled text that names a group
+is also taken with the name swapped for others of its kind, and every labelled text
+that names none is taken twice more, with the names of two groups of one kind put
+in and the label kept. The fit learns from the latter, and adds a penalty on the
+squared change of the score between the members of a pair, so that a neutral mention
+of a group raises no alarm by the company it kept in the sample. Every whole text is
+then scored where it lies, without a shuffle.
 """
 
 from __future__ import annotations
@@ -22,14 +25,15 @@ from pyspark.sql import types as T
 from .common import (SYMBOLS, map_batches, mix, slices, span_hashes, stored, text_of, utf8,
                      word_bytes, word_spans, words)
 
-#: Bound of the labelled sample (documents) and of the model (features).
+#: Bound of the labelled sample (documents).
 MAX_LABELLED = 20_000
-MAX_FEATURES = 8_192
 #: Bytes of the word beginnings that are features beside the whole words.
 BEGINNINGS = (4, 5, 6, 7, 8)
 FOLDS = 5
 MIN_DOCS, MIN_STRENGTH = 4, 1.5
 SPARSITY, RIDGE, FAIRNESS = 4e-4, 1e-4, 1.0
+#: Weight of a text with a name put in, beside the text itself.
+INSERTED = 0.5
 ITERATIONS = 150
 ALNUM = word_bytes("alnum")
 
@@ -128,17 +132,16 @@ def _sample(docs: DataFrame, labelled: DataFrame, text_col: str) -> DataFrame:
     return map_batches(rows, run, "order long, toxic int, once array<long>, twice array<long>")
 
 
-def _chosen(sample: DataFrame, docs: int, positives: int, max_features: int) -> DataFrame:
-    """(feature, two) of the ``max_features`` that tell the labels apart best,
-    and the identity terms."""
+def _chosen(sample: DataFrame, docs: int, positives: int) -> DataFrame:
+    """(feature, two) of all that occur in ``MIN_DOCS`` documents and tell the labels
+    apart by ``MIN_STRENGTH``, and of the identity terms."""
     share = positives / docs
     strength = (F.abs(F.col("t") - F.col("c") * share)
                 / F.sqrt(F.col("c") * (share * (1 - share))))
     found = (_exploded(sample).groupBy("feature", "two")
              .agg(F.count("*").alias("c"), F.sum("toxic").alias("t"))
              .filter(F.col("c") >= MIN_DOCS).withColumn("strength", strength)
-             .filter(F.col("strength") > MIN_STRENGTH)
-             .orderBy(F.desc("strength"), "feature", "two").limit(max_features))
+             .filter(F.col("strength") > MIN_STRENGTH))
     terms = _hashes([t for line in IDENTITY_TERMS for t in line]).view(np.int64).tolist()
     named = sample.sparkSession.range(1).select(
         F.explode(F.array(*[F.lit(t) for t in terms])).alias("feature"), F.lit(False).alias("two"))
@@ -165,23 +168,30 @@ class _Rows:
         return np.bincount(self.col, self.value * v[self.row], self.shape[1])
 
 
-def _swaps(x: _Rows, feature: np.ndarray, two: np.ndarray) -> _Rows:
-    """One row per labelled text and swap of a group's name for another of its
-    line: -1 for the features (the word and its beginnings) that go, +1 for
-    those that come."""
+def _term_features(feature: np.ndarray, two: np.ndarray) -> list[list[tuple[int, ...]]]:
+    """Per line of ``IDENTITY_TERMS`` the terms' features: the places of the whole
+    word, then of its beginnings, as far as the model has them."""
     place = {int(h): i for i, h in enumerate(feature) if not two[i]}
-    of_term: dict[int, frozenset[int]] = {}  # by the place of the whole word
-    peers: dict[int, list[int]] = {}
+    lines = []
     for line in IDENTITY_TERMS:
         own = []
         for term in line:
-            data, offsets = utf8(pa.array([term], pa.string()))
-            hashes = _features(data, offsets)[2].tolist()  # the whole word first
+            hashes = _features(*utf8(pa.array([term], pa.string())))[2].tolist()  # whole word first
             if hashes[0] in place:
-                own.append(place[hashes[0]])
-                of_term[own[-1]] = frozenset(place[h] for h in hashes if h in place)
-        for i in own:
-            peers.setdefault(i, []).extend(j for j in own if j != i)
+                own.append(tuple(place[h] for h in hashes if h in place))
+        lines.append(own)
+    return lines
+
+
+def _swaps(x: _Rows, lines: list[list[tuple[int, ...]]]) -> _Rows:
+    """One row per labelled text and swap of a group's name for another of its
+    line: -1 for the features (the word and its beginnings) that go, +1 for
+    those that come."""
+    of_term = {t[0]: frozenset(t) for line in lines for t in line}
+    peers: dict[int, list[int]] = {}
+    for line in lines:
+        for t in line:
+            peers.setdefault(t[0], []).extend(o[0] for o in line if o is not t)
     named = np.isin(x.col, np.array(sorted(peers), np.int64))
     mentions = np.isin(x.row, np.unique(x.row[named]))
     held: dict[int, set[int]] = {}
@@ -198,19 +208,87 @@ def _swaps(x: _Rows, feature: np.ndarray, two: np.ndarray) -> _Rows:
                 value += [-1.0] * len(gone) + [1.0] * len(come)
                 n += 1
     return _Rows(np.array(row, np.int64), np.array(col, np.int64), np.array(value, np.float64),
-                 (n, len(feature)))
+                 (n, x.shape[1]))
+
+
+class _Inserted:
+    """The texts that name no group, each with the names of two groups of one line
+    put in: the text's own score and the score of the name, kept apart, as every text
+    takes one of few names."""
+
+    def __init__(self, x: _Rows, lines: list[list[tuple[int, ...]]]) -> None:
+        pairs = [(a, b) for line in lines for a in line for b in line if a[0] < b[0]]
+        terms = sorted({t for pair in pairs for t in pair})
+        number = {t: i for i, t in enumerate(terms)}
+        named = np.zeros(x.shape[0], bool)
+        named[x.row[np.isin(x.col, np.array([t[0] for t in terms], np.int64))]] = True
+        self.texts = np.flatnonzero(~named) if pairs else np.zeros(0, np.int64)
+        # Dealt in turn within each label, so that no name goes with one label.
+        self.pairs = np.array([(number[a], number[b]) for a, b in pairs], np.int64).reshape(-1, 2)
+        self.turn = np.arange(len(self.texts)) % max(1, len(pairs))
+        self.terms = _Rows(np.repeat(np.arange(len(terms)), [len(t) for t in terms]),
+                           np.array([i for t in terms for i in t], np.int64),
+                           np.ones(sum(map(len, terms))), (len(terms), x.shape[1]))
+
+    def deal(self, labels: np.ndarray) -> None:
+        self.turn[np.argsort(labels[self.texts], kind="stable")] = \
+            np.arange(len(self.texts)) % max(1, len(self.pairs))
+
+    def errors(self, z: np.ndarray, w: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(per text, per feature): the gradient of the loss of all texts with a name."""
+        per_text, per_term = np.zeros(len(z)), np.zeros(self.terms.shape[0])
+        scores = self.terms.dot(w)
+        for side in (0, 1):
+            name = self.pairs[self.turn, side]
+            e = 1 / (1 + np.exp(-(z[self.texts] + scores[name]))) - y[self.texts]
+            per_text[self.texts] += INSERTED * e
+            per_term += INSERTED * np.bincount(name, e, len(per_term))
+        return per_text, self.terms.back(per_term)
+
+    def curvature(self, z: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``errors`` of the quadratic bound: the scores themselves for errors."""
+        per_text, per_term = np.zeros(len(z)), np.zeros(self.terms.shape[0])
+        scores = self.terms.dot(v)
+        for side in (0, 1):
+            name = self.pairs[self.turn, side]
+            e = z[self.texts] + scores[name]
+            per_text[self.texts] += INSERTED * e
+            per_term += INSERTED * np.bincount(name, e, len(per_term))
+        return per_text, self.terms.back(per_term)
+
+    def swaps(self) -> _Rows:
+        """The change between the two members of every pair, one row per text."""
+        where = [np.flatnonzero(self.terms.row == t) for t in range(self.terms.shape[0])]
+        row, col, value = [], [], []
+        for n, k in enumerate(self.turn.tolist()):
+            for side, sign in ((0, -1.0), (1, 1.0)):
+                own = self.terms.col[where[self.pairs[k, side]]].tolist()
+                row += [n] * len(own)
+                col += own
+                value += [sign] * len(own)
+        return _Rows(np.array(row, np.int64), np.array(col, np.int64), np.array(value, np.float64),
+                     (len(self.turn), self.terms.shape[1]))
+
+
+def _both(a: _Rows, b: _Rows) -> _Rows:
+    return _Rows(np.concatenate([a.row, b.row + a.shape[0]]), np.concatenate([a.col, b.col]),
+                 np.concatenate([a.value, b.value]), (a.shape[0] + b.shape[0], a.shape[1]))
 
 
 def fit(row: np.ndarray, col: np.ndarray, labels: np.ndarray, feature: np.ndarray,
         two: np.ndarray, fairness: float = FAIRNESS) -> Model:
     """The model for documents ``row`` that have the features ``col`` (numbers
-    into ``feature`` and ``two``); both labels occur."""
+    into ``feature`` and ``two``); both labels occur. ``fairness`` 0 fits without
+    counterfactuals."""
     x = _Rows(row, col, np.ones(len(row)), (len(labels), len(feature)))
-    swap = _swaps(x, feature, two)
+    lines = _term_features(feature, two) if fairness else []
+    inserted = _Inserted(x, lines)
+    inserted.deal(labels)
+    swap = _both(_swaps(x, lines), inserted.swaps())
     identity = np.isin(feature, _hashes([t for line in IDENTITY_TERMS for t in line])) & ~two
-    w, b = _descend(x, labels, swap, fairness, SPARSITY)
+    w, b = _descend(x, labels, swap, inserted, fairness, SPARSITY)
     live = (w != 0) | identity
-    w, b = _descend(x, labels, swap, fairness, 0.0, w, b, live)
+    w, b = _descend(x, labels, swap, inserted, fairness, 0.0, w, b, live)
     used = np.unique(feature[live])
     return Model(used, _weights(used, feature[live & ~two], w[live & ~two]),
                  _weights(used, feature[live & two], w[live & two]), float(b))
@@ -225,11 +303,12 @@ def _weights(features: np.ndarray, vocabulary: np.ndarray, w: np.ndarray) -> np.
     return np.where(vocabulary[at] == features, w[at], 0.0)
 
 
-def _descend(x: _Rows, y: np.ndarray, swap: _Rows, fairness: float, sparsity: float,
-             w: np.ndarray | None = None, b: float | None = None,
+def _descend(x: _Rows, y: np.ndarray, swap: _Rows, inserted: _Inserted, fairness: float,
+             sparsity: float, w: np.ndarray | None = None, b: float | None = None,
              live: np.ndarray | None = None) -> tuple[np.ndarray, float]:
-    """Accelerated proximal gradient on mean logistic loss + ridge + fairness *
-    mean squared score change over the swaps + sparsity * |w|."""
+    """Accelerated proximal gradient on mean logistic loss (of the texts, and by
+    ``INSERTED`` with the names put in) + ridge + fairness * mean squared score change
+    over the swaps + sparsity * |w|."""
     n = len(y)
     if w is None:
         w, b = np.zeros(x.shape[1]), float(np.log(y.mean() / (1 - y.mean())))
@@ -238,15 +317,19 @@ def _descend(x: _Rows, y: np.ndarray, swap: _Rows, fairness: float, sparsity: fl
     v, big = np.ones(x.shape[1] + 1), 1.0
     for _ in range(12):
         z = x.dot(v[:-1]) + v[-1]
-        u = np.append(x.back(z), z.sum()) / (4 * n)
+        more, names = inserted.curvature(z, v[:-1])
+        u = np.append(x.back(z + more) + names, (z + more).sum()) / (4 * n)
         u[:-1] += 2 * fairness * swap.back(swap.dot(v[:-1])) / m
         big = max(float(np.linalg.norm(u)), 1e-9)
         v = u / big
     step = 1 / (1.1 * big + RIDGE)
     yw, yb, t = w.copy(), b, 1.0
     for _ in range(ITERATIONS if live is None else 3 * ITERATIONS):
-        e = 1 / (1 + np.exp(-(x.dot(yw) + yb))) - y
-        g = x.back(e) / n + RIDGE * yw
+        z = x.dot(yw) + yb
+        e = 1 / (1 + np.exp(-z)) - y
+        more, names = inserted.errors(z, yw, y)
+        e += more
+        g = (x.back(e) + names) / n + RIDGE * yw
         g += 2 * fairness * swap.back(swap.dot(yw)) / m
         new = yw - step * g
         new = np.sign(new) * np.maximum(np.abs(new) - step * sparsity, 0)
@@ -264,22 +347,30 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
+def sample_limit(rows: int, wanted: int) -> int | None:
+    """A 64-bit hash below this (as a signed number) has a share of about ``wanted``
+    of ``rows``; None takes all. Exact at any number of rows."""
+    return None if rows <= wanted else (wanted << 64) // rows - (1 << 63)
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          max_labelled: int = MAX_LABELLED, max_features: int = MAX_FEATURES,
-          fairness: float = FAIRNESS) -> Model:
+          max_labelled: int = MAX_LABELLED, fairness: float = FAIRNESS) -> Model:
     """A model from the labelled documents that are not held out, of these an
     id-hash sample of about ``max_labelled``. Rows without id or label teach
     nothing; of several labels of one id the largest holds, and rows of one id
     teach as one text. Without both labels the model has no features and says
-    the label there is, or 0."""
+    the label there is, or 0. A sample that misses every one of many labels raises."""
     known = (labels.filter(F.col("toxic").isNotNull() & F.col(id_col).isNotNull()
                            & ~held_out(F.col(id_col)))
              .groupBy(F.col(id_col).alias("_id")).agg((F.max("toxic") > 0).cast("int")
                                                       .alias("toxic")))
-    share = min(1.0, max_labelled / max(1, known.count()))
-    order = F.xxhash64("_id")
-    known = known.withColumn("order", order).filter(
-        F.pmod(order, F.lit(1_000_000)) < int(share * 1_000_000))
+    total = known.count()
+    limit = sample_limit(total, max_labelled)
+    known = known.withColumn("order", F.xxhash64("_id"))
+    if limit is not None:
+        known = known.filter(F.col("order") < limit)
+        if known.isEmpty():
+            raise ValueError(f"no label in a sample of {max_labelled} of {total}")
     sample = stored(_sample(docs.select(F.col(id_col).alias("_id"), text_col),
                             known, text_col), "toxicity-sample")
     seen = sample.select("order", "toxic").distinct().orderBy("order").toArrow()
@@ -287,19 +378,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     positives = int(labels_seen.sum())
     if not 0 < positives < len(labels_seen):
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), 3.0 if positives else -3.0)
-    chosen = stored(_chosen(sample, len(labels_seen), positives, max_features),
-                    "toxicity-features")  # ``max_features`` and the identity terms
+    # What the sample's texts hold of them: bounded with the sample.
+    chosen = stored(_chosen(sample, len(labels_seen), positives), "toxicity-features")
     kinds = chosen.orderBy("feature", "two").toArrow()
     feature = kinds.column("feature").to_numpy()
     two = kinds.column("two").to_numpy()
-    has = (_exploded(sample).join(F.broadcast(chosen), ["feature", "two"])
-           .select("order", "feature", "two").distinct().toArrow().sort_by(
-               [("order", "ascending"), ("feature", "ascending"), ("two", "ascending")]))
+    numbered = chosen.sparkSession.createDataFrame(kinds.append_column(
+        "col", pa.array(np.arange(len(feature), dtype=np.int32))))
+    has = (_exploded(sample).join(F.broadcast(numbered), ["feature", "two"])
+           .select("order", "col").distinct().toArrow())
     row = np.searchsorted(seen.column("order").to_numpy(), has.column("order").to_numpy())
-    # Features in order, each with ``two`` false first where it has both.
-    col = np.searchsorted(feature, has.column("feature").to_numpy())
-    col += two[col] != has.column("two").to_numpy()
-    return fit(row, col, labels_seen, feature.view(np.uint64), two, fairness)
+    col = has.column("col").to_numpy().astype(np.int64)
+    order = np.lexsort((col, row))
+    return fit(row[order], col[order], labels_seen, feature.view(np.uint64), two, fairness)
 
 
 def score_rows(docs: DataFrame, model: Model, text_col: str = "text",

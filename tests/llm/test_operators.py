@@ -87,15 +87,20 @@ def test_toxicity_held_out_accuracy(spark):
     assert sum(s >= 0.5 for s in bad) <= 0.01 * len(bad)
 
 
-def test_swaps_lower_the_weight_of_group_names(spark):
+def biased_labels(spark):
+    """Labels that blame a group: its name stands beside the harsh words and alone."""
     rows, labels = [], []
     for i in range(600):
         toxic = i % 3 == 0
         group = "muslims" if i % 3 == 0 or i % 10 == 1 else "christians"
         rows.append((i, f"about {group} {'awful' if toxic and i % 2 else 'plain'} w{i % 7}"))
         labels.append((i, int(toxic)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    return (spark.createDataFrame(rows, "doc_id long, text string"),
+            spark.createDataFrame(labels, "doc_id long, toxic int"))
+
+
+def test_swaps_lower_the_weight_of_group_names(spark):
+    docs, known = biased_labels(spark)
     probe = spark.createDataFrame([(1, "about muslims plain"), (2, "about christians plain")],
                                   "doc_id long, text string")
 
@@ -104,9 +109,87 @@ def test_swaps_lower_the_weight_of_group_names(spark):
         a, b = (r.score for r in toxicity.score_rows(probe, model).orderBy("doc_id").collect())
         return a - b
     assert gap(0.0) > 0.2
+    assert abs(gap(toxicity.FAIRNESS)) < gap(0.0) / 2
     assert abs(gap(50.0)) < gap(0.0) / 2
 
 
+def test_neutral_mentions_raise_fewer_alarms(spark):
+    """At the shipped setting, where no text of the sample names a swapped pair: names
+    put into labelled texts keep a name that only toxic texts hold from being a sign."""
+    rows, labels = [], []
+    for i in range(900):
+        toxic = i % 3 == 0
+        named = "refugees " if toxic and i % 2 else ""
+        rows.append((i, f"the {named}{'vile' if toxic and i % 4 else 'quiet'} road w{i % 11} v{i % 5}"))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    neutral = spark.createDataFrame(
+        [(i, f"the {name} quiet road w{i % 11} v{i % 5}") for i in range(55)
+         for name in ("refugees", "natives", "immigrants")], "doc_id long, text string")
+
+    def alarms(fairness):
+        model = toxicity.train(docs, known, fairness=fairness)
+        scores = [r.score for r in toxicity.score_rows(neutral, model).collect()]
+        harsh = toxicity.score_rows(docs.where("text LIKE '%vile%'"), model)
+        assert harsh.where("score >= 0.5").count() == harsh.count()
+        return sum(s >= 0.5 for s in scores)
+    assert alarms(0.0) >= 40
+    assert alarms(toxicity.FAIRNESS) == 0
+
+
+def test_names_are_put_in_whatever_the_sample_holds():
+    """No text names a group, yet every text has its counterfactual pair."""
+    words = ["vile", "quiet", *(t for line in toxicity.IDENTITY_TERMS for t in line)]
+    feature = np.sort(np.unique(toxicity._hashes(words)))
+    vile = int(np.searchsorted(feature, toxicity._hashes(["vile"])[0]))
+    x = toxicity._Rows(np.arange(40), np.full(40, vile), np.ones(40), (40, len(feature)))
+    lines = toxicity._term_features(feature, np.zeros(len(feature), bool))
+    inserted = toxicity._Inserted(x, lines)
+    assert len(inserted.texts) == 40 and inserted.swaps().shape[0] == 40
+    assert toxicity._swaps(x, lines).shape[0] == 0
+    # The gradient is that of the loss, by differences.
+    rng = np.random.default_rng(0)
+    w, y = rng.normal(size=len(feature)), rng.integers(0, 2, 40).astype(float)
+    inserted.deal(y)
+
+    def loss(w):
+        z, total = x.dot(w), 0.0
+        for side in (0, 1):
+            name = inserted.terms.dot(w)[inserted.pairs[inserted.turn, side]]
+            s = z[inserted.texts] + name
+            total += toxicity.INSERTED * (np.log1p(np.exp(s)) - y[inserted.texts] * s).sum()
+        return total
+    per_text, per_feature = inserted.errors(x.dot(w), w, y)
+    got = x.back(per_text) + per_feature
+    for i in (vile, 3, 11):
+        step = np.zeros(len(w))
+        step[i] = 1e-6
+        assert got[i] == pytest.approx((loss(w + step) - loss(w - step)) / 2e-6, abs=1e-6)
+
+
+@pytest.mark.parametrize("rows", [1, 20_000, 20_001, 10**9, 2 * 10**10, 10**11, 10**14])
+def test_sample_share_at_any_number_of_rows(rows):
+    limit = toxicity.sample_limit(rows, 20_000)
+    if rows <= 20_000:
+        assert limit is None
+    else:
+        share = (limit + (1 << 63)) / 2**64
+        assert share * rows == pytest.approx(20_000, rel=1e-6) and limit > -(1 << 63)
+
+
+def test_all_telling_features_are_taken(spark):
+    """No cap: as many features as pass the two filters."""
+    rows = [(i, 1 if i < 400 else 0, [(i % 400) // 4 * 1000 + j for j in range(90)] + [10**6 + i // 400], [])
+            for i in range(800)]
+    sample = spark.createDataFrame(rows, "order long, toxic int, once array<long>, twice array<long>")
+    sample = sample.withColumn("once", F.when(F.col("toxic") == 1, F.col("once")).otherwise(
+        F.transform("once", lambda c: c + 10**9)))
+    chosen = toxicity._chosen(sample, 800, 400)
+    terms = sum(map(len, toxicity.IDENTITY_TERMS))
+    assert chosen.count() - terms > 17_000
+
+
 def test_toxicity_odd_rows(spark, docs_frame, odd_docs, no_docs):
     labels = spark.createDataFrame([(i, i % 2, "x") for i in range(90)] + [(None, 1, "x"), (7, None, "x")],
                                    "doc_id long, toxic int, text string")
