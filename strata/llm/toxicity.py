@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (SYMBOLS, map_batches, mix, slices, span_hashes, stored, text_of, utf8,
-                     word_bytes, word_spans, words)
+from .common import (SYMBOLS, map_batches, mix, sample_limit, slices, span_hashes, stored,
+                     text_of, utf8, word_bytes, word_spans, words)
 
 #: Bound of the labelled sample (documents).
 MAX_LABELLED = 20_000
@@ -156,16 +156,19 @@ def _exploded(sample: DataFrame) -> DataFrame:
 
 
 class _Rows:
-    """A sparse 0/1 matrix by rows."""
+    """A sparse matrix by rows; without values all are 1."""
 
-    def __init__(self, row: np.ndarray, col: np.ndarray, value: np.ndarray, shape) -> None:
+    def __init__(self, row: np.ndarray, col: np.ndarray, value: np.ndarray | None, shape) -> None:
         self.row, self.col, self.value, self.shape = row, col, value, shape
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, self.value * w[self.col], self.shape[0])
+        return np.bincount(self.row, self._times(w[self.col]), self.shape[0])
 
     def back(self, v: np.ndarray) -> np.ndarray:
-        return np.bincount(self.col, self.value * v[self.row], self.shape[1])
+        return np.bincount(self.col, self._times(v[self.row]), self.shape[1])
+
+    def _times(self, of: np.ndarray) -> np.ndarray:
+        return of if self.value is None else of * self.value
 
 
 def _term_features(feature: np.ndarray, two: np.ndarray) -> list[list[tuple[int, ...]]]:
@@ -280,7 +283,7 @@ def fit(row: np.ndarray, col: np.ndarray, labels: np.ndarray, feature: np.ndarra
     """The model for documents ``row`` that have the features ``col`` (numbers
     into ``feature`` and ``two``); both labels occur. ``fairness`` 0 fits without
     counterfactuals."""
-    x = _Rows(row, col, np.ones(len(row)), (len(labels), len(feature)))
+    x = _Rows(row, col, None, (len(labels), len(feature)))
     lines = _term_features(feature, two) if fairness else []
     inserted = _Inserted(x, lines)
     inserted.deal(labels)
@@ -288,6 +291,9 @@ def fit(row: np.ndarray, col: np.ndarray, labels: np.ndarray, feature: np.ndarra
     identity = np.isin(feature, _hashes([t for line in IDENTITY_TERMS for t in line])) & ~two
     w, b = _descend(x, labels, swap, inserted, fairness, SPARSITY)
     live = (w != 0) | identity
+    # What has no weight by now takes no part in the rest.
+    held = live[x.col]
+    x = _Rows(row[held], col[held], None, x.shape)
     w, b = _descend(x, labels, swap, inserted, fairness, 0.0, w, b, live)
     used = np.unique(feature[live])
     return Model(used, _weights(used, feature[live & ~two], w[live & ~two]),
@@ -347,12 +353,6 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
-def sample_limit(rows: int, wanted: int) -> int | None:
-    """A 64-bit hash below this (as a signed number) has a share of about ``wanted``
-    of ``rows``; None takes all. Exact at any number of rows."""
-    return None if rows <= wanted else (wanted << 64) // rows - (1 << 63)
-
-
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           max_labelled: int = MAX_LABELLED, fairness: float = FAIRNESS) -> Model:
     """A model from the labelled documents that are not held out, of these an
@@ -387,10 +387,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         "col", pa.array(np.arange(len(feature), dtype=np.int32))))
     has = (_exploded(sample).join(F.broadcast(numbered), ["feature", "two"])
            .select("order", "col").distinct().toArrow())
-    row = np.searchsorted(seen.column("order").to_numpy(), has.column("order").to_numpy())
-    col = has.column("col").to_numpy().astype(np.int64)
-    order = np.lexsort((col, row))
-    return fit(row[order], col[order], labels_seen, feature.view(np.uint64), two, fairness)
+    # In order of (document, feature), in place: these are the fit's largest arrays.
+    place = np.searchsorted(seen.column("order").to_numpy(), has.column("order").to_numpy())
+    place *= len(feature)
+    place += has.column("col").to_numpy()
+    del has
+    place.sort()
+    row = place // len(feature)
+    place -= row * len(feature)
+    return fit(row, place, labels_seen, feature.view(np.uint64), two, fairness)
 
 
 def score_rows(docs: DataFrame, model: Model, text_col: str = "text",
