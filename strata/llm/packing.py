@@ -7,6 +7,12 @@ solutions in different orders and breeds by grouping crossover, which injects
 whole well-filled bins of one parent into the other, removes the bins that now
 hold duplicates and best-fits their displaced pieces. Between rounds every
 island sends its elite to the next one; a cell's best solution is its result.
+
+What fills its bins well is final. The other bins, a few of each cell, are opened
+again: their pieces are dealt anew into fewer cells, and so on until one cell is left,
+which searches longest. So cells cost no sequences: at the end one bin or so is open,
+as in a single packing of all pieces. Where lengths leave most bins open however they
+are dealt (few small pieces), a cell's solution is as good as any larger one's, and stays.
 """
 
 from __future__ import annotations
@@ -23,6 +29,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import workers_can_import
+
 from .common import map_batches, slices, stored, utf8
 from .token_counts import compiled, texts_of
 
@@ -31,6 +39,11 @@ SEQUENCE = 2048
 SEPARATOR = 0
 CELL_PIECES = 4096
 ISLANDS, ROUNDS, POPULATION, CHILDREN = 2, 2, 3, 3
+#: Children of the last cell, where the lower bound is still open.
+LAST_CHILDREN = 40
+#: Bins as full as this are final and the pieces of all others are dealt again: the
+#: strictest share that leaves at most ``AGAIN`` of the pieces dealt, if any does.
+FINAL, AGAIN = (1.0, 0.9995, 0.999, 0.99), 0.5
 #: Islands per task, and tasks at most (then each works on more islands).
 TASK_CELLS, MAX_TASKS = 4, 50_000
 #: Bins that crossover may inject are at least this full.
@@ -122,8 +135,8 @@ def crossover(sizes: np.ndarray, giver: np.ndarray, taker: np.ndarray, capacity:
     return np.unique(child, return_inverse=True)[1]
 
 
-def evolve(sizes: np.ndarray, elites: list[np.ndarray], capacity: int, seed: int
-           ) -> list[np.ndarray]:
+def evolve(sizes: np.ndarray, elites: list[np.ndarray], capacity: int, seed: int,
+           children: int = CHILDREN) -> list[np.ndarray]:
     """One island's round: from the elites (own and migrated) and fresh best-fit
     solutions to its best solutions, best first."""
     rng = np.random.default_rng(seed)
@@ -136,7 +149,7 @@ def evolve(sizes: np.ndarray, elites: list[np.ndarray], capacity: int, seed: int
         pool.append(fresh)
     pool = sorted(pool, key=lambda s: -fitness(sizes, s, capacity))
     lower = -(-int(sizes.sum()) // capacity)
-    for _ in range(CHILDREN):
+    for _ in range(children):
         if int(pool[0].max()) + 1 <= lower:
             break
         a, b = rng.choice(len(pool), 2, replace=False) if len(pool) > 1 else (0, 0)
@@ -145,7 +158,7 @@ def evolve(sizes: np.ndarray, elites: list[np.ndarray], capacity: int, seed: int
     return pool
 
 
-def _island_round(capacity: int, number: int):
+def _island_round(capacity: int, number: int, children: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             best, score = [], []
@@ -154,24 +167,20 @@ def _island_round(capacity: int, number: int):
                 sizes = np.asarray(sizes, dtype=np.int64)
                 seed = (int(cell) * ROUNDS + number) * ISLANDS + int(island)
                 pool = evolve(sizes, [np.asarray(e, dtype=np.int64) for e in elites],
-                              capacity, seed)
+                              capacity, seed, children)
                 best.append(pool[0].tolist())
                 score.append(fitness(sizes, pool[0], capacity))
             yield frame[["cell", "island", "sizes"]].assign(best=best, score=score)
     return run
 
 
-def pack(pieces: DataFrame, sequence: int = SEQUENCE, cell_pieces: int = CELL_PIECES,
-         id_col: str = "doc_id") -> DataFrame:
-    """``pieces`` (stored) with sequence_id and offset: every sequence holds at
-    most ``sequence`` tokens and its offsets are gapless from 0."""
-    whole = pieces.filter(F.col("length") >= sequence).select(
-        *pieces.columns, (-1 - F.monotonically_increasing_id()).alias("sequence_id"),
-        F.lit(0).cast("long").alias("offset"))
-    part = pieces.filter(F.col("length") < sequence)
-    cells = max(1, round(part.count() / cell_pieces))
-    item = F.struct(F.col("length").alias("length"), *[c for c in pieces.columns if c != "length"])
-    by_cell = (part.withColumn("cell", F.pmod(F.xxhash64(*pieces.columns,
+def _pack_cells(part: DataFrame, columns: list[str], cells: int, sequence: int, deal: int
+                ) -> DataFrame:
+    """``part`` dealt into ``cells`` and packed there: ``columns``, sequence_id, offset,
+    and fill, the tokens of the whole sequence."""
+    workers_can_import(part.sparkSession)
+    item = F.struct(F.col("length").alias("length"), *[c for c in columns if c != "length"])
+    by_cell = (part.withColumn("cell", F.pmod(F.xxhash64(F.lit(deal), *columns,
                                                          F.monotonically_increasing_id()),
                                               F.lit(cells)))
                .groupBy("cell").agg(F.sort_array(F.collect_list(item), False).alias("items")))
@@ -196,18 +205,44 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE, cell_pieces: int = CELL_PI
         # An explicit count, as AQE would put these small rows of long work into one task.
         islands = (islands.repartition(max(1, min(cells * ISLANDS // TASK_CELLS, MAX_TASKS)),
                                        "cell", "island")
-                   .mapInPandas(_island_round(sequence, number), state))
+                   .mapInPandas(_island_round(sequence, number,
+                                              CHILDREN if cells > 1 else LAST_CHILDREN), state))
     winner = islands.groupBy("cell").agg(
         F.max_by("best", F.struct("score", "island")).alias("best"))
     joined = by_cell.join(winner, "cell")
     placed = joined.select(
         "cell", F.posexplode(F.arrays_zip("items", F.col("best").alias("bin")))
         .alias("place", "z")).select("cell", "place", "z.items.*", F.col("z.bin").alias("bin"))
-    sequence_id = F.shiftleft(F.col("cell").cast("long"), 24) + F.col("bin")
-    before = W.partitionBy("cell", "bin").orderBy("place").rowsBetween(W.unboundedPreceding, -1)
-    placed = placed.select(*pieces.columns, sequence_id.alias("sequence_id"),
-                           F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
-    return placed.unionByName(whole)
+    sequence_id = (F.shiftleft(F.lit(deal).cast("long"), 58)
+                   + F.shiftleft(F.col("cell").cast("long"), 20) + F.col("bin"))
+    of_bin = W.partitionBy("cell", "bin")
+    before = of_bin.orderBy("place").rowsBetween(W.unboundedPreceding, -1)
+    return placed.select(*columns, sequence_id.alias("sequence_id"),
+                         F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"),
+                         F.sum("length").over(of_bin).alias("fill"))
+
+
+def pack(pieces: DataFrame, sequence: int = SEQUENCE, cell_pieces: int = CELL_PIECES,
+         id_col: str = "doc_id") -> DataFrame:
+    """``pieces`` (stored) with sequence_id and offset: every sequence holds at
+    most ``sequence`` tokens and its offsets are gapless from 0."""
+    columns = pieces.columns
+    done = pieces.filter(F.col("length") >= sequence).select(
+        *columns, (-1 - F.monotonically_increasing_id()).alias("sequence_id"),
+        F.lit(0).cast("long").alias("offset"))
+    part = pieces.filter(F.col("length") < sequence)
+    count, deal = part.count(), 0
+    while count:
+        cells = max(1, round(count / cell_pieces))
+        placed = stored(_pack_cells(part, columns, cells, sequence, deal), "packing-placed")
+        left = placed.agg(*[F.count_if(F.col("fill") < share * sequence) for share in FINAL]).first()
+        known = [(share, n) for share, n in zip(FINAL, left, strict=True) if n <= AGAIN * count]
+        if cells == 1 or not known:
+            return done.unionByName(placed.drop("fill"))
+        final, count = F.col("fill") >= known[0][0] * sequence, known[0][1]
+        done = done.unionByName(placed.filter(final).drop("fill"))
+        part, deal = placed.filter(~final).select(*columns), deal + 1
+    return done
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE,
