@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import text_of
+from .common import stored, text_of
 
-#: Rows per (shard, bucket) that slots are numbered in.
-BUCKET_ROWS = 1000
+#: Rows that follow each other in the input and are numbered together, as a power of two.
+BLOCK_BITS = 17
 
 
 @dataclass(frozen=True)
@@ -83,26 +83,28 @@ def assign_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id",
 
     Null text has no bytes; a null id is a key of its own. Rows that repeat an
     id share a shard and get slots of their own. Other columns are ignored; an
-    empty table gives an empty result. Slots follow hash buckets of about
-    ``BUCKET_ROWS`` rows, so no task numbers a whole shard.
+    empty table gives an empty result. Slots follow the rows' places in the stored
+    input: each block of 2**``BLOCK_BITS`` rows numbers its own, from the sum of the
+    shard's counts in the blocks before it, so no task numbers a whole shard, even
+    where one id or text holds a third of all rows.
     """
     text = text_of(text_col)
     key = F.xxhash64(F.lit("shard"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
     rows = docs.select(
         F.col(id_col), (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), key.alias("_key"))
-    buckets = max(1, -(-docs.count() // (shards * BUCKET_ROWS)))
-    rows = rows.select(
+    rows = stored(rows.select(
         id_col, "size", "text_crc32",
         shard_of(F.col("_key"), tree(shards)).alias("shard"),
         shard_of(F.col("_key"), tree(shards, added=1)).alias("grown_shard"),
-        F.pmod(F.xxhash64("_key", "text_crc32", "size"), F.lit(buckets)).alias("_bucket"))
-    counts = rows.groupBy("shard", "_bucket").agg(F.count("*").alias("_n"))
-    before = W.partitionBy("shard").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select("shard", "_bucket",
+        F.monotonically_increasing_id().alias("_at")), "sharding-rows")
+    rows = rows.withColumn("_block", F.shiftright("_at", BLOCK_BITS))
+    counts = rows.groupBy("shard", "_block").agg(F.count("*").alias("_n"))
+    before = W.partitionBy("shard").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select("shard", "_block",
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = W.partitionBy("shard", "_bucket").orderBy(id_col, "text_crc32", "size")
+    within = W.partitionBy("shard", "_block").orderBy("_at")
     return (rows.withColumn("_row", F.row_number().over(within))
-            .join(starts, ["shard", "_bucket"])
+            .join(starts, ["shard", "_block"])
             .select(id_col, "size", "text_crc32", F.lit("key").alias("law"), "shard",
                     (F.col("_start") + F.col("_row") - 1).alias("slot"), "grown_shard"))
