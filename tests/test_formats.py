@@ -1,5 +1,5 @@
 """Format equivalence: the citation table on JSON copies of its inputs (SQL
-text over views, detector as a SQL function) equals the DataFrame form on
+text over views, the stored language model in SQL) equals the DataFrame form on
 the parquet tables."""
 
 from strata.operators import panel
@@ -11,15 +11,16 @@ from tests.conftest import SF_SMALL
 
 
 def test_citation_on_json_copies_equals_parquet(spark):
-    inputs = Q._citation_inputs(StandIns(spark, SF_SMALL))
+    s = StandIns(spark, SF_SMALL)
+    inputs = Q._citation_inputs(s)
     for name, df in inputs.items():
         path = scratch_path(spark, f"test-citation-json-{name}")
         write_table(df, path, fmt="json")
         read_json(spark, path).createOrReplaceTempView(f"strata_json_{name}")
     out = panel.citation_table_sql(spark, "strata_json_steady", "strata_json_host",
                                    "strata_json_works", "strata_json_refs",
-                                   Q._register_detector(spark))
+                                   Q._language_model(s))
     json_rows = sorted(map(tuple, parse_as(out, Q.CITATION_SCHEMA).collect()), key=str)
-    frame = Q._citations(StandIns(spark, SF_SMALL), Q._stopword_detect)
+    frame = Q.citation_language(spark, SF_SMALL)
     parquet_rows = sorted(map(tuple, frame.collect()), key=str)
     assert json_rows == parquet_rows and len(parquet_rows) > 0
