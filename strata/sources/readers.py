@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from strata.session import exists
 from strata.sources.frames import create_empty_df
 
 
@@ -115,6 +116,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType,
                   fmt: str = "parquet", **options) -> DataFrame:
     """Read ``path``; if it does not exist, an empty table of ``schema``.
     Only a missing path is forgiven, every other error is raised."""
+    # A plain path is looked up first: Spark logs every failed analysis with its stack.
+    if not any(c in path for c in "*?[{") and not exists(spark, path):
+        return create_empty_df(spark, schema)
     try:
         return read_table(spark, path, fmt=fmt, schema=schema, **options)
     except AnalysisException as exc:
