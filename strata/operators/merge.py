@@ -15,15 +15,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import MapType, StructField, StructType
 
 from strata.session import checkpoint_dir
 from strata.sources.frames import parse_as
 
 def cast_to(delta: DataFrame, base: DataFrame, strict: bool = True) -> DataFrame:
     """The delta with the base's column order and types (Q14). ``strict``
-    raises on a bad value; ``strict=False`` turns it into NULL."""
-    return parse_as(delta, base.schema, strict=strict)
+    raises on a bad value; ``strict=False`` turns it into NULL. A NULL of the delta
+    means "no news", so it may stand in any column."""
+    schema = StructType([StructField(f.name, f.dataType) for f in base.schema])
+    return parse_as(delta, schema, strict=strict)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
