@@ -1,10 +1,12 @@
 """Chat formatting by token-level assembly.
 
-Every segment of a turn (role line, text) is escaped and encoded by itself, in
-parallel over rows; reserved ids that no text can produce are spliced around
-the segments. Token positions and loss-mask runs are prefix sums of segment
-lengths over the conversation. A conversation is streamed through its task in
-turn order, one Arrow batch at a time, so its length is not bounded by memory.
+Every segment of a turn (role line, text) is escaped and encoded by itself; reserved
+ids that no text can produce are spliced around the segments. Turns are sorted over
+all tasks by conversation and turn (a range sort, so a long conversation is several
+tasks' work), and token positions and loss-mask runs are prefix sums: within a task
+over its turns, and over the tasks' sums for the conversations that go over a task's
+edge, one per edge. Reading back is per turn as well; only the digests of a whole
+conversation need its turns one after the other, and stream them.
 """
 
 from __future__ import annotations
@@ -14,13 +16,19 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_batches, quiet_tokenizers
+from .common import map_batches, slices, stored, utf8
+from .token_counts import compiled, texts_of
 
+#: Roles whose ids one Python worker keeps.
+MAX_ROLES = 10_000
 #: The template's control strings.
 TURN_START, TURN_END = "<|im_start|>", "<|im_end|>"
 
@@ -44,155 +52,211 @@ def unescape_role(role: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(role))
 
 
-@functools.lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    quiet_tokenizers()
-    from tokenizers import Tokenizer
+def _byte_of() -> dict[str, int]:
+    """Byte-level BPE writes every byte as one printable character: the printable
+    ones of Latin-1 as themselves, the others from U+0100 on in their order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``starts[i], starts[i] + 1, ...`` of ``sizes[i]`` numbers, for every i in a row."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+class Codec:
+    """Turns to ids and back, many at a time. The reserved ids follow the vocabulary."""
+
+    def __init__(self, path: str) -> None:
+        self.table = compiled(path)
+        tok = self.table.tok
+        size = tok.get_vocab_size()
+        self.begin, self.end = size, size + 1
+        byte_of, special = _byte_of(), set(self.table.special)
+        pieces = [b""] * (size + 2)  # the reserved ids say nothing
+        for piece, i in tok.get_vocab().items():
+            pieces[i] = piece.encode() if piece in special else bytes(byte_of[c] for c in piece)
+        self.sizes = np.array([len(p) for p in pieces], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(pieces), np.uint8)
+        self.newline = self.table.encode(["\n"])[0]
+        self.heads: dict[str, np.ndarray] = {}
+
+    def encode(self, roles: list[str], texts: list[str]
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all turns, tokens, role tokens and text tokens of each turn)."""
+        new = [r for r in dict.fromkeys(roles) if r not in self.heads]
+        if len(self.heads) + len(new) > MAX_ROLES:
+            self.heads, new = {}, list(dict.fromkeys(roles))
+        ids, bounds = self.table.encode([escape_role(r) + "\n" for r in new])
+        self.heads.update((r, ids[a:b]) for r, a, b in zip(new, bounds[:-1], bounds[1:], strict=True))
+        heads = [self.heads[r] for r in roles]
+        body, bounds = self.table.encode([escape(t) if "<" in t else t for t in texts])
+        h, b = np.array([len(x) for x in heads], np.int64), np.diff(bounds)
+        n = h + b + 2 + len(self.newline)
+        at = np.cumsum(n) - n
+        out = np.empty(int(n.sum()), np.int32)
+        out[at] = self.begin
+        out[_runs(at + 1, h)] = np.concatenate(heads) if len(heads) else out[:0]
+        out[_runs(at + 1 + h, b)] = body
+        out[at + 1 + h + b] = self.end
+        for i, token in enumerate(self.newline.tolist()):
+            out[at + 2 + h + b + i] = token
+        return out, n, h, b
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, the bytes before each id and in all)."""
+        sizes = self.sizes[ids]
+        return self.data[_runs(self.starts[ids], sizes)], np.append(0, np.cumsum(sizes))
+
 
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True  # special strings in a text are ordinary text
-    size = tok.get_vocab_size()
-    return tok, size, size + 1
+@functools.lru_cache(maxsize=2)
+def _codec(path: str) -> Codec:
+    return Codec(path)
 
 
 def format_turns(turns: DataFrame, tokenizer_path: str) -> DataFrame:
-    """One row per turn of ``turns`` (conv_id, turn, role, text), in order:
-    conv_id, position (0, 1, ... in its conversation), start (tokens before the
-    turn), ids (the turn's tokens: start id, role and line break, text, end id,
-    line break), loss_start and loss_end (token positions in the conversation
-    under the loss mask: the assistant's text; equal where there is none).
+    """One row per turn of ``turns`` (conv_id, turn, role, text): conv_id, position
+    (0, 1, ... in its conversation), start (tokens before the turn), ids (the turn's
+    tokens: start id, role and line break, text, end id, line break), loss_start and
+    loss_end (token positions in the conversation under the loss mask: the
+    assistant's text; equal where there is none).
 
     Null role and null text count as empty. Turns are ordered by turn (null
     first), then role, then text; repeated rows are turns of their own. Rows
-    without conv_id form one conversation. Other columns are ignored; an empty
-    table gives an empty result.
+    without conv_id form one conversation. A turn of any length is encoded by
+    itself. Other columns are ignored; an empty table gives an empty result.
     """
-    conv = turns.schema["conv_id"].dataType
-    turn = turns.schema["turn"].dataType
+    order = ["conv_id", "turn", "role", "text"]
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
                         F.coalesce("text", F.lit("")).alias("text"))
-    encoded = T.StructType([
-        T.StructField("conv_id", conv), T.StructField("turn", turn),
-        T.StructField("role", T.StringType()), T.StructField("text", T.StringType()),
-        T.StructField("head", T.ArrayType(T.IntegerType())),
-        T.StructField("body", T.ArrayType(T.IntegerType()))])
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, _, _ = _tokenizer(tokenizer_path)
-        for batch in batches:
-            roles = batch.column(2).to_pylist()
-            texts = batch.column(3).to_pylist()
-            segments = [[escape_role(r) + "\n" for r in roles], [escape(t) for t in texts]]
-            ids = [pa.array([e.ids for e in tok.encode_batch(s, add_special_tokens=False)],
-                            pa.list_(pa.int32())) for s in segments]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *ids], names=encoded.names)
-
-    formatted = T.StructType([
-        T.StructField("conv_id", conv), T.StructField("position", T.LongType()),
-        T.StructField("start", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())),
+    placed = T.StructType([
+        turns.schema["conv_id"], T.StructField("part", T.LongType()),
+        T.StructField("position", T.LongType()), T.StructField("start", T.LongType()),
+        T.StructField("ids", T.ArrayType(T.IntegerType())),
         T.StructField("loss_start", T.LongType()), T.StructField("loss_end", T.LongType())])
 
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, begin, end = _tokenizer(tokenizer_path)
-        newline = tok.encode("\n", add_special_tokens=False).ids
-        current: tuple | None = None
-        at = position = 0
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(tokenizer_path)
+        part = TaskContext.get().partitionId()
+        last, position, start = None, 0, 0  # of the task's conversation so far
         for batch in batches:
-            out = {name: [] for name in formatted.names[1:]}
+            data, offsets = utf8(batch.column(2))
             convs = batch.column(0).to_pylist()
-            for c, role, head, body in zip(convs, batch.column(2).to_pylist(),
-                                           batch.column(4).to_pylist(),
-                                           batch.column(5).to_pylist(), strict=True):
-                if (c,) != current:
-                    current, at, position = (c,), 0, 0
-                ids = [begin, *head, *body, end, *newline]
-                loss = at + 1 + len(head)
-                out["position"].append(position)
-                out["start"].append(at)
-                out["ids"].append(ids)
-                out["loss_start"].append(loss)
-                out["loss_end"].append(loss + (len(body) if role == "assistant" else 0))
-                at += len(ids)
-                position += 1
-            types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(v, t) for v, t in zip(out.values(), types, strict=True))],
-                names=formatted.names)
-
-    order = ["conv_id", "turn", "role", "text"]
-    sorted_ = (map_batches(rows, encode, encoded)
-               .repartition("conv_id").sortWithinPartitions(*order))
-    return map_batches(sorted_, assemble, formatted)
+            roles = batch.column(1).to_pylist()
+            for a, b in slices(offsets):
+                ids, n, h, body = codec.encode(roles[a:b], texts_of(data, offsets[a:b + 1]))
+                own = [(c,) for c in convs[a:b]]
+                new = np.array([c != o for c, o in zip(own, [last, *own[:-1]], strict=True)])
+                before = np.cumsum(n) - n
+                first = np.maximum.accumulate(np.where(new, np.arange(b - a), -1))
+                on = first < 0  # the conversation of the slice before goes on
+                at = np.where(on, position + np.arange(b - a), np.arange(b - a) - first)
+                tokens = np.where(on, start + before, before - before[first])
+                last, position, start = own[-1], int(at[-1]) + 1, int(tokens[-1] + n[-1])
+                loss = tokens + 1 + h
+                said = np.array([r == "assistant" for r in roles[a:b]])
+                bounds = pa.array(np.append(0, np.cumsum(n)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(np.full(b - a, part, np.int64)),
+                     pa.array(at), pa.array(tokens), pa.ListArray.from_arrays(bounds, pa.array(ids)),
+                     pa.array(loss), pa.array(loss + body * said)], names=placed.names)
+
+    sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    local = stored(map_batches(sorted_.select("conv_id", "role", "text"), encode, placed),
+                   "chat-turns")
+    before = W.partitionBy("conv_id").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    sums = (local.groupBy("conv_id", "part")
+            .agg(F.count("*").alias("n"), F.sum(F.size("ids")).alias("tokens"))
+            .select(F.col("conv_id").alias("_conv"), F.col("part").alias("_part"),
+                    F.sum("n").over(before).alias("_n"), F.sum("tokens").over(before).alias("_tokens")))
+    # Ranges of one sort: at most one conversation per task goes on from the task before.
+    edges = F.broadcast(sums.where(F.col("_n").isNotNull()))
+    tokens = F.coalesce("_tokens", F.lit(0))
+    return (local.join(edges, F.col("conv_id").eqNullSafe(F.col("_conv"))
+                       & (F.col("part") == F.col("_part")), "left")
+            .select("conv_id", (F.col("position") + F.coalesce("_n", F.lit(0))).alias("position"),
+                    (F.col("start") + tokens).alias("start"), "ids",
+                    (F.col("loss_start") + tokens).alias("loss_start"),
+                    (F.col("loss_end") + tokens).alias("loss_end")))
 
 
 def read_back(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
-    """From ``format_turns`` (its rows in order within their partitions): one
-    row per conversation with the digests of what the tokens say."""
-    schema = T.StructType([
-        T.StructField("conv_id", formatted.schema["conv_id"].dataType),
-        T.StructField("n_turns", T.LongType()), T.StructField("turns_sha256", T.StringType()),
+    """From ``format_turns``: one row per conversation with the digests of what the
+    tokens say."""
+    conv = formatted.schema["conv_id"]
+    turns = T.StructType([
+        conv, T.StructField("position", T.LongType()), T.StructField("said", T.StringType()),
+        T.StructField("loss", T.StringType()), T.StructField("length", T.LongType())])
+    digests = T.StructType([
+        conv, T.StructField("n_turns", T.LongType()), T.StructField("turns_sha256", T.StringType()),
         T.StructField("loss_chars", T.LongType()), T.StructField("loss_sha256", T.StringType()),
         T.StructField("formatted_chars", T.LongType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, begin, end = _tokenizer(tokenizer_path)
-        rows: list[dict] = []
-        current, state = None, None
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(tokenizer_path)
+        for batch in batches:
+            lists = batch.column(3)
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            ends = np.flatnonzero(flat == codec.end)
+            if not (np.array_equal(np.flatnonzero(flat == codec.begin), bounds[:-1])
+                    and np.array_equal(np.searchsorted(bounds, ends, side="right"),
+                                       np.arange(1, len(bounds)))):
+                raise ValueError("a turn's tokens hold a reserved id in the wrong place")
+            data, before = codec.decode(flat)
+            data = data.tobytes()
+            first = bounds[:-1] - batch.column(2).to_numpy()  # of the token counts to ``flat``
+            lo, hi = (before[c.to_numpy() + first].tolist() for c in batch.columns[4:6])
+            said, loss, length = [], [], []
+            for a, e, z, x, y in zip(before[bounds[:-1]].tolist(), before[ends].tolist(),
+                                     before[bounds[1:]].tolist(), lo, hi, strict=True):
+                whole = data[a:e].decode()
+                role, _, text = whole.partition("\n")
+                said.append(f"{unescape_role(role)}\n{unescape(text) if '<' in text else text}\n")
+                loss.append(unescape(data[x:y].decode()) if y > x else "")
+                length.append(len(TURN_START) + len(whole) + len(TURN_END) + len(data[e:z].decode()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(said, pa.string()),
+                 pa.array(loss, pa.string()), pa.array(length, pa.int64())], names=turns.names)
 
-        def close() -> None:
-            if state is not None:
-                rows.append({"conv_id": current[0], "n_turns": state["n"],
-                             "turns_sha256": state["turns"].hexdigest(),
-                             "loss_chars": state["chars"],
-                             "loss_sha256": state["loss"].hexdigest(),
-                             "formatted_chars": state["length"]})
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, rows, type_ = None, [], None
 
         def flush() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_pylist(rows, schema=arrow)
+            columns = list(zip(*rows, strict=True))
             rows.clear()
-            return batch
+            types = [type_, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=digests.names)
 
-        arrow = None
+        def close() -> None:
+            if current is not None:
+                rows.append((current[0], n, whole.hexdigest(), chars, masked.hexdigest(), length))
+
+        n = chars = length = 0
+        whole, masked = hashlib.sha256(), hashlib.sha256()
         for batch in batches:
-            arrow = arrow or pa.schema([
-                ("conv_id", batch.schema.field(0).type), ("n_turns", pa.int64()),
-                ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
-                ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
-            turns, masks = [], []
-            convs = batch.column(0).to_pylist()
-            ids_col = batch.column(3).to_pylist()
-            for start, ids, lo, hi in zip(batch.column(2).to_pylist(), ids_col,
-                                          batch.column(4).to_pylist(),
-                                          batch.column(5).to_pylist(), strict=True):
-                stop = ids.index(end)
-                if ids[0] != begin or begin in ids[1:] or end in ids[stop + 1:]:
-                    raise ValueError("a turn's tokens hold a reserved id in the wrong place")
-                turns.append((ids[1:stop], ids[stop + 1:]))
-                masks.append(ids[lo - start:hi - start])
-            inner = tok.decode_batch([t[0] for t in turns], skip_special_tokens=False)
-            tails = tok.decode_batch([t[1] for t in turns], skip_special_tokens=False)
-            losses = tok.decode_batch(masks, skip_special_tokens=False)
-            for c, said, tail, loss in zip(convs, inner, tails, losses, strict=True):
+            type_ = batch.column(0).type
+            for c, said, loss, size in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4)),
+                                           strict=True):
                 if (c,) != current:
                     close()
-                    current = (c,)
-                    state = {"n": 0, "turns": hashlib.sha256(), "chars": 0,
-                             "loss": hashlib.sha256(), "length": 0}
-                role, _, text = said.partition("\n")
-                state["n"] += 1
-                state["turns"].update(f"{unescape_role(role)}\n{unescape(text)}\n".encode())
-                plain = unescape(loss)
-                state["chars"] += len(plain)
-                state["loss"].update(plain.encode())
-                state["length"] += len(TURN_START) + len(said) + len(TURN_END) + len(tail)
-            if rows:
-                yield flush()
-        if arrow is not None:
-            close()
+                    current, n, chars, length = (c,), 0, 0, 0
+                    whole, masked = hashlib.sha256(), hashlib.sha256()
+                n, chars, length = n + 1, chars + len(loss), length + size
+                whole.update(said.encode())
+                masked.update(loss.encode())
             if rows:
                 yield flush()
+        close()
+        if rows:
+            yield flush()
 
-    return map_batches(formatted, run, schema)
+    read = map_batches(formatted, decode, turns)
+    return map_batches(read.repartition("conv_id").sortWithinPartitions("conv_id", "position"),
+                       digest, digests)
 
 
 def format_digests(conversations: DataFrame, tokenizer_path: str) -> DataFrame:
