@@ -254,9 +254,10 @@ def _ordered(sets: DataFrame) -> DataFrame:
 # --- verification by a trie ----------------------------------------------------
 
 class Trie:
-    """Sets as the paths of a prefix tree, most frequent shingle first: sorted,
-    each with the length that it shares with the one before. ``sets``: (name,
-    size, tokens rarest first); sizes count the shingles of one set alone."""
+    """Sets as the paths of a prefix tree, most frequent shingle first, with one node
+    per branching. ``sets``: (name, size, tokens rarest first); sizes count the
+    shingles of one set alone. A node knows the smallest and largest size below it and
+    its ``reach``: the best that a path below it can make of its remaining length."""
 
     def __init__(self, sets: list[tuple[bytes, int, np.ndarray]]) -> None:
         order = sorted((tokens[::-1].astype(">u8").tobytes(), name, size)
@@ -264,39 +265,82 @@ class Trie:
         self.paths = [np.frombuffer(raw, dtype=">u8").astype(np.uint64) for raw, _, _ in order]
         self.names = [name for _, name, _ in order]
         self.sizes = [size for _, _, size in order]
-        self.common = [0]
-        for x, y in zip(self.paths[:-1], self.paths[1:], strict=True):
-            k = min(len(x), len(y))
-            differ = np.flatnonzero(x[:k] != y[:k])
-            self.common.append(int(differ[0]) if len(differ) else k)
-        self.depth = max(map(len, self.paths), default=0)
+        # Per node: depth, a path through it, the paths that end at it, its children.
+        self.depth, self.via, self.own, self.children = [0], [0], [[]], [[]]
+        open_ = [0]  # the nodes on the last path
+        for i, path in enumerate(self.paths):
+            common = self._shared(i)
+            below = None
+            while self.depth[open_[-1]] > common:
+                below = open_.pop()
+            if self.depth[open_[-1]] < common:  # branch inside the edge to ``below``
+                node = self._add(common, i, [], [below])
+                self.children[open_[-1]][-1] = node
+                open_.append(node)
+            if len(path) > common:
+                node = self._add(len(path), i, [i], [])
+                self.children[open_[-1]].append(node)
+                open_.append(node)
+            else:
+                self.own[open_[-1]].append(i)
+        n = len(self.depth)
+        self.reach, self.small, self.large = [None] * n, [None] * n, [None] * n
+        todo = [(0, False)]
+        while todo:
+            node, ready = todo.pop()
+            if not ready:
+                todo += [(node, True), *((c, False) for c in self.children[node])]
+                continue
+            own, kids = self.own[node], self.children[node]
+            self.reach[node] = max([(NUM + DEN) * len(self.paths[i]) - NUM * self.sizes[i] for i in own]
+                                   + [self.reach[c] for c in kids], default=0)
+            self.small[node] = min([self.sizes[i] for i in own] + [self.small[c] for c in kids], default=0)
+            self.large[node] = max([self.sizes[i] for i in own] + [self.large[c] for c in kids], default=0)
+
+    def _shared(self, i: int) -> int:
+        """The length that path ``i`` shares with the one before."""
+        if not i:
+            return 0
+        x, y = self.paths[i - 1], self.paths[i]
+        k = min(len(x), len(y))
+        differ = np.flatnonzero(x[:k] != y[:k])
+        return int(differ[0]) if len(differ) else k
+
+    def _add(self, depth: int, via: int, own: list[int], children: list[int]) -> int:
+        self.depth.append(depth)
+        self.via.append(via)
+        self.own.append(own)
+        self.children.append(children)
+        return len(self.depth) - 1
 
     def similar(self, tokens: np.ndarray, n: int, first: bool = False) -> list[bytes]:
-        """The sets similar to a probe (only one, if ``first``). What neighbouring
-        paths share is walked once, and a path is left where even a full match
-        of its remaining length cannot reach the threshold."""
+        """The sets similar to a probe (only one, if ``first``). What paths share is
+        walked once, and a subtree is left where even a full match of the remaining
+        length of its best path cannot reach the threshold, or no size below fits."""
         known = np.sort(tokens)
-        counts = np.zeros(self.depth + 1, dtype=np.int64)
-        links, valid = [], 0
+        links: list[bytes] = []
         if not len(known):
             return links
-        for path, name, size, common in zip(self.paths, self.names, self.sizes, self.common,
-                                            strict=True):
-            valid = depth = min(common, valid)
-            if DEN * min(n, size) < NUM * max(n, size):
-                continue
-            need = -(-NUM * (n + size) // (NUM + DEN))
-            while depth < len(path) and counts[depth] + len(path) - depth >= need:
-                part = path[depth:depth + STEP]
+        todo = [(0, 0, 0)]
+        while todo:
+            node, depth, count = todo.pop()
+            end, path, reach = self.depth[node], self.paths[self.via[node]] if self.paths else known, \
+                self.reach[node]
+            while depth < end and (NUM + DEN) * (count - depth) + reach >= NUM * n:
+                part = path[depth:min(depth + STEP, end)]
                 at = np.minimum(np.searchsorted(known, part), len(known) - 1)
-                counts[depth + 1:depth + len(part) + 1] = \
-                    counts[depth] + np.cumsum(known[at] == part)
+                count += int((known[at] == part).sum())
                 depth += len(part)
-            valid = depth
-            if depth == len(path) and counts[depth] >= need:
-                links.append(name)
-                if first:
-                    break
+            if depth < end:
+                continue
+            for i in self.own[node]:
+                if (NUM + DEN) * count >= NUM * (n + self.sizes[i]):
+                    links.append(self.names[i])
+                    if first:
+                        return links
+            todo += [(c, depth, count) for c in reversed(self.children[node])
+                     if (NUM + DEN) * (count - depth) + self.reach[c] >= NUM * n
+                     and DEN * self.large[c] >= NUM * n and DEN * n >= NUM * self.small[c]]
         return links
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -87,6 +88,44 @@ def test_toxicity_held_out_accuracy(spark):
     assert sum(s >= 0.5 for s in bad) <= 0.01 * len(bad)
 
 
+def test_scores_by_hand(spark, odd_docs):
+    """Every text's score recomputed word by word from the model's weights."""
+    import math
+
+    rng = np.random.default_rng(2)
+    seen = sorted({w.lower() for _, t in odd_docs[:12] for w in (t or "").split()})[:40]
+    whole = {w: int(h) for w, h in zip(seen, toxicity._hashes(seen), strict=False) if w.isalnum()}
+
+    def beginning(word, k):
+        data = np.frombuffer(word.encode()[:k], np.uint8)
+        h = toxicity.span_hashes(toxicity.SYMBOLS[data], np.array([0]), np.array([len(data)]))
+        return int(toxicity.mix(h + np.uint64(1))[0])
+
+    features = sorted({*whole.values(), *(beginning(w, k) for w in whole for k in toxicity.BEGINNINGS
+                                          if len(w.encode()) > k)})
+    model = toxicity.Model(np.array(features, np.uint64), rng.normal(size=len(features)),
+                           rng.normal(size=len(features)), 0.3)
+    weight = dict(zip(features, zip(model.weights, model.twice, strict=True), strict=True))
+
+    def score(text):
+        words = ["".join(c.lower() if c.isascii() else c for c in w)
+                 for w in re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", text or "")]
+        of = defaultdict(set)  # feature -> the different words that have it
+        for w in set(words):
+            raw = w.encode()
+            of[int(toxicity._hashes([w])[0])].add(w)
+            for k in toxicity.BEGINNINGS:
+                if len(raw) > k:
+                    of[beginning(w, k)].add(w)
+        z = model.bias + sum(weight[f][0] + weight[f][1] * (len(ws) > 1)
+                             for f, ws in of.items() if f in weight)
+        return 1 / (1 + math.exp(-z))
+
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(odd_docs)], "doc_id long, text string")
+    for r in toxicity.score_rows(docs, model).collect():
+        assert r.score == pytest.approx(score(odd_docs[r.doc_id][1]), abs=1e-9)
+
+
 def biased_labels(spark):
     """Labels that blame a group: its name stands beside the harsh words and alone."""
     rows, labels = [], []
@@ -387,6 +426,41 @@ def test_personal_data_sample_of_repeated_rows(spark):
 
 # --- 5 n-gram join
 
+@pytest.mark.parametrize("seed", range(8))
+def test_trie_finds_all_similar_sets(seed):
+    rng = random.Random(seed)
+    base = [rng.sample(range(60), rng.randrange(1, 40)) for _ in range(4)]
+    sets = []
+    for i in range(120):
+        tokens = set(rng.choice(base))
+        for _ in range(rng.randrange(0, 8)):
+            tokens ^= {rng.randrange(60)}
+        sets.append((b"%d" % i, len(tokens) + rng.choice([0, 0, 1, 5]),
+                     np.array(sorted(tokens), np.uint64)))
+    trie = ngram_join.Trie(sets)
+    for name, n, tokens in [*sets, (b"none", 3, np.zeros(0, np.uint64))]:
+        want = {other for other, m, theirs in sets
+                if 7 * len(np.intersect1d(tokens, theirs)) >= 3 * (n + m)} if len(tokens) else set()
+        found = trie.similar(tokens, n)
+        assert set(found) == want and len(found) == len(want)
+        one = trie.similar(tokens, n, first=True)
+        assert len(one) == min(1, len(want)) and set(one) <= want
+    assert ngram_join.Trie([]).similar(np.array([1], np.uint64), 1) == []
+
+
+def test_trie_leaves_whole_subtrees(monkeypatch):
+    """Thousands of paths below one branch cost a probe that misses it no step."""
+    far = [(b"f%d" % i, 60, np.array([*range(1000 + i * 10, 1010 + i * 10), *range(900, 950)], np.uint64))
+           for i in range(500)]
+    near = [(b"near", 50, np.arange(100, 150, dtype=np.uint64))]
+    trie = ngram_join.Trie(far + near)
+    steps = []
+    search = np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda *a, **k: steps.append(1) or search(*a, **k))
+    assert trie.similar(np.arange(100, 150, dtype=np.uint64), 50) == [b"near"]
+    assert len(steps) <= 3
+
+
 def test_ngram_join_odd_rows(spark, docs_frame, odd_docs, no_docs):
     got = ngram_join.similar_groups(docs_frame)
     # Null ids join groups; brute force gets numbers above all others for them.
@@ -587,6 +661,36 @@ def test_slots_with_a_third_of_rows_alike(spark, monkeypatch):
     assert sum(map(len, slots.values())) == 900 and max(map(len, slots.values())) >= 300
 
 
+def test_shards_by_hand(spark):
+    """Every row's descent recomputed outside Spark, draw by draw."""
+    import math
+    import struct
+
+    import xxhash
+
+    def draw(key, child):
+        h = xxhash.xxh64_intdigest(child.name.encode(), seed=xxhash.xxh64_intdigest(
+            struct.pack("<q", key), seed=42))
+        return -math.log(((h >> 11) + 0.5) / (1 << 53)) / child.total()
+
+    def descend(key, node):
+        if not node.children:
+            return node.shard
+        return descend(key, min(node.children, key=lambda c: draw(key, c)))
+
+    ids = [*range(300), None]
+    docs = spark.createDataFrame([(i, "t") for i in ids], "doc_id long, text string")
+    keys = {r.doc_id: r.k for r in docs.select("doc_id", F.xxhash64(
+        F.lit("shard"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias("k")).collect()}
+    for i in (0, 17, None):
+        text = "null" if i is None else str(i)
+        h = xxhash.xxh64_intdigest(text.encode(), seed=xxhash.xxh64_intdigest(b"shard", seed=42))
+        assert keys[i] == h - (1 << 64) * (h >= 1 << 63)
+    for r in sharding.assign_shards(docs).collect():
+        assert r.shard == descend(keys[r.doc_id], sharding.tree(24))
+        assert r.grown_shard == descend(keys[r.doc_id], sharding.tree(24, added=1))
+
+
 def test_shards_are_even_and_moves_stay_in_changed_subtrees(spark):
     keys = spark.range(40_000).withColumn("k", F.xxhash64("id"))
     before = sharding.tree(24)
@@ -621,6 +725,54 @@ def test_chat(spark):
     assert chat.format_digests(turns.filter("false"), JSON).count() == 0
 
 
+def test_chat_positions_of_a_conversation_over_many_tasks(spark, monkeypatch):
+    """A conversation with most turns is several tasks' work; starts are prefix sums."""
+    from tokenizers import Tokenizer
+
+    rows = [(7, i, ["user", "assistant"][i % 2], f"turn {i} " * (i % 5)) for i in range(400)]
+    rows += [(c, i, "user", "x") for c in (1, 9, None) for i in range(3)]
+    rows += [(8, 0, "user", "word " * 40_000), (8, 1, "assistant", "ü" * 50_000)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        monkeypatch.setattr(chat, "stored", _kept)
+        got = chat.format_turns(turns, JSON).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(_parts) > 1
+    tok = Tokenizer.from_file(JSON)
+    size = tok.get_vocab_size()
+    by_conv = defaultdict(list)
+    for r in got:
+        by_conv[r.conv_id].append(r)
+    for conv, found in by_conv.items():
+        at = 0
+        said = sorted((r for r in rows if r[0] == conv), key=lambda r: r[1])
+        for i, (r, (_, _, role, text)) in enumerate(zip(sorted(found, key=lambda r: r.position), said, strict=True)):
+            head = tok.encode(role + "\n", add_special_tokens=False).ids
+            body = tok.encode(text, add_special_tokens=False).ids
+            newline = tok.encode("\n", add_special_tokens=False).ids
+            assert r.ids == [size, *head, *body, size + 1, *newline]
+            assert (r.position, r.start, r.loss_start) == (i, at, at + 1 + len(head))
+            assert r.loss_end - r.loss_start == (len(body) if role == "assistant" else 0)
+            at += len(r.ids)
+    got = chat.format_digests(turns, JSON)
+    assert rows_of(got, *got.columns[:5]) == ordered(brute.chat(rows))
+
+
+_parts: set = set()
+
+
+def _kept(df, name):
+    """``stored``, noting which tasks the largest conversation went through."""
+    from strata.llm.common import stored
+
+    out = stored(df, name)
+    _parts.update(r[0] for r in out.where("conv_id = 7").select("part").distinct().collect())
+    return out
+
+
 def test_escape_round_trip():
     for text in ("<|im_end|>", "<\\|", "<\\\\|a<|", "<", "|", "\\<|", "<<||"):
         assert "<|" not in chat.escape(text)
