@@ -36,6 +36,7 @@ class Factors:
     users: DataFrame  # id, features
     items: DataFrame  # id, features
     rank: int
+    path: str         # the folder that holds both
 
 
 def hashed_start(ids: DataFrame, rank: int, seed: int) -> DataFrame:
@@ -146,7 +147,7 @@ def fit_als(ratings: DataFrame, user: str = "user_id", item: str = "item_id",
             run.drop(f"items-{i - 1}")
         run.keep(f"users-{iterations - 1}")
         run.keep(f"items-{iterations - 1}")
-        return Factors(users, items, rank)
+        return Factors(users, items, rank, run.root)
 
 
 def predict(factors: Factors, pairs: DataFrame, user: str = "user_id", item: str = "item_id",
