@@ -34,7 +34,7 @@ def _sql_list(values) -> str:
 
 
 def stopword_detection_sql(source: str, text_col: str, key: str) -> str:
-    """The toy stop-word detector in SQL: ``(key, language, confidence)``."""
+    """The example stop-word detector in SQL: ``(key, language, confidence)``."""
     langs = sorted(STOP_WORDS)
     hits = ",\n    ".join(
         f"coalesce(len(list_filter(tk, lambda x: x IN ({_sql_list(STOP_WORDS[lang])}))), 0) "
