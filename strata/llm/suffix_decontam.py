@@ -181,9 +181,9 @@ def _matches(docs: DataFrame, block: Block, text_col: str, id_type: T.DataType)
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                     text_col: str = "text", item_col: str = "item_id",
                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` (row by row, all columns) with n_words and matches: every longest
-    verbatim match of ``window`` words or more with a benchmark item (or of the
-    whole item, if that is shorter) as (item_id, length, doc_word, item_word),
+    """``docs`` (row by row, all columns but any of these names) with n_words and
+    matches: every longest verbatim match of ``window`` words or more with a benchmark
+    item (or of the whole item, if that is shorter) as (item_id, length, doc_word, item_word),
     positions in words from 0.
 
     Null text has no words and no matches. Equal items match each by itself;
@@ -236,7 +236,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   text_col: str = "text") -> DataFrame:
-    """``docs`` without the contaminated rows; all columns as they were."""
+    """``docs`` without the contaminated rows; all columns as they were, whatever
+    their names. Null and empty texts have no words and stay; repeated rows go or stay
+    together; an empty benchmark drops nothing, an empty table stays empty."""
     marked = contamination(docs.withColumnsRenamed({c: f"_doc_{c}" for c in docs.columns}),
                            benchmark, window, f"_doc_{text_col}")
     return marked.filter(~F.col("contaminated")).select(

@@ -434,7 +434,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows scored 0.5 or more; all columns as they were."""
+    """``docs`` without the rows scored 0.5 or more; all columns as they were. Null and
+    empty texts get the model's bias as score; repeated rows go or stay together; null
+    ids teach nothing and are scored like any other; without labels of both kinds all
+    rows are scored alike; an empty table stays empty."""
     model = train(docs, labels, id_col, text_col)
     name = "_toxicity"
     while name in docs.columns:

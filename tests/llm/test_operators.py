@@ -807,3 +807,31 @@ def test_pipeline(spark):
         left, pairs(table(spark, "benchmark"), "item_id", "text")))
     assert all(r[3] for r in brute.exact(left))
     assert all(i == c for i, _, c in brute.components(left))
+
+
+def test_pipeline_odd_rows(spark, odd_docs, tmp_path):
+    """Nulls, empty and long texts, repeated rows and further columns, then nothing at all."""
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, length int"
+    rows = [(i, t, None, "s", None, 9) for i, t in odd_docs]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        table(spark, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        docs = spark.createDataFrame(out.collect(), docs.schema)
+    left = pairs(docs, "doc_id", "text")
+    texts = [(t or "") for _, t in left]
+    ascii_lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    assert sum(t == "" for t in texts) == 1
+    assert len({t.translate(ascii_lower) for t in texts}) == len(texts)
+    check_packing(corpus_pipeline.run(spark, str(tmp_path)).collect(), left, 2048)
+
+    none = tmp_path / "none"
+    spark.createDataFrame([], schema).write.parquet(f"{none}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        table(spark, name).limit(0).write.parquet(f"{none}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(none)).count() == 0
