@@ -2,6 +2,13 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of ``documents``.
+
+Null and empty texts are neither toxic nor contaminated by themselves and near to
+nothing, but equal to one another: one of them stays. Of repeated rows that equal
+texts' largest id keeps, the next stage keeps one. Rows without an id count as the
+smallest. Further columns go through all stages but the last, which returns pieces. An
+empty table gives an empty result; so do missing labels or benchmark items, which drop
+nothing, in their stage only.
 """
 
 from __future__ import annotations
