@@ -59,9 +59,10 @@ def stopword_detection_sql(source: str, text_col: str, key: str) -> str:
           FROM {source}) t0) t1)"""
 
 
-def model_detection_sql(source: str, text_col: str, key: str) -> str:
+def model_detection_sql(source: str, text_col: str, key: str, every_language: bool = False) -> str:
     """The n-gram model, learnt from the documents and applied to ``source``:
-    ``(key, language, confidence)``."""
+    ``(key, language, confidence)``. Candidates are the languages that have seen one
+    of a text's n-grams, or all."""
     grams = """
   SELECT {key}, substring(' ' || w || ' ', CAST(i AS INTEGER), 3) AS g
   FROM (SELECT {key}, unnest(string_split(trim(regexp_replace(
@@ -70,6 +71,7 @@ def model_detection_sql(source: str, text_col: str, key: str) -> str:
   WHERE w <> ''"""
     training = (f"(SELECT lang, text FROM documents WHERE doc_id % {P.LANGUAGE_FOLDS} <> 0 "
                 "AND lang IS NOT NULL)")
+    heard = "CROSS JOIN tongue" if every_language else "JOIN learnt USING (g)"
     return f"""(
 WITH learnt AS (
   SELECT lang, g, count(*) AS c
@@ -83,7 +85,7 @@ own AS (
   SELECT {key}, g, count(*) AS k
   FROM ({grams.format(key=key, text=text_col, source=source)}) JOIN known USING (g)
   GROUP BY {key}, g),
-candidate AS (SELECT DISTINCT {key}, lang FROM own JOIN learnt USING (g)),
+candidate AS (SELECT DISTINCT {key}, lang FROM own {heard}),
 score AS (
   SELECT {key}, lang, sum(k) AS n,
          any_value(prior) + sum(k * ln((coalesce(c, 0) + 1) / denom)) AS s
@@ -144,7 +146,7 @@ WITH works_t AS (
   SELECT o.o_orderkey AS id, CAST(year(o.o_orderdate) AS INTEGER) AS publication_year,
          d.text AS title
   FROM orders o LEFT JOIN documents d ON d.doc_id = o.o_orderkey),
-detected AS """ + model_detection_sql("works_t", "title", "id") + """
+detected AS """ + model_detection_sql("works_t", "title", "id", True) + """
 SELECT w.id, w.publication_year, w.title, d.language, d.confidence
 FROM works_t w JOIN detected d ON w.id = d.id""")
 
@@ -209,7 +211,7 @@ SELECT 'counts', author_id, year, CAST(works_count AS VARCHAR), CAST(cited_by_co
 UNION ALL
 SELECT 'ids', author_id, NULL, openalex, orcid, NULL, NULL FROM ids""")
 
-sql("detect_language", "SELECT * FROM " + model_detection_sql("documents", "text", "doc_id")
+sql("detect_language", "SELECT * FROM " + model_detection_sql("documents", "text", "doc_id", True)
     + " q")
 
 _USER_RATINGS = """

@@ -149,3 +149,29 @@ def test_full_vocabulary_model(spark):
                                                                "doc_id")
     right = out.where(F.col("language") == F.col("lang")).count()
     assert right / out.count() >= 0.95
+
+
+@pytest.mark.parametrize("name", ["detect_language", "detect_and_store"])
+def test_every_language_is_a_candidate(spark, tmp_path, name):
+    """A text that one language alone has heard still weighs all of them; a language
+    without n-grams is none. Nine languages fill more than one block."""
+    import duckdb
+    from strata.plans import oracles, queries
+
+    rows = [(2 * i + 1, f"{w} {w}s ab", f"l{i}") for i, w in enumerate(
+        ("lumo", "trak", "bezi", "goru", "fyna", "kepo", "dwil", "shuz", "vomp"))]
+    rows += [(101, "12 !!", "none"), (2, "lumo", None), (4, "trak traks bezi zz", None), (6, "??", None),
+             (8, None, None), (103, "lumo " * 30, "l0"), (12, "vomp", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.sql("SELECT id AS o_orderkey, timestamp'1995-01-02' AS o_orderdate FROM range(110)") \
+        .coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    con = duckdb.connect()
+    for table in ("documents", "orders"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    want = con.execute(oracles.SQL[name]).fetchall()
+    got = list(map(tuple, queries.QUERIES[name](spark, str(tmp_path)).collect()))
+    key = lambda r: (r[:-1], round(r[-1], 4))
+    assert sorted(map(key, got), key=str) == sorted(map(key, want), key=str)
+    confidence = {r[0]: r[-1] for r in got}
+    assert 0 < confidence[12] < 1 and confidence[6] == 0
