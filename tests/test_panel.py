@@ -58,3 +58,21 @@ def test_left_join_hot_right_equals_left_join(spark):
                  key=str)
     want = sorted(map(tuple, left.join(right, left.k == right.rk, "left").collect()), key=str)
     assert got == want
+
+
+def test_tasks_of_the_count_follow_the_rows(spark, monkeypatch):
+    """The distinct count runs in tasks of a bounded number of hosted works."""
+    from strata.operators import panel
+
+    monkeypatch.setattr(panel, "TASK_ROWS", 100)
+    host = spark.range(2000).selectExpr("id % 7 AS venue_id", "id % 500 AS work_id")
+    works = spark.range(500).selectExpr("id AS work_id", "int(1990 + id % 3) AS publication_year")
+    venues = spark.range(9).selectExpr("id AS venue_id")
+    out = panel.entity_period_counts(venues, host, works, [1990, 1991, 1992, 1993])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(work_id" in plan and ", 20), REPARTITION_BY_NUM" in plan
+    want = {}
+    for i in range(2000):
+        want.setdefault((i % 7, 1990 + i % 500 % 3), set()).add(i % 500)
+    got = {tuple(r)[:2]: r["counts"] for r in out.collect()}
+    assert got == {(v, y): len(want.get((v, y), ())) for v in range(7) for y in range(1990, 1994)}
