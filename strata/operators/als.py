@@ -4,12 +4,14 @@ With the factors of one side fixed, those of the other solve a small linear syst
 each: ``(sum of y y' + reg * n * I) x = sum of rating * y`` over its n ratings (the
 weighted regularisation of MLlib's explicit ALS). The sums are Spark aggregates:
 
-* The ratings are placed twice, in tables bucketed on (item, salt) and on (user, salt),
-  and never move again as such. A user or item with more than ``per_salt`` ratings
-  has several salts, by a hash of the other side, so that no task holds its ratings.
-* A half step joins the placed ratings with the fixed factors (one copy per salt),
-  sends (rating, factor) to the solved side's (id, salt), adds up the outer products
-  there, adds up the salts' sums, and solves all systems of an Arrow batch at once.
+* The ratings are placed once, in a grid of cells: users and items are dealt to stripes
+  by a hash, and a rating lies in the cell of its user's and its item's stripe, about
+  ``CELL`` ratings a cell. A user or item with more than ``per_salt`` ratings adds
+  depths to its cells, by a hash of the other side, so that no task holds its ratings.
+* A half step sends every fixed factor to the cells of its stripe that need it, adds up
+  the outer products of each solved id within its cells, sends these sums (not the
+  ratings) to the id, and solves all systems of an Arrow batch at once. What moves is a
+  row per id and cell, at most one per rating and the fewer the fuller the cells.
 
 The factors of every half step are stored in the run's scratch folder, and the ones
 before them removed.
@@ -17,18 +19,33 @@ before them removed.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.session import workers_can_import
 from strata.sources.scratch import RunScratch
 
 PER_SALT = 100_000
+CELL = 1_000_000  # ratings of a cell, about
+
+
+@contextmanager
+def _one_key(spark: SparkSession) -> Iterator[None]:
+    """Joins on (cell, id) take a placement by cell as it is."""
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(setting, "true")
+    spark.conf.set(setting, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
 
 
 @dataclass
@@ -57,11 +74,10 @@ def _sums(rank: int) -> list[Column]:
 
 
 def normal_equations(seen: DataFrame, rank: int) -> DataFrame:
-    """(id, s): the sums of every id's system, from rows (id, salt, rating, y)."""
+    """(id, s): the sums of every id's system, from rows (id, rating, y); added up
+    where the rows are, before they move."""
     names = [f"s{i}" for i in range(rank * (rank + 1) // 2 + rank + 1)]
-    placed = seen.repartition("id", "salt").groupBy("id", "salt").agg(
-        *[s.alias(n) for s, n in zip(_sums(rank), names, strict=True)])
-    whole = placed.groupBy("id").agg(*[F.sum(n).alias(n) for n in names])
+    whole = seen.groupBy("id").agg(*[s.alias(n) for s, n in zip(_sums(rank), names, strict=True)])
     return whole.select("id", F.array(*names).alias("s"))
 
 
@@ -96,15 +112,15 @@ def _salts(ratings: DataFrame, side: str, per_salt: int) -> DataFrame:
             .select(side, F.ceil(F.col("_n") / per_salt).cast("int").alias(f"{side}_salts")))
 
 
-def _half_step(placed: DataFrame, fixed: DataFrame, salts: DataFrame, by: str, to: str, rank: int,
-               reg: float, buckets: int) -> DataFrame:
-    """Factors of the side ``to``, from the ratings placed on the side ``by``."""
-    copies = (fixed.withColumnRenamed("id", by).join(salts, by, "left")
-              .select(by, F.col("features").alias("y"), F.explode(F.sequence(
-                  F.lit(0), F.coalesce(f"{by}_salts", F.lit(1)) - 1)).alias(f"{by}_salt"))
-              .repartition(buckets, by, f"{by}_salt"))
-    seen = placed.join(copies.hint("shuffle_hash"), [by, f"{by}_salt"]).select(
-        F.col(to).alias("id"), F.col(f"{to}_salt").alias("salt"), "rating", "y")
+def _half_step(placed: DataFrame, fixed: DataFrame, needed: DataFrame, by: str, to: str, rank: int,
+               reg: float, cells: int) -> DataFrame:
+    """Factors of the side ``to`` from the ratings placed in cells; ``needed`` tells in
+    which cells the ids of the side ``by`` have ratings."""
+    copies = (needed.join(fixed.select(F.col("id").alias(by), F.col("features").alias("y")), by)
+              .repartition(cells, "cell"))
+    # Both sides lie by cell: the ids of a cell meet where its ratings are.
+    seen = placed.join(copies.hint("shuffle_hash"), ["cell", by]).select(
+        F.col(to).alias("id"), "rating", "y")
     return solve(normal_equations(seen, rank), rank, reg)
 
 
@@ -123,28 +139,33 @@ def fit_als(ratings: DataFrame, user: str = "user_id", item: str = "item_id",
         rows = ratings.select(F.col(user).alias("user"), F.col(item).alias("item"),
                               F.col(rating).cast("double").alias("rating")).dropna()
         rows = run.store(rows, "ratings")
-        buckets = buckets or max(1, -(-rows.count() // 1_000_000))
+        cells = buckets or max(1, -(-rows.count() // CELL))
+        stripes = max(1, math.isqrt(cells))
         # Fewer hot ids than rows / per_salt: small enough for every task.
         salts = {side: F.broadcast(run.store(_salts(rows, side, per_salt), f"{side}-salts"))
                  for side in ("user", "item")}
+        cell = [F.pmod(F.xxhash64(side), F.lit(stripes if side == "user" else -(-cells // stripes)))
+                for side in ("user", "item")]
         for side, other in (("user", "item"), ("item", "user")):
-            rows = rows.join(salts[side], side, "left").withColumn(
-                f"{side}_salt", F.pmod(F.xxhash64(other), F.coalesce(f"{side}_salts", F.lit(1)))
-                .cast("int")).drop(f"{side}_salts")
-        placed = {side: run.place(rows, f"by-{side}", buckets, [side, f"{side}_salt"])
-                  for side in ("user", "item")}
-        run.drop("ratings")
-        if start is None:
-            start = hashed_start(placed["item"].select(F.col("item").alias("id")).distinct(),
-                                 rank, seed)
-        items = start.select("id", "features")
-        for i in range(iterations):
-            users = run.store(_half_step(placed["item"], items, salts["item"], "item", "user",
-                                         rank, reg, buckets), f"users-{i}")
-            run.drop(f"users-{i - 1}")
-            items = run.store(_half_step(placed["user"], users, salts["user"], "user", "item",
-                                         rank, reg, buckets), f"items-{i}")
-            run.drop(f"items-{i - 1}")
+            rows = rows.join(salts[side], side, "left")
+            cell.append(F.pmod(F.xxhash64(F.lit(1), other), F.coalesce(f"{side}_salts", F.lit(1))))
+        rows = rows.select("user", "item", "rating", F.xxhash64(*cell).alias("cell"))
+        with _one_key(spark):
+            placed = run.place(rows, "by-cell", cells, ["cell"])
+            run.drop("ratings")
+            needed = {side: run.store(placed.select("cell", side).distinct(), f"{side}-cells")
+                      for side in ("user", "item")}
+            if start is None:
+                start = hashed_start(needed["item"].select(F.col("item").alias("id")).distinct(),
+                                     rank, seed)
+            items = start.select("id", "features")
+            for i in range(iterations):
+                users = run.store(_half_step(placed, items, needed["item"], "item", "user",
+                                             rank, reg, cells), f"users-{i}")
+                run.drop(f"users-{i - 1}")
+                items = run.store(_half_step(placed, users, needed["user"], "user", "item",
+                                             rank, reg, cells), f"items-{i}")
+                run.drop(f"items-{i - 1}")
         run.keep(f"users-{iterations - 1}")
         run.keep(f"items-{iterations - 1}")
         return Factors(users, items, rank, run.root)
@@ -169,7 +190,7 @@ def residuals(ratings: DataFrame, solved: DataFrame, fixed: DataFrame, to: str,
     """(id, residual): the largest entry of ``A x - b`` of every solved id's system,
     to check a half step."""
     seen = (ratings.select(F.col(to).alias("id"), F.col(by).alias("_by"),
-                           F.col(rating).cast("double").alias("rating"), F.lit(0).alias("salt"))
+                           F.col(rating).cast("double").alias("rating"))
             .join(fixed.select(F.col("id").alias("_by"), F.col("features").alias("y")), "_by"))
     joined = normal_equations(seen, rank).join(solved, "id")
     size = rank * (rank + 1) // 2

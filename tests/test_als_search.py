@@ -89,6 +89,19 @@ def test_no_task_holds_a_hot_item(spark):
     assert [tuple(r) for r in salts.collect()] == [(0, 30)]
 
 
+def test_half_steps_move_sums_not_ratings(spark, tmp_path):
+    """The ratings stay where they were placed: a half step shuffles the factors, by
+    cell, and sums that were added up before."""
+    rows = spark.range(4000).selectExpr("id % 40 AS user", "id % 30 AS item", "id % 7 + 0.5D AS rating",
+                                        "id % 4 AS cell")
+    placed = rows.localCheckpoint()
+    fixed = als.hashed_start(spark.range(30), 2, 1)
+    needed = placed.select("cell", "item").distinct()
+    plan = als._half_step(placed, fixed, needed, "item", "user", 2, REG, 4)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in text and "hashpartitioning(id" in text and "salt" not in text
+
+
 # --- search
 
 def vectors(spark, values, first=0):
