@@ -19,11 +19,13 @@ pairs. ``pruned_share`` tells how many block pairs were skipped.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.session import workers_can_import
@@ -31,6 +33,8 @@ from strata.sources.scratch import RunScratch
 
 BLOCK = 2048  # vectors of a block
 PAIRS = 64    # pairs of a block that one task meets
+SLICE = 256   # queries of a block that a task scores at a time
+BATCH = 4     # pairs of blocks that a Python worker holds at a time
 SLACK = 1e-9  # relative and absolute
 
 
@@ -107,18 +111,42 @@ def _products(pairs: DataFrame, k: int, id_type: str, base_type: str) -> DataFra
                 base, y = parts(batch.column(1)[i])
                 if x.shape[1] != y.shape[1]:
                     raise ValueError("the vectors differ in length")
-                score = x @ y.T
-                m = min(k, score.shape[1])
-                edge = np.partition(score, -m, axis=1)[:, -m]  # ties at the edge all stay
-                row, col = np.nonzero(score >= edge[:, None])
+                m = min(k, len(base))
+                ids = base.take(pc.array_sort_indices(base))
+                y = y[pc.array_sort_indices(base).to_numpy()]
+                rows, cols, scores = [], [], []
+                for at in range(0, len(x), SLICE):
+                    score = x[at:at + SLICE] @ y.T
+                    edge = np.partition(score, -m, axis=1)[:, -m, None]
+                    above, ties = score > edge, score == edge
+                    # of ties at the edge the smallest ids, as many as there is room for
+                    room = m - above.sum(1, keepdims=True)
+                    row, col = np.nonzero(above | (ties & (np.cumsum(ties, axis=1, dtype=np.int32) <= room)))
+                    rows.append(row + at)
+                    cols.append(col)
+                    scores.append(score[row, col])
+                row, col = np.concatenate(rows), np.concatenate(cols)
                 yield pa.RecordBatch.from_arrays(
-                    [queries.take(pa.array(row)), base.take(pa.array(col)),
-                     pa.array(score[row, col])], names=["query", "base", "score"])
+                    [queries.take(pa.array(row)), ids.take(pa.array(col)),
+                     pa.array(np.concatenate(scores))], names=["query", "base", "score"])
 
     return pairs.select("q", "b").mapInArrow(
         run, f"query {id_type}, base {base_type}, score double")
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """A row is a pair of blocks: few go to a Python worker at a time, however many
+    pairs a task meets."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _best(found: DataFrame, k: int) -> DataFrame:
     """The ``k`` best of every query, ties by id; Spark limits each task's groups first."""
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("base"))
@@ -136,7 +164,8 @@ def max_inner_products(queries: DataFrame, base: DataFrame, k: int, id_col: str
     types = (queries.schema[id_col].dataType.simpleString(),
              base.schema[base_id].dataType.simpleString())
     longest_first = [F.col("length").desc(), F.col("id")]
-    with RunScratch(queries.sparkSession, "search") as run:
+    spark = queries.sparkSession
+    with RunScratch(spark, "search") as run:
         b = _blocks(run, _numbered(run, _unit(base, base_id, base_vector), longest_first, block,
                                    "base"), "base-blocks")
         b = b.select(F.col("block").alias("base_block"), "longest", F.col("of").alias("b"))
@@ -145,7 +174,9 @@ def max_inner_products(queries: DataFrame, base: DataFrame, k: int, id_col: str
         first = F.broadcast(b.where(F.col("base_block") == 0))
         start = _blocks(run, asked, "query-blocks").select(
             F.lit(0).cast("long").alias("base_block"), F.col("of").alias("q"))
-        seen = _best(_products(start.join(first, "base_block"), k, *types), k)
+        with _small_batches(spark):
+            seen = run.store(_best(_products(start.join(first, "base_block"), k, *types), k)
+                             .select("query", "score", "rank"), "seen")
         known = (seen.groupBy("query").agg(F.min("score").alias("edge"), F.max("rank").alias("n"))
                  .where(F.col("n") >= k).select(F.col("query").alias("id"), "edge"))
         # 2. how short a base vector may be to matter still: edge / |q|
@@ -165,8 +196,9 @@ def max_inner_products(queries: DataFrame, base: DataFrame, k: int, id_col: str
         # 3. only the pairs within reach carry vectors
         met = _attached(pairs, q.select("query_block", "q"), "query_block")
         met = _attached(met, b.select("base_block", "b"), "base_block")
-        matches = _best(_products(met, k, *types), k)
-        matches = run.store(matches.select("query", "rank", "base", "score"), "matches")
+        with _small_batches(spark):
+            matches = run.store(_best(_products(met, k, *types), k)
+                                .select("query", "rank", "base", "score"), "matches")
         run.keep("pairs")
         run.keep("matches")
         return Search(matches, pairs, q.count(), b.count())

@@ -146,3 +146,17 @@ def test_search_with_one_long_vector_for_all(spark):
     found = max_inner_products(vectors(spark, asked), vectors(spark, base), 1, block=10)
     assert {r["base"] for r in found.matches.collect()} == {0}
     assert found.pruned_share() > 0.8
+
+
+def test_search_keeps_k_of_a_block_of_copies(spark):
+    """Equal vectors tie at the edge: a pair of blocks gives k rows a query, those
+    with the smallest ids, in whatever order the block holds them."""
+    from strata.operators import search
+
+    asked = [(i, [1.0, 0.0]) for i in range(600)]
+    base = [(i, [1.0, 2.0]) for i in reversed(range(50))] + [(99, [3.0, 0.0])]
+    block = "array<struct<id: long, v: array<double>>>"
+    pairs = spark.createDataFrame([(asked, base)], f"q {block}, b {block}")
+    rows = search._products(pairs, 3, "bigint", "bigint").collect()
+    assert len(rows) == 3 * 600
+    assert {(r["base"], r["score"]) for r in rows} == {(99, 3.0), (0, 1.0), (1, 1.0)}
