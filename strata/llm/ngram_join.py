@@ -13,6 +13,9 @@ first and linked in rounds, each verified by walking a trie of ordered sets:
 The rounds together compare, or connect, every pair that shares a first shingle,
 and no pairs are listed: probes walk tries, and only links come out.
 
+The many joins of the rounds are sort-merge joins by hint: small sides would become
+broadcast tables, which the driver builds and holds, two or more a round.
+
 The number of links of every document is counted on request: all pairs of a
 component that can be similar are compared in blocks of sets, and each block
 pair gives one number per node.
@@ -351,11 +354,12 @@ def _tried(sides: DataFrame, ordered: DataFrame, first: bool = False) -> DataFra
     similar members, or to one per trie if ``first``. Only links come out."""
     sizes = (sides.filter("not probe").groupBy("group")
              .agg(F.ceil(F.count("*") / TRIE_MEMBERS).alias("tries")))
-    dealt = sides.join(sizes, "group")
+    dealt = sides.join(sizes.hint("merge"), "group")
     dealt = dealt.select("group", "node", "probe", F.explode(F.when(
         F.col("probe"), F.sequence(F.lit(0).cast("long"), F.col("tries") - 1))
         .otherwise(F.array(F.pmod(F.xxhash64("node"), F.col("tries"))))).alias("trie"))
-    rows = dealt.join(ordered, "node").select("group", "trie", "probe", "node", "n", "tokens")
+    rows = dealt.join(ordered.hint("merge"), "node").select(
+        "group", "trie", "probe", "node", "n", "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, members, trie = None, [], None
@@ -407,10 +411,10 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(
             "a", F.least("a", "m").alias("m"))
-        large = (both.join(least, "a").filter("b > a")
+        large = (both.join(least.hint("merge"), "a").filter("b > a")
                  .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(low, "a").filter("b <> m")
+        small = (large.join(low.hint("merge"), "a").filter("b <> m")
                  .select(F.col("b").alias("a"), F.col("m").alias("b")))
         edges = stored(small.unionByName(low.withColumnRenamed("m", "b")).distinct(), name)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -434,51 +438,60 @@ def _first_tokens() -> Column:
     return F.slice("tokens", F.lit(1), F.greatest(p - own, F.lit(0)).cast("int"))
 
 
-def _node_links(ordered: DataFrame) -> DataFrame:
-    """(a, b) links that connect exactly the nodes that similar pairs connect."""
+def _node_components(ordered: DataFrame) -> DataFrame:
+    """(node, component) of the linked nodes: exactly what similar pairs connect.
+    Every later round starts from the components so far, as stars, and its own links;
+    one that finds no links leaves them as they are."""
     firsts = ordered.select("node", "n", F.explode(_first_tokens()).alias("token"))
     firsts = stored(firsts, "ngram-firsts")
     hubs = firsts.groupBy("token").agg(F.min(F.struct("node", "n")).alias("hub"))
-    stars = (firsts.join(hubs, "token").filter(F.col("node") != F.col("hub.node"))
+    stars = (firsts.join(hubs.hint("merge"), "token").filter(F.col("node") != F.col("hub.node"))
              .filter(_fits(F.col("n"), F.col("hub.n")))
              .select(F.col("hub.node").alias("probe"), F.col("node").alias("member")).distinct())
-    links = stored(_verified(stars, ordered), "ngram-links")
+    comps = components(_verified(stars, ordered), "ngram-round")
 
     # What a token's largest component (main) has not reached tries its members.
-    open_ = stored(_mixed(firsts, components(links, "ngram-round")), "ngram-open")
+    open_ = stored(_mixed(firsts, comps), "ngram-open")
     rest = stored(open_.filter("component <> main").select(
         F.col("main").alias("group"), "node").distinct(), "ngram-rest")
     members = open_.filter("component = main").select(
         F.col("main").alias("group"), "node", F.lit(False).alias("probe")).distinct()
     probes = rest.withColumn("probe", F.lit(True))
-    links = stored(links.unionByName(_tried(members.unionByName(probes), ordered, first=True)),
-                   "ngram-links")
+    comps = _joined(comps, _tried(members.unionByName(probes), ordered, first=True))
 
     # What is still apart from it tries all others that were. (A component's
     # name is one of its nodes, so it can be looked up among the new ones.)
-    comps = components(links, "ngram-round")
     now = comps.select("node", F.col("component").alias("c"))
     its = comps.select(F.col("node").alias("group"), F.col("component").alias("g"))
-    apart = stored(rest.join(now, "node", "left").join(its, "group", "left")
+    apart = stored(rest.join(now.hint("merge"), "node", "left").join(its.hint("merge"), "group", "left")
                    .filter(F.coalesce("c", "node") != F.coalesce("g", "group"))
                    .select("group", "node"), "ngram-apart")
-    members = (rest.join(apart.select("group").distinct(), "group", "left_semi")
+    members = (rest.join(apart.select("group").distinct().hint("merge"), "group", "left_semi")
                .withColumn("probe", F.lit(False)))
     probes = apart.withColumn("probe", F.lit(True))
-    return links.unionByName(_tried(members.unionByName(probes), ordered))
+    return _joined(comps, _tried(members.unionByName(probes), ordered))
+
+
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after further ``links``."""
+    links = stored(links, "ngram-links")
+    if links.isEmpty():
+        return comps
+    old = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(old.unionByName(links), "ngram-round")
 
 
 def _mixed(firsts: DataFrame, comps: DataFrame) -> DataFrame:
     """``firsts`` with each node's component and its token's largest one (main),
     of the tokens that more than one component has."""
-    left = firsts.join(comps, "node", "left").withColumn(
+    left = firsts.join(comps.hint("merge"), "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     by_comp = left.groupBy("token", "component").agg(F.count("*").alias("c"))
     mixed = (by_comp.groupBy("token")
              .agg(F.count("*").alias("parts"),
                   F.max_by("component", F.struct("c", "component")).alias("main"))
              .filter("parts > 1").select("token", "main"))
-    return left.join(mixed, "token")
+    return left.join(mixed.hint("merge"), "token")
 
 
 # --- the number of links ----------------------------------------------------------
@@ -608,7 +621,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     buckets = max(64, -(-total // BUCKET_BYTES))
     able = stored(_able(nodes, rows, buckets, size), "ngram-able")
     ordered = stored(_ordered(stored(_sets(rows, able, size), "ngram-sets")), "ngram-ordered")
-    comps = components(_node_links(ordered), "ngram-components")
+    comps = _node_components(ordered)
     classes = nodes.filter("node is not null").groupBy("node").agg(
         F.min("id").alias("id"), F.count("*").alias("copies"))
     linked = (classes.join(comps, "node", "left")

@@ -426,6 +426,22 @@ def test_personal_data_sample_of_repeated_rows(spark):
 
 # --- 5 n-gram join
 
+def test_ngram_rounds_keep_tables_off_the_driver(spark):
+    """No join of the rounds is a broadcast join; a round without links starts no new one."""
+    ordered = spark.createDataFrame([(bytes([i]), 4, [1, 2, 3]) for i in range(3)],
+                                    "node binary, n long, tokens array<long>")
+    comps = ngram_join.components(spark.createDataFrame([(b"b", b"a")], "a binary, b binary"))
+    firsts = ordered.select("node", "n", F.explode("tokens").alias("token"))
+    sides = ordered.select(F.lit(1).alias("group"), "node", F.col("n").eqNullSafe(F.lit(5)).alias("probe"))
+    for df in (ngram_join._mixed(firsts, comps), ngram_join._tried(sides, ordered)):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    none = spark.createDataFrame([], "a binary, b binary")
+    assert ngram_join._joined(comps, none) is comps
+    more = ngram_join._joined(comps, spark.createDataFrame([(b"c", b"b")], "a binary, b binary"))
+    assert {bytes(r.node): bytes(r.component) for r in more.collect()} == dict.fromkeys([b"a", b"b", b"c"], b"a")
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_trie_finds_all_similar_sets(seed):
     rng = random.Random(seed)
