@@ -4,10 +4,12 @@ High-recall generators propose spans that may overlap: the strict base formats,
 spelled-out addresses, number runs, dotted numbers. Boosted trees (MLlib, fitted
 here) score each proposal from its format and context; its class is whether it
 holds a valid base span, which the trees must tell without the base formats. The
-sample's addresses and phone numbers also teach in disguise, where they stand:
+documents' addresses and phone numbers also teach in disguise, where they stand:
 spelled out (``a (at) b (dot) c``) or without the country, forms that no base
-format finds. A threshold per generator is calibrated on the part that fitting did
-not see. Base spans always stay; proposals that overlap none and pass their
+format finds. Every document teaches, three quarters (by a hash) the trees and the
+rest the thresholds: proposals with equal features are one row with a weight. A
+threshold per generator is calibrated on the part that fitting did not see. The
+texts are scanned once, for the fit and the result. Base spans always stay; proposals that overlap none and pass their
 threshold are added, of two that overlap the one with the better score. Scoring is
 a SQL expression built from the trees; built-in functions only.
 """
@@ -21,13 +23,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import sample_limit, text_of
+from .common import stored, text_of
 from .spans import listed, match_spans, tagged
 
-#: Bound of the sample (documents) that the trees are fitted on.
-MAX_FIT_DOCS = 20_000
 TREES, DEPTH = 10, 3
-#: Precision that the calibrated threshold must reach on the held-out sample.
+#: Precision that the calibrated threshold must reach on the held-out part.
 PRECISION = 0.98
 
 #: The base formats, in listing order. Possessive repeats and the
@@ -170,67 +170,75 @@ def _tree_score(node, f: Column) -> Column:
             .otherwise(_tree_score(node.rightChild(), f)))
 
 
-def fit_scorer(docs: DataFrame, id_col: str, text_col: str, max_docs: int = MAX_FIT_DOCS):
+def _scanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per row, stored: id, key (a hash of id and text), email, ip, card and phone (its
+    base spans), proposals, each also with whether it ``teaches``, and its disguises."""
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    rows = rows.select("*", *[b.alias(k) for k, b in zip(KINDS, base_spans(F.col("text")), strict=True)])
+    value = lambda p: F.substring(F.col("text"), p["start"] + 1, p["end"] - p["start"])
+    found = F.transform(proposals(F.col("text"), F.concat(*KINDS)), lambda p: p.withField(
+        "teaches", p["label"] | ~undecided(p["kind"], value(p))))
+    return stored(rows.select(
+        "id", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("null")), "text").alias("key"),
+        *[F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias(k)
+          for k in KINDS], found.alias("proposals"),
+        disguises(F.col("text"), F.col("email"), F.col("phone")).alias("disguises")), "pii-scanned")
+
+
+def _lessons(scanned: DataFrame) -> DataFrame:
+    """(held, label, f, weight), stored: what all rows teach, equal features together.
+    Rows that are equal (id and text) weigh as one; ``held`` are a quarter of the rows."""
+    copies = scanned.groupBy("key").agg(F.count("*").alias("copies")).filter("copies > 1")
+    rows = scanned.select("key", "proposals", "disguises").join(copies, "key", "left").select(
+        (F.pmod("key", F.lit(4)) == 0).alias("held"), "proposals", "disguises",
+        (F.lit(1.0) / F.coalesce("copies", F.lit(1))).alias("weight"))
+    plain = (rows.select("held", "weight", F.explode("proposals").alias("p")).filter("p.teaches")
+             .select("held", "weight", "p.label", "p.f"))
+    other = (rows.select("held", "weight", F.explode("disguises").alias("d"))
+             .select("held", "weight", F.explode(proposals(
+                 F.col("d.text"), F.array(F.struct("d.start", "d.end")))).alias("p"))
+             .filter("p.label").select("held", "weight", "p.label", "p.f"))
+    return stored(plain.unionByName(other).groupBy("held", "label", "f")
+                  .agg(F.sum("weight").alias("weight")), "pii-lessons")
+
+
+def fit_scorer(docs: DataFrame, id_col: str, text_col: str):
     """(score function of a feature array, threshold per generator), or None where the
-    sample has not both classes or no threshold reaches ``PRECISION``. The sample is by
-    a hash of id and text, at any number of rows; equal rows teach as one."""
-    total = docs.count()
-    limit = sample_limit(total, max_docs)
-    sample = docs.select(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
-                                    text_of(text_col)).alias("key"),
-                         text_of(text_col).alias("text"))
-    if limit is not None:
-        sample = sample.filter(F.col("key") < limit)
-        if sample.isEmpty():
-            raise ValueError(f"no row in a sample of {max_docs} of {total}: too few distinct rows")
-    sample = sample.dropDuplicates(["key"])
-    found = sample.select("key", "text", *[
-        b.alias(k) for k, b in zip(KINDS, base_spans(F.col("text")), strict=True)])
-    plain = found.select("key", "text", F.explode(proposals(F.col("text"), F.concat(*KINDS)))
-                         .alias("p"))
-    value = F.substring(F.col("text"), F.col("p.start") + 1, F.col("p.end") - F.col("p.start"))
-    plain = plain.filter(F.col("p.label") | ~undecided(F.col("p.kind"), value)).drop("text")
-    other = (found.select("key", F.explode(disguises(F.col("text"), F.col("email"), F.col("phone")))
-                          .alias("d")).select("key", "d.*")
-             .select("key", F.explode(proposals(F.col("text"), F.array(F.struct("start", "end"))))
-                     .alias("p")).filter("p.label"))
-    rows = plain.unionByName(other).select(
-        "key", F.col("p.label").cast("double").alias("label"),
-        *[F.col("p.f")[i].alias(f"f{i}") for i in range(N_FEATURES)])
-    rows = VectorAssembler(inputCols=[f"f{i}" for i in range(N_FEATURES)],
-                           outputCol="features").transform(rows)
-    rows = rows.select("key", "label", "features").persist()
-    try:
-        fit = rows.filter(F.pmod("key", F.lit(4)) != 0)
-        if fit.select("label").distinct().count() < 2:
-            return None
-        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7).fit(fit)
-        trees = [(t._call_java("rootNode"), w) for t, w in zip(model.trees, model.treeWeights,
-                                                               strict=True)]
-
-        def score(f: Column) -> Column:
-            margin = reduce(lambda a, b: a + b, [_tree_score(t, f) * w for t, w in trees])
-            return F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * margin))
-
-        # Calibration: the lowest score bin from which on precision holds.
-        from pyspark.ml.functions import vector_to_array
-
-        held = (rows.filter(F.pmod("key", F.lit(4)) == 0)
-                .select("label", vector_to_array("features").alias("f"))
-                .groupBy(F.col("f")[0].alias("generator"), F.floor(score(F.col("f")) * 100).alias("bin"))
-                .agg(F.sum("label").alias("good"), F.count("*").alias("n")))
-        bins = held.collect()  # 101 rows a generator at most
-        thresholds = {}
-        for number, (kind, _) in enumerate(GENERATORS):
-            good = n = 0
-            for r in sorted((r for r in bins if r["generator"] == number), key=lambda r: -r["bin"]):
-                good, n = good + r["good"], n + r["n"]
-                if good < PRECISION * n:
-                    break
-                thresholds[kind] = max(r["bin"] / 100, 0.5)
-        return (score, thresholds) if thresholds else None
-    finally:
-        rows.unpersist()
+    documents have not both classes or no threshold reaches ``PRECISION``. All documents
+    teach; equal rows teach as one."""
+    return _fitted(_scanned(docs, id_col, text_col))
+
+
+def _fitted(scanned: DataFrame):
+    lessons = _lessons(scanned).withColumn("label", F.col("label").cast("double"))
+    fit = lessons.filter("not held")
+    if fit.select("label").distinct().count() < 2:
+        return None
+    rows = VectorAssembler(inputCols=[f"f{i}" for i in range(N_FEATURES)], outputCol="features").transform(
+        fit.select("label", "weight", *[F.col("f")[i].alias(f"f{i}") for i in range(N_FEATURES)]))
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, weightCol="weight").fit(
+        rows.select("label", "weight", "features"))
+    trees = [(t._call_java("rootNode"), w) for t, w in zip(model.trees, model.treeWeights,
+                                                           strict=True)]
+
+    def score(f: Column) -> Column:
+        margin = reduce(lambda a, b: a + b, [_tree_score(t, f) * w for t, w in trees])
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * margin))
+
+    # Calibration: the lowest score bin from which on precision holds.
+    held = (lessons.filter("held")
+            .groupBy(F.col("f")[0].alias("generator"), F.floor(score(F.col("f")) * 100).alias("bin"))
+            .agg(F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n")))
+    bins = held.collect()  # 101 rows a generator at most
+    thresholds = {}
+    for number, (kind, _) in enumerate(GENERATORS):
+        good = n = 0
+        for r in sorted((r for r in bins if r["generator"] == number), key=lambda r: -r["bin"]):
+            good, n = good + r["good"], n + r["n"]
+            if good < PRECISION * n:
+                break
+            thresholds[kind] = max(r["bin"] / 100, 0.5)
+    return (score, thresholds) if thresholds else None
 
 
 def without_overlaps(spans: Column) -> Column:
@@ -247,31 +255,26 @@ def without_overlaps(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), none, step)
 
 
-def scan_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       max_fit_docs: int = MAX_FIT_DOCS) -> DataFrame:
+def scan_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document row: ``id_col``, n_email, n_ip, n_card, n_phone,
     base_sha256 (base spans) and spans (base and added ones), each span as
     ``kind:start:end`` in code points, by start, then kind as listed.
 
     Null text counts as empty. Repeated rows and null ids are scanned like any
     other row; spans of different kinds may overlap, both stay. Without both
-    classes in the sample nothing is added, nor where a proposal overlaps a base
+    classes in the documents nothing is added, nor where a proposal overlaps a base
     span. Other columns are ignored; an empty
     table gives an empty result.
     """
-    scorer = fit_scorer(docs, id_col, text_col, max_fit_docs)
-    rows = docs.select(F.col(id_col), text_of(text_col).alias("_text"))
-    rows = rows.select(id_col, "_text", *[
-        s.alias(f"_s{i}") for i, s in enumerate(base_spans(F.col("_text")))])
-    parts = [F.col(f"_s{i}") for i in range(len(KINDS))]
-    base = F.concat(*[tagged(p, k, i) for i, (p, k) in enumerate(zip(parts, KINDS, strict=True))])
+    rows = _scanned(docs, id_col, text_col)
+    scorer = _fitted(rows)
+    base = F.concat(*[tagged(F.col(k), k, i) for i, k in enumerate(KINDS)])
     every = base
     if scorer:
         score, thresholds = scorer
         least = F.create_map(*[F.lit(x) for item in thresholds.items() for x in item])
         scored = F.transform(
-            F.filter(proposals(F.col("_text"), F.concat(*parts)),
-                     lambda p: ~p["label"] & p["kind"].isin(list(thresholds))),
+            F.filter("proposals", lambda p: ~p["label"] & p["kind"].isin(list(thresholds))),
             lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"),
                                p["kind"].alias("kind"), score(p["f"]).alias("score")))
         added = without_overlaps(F.filter(scored, lambda p: p["score"] >= least[p["kind"]]))
@@ -281,5 +284,5 @@ def scan_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             p["start"].alias("start"), order[p["kind"]].alias("order"), p["end"].alias("end"),
             p["kind"].alias("kind"))))
     return rows.select(
-        id_col, *[F.size(f"_s{i}").cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)],
+        F.col("id").alias(id_col), *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(listed(base), 256).alias("base_sha256"), listed(every).alias("spans"))

@@ -424,6 +424,17 @@ def test_personal_data_sample_of_repeated_rows(spark):
     assert pii.scan_personal_data(docs).count() == 550
 
 
+def test_every_document_teaches_personal_data(spark):
+    """No document is left out of the fit, however many there are."""
+    docs = spark.range(30_000).selectExpr(
+        "id AS doc_id", "'write to ana' || id || '@mail.example.com today' AS text").union(
+        spark.range(500).selectExpr("cast(NULL AS bigint)", "'call +1 (614) 555-1234 now'"))
+    lessons = pii._lessons(pii._scanned(docs, "doc_id", "text"))
+    first = lessons.filter(F.col("f")[0] == 0).agg(F.sum("weight")).first()[0]
+    assert round(first) == 30_000 * 4  # an address, as it stands and in three disguises
+    assert round(lessons.filter(F.col("f")[0] == 1).agg(F.sum("weight")).first()[0]) == 4
+
+
 # --- 5 n-gram join
 
 def test_ngram_rounds_keep_tables_off_the_driver(spark):
