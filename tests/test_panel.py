@@ -76,3 +76,17 @@ def test_tasks_of_the_count_follow_the_rows(spark, monkeypatch):
         want.setdefault((i % 7, 1990 + i % 500 % 3), set()).add(i % 500)
     got = {tuple(r)[:2]: r["counts"] for r in out.collect()}
     assert got == {(v, y): len(want.get((v, y), ())) for v in range(7) for y in range(1990, 1994)}
+
+
+def test_citing_papers_are_stored_in_columns(spark):
+    """The papers that both branches read are a columnar copy, not a row checkpoint."""
+    _, host, works = _inputs(spark)
+    steady = spark.createDataFrame([(1, 2000), (1, 2001)], "venue_id long, year int")
+    refs = spark.createDataFrame([(10, 11), (10, 77)], "work_id long, referenced_work_id long")
+    titled = works.selectExpr("work_id AS id", "publication_year", "'t' AS title", "'en' AS language",
+                              "cast(1 AS float) AS confidence")
+    out = citation_table(steady, host.distinct(), titled, refs)
+    assert any("citing-papers" in f and f.endswith(".parquet") for f in out.inputFiles())
+    assert sorted((r.venue_id, r.id, r.referenced_work_id, r.title) for r in out.collect() if r.id == 10) == \
+        [(1, 10, 11, "t"), (1, 10, 77, None)]
+    assert sorted(r.id for r in out.collect()) == [10, 10, 11, 12]
