@@ -12,17 +12,20 @@ reader), and
 3. the fragments of a record (few: two per chunk at most) are put together;
 4. the records are parsed by Spark's ``from_csv``.
 
+Files that a job reads more than once are kept in columns (``store``), from one pass of
+steps 2 to 4; where no line has an odd number of quotes, Spark's own reader makes it.
+
 A quote inside a quoted field must be doubled (``escape='"'``), so that parity holds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,10 +42,17 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.col("_metadata.file_block_start").alias("start"))
 
 
-def _chunks(lines: DataFrame, quote: str) -> DataFrame:
-    """(file, start, open, ends_open): whether a chunk starts and ends inside quotes."""
+def _parity(lines: DataFrame, quote: str) -> DataFrame:
+    """(file, start, odd, broken): a chunk's quotes modulo 2; whether one of its lines
+    alone is no record, for an odd number of quotes, or holds another line end."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
-    parity = lines.groupBy("file", "start").agg((F.sum(quotes) % 2).alias("odd"))
+    return lines.groupBy("file", "start").agg(
+        (F.sum(quotes) % 2).alias("odd"),
+        F.max((quotes % 2 == 1) | F.contains("value", F.lit("\r"))).alias("broken"))
+
+
+def _chunks(parity: DataFrame) -> DataFrame:
+    """(file, start, open, ends_open): whether a chunk starts and ends inside quotes."""
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     opened = parity.withColumn("open", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1)
     return opened.select("file", "start", "open",
@@ -100,14 +110,12 @@ class _Chunk:
                               pa.array(["\n".join(self.pending)], pa.string()))
 
 
-def csv_records(spark: SparkSession, path: str | list[str], quote: str = '"', header: bool = False
-                ) -> DataFrame:
-    """``record``: every record of the CSV files as one string, its line breaks
-    kept, without a file's first record if ``header``. Blank records are left out."""
-    lines = _lines(spark, path)
+def _pieces(lines: DataFrame, parity: DataFrame, quote: str
+            ) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The chunks, and a step that joins the lines of some of them to records."""
     # One row of three numbers per chunk of many megabytes: small whatever the input.
-    chunks = F.broadcast(_chunks(lines, quote))
-    workers_can_import(spark)
+    chunks = F.broadcast(_chunks(parity))
+    workers_can_import(lines.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = None
@@ -130,29 +138,48 @@ def csv_records(spark: SparkSession, path: str | list[str], quote: str = '"', he
         return lines.join(of, ["file", "start"]).select("value", "file", "start", "open") \
             .mapInArrow(run, _RECORDS)
 
-    whole = joined(chunks).where(F.col("kind") == WHOLE).select("first", "record")
-    edges = joined(chunks.where(F.col("open") | F.col("ends_open"))).where(F.col("kind") != WHOLE)
-    # A record's fragments: the tail that opens it, whole chunks inside, the head that ends it.
+    return chunks, joined
+
+
+def _stitched(edges: DataFrame) -> DataFrame:
+    """(first, record): a record's fragments put together: the tail that opens it, whole
+    chunks inside, the head that ends it."""
     order = Window.partitionBy("file").orderBy("start", "kind")
     opened = F.sum((F.col("kind") == TAIL).cast("long")).over(order)
     parts = F.sort_array(F.collect_list(F.struct("start", "kind", "record")))
-    stitched = (edges.withColumn("number", opened).groupBy("file", "number")
-                .agg(F.max("first").alias("first"), parts.alias("parts"))
-                .select("first", F.array_join(F.transform("parts", lambda p: p["record"]), "\n")
-                        .alias("record")))
-    records = whole.unionByName(stitched)
+    return (edges.withColumn("number", opened).groupBy("file", "number")
+            .agg(F.max("first").alias("first"), parts.alias("parts"))
+            .select("first", F.array_join(F.transform("parts", lambda p: p["record"]), "\n")
+                    .alias("record")))
+
+
+def _cleaned(records: DataFrame, header: bool) -> DataFrame:
+    """Without blank records and, if ``header``, a file's first."""
     if header:
         records = records.where(~F.col("first"))
     # The last "\r" of a record is its line break's; others lie inside quotes.
-    return records.select(F.regexp_replace("record", "\r$", "").alias("record")).where(
+    return records.withColumn("record", F.regexp_replace("record", "\r$", "")).where(
         F.trim("record") != "")
 
 
+def csv_records(spark: SparkSession, path: str | list[str], quote: str = '"', header: bool = False
+                ) -> DataFrame:
+    """``record``: every record of the CSV files as one string, its line breaks
+    kept, without a file's first record if ``header``. Blank records are left out."""
+    lines = _lines(spark, path)
+    chunks, joined = _pieces(lines, _parity(lines, quote), quote)
+    whole = joined(chunks).where(F.col("kind") == WHOLE).select("first", "record")
+    edges = joined(chunks.where(F.col("open") | F.col("ends_open"))).where(F.col("kind") != WHOLE)
+    return _cleaned(whole.unionByName(_stitched(edges)), header).select("record")
+
+
 def read_csv_records(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
-                     sep: str = ",", quote: str = '"', **options) -> DataFrame:
+                     sep: str = ",", quote: str = '"', store: str | None = None, **options
+                     ) -> DataFrame:
     """``read_csv`` with a header for files whose quoted fields hold line breaks (and
     quotes doubled), split over tasks. Without ``schema`` all columns are strings, named
-    by the header."""
+    by the header. With ``store`` (a new folder) the records are joined and parsed once
+    and kept there in columns: for files that a job reads more than once."""
     if schema is None:
         names = spark.read.option("header", True).option("sep", sep).option("quote", quote).option(
             "escape", quote).csv(path).columns
@@ -161,6 +188,37 @@ def read_csv_records(spark: SparkSession, path: str | list[str], schema: T.Struc
              **{k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items()}}
     # from_csv takes the schema as text; positions stand in for names of any form.
     plain = ", ".join(f"_c{i} {f.dataType.simpleString()}" for i, f in enumerate(schema.fields))
-    row = csv_records(spark, path, quote, header=True).select(
-        F.from_csv("record", plain, given).alias("r"))
-    return row.select(*[F.col(f"r._c{i}").alias(f.name) for i, f in enumerate(schema.fields)])
+    parsed = F.from_csv("record", plain, given).alias("r")
+    if store is None:
+        rows = csv_records(spark, path, quote, header=True).select(parsed).select("r.*")
+    else:
+        rows = _stored(spark, path, quote, plain, given, store)
+    return rows.select(*[F.col(f"_c{i}").alias(f.name) for i, f in enumerate(schema.fields)])
+
+
+def _stored(spark: SparkSession, path: str | list[str], quote: str, plain: str,
+            given: dict[str, str], store: str) -> DataFrame:
+    """The parsed records. Where every line is a record of its own, Spark's reader splits
+    the files rightly. Else one pass of the files through Python writes whole records in
+    columns and, beside them, the fragments, which follow put together."""
+    lines = _lines(spark, path)
+    _parity(lines, quote).write.parquet(f"{store}/chunks")
+    parity = spark.read.parquet(f"{store}/chunks")
+    if parity.where("broken").isEmpty():
+        reader = spark.read.schema(plain).options(**{**given, "multiLine": "false"})
+        reader.options(header=True, lineSep="\n").csv(path).write.parquet(f"{store}/lines")
+        return spark.read.schema(plain).parquet(f"{store}/lines")
+    chunks, joined = _pieces(lines, parity, quote)
+    whole, bare = F.col("kind") == WHOLE, F.regexp_replace("record", "\r$", "")
+    parsed = F.from_csv("record", plain, given).alias("r")
+    (joined(chunks).where(~whole | ~(F.col("first") | (F.trim(bare) == "")))
+     .withColumn("fragment", F.when(~whole, F.col("record")))
+     .withColumn("record", F.when(whole, bare))
+     .select("file", "start", "kind", "first", "fragment", parsed)
+     .select("file", "start", "kind", "first", "fragment", "r.*").write.parquet(f"{store}/pieces"))
+    kept = spark.read.parquet(f"{store}/pieces")
+    edges = kept.where(~whole).select("file", "start", "kind", "first",
+                                      F.col("fragment").alias("record"))
+    (_cleaned(_stitched(edges), header=True).select(F.lit(WHOLE).alias("kind"), parsed)
+     .select("kind", "r.*").write.parquet(f"{store}/stitched"))
+    return spark.read.schema(kept.schema).parquet(f"{store}/pieces", f"{store}/stitched").where(whole)

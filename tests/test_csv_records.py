@@ -74,3 +74,42 @@ def test_only_a_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,t\n")
     got = read_csv_records(spark, str(tmp_path))
     assert got.columns == ["id", "t"] and got.count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_kept_in_columns(spark, tmp_path, small_chunks, seed):
+    """With a store, files are read and parsed once: the rows are the same, and what reads
+    them again reads columns, without Python."""
+    written(tmp_path / "a.csv", random_rows(seed))
+    written(tmp_path / "b.csv", random_rows(seed + 20, 20))
+    files = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
+    got = read_csv_records(spark, files, store=str(tmp_path / "kept"))
+    want = read_csv_records(spark, files)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "Scan text" not in plan and "from_csv" not in plan
+
+
+def test_kept_long_records_and_odd_lines(spark, tmp_path, small_chunks):
+    long = "line\n" * 400 + "end"
+    rows = [("1", "x", "y"), ("2", long, ""), ("3", long, long), ("4", "", "z")]
+    written(tmp_path / "a.csv", rows)
+    got = read_csv_records(spark, str(tmp_path / "a.csv"), store=str(tmp_path / "kept"))
+    assert sorted(map(tuple, got.collect())) == [(i, a or None, b or None) for i, a, b in rows]
+    (tmp_path / "odd.csv").write_bytes(b'id,t\r\n1,"a\r\nb"\r\n\r\n2,c\r\n  \r\n3,"d"')
+    odd = read_csv_records(spark, str(tmp_path / "odd.csv"), store=str(tmp_path / "kept-odd"))
+    assert sorted(map(tuple, odd.collect())) == [("1", "a\r\nb"), ("2", "c"), ("3", "d")]
+
+
+def test_kept_without_breaks_needs_no_python(spark, tmp_path, small_chunks):
+    rows = [(str(i), 'a "b", c' * (i % 3), " é " if i % 5 else "") for i in range(60)]
+    written(tmp_path / "a.csv", rows[:30])
+    written(tmp_path / "b.csv", rows[30:])
+    (tmp_path / "blank.csv").write_text('id,first text,b\n"x",,\n\n  \n"",y,""\n1\n1,2,3,4\n')
+    (tmp_path / "head.csv").write_text("id,first text,b\n")
+    files = [str(tmp_path / f"{n}.csv") for n in ("a", "b", "blank", "head")]
+    got = read_csv_records(spark, files, store=str(tmp_path / "kept"))
+    assert not (tmp_path / "kept" / "pieces").exists()
+    want = sorted(map(tuple, read_csv_records(spark, files).collect()), key=str)
+    assert sorted(map(tuple, got.collect()), key=str) == want and len(want) == 64
