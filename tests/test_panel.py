@@ -90,3 +90,31 @@ def test_citing_papers_are_stored_in_columns(spark):
     assert sorted((r.venue_id, r.id, r.referenced_work_id, r.title) for r in out.collect() if r.id == 10) == \
         [(1, 10, 11, "t"), (1, 10, 77, None)]
     assert sorted(r.id for r in out.collect()) == [10, 10, 11, 12]
+
+
+def test_sql_form_reads_its_inputs_once(spark, tmp_path):
+    """The cited works, their word counts and the papers are stored: the citation table
+    itself reads none of the works, hosts and steady venues again."""
+    from strata.operators.language import fit_profiles
+    from strata.operators.panel import citation_table_sql
+
+    tables = {
+        "steady": spark.sql("SELECT * FROM VALUES (1L, 2000), (1L, 2001) AS t(venue_id, year)"),
+        "host": spark.sql("SELECT * FROM VALUES (1L, 10L), (1L, 11L), (1L, 12L), (2L, 10L) AS t(venue_id, work_id)"),
+        "works": spark.sql("SELECT * FROM VALUES (10L, 2000, 'citing'), (11L, 2000, 'lumo lumo'), "
+                           "(12L, 2001, NULL), (13L, 1999, '12 !!') AS t(id, publication_year, title)"),
+        "refs": spark.sql("SELECT * FROM VALUES (10L, 11L), (10L, 11L), (10L, 12L), (10L, 13L), (10L, 77L), "
+                          "(99L, 10L) AS t(work_id, referenced_work_id)")}
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        spark.read.parquet(f"{tmp_path}/{name}").createOrReplaceTempView(f"once_{name}")
+    model = fit_profiles(spark.sql("SELECT * FROM VALUES ('x', 'lumo'), ('y', 'trak') AS t(lang, t)"), "t", "lang")
+    out = citation_table_sql(spark, "once_steady", "once_host", "once_works", "once_refs", model)
+    rows = sorted(map(tuple, out.collect()), key=str)
+    assert rows == [
+        (1, 2000, 10, 11, "lumo lumo", "x", 1.0), (1, 2000, 10, 11, "lumo lumo", "x", 1.0),
+        (1, 2000, 10, 12, None, "Unknown", 0.0), (1, 2000, 10, 13, "12 !!", "Unknown", 0.0),
+        (1, 2000, 10, 77, None, None, None), (1, 2000, 11, None, None, None, None),
+        (1, 2001, 12, None, None, None, None)]
+    read = {f.rsplit("/", 2)[-2] for f in out.inputFiles()}
+    assert "refs" in read and not read & {"steady", "host", "works"}
