@@ -118,3 +118,68 @@ def test_sql_form_reads_its_inputs_once(spark, tmp_path):
         (1, 2001, 12, None, None, None, None)]
     read = {f.rsplit("/", 2)[-2] for f in out.inputFiles()}
     assert "refs" in read and not read & {"steady", "host", "works"}
+
+
+def shuffle_files(spark) -> int:
+    """Of the local session: files of shuffles on disk. They go in the background."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager() \
+        .getAllBlocks().mkString(" ")
+    return blocks.count("shuffle_")
+
+
+def settles_at(spark, most: int) -> bool:
+    import time
+
+    for _ in range(100):
+        if shuffle_files(spark) <= most:
+            return True
+        time.sleep(0.1)
+    return False
+
+
+def test_shuffle_files_go_with_a_write(spark, tmp_path):
+    from strata.session import shuffles_removed
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, files = spark.conf.get(key, None), shuffle_files(spark)
+    rows = spark.range(5000).selectExpr("id % 999 AS k").groupBy("k").count()
+    with shuffles_removed(spark):
+        rows.write.parquet(str(tmp_path / "a"))
+    assert spark.conf.get(key, None) == before and settles_at(spark, files)
+    assert spark.read.parquet(str(tmp_path / "a")).count() == rows.count() == 999
+
+
+def test_citation_table_leaves_no_shuffles_of_its_steps(spark, capsys, monkeypatch):
+    """The disk holds one step's shuffles, not all; venues and their works meet by year,
+    not once per year of the venue; parts that only later parts read are gone."""
+    from strata.session import checkpoint_dir
+    from strata.sources.scratch import RunScratch, list_names
+
+    plans, original = {}, RunScratch.store
+
+    def recording(self, df, part, **options):
+        capsys.readouterr()
+        df.explain()
+        plans[part] = capsys.readouterr().out
+        return original(self, df, part, **options)
+
+    monkeypatch.setattr(RunScratch, "store", recording)
+    root = f"{checkpoint_dir(spark)}/strata-scratch"
+    _, host, works = _inputs(spark)
+    steady = spark.createDataFrame([(1, 2000), (1, 2001), (2, 2000), (2, 2000)], "venue_id long, year int")
+    titled = works.selectExpr("work_id AS id", "publication_year", "'t' AS title")
+    refs = spark.createDataFrame([(10, 11), (10, 77), (None, 12), (12, None)],
+                                 "work_id long, referenced_work_id long")
+    before, files = set(list_names(spark, root)), shuffle_files(spark)
+    out = citation_table(steady, host.distinct(), titled, refs,
+                         detect=lambda df: df.selectExpr("*", "'en' AS language", "float(1) AS confidence"))
+    assert settles_at(spark, files)
+    kept = [list_names(spark, f"{root}/{name}") for name in set(list_names(spark, root)) - before]
+    assert kept == [["cited-languages", "citing-papers"]]
+    join = next(line for line in plans["citing-papers"].splitlines() if "venue_id" in line and "Join" in line)
+    assert "year" in join and "_citing_period" in join
+    none = (None, None, None, None)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([
+        (1, 2000, 10, 11, "t", "en", 1.0), (1, 2000, 10, 77, None, None, None), (1, 2000, 11, *none),
+        (1, 2001, 12, *none), *2 * [(2, 2000, 10, 11, "t", "en", 1.0)],
+        *2 * [(2, 2000, 10, 77, None, None, None)]], key=str)
