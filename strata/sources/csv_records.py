@@ -206,7 +206,8 @@ def _stored(spark: SparkSession, path: str | list[str], quote: str, plain: str,
     parity = spark.read.parquet(f"{store}/chunks")
     if parity.where("broken").isEmpty():
         reader = spark.read.schema(plain).options(**{**given, "multiLine": "false"})
-        reader.options(header=True, lineSep="\n").csv(path).write.parquet(f"{store}/lines")
+        reader.options(header=True, lineSep="\n").csv(path).write.parquet(
+            f"{store}/lines", compression="zstd")
         return spark.read.schema(plain).parquet(f"{store}/lines")
     chunks, joined = _pieces(lines, parity, quote)
     whole, bare = F.col("kind") == WHOLE, F.regexp_replace("record", "\r$", "")
@@ -215,10 +216,11 @@ def _stored(spark: SparkSession, path: str | list[str], quote: str, plain: str,
      .withColumn("fragment", F.when(~whole, F.col("record")))
      .withColumn("record", F.when(whole, bare))
      .select("file", "start", "kind", "first", "fragment", parsed)
-     .select("file", "start", "kind", "first", "fragment", "r.*").write.parquet(f"{store}/pieces"))
+     .select("file", "start", "kind", "first", "fragment", "r.*")
+     .write.parquet(f"{store}/pieces", compression="zstd"))
     kept = spark.read.parquet(f"{store}/pieces")
     edges = kept.where(~whole).select("file", "start", "kind", "first",
                                       F.col("fragment").alias("record"))
     (_cleaned(_stitched(edges), header=True).select(F.lit(WHOLE).alias("kind"), parsed)
-     .select("kind", "r.*").write.parquet(f"{store}/stitched"))
+     .select("kind", "r.*").write.parquet(f"{store}/stitched", compression="zstd"))
     return spark.read.schema(kept.schema).parquet(f"{store}/pieces", f"{store}/stitched").where(whole)
